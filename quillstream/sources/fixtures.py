@@ -104,4 +104,4 @@ def sql_values(rows: list[tuple], cols: list[str]) -> str:
         return "(" + " || ".join(parts) + ")"
 
     body = ", ".join("(" + ", ".join(q(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(cols)})"
+    return f"(VALUES {body}) AS t({', '.join(chr(34) + c + chr(34) for c in cols)})"
