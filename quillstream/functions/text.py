@@ -37,14 +37,27 @@ def compose_scoring_text(title: Column, content: Column) -> Column:
     return F.when(content.isNull(), title).otherwise(composed)
 
 
-def report_line(title: Column, date: Column, link: Column, source: Column, score: Column, content: Column) -> Column:
-    """One labelled text block per item."""
-    return F.concat_ws(
-        "\n",
-        F.concat(F.lit("Title: "), F.coalesce(title, F.lit(""))),
-        F.concat(F.lit("Date: "), F.coalesce(F.date_format(date, "yyyy-MM-dd HH:mm:ss"), F.lit(""))),
-        F.concat(F.lit("Link: "), F.coalesce(link, F.lit(""))),
-        F.concat(F.lit("Source: "), F.coalesce(source, F.lit(""))),
-        F.concat(F.lit("Score: "), F.coalesce(score, F.lit(""))),
-        F.concat(F.lit("Content: "), F.coalesce(content, F.lit(""))),
+# Fixed value: report block layout (80 '=' then labelled fields).
+REPORT_RULE = "=" * 80
+REPORT_FORMAT = "ID: %s\nTitle: %s\nDate: %s\nLink: %s\nSource: %s\nScore: %s\nContent: %s\n\n"
+# DuckDB form of the same block (used by the oracle); {x} are SQL expressions
+REPORT_SQL = (
+    "'" + REPORT_RULE + "' || chr(10) || printf('ID: %s' || chr(10) || 'Title: %s' || chr(10) || 'Date: %s' || chr(10) || "
+    "'Link: %s' || chr(10) || 'Source: %s' || chr(10) || 'Score: %s' || chr(10) || 'Content: %s' || chr(10) || chr(10), "
+    "{id}, coalesce({title}, ''), '', coalesce({link}, ''), coalesce({source}, ''), '', coalesce({content}, ''))"
+)
+
+
+def report_line(ident: Column, title: Column, date: Column, link: Column, source: Column, score: Column,
+                content: Column) -> Column:
+    """One report block per item; missing fields print empty."""
+    def s(c: Column) -> Column:
+        return F.coalesce(c, F.lit(""))
+
+    return F.concat(
+        F.lit(REPORT_RULE + "\n"),
+        F.format_string(
+            REPORT_FORMAT, s(ident), s(title), s(F.date_format(date, "yyyy-MM-dd HH:mm:ss")), s(link), s(source),
+            s(score), s(content),
+        ),
     )

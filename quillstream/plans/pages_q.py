@@ -33,3 +33,161 @@ def page_main_content(spark, sf_dir):
 def page_body(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return pages.select("page_id", H.page_body(F.col("html")).alias("text"))
+
+
+# ------------------------------------------------------------------ H5
+
+
+@register("article_blocks", f"SELECT page_id, {S.article_text('html')} AS article FROM pages")
+def article_blocks(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", H.article_text(F.col("html")).alias("article"))
+
+
+# ------------------------------------------------------------------ J1 / P9 / X2
+# Items are the pages themselves (link = url, title = page title); a page
+# whose </body> never arrived counts as a failed fetch, so its item has no
+# page and is scored on the title alone.
+
+
+def landed_pages(spark, sf_dir):
+    """(url, content): article text of every completely fetched page.
+    Computed map-side, so only (url, text) -- not the HTML -- is shuffled
+    into the join."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.filter(H.has_complete_body(F.col("html"))).select(
+        "url", H.article_text(F.col("html")).alias("content")
+    )
+
+
+def page_items(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.col("url").alias("link"), H.page_title(F.col("html")).alias("title"))
+
+
+def items_with_pages(spark, sf_dir):
+    items = page_items(spark, sf_dir)
+    landed = landed_pages(spark, sf_dir)
+    return items.join(landed, items.link == landed.url, "left").drop("url")
+
+
+_LANDED_SQL = f"SELECT url, {S.article_text('html')} AS content FROM pages WHERE {S.has_complete_body('html')}"
+
+
+@register(
+    "item_page_join",
+    f"SELECT i.page_id, l.content FROM pages i LEFT JOIN ({_LANDED_SQL}) l ON i.url = l.url",
+)
+def item_page_join(spark, sf_dir):
+    return items_with_pages(spark, sf_dir).select("page_id", "content")
+
+
+@register(
+    "compose_scoring_text",
+    f"SELECT i.page_id, {S.compose_scoring_text(S.page_title('i.html'), 'l.content')} AS scoring_text "
+    f"FROM pages i LEFT JOIN ({_LANDED_SQL}) l ON i.url = l.url",
+)
+def compose_scoring_text(spark, sf_dir):
+    j = items_with_pages(spark, sf_dir)
+    return j.select("page_id", T.compose_scoring_text(F.col("title"), F.col("content")).alias("scoring_text"))
+
+
+# ------------------------------------------------------------------ H4 / J2
+# The driver pages only carry <meta charset>; https pages get publisher
+# meta tags built from their own id, so both the tag path and the
+# fallbacks (host, <title>) are exercised.
+
+
+def _meta_tags(pid):
+    def tag(attr, key, value):
+        return F.concat(F.lit(f'<meta {attr}="{key}" content="'), value, F.lit('">'))
+
+    return F.concat(
+        tag("property", "og:site_name", F.concat(F.lit("Site "), pid)),
+        tag("property", "og:title", F.concat(F.lit("Story "), pid)),
+        tag("name", "description", F.concat(F.lit("About story "), pid)),
+        tag("name", "keywords", F.concat(F.lit("news,story"), pid)),
+        tag("property", "og:image", F.concat(F.lit("https://img.example/"), pid, F.lit(".jpg"))),
+        tag("property", "og:image:width", F.lit("1200")),
+        tag("property", "og:image:height", F.lit("630")),
+    )
+
+
+def pages_with_meta(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    html = F.when(
+        F.col("url").startswith("https://"),
+        F.replace(F.col("html"), F.lit("<head>"), F.concat(F.lit("<head>"), _meta_tags(F.col("page_id")))),
+    ).otherwise(F.col("html"))
+    return pages.select("page_id", "url", html.alias("html"))
+
+
+def page_metadata_df(spark, sf_dir):
+    p = pages_with_meta(spark, sf_dir)
+    return p.select("page_id", "url", *H.page_metadata_cols(F.col("html"), F.col("url")))
+
+
+_HOST_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
+_META_SQL = f"""
+SELECT page_id, url,
+  CASE WHEN starts_with(url, 'https://') THEN 'Site ' || page_id ELSE {_HOST_SQL} END AS site_name,
+  CASE WHEN starts_with(url, 'https://') THEN 'Story ' || page_id ELSE {S.page_title('html')} END AS title,
+  CASE WHEN starts_with(url, 'https://') THEN 'About story ' || page_id END AS description,
+  CASE WHEN starts_with(url, 'https://') THEN 'news,story' || page_id END AS keywords,
+  CASE WHEN starts_with(url, 'https://') THEN 'https://img.example/' || page_id || '.jpg' END AS image_url,
+  CASE WHEN starts_with(url, 'https://') THEN '1200' END AS image_width,
+  CASE WHEN starts_with(url, 'https://') THEN '630' END AS image_height
+FROM pages"""
+
+
+@register(
+    "page_metadata",
+    f"SELECT page_id, site_name, title, description, keywords, image_url, image_width, image_height FROM ({_META_SQL})",
+)
+def page_metadata(spark, sf_dir):
+    return page_metadata_df(spark, sf_dir).drop("url")
+
+
+@register(
+    "item_metadata",
+    f"SELECT e.user_id::VARCHAR AS guid, e.ts AS date, m.url AS link, m.site_name, m.description, m.image_url "
+    f"FROM events e LEFT JOIN ({_META_SQL}) m ON m.page_id = e.user_id",
+)
+def item_metadata(spark, sf_dir):
+    from quillstream.sources.feed import feed_items, project_items
+
+    items = project_items(feed_items(spark, sf_dir)).select("guid", "date", "link")
+    meta = page_metadata_df(spark, sf_dir).select("url", "site_name", "description", "image_url")
+    j = items.join(meta, items.link == meta.url, "left")
+    return j.select("guid", "date", "link", "site_name", "description", "image_url")
+
+
+# ------------------------------------------------------------------ S3 / K10 / X3
+# Content report: full scan of the items, pages joined inner (a failed
+# fetch skips the row, no title fallback), article text cleaned.
+
+
+@register(
+    "report_scan",
+    f"SELECT i.page_id, l.content FROM pages i JOIN ({_LANDED_SQL}) l ON i.url = l.url",
+)
+def report_scan(spark, sf_dir):
+    items = page_items(spark, sf_dir)
+    landed = landed_pages(spark, sf_dir)
+    return items.join(landed, items.link == landed.url, "inner").select("page_id", "content")
+
+
+@register(
+    "report_render",
+    f"SELECT i.page_id, {T.REPORT_SQL.format(id='i.page_id::VARCHAR', title=S.page_title('i.html'), link='i.url', source=_HOST_SQL.replace('url', 'i.url'), content='l.content')} AS line "
+    f"FROM pages i JOIN ({_LANDED_SQL}) l ON i.url = l.url",
+)
+def report_render(spark, sf_dir):
+    items = page_items(spark, sf_dir)
+    landed = landed_pages(spark, sf_dir)
+    j = items.join(landed, items.link == landed.url, "inner")
+    line = T.report_line(
+        F.col("page_id").cast("string"), F.col("title"), F.lit(None).cast("timestamp"), F.col("link"),
+        F.try_parse_url(F.col("link"), F.lit("HOST")), F.lit(None).cast("string"), F.col("content"),
+    )
+    return j.select("page_id", line.alias("line"))

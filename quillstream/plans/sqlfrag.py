@@ -58,3 +58,31 @@ def compose_scoring_text(title: str, content: str) -> str:
         f"CASE WHEN {content} IS NULL THEN {title} ELSE "
         f"{lit(T.TITLE_LABEL)} || coalesce({title}, '') || {lit(T.CONTENT_LABEL)} || {content} END"
     )
+
+
+def _without_skipped(expr: str) -> str:
+    c = strip_comments(expr)
+    for tag in H.SKIPPED_ELEMENTS:
+        c = rr(c, H.element_re(tag))
+    return c
+
+
+def _block_text(b: str) -> str:
+    return clean_words(decode_entities(rr(b, H.TAG_RE)))
+
+
+def article_text(expr: str) -> str:
+    body = page_body(expr)
+    src = f"(CASE WHEN {body} = '' THEN {expr} ELSE {body} END)"
+    blocks = f"regexp_split_to_array({_without_skipped(src)}, {lit(H.BLOCK_SPLIT_RE)})"
+    links = f"array_to_string(regexp_extract_all(b, {lit(H.ANCHOR_RE)}, 1), ' ')"
+    scored = f"list_transform({blocks}, lambda b: struct_pack(t := {_block_text('b')}, l := {_block_text(links)}))"
+    kept = (
+        f"list_filter({scored}, lambda s: strlen(s.t) >= {H.ARTICLE_MIN_BLOCK_BYTES} "
+        f"AND strlen(s.l) * {H.ARTICLE_MAX_LINK_SHARE_INV} <= strlen(s.t))"
+    )
+    return f"array_to_string(list_transform({kept}, lambda s: s.t), ' ')"
+
+
+def has_complete_body(expr: str) -> str:
+    return f"regexp_matches({expr}, '(?i)</body\\s*>')"
