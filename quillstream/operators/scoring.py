@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Scorer = Callable[[list], list]
 
@@ -42,22 +42,24 @@ def _default_factory() -> Scorer:
 
 def score_rows(
     df: DataFrame,
-    key_col: str,
     text_col: str,
     make_scorer: Callable[[], Scorer] = _default_factory,
     concurrency: int | None = None,
+    answer_col: str = "answer",
 ) -> DataFrame:
-    """Return ``(key, answer)`` for every row of ``df``."""
-    src = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-    if concurrency:
-        src = src.repartition(concurrency)
-    key_type = df.schema[key_col].dataType.simpleString()
+    """Return ``df`` with an ``answer_col`` column (one model answer per
+    row).  All columns pass through the Arrow batches, so no join back on
+    a synthetic row key is needed.  ``concurrency`` round-robin
+    repartitions first (balanced even when one key dominates), bounding
+    the number of concurrent clients."""
+    src = df.repartition(concurrency) if concurrency else df
+    out_schema = T.StructType(list(src.schema.fields) + [T.StructField(answer_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for pdf in batches:
-            texts = [None if (isinstance(t, float)) else t for t in pdf["text"].tolist()]
-            answers = scorer(texts)
-            yield pd.DataFrame({"key": pdf["key"], "answer": answers})
+            texts = [t if isinstance(t, str) else None for t in pdf[text_col].tolist()]
+            pdf[answer_col] = scorer(texts)
+            yield pdf
 
-    return src.mapInPandas(run, f"key {key_type}, answer string").withColumnRenamed("key", key_col)
+    return src.mapInPandas(run, out_schema)

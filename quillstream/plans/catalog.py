@@ -32,6 +32,7 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from quillstream.plans import (  # noqa: F401
+        ingest_q,
         keys_q,
         links_q,
         llm_q,

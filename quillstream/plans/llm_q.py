@@ -199,6 +199,6 @@ def score_gate(spark, sf_dir):
 )
 def score_items(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    answers = score_rows(docs, "doc_id", "text")
+    answers = score_rows(docs, "text")
     p = answers.select("doc_id", M.strict_answer(F.col("answer")).alias("p"))
     return p.select("doc_id", F.col("p.score").alias("score"))

@@ -63,7 +63,7 @@ def backfill_merge(spark, sf_dir):
     items = stored_items(spark, sf_dir)
     cand = MG.backfill_candidates(items)
     # the model is only called for candidates (filter before the Python hop)
-    answers = score_rows(cand, "doc_id", "text")
+    answers = score_rows(cand, "text")
     parsed = answers.select("doc_id", M.strict_answer(F.col("answer")).alias("p"))
     updates = parsed.filter(F.col("p.reason").isNull()).select(
         "doc_id", F.col("p.score").alias("score"), F.col("p.analyse").alias("analyse")
