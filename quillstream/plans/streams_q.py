@@ -1 +1,178 @@
-"""Registered queries."""
+"""Streaming queries: tick windows, streaming dedupe, late rows, ingest
+metrics and the streaming ingest (availableNow runs over a landing
+directory that Spark fills from the driver tables)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quillstream.operators import ids as I
+from quillstream.plans.catalog import register
+from quillstream.session import scratch_path
+from quillstream.sources import feed as FD
+from quillstream.sources.tables import read_table
+from quillstream.streaming import ticks as TK
+
+CUT = FD.CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
+TICK_HOURS = 6
+LATE_DELAY_HOURS = 1
+
+# ------------------------------------------------------------------ T2
+
+
+@register(
+    "tick_windows",
+    f"SELECT time_bucket(INTERVAL {TICK_HOURS} HOURS, ts) AS tick, event_type, count(*)::BIGINT AS n "
+    "FROM events GROUP BY 1, 2",
+)
+def tick_windows(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    return TK.tick_counts(events, "ts", TICK_HOURS, "event_type")
+
+
+# ------------------------------------------------------------------ D4 / T3
+
+
+def _event_stream(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    # a glob, not the single file: the file source needs a directory or pattern
+    s = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register("stream_dedupe", "SELECT DISTINCT user_id FROM events")
+def stream_dedupe(spark, sf_dir):
+    root = scratch_path(spark, "stream-dedupe")
+    s = _event_stream(spark, sf_dir).withWatermark("ts", f"{LATE_DELAY_HOURS} hours")
+    d = s.dropDuplicatesWithinWatermark(["user_id"]).select("user_id", "ts")
+    TK.run_available(spark, d, f"{root}/_checkpoint", path=f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("user_id")
+
+
+# ------------------------------------------------------------------ T4 / A3
+# Two ticks land in order: first the items published from CUTOFF on, then
+# the older ones, which arrive after the watermark moved past them.
+
+
+def _land_two_ticks(spark, sf_dir, landing):
+    events = read_table(spark, sf_dir, "events")
+    cut = FD.ts_lit(events, "ts", FD.CUTOFF)
+    events.filter(F.col("ts") >= cut).write.mode("append").parquet(landing)
+    yield 0
+    events.filter(F.col("ts") < cut).write.mode("append").parquet(landing)
+    yield 1
+
+
+def _two_tick_progress(spark, sf_dir, build):
+    root = scratch_path(spark, "late")
+    landing = f"{root}/landing"
+    schema = read_table(spark, sf_dir, "events").schema
+    progress = []
+    for _ in _land_two_ticks(spark, sf_dir, landing):
+        s = spark.readStream.schema(schema).parquet(landing).withColumn("ts", F.col("ts").cast("timestamp"))
+        q = TK.run_available(spark, build(s), f"{root}/_checkpoint", path=f"{root}/out")
+        progress.extend(TK.progress_list(q))
+    return progress
+
+
+@register(
+    "late_rows",
+    f"""WITH a AS (SELECT max(ts) AS m FROM events WHERE ts >= TIMESTAMP '{CUT}')
+SELECT 'rows_in' AS metric, count(*)::BIGINT AS value FROM events
+UNION ALL SELECT 'late_rows', count(*)::BIGINT FROM events, a
+  WHERE ts < TIMESTAMP '{CUT}' AND ts <= a.m - INTERVAL {LATE_DELAY_HOURS} HOUR""",
+)
+def late_rows(spark, sf_dir):
+    def build(s):
+        return s.withWatermark("ts", f"{LATE_DELAY_HOURS} hours").dropDuplicates(["event_id", "ts"])
+
+    prog = _two_tick_progress(spark, sf_dir, build)
+    rows_in = sum(int(p.get("numInputRows", 0)) for p in prog)
+    late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in prog for op in p.get("stateOperators", []))
+    return spark.createDataFrame([("rows_in", rows_in), ("late_rows", late)], "metric string, value long")
+
+
+@register(
+    "ingest_metrics",
+    f"SELECT 'collected_batch_0' AS metric, count(*)::BIGINT AS value FROM events WHERE ts >= TIMESTAMP '{CUT}' "
+    f"UNION ALL SELECT 'collected_batch_1', count(*)::BIGINT FROM events WHERE ts < TIMESTAMP '{CUT}'",
+)
+def ingest_metrics(spark, sf_dir):
+    def build(s):
+        return s.observe("ingest", F.count(F.lit(1)).alias("collected"))
+
+    prog = _two_tick_progress(spark, sf_dir, build)
+    rows = []
+    for p in prog:
+        m = (p.get("observedMetrics") or {}).get("ingest")
+        if m and int(p.get("numInputRows", 0)) > 0:
+            rows.append((f"collected_batch_{p['batchId']}", int(m["collected"])))
+    return spark.createDataFrame(rows, "metric string, value long")
+
+
+# ------------------------------------------------------------------ T1 / T3 / K9: streaming ingest
+
+
+def landed_responses(spark, sf_dir):
+    """Model responses landed by the fetcher, keyed by guid: labelled
+    users answered (score = quality - toxic); a 1/1 label stands for a
+    failed call (HTTP 500); unlabelled users were never answered."""
+    labels = read_table(spark, sf_dir, "labels")
+    answer = F.to_json(
+        F.struct(
+            (F.col("quality") - F.col("toxic")).cast("string").alias("score"),
+            F.concat(F.lit("quality="), F.col("quality"), F.lit(" toxic="), F.col("toxic")).alias("analyse"),
+        )
+    )
+    body = F.to_json(
+        F.struct(
+            F.lit("chat.completion").alias("object"),
+            F.array(
+                F.struct(
+                    F.lit(0).alias("index"),
+                    F.struct(F.lit("assistant").alias("role"), answer.alias("content")).alias("message"),
+                    F.lit("stop").alias("finish_reason"),
+                )
+            ).alias("choices"),
+        )
+    )
+    failed = (F.col("quality") == 1) & (F.col("toxic") == 1)
+    return labels.select(
+        F.col("doc_id").cast("string").alias("key"),
+        F.when(failed, F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        body.alias("body"),
+    )
+
+
+STREAM_INGEST_SQL = f"""
+WITH items AS (
+  SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id
+  FROM events e JOIN pages p ON p.page_id = e.user_id),
+ans AS (SELECT i.*, (l.quality - l.toxic)::VARCHAR AS score FROM items i
+        JOIN labels l ON l.doc_id::VARCHAR = i.guid WHERE NOT (l.quality = 1 AND l.toxic = 1)),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY guid ORDER BY ts, event_id) AS rn FROM ans)
+           WHERE rn = 1)
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY ts, event_id)::BIGINT AS id, guid, score
+FROM firsts WHERE score <> '0'
+"""
+
+
+@register("stream_ingest", STREAM_INGEST_SQL)
+def stream_ingest(spark, sf_dir):
+    root = scratch_path(spark, "stream-ingest")
+    state = TK.TickState(spark, f"{root}/state")
+    feed = FD.feed_items(spark, sf_dir)
+    landing = f"{root}/landing"
+    events = read_table(spark, sf_dir, "events")
+    state.init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
+    responses = landed_responses(spark, sf_dir)
+    cut = FD.ts_lit(feed, "published", FD.CUTOFF)
+    # tick 1 then tick 2, each an availableNow run over the same checkpoint
+    for part in (F.col("published") < cut, F.col("published") >= cut):
+        feed.filter(part).write.mode("append").parquet(landing)
+        s = spark.readStream.schema(feed.schema).parquet(landing)
+        TK.run_available(spark, s, f"{root}/_checkpoint", sink=state.ingest(responses=responses))
+    items = spark.read.parquet(state.items)
+    return items.select("topic", "id", "guid", "score")
+
+
