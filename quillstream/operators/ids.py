@@ -31,6 +31,33 @@ def counter_name(topic):
     return F.concat(topic, F.lit(COUNTER_SUFFIX))
 
 
+def rank_within(
+    df: DataFrame,
+    order: Sequence[str],
+    group_col: str | None = None,
+    rank_col: str = "_rank",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """1-based rank of every row within ``group_col`` (or globally) in
+    ``order`` -- the distributed equivalent of ``row_number()`` without a
+    single-partition window (steps 1-4 in the module docstring)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    src = df if group_col else df.withColumn("_g", F.lit(0))
+    g = group_col or "_g"
+    keys = [g, *order]
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    stats = tagged.groupBy("_pid", g).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy(g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    out = tagged.join(stats.select("_pid", g, "_before", "_m0"), ["_pid", g])
+    rank = (F.col("_before") + (F.col("_mid") - F.col("_m0")) + F.lit(1)).cast("long")
+    out = out.withColumn(rank_col, rank).drop("_pid", "_mid", "_before", "_m0")
+    return out if group_col else out.drop("_g")
+
+
 def allocate_ids(
     df: DataFrame,
     order: Sequence[str],
@@ -43,25 +70,13 @@ def allocate_ids(
     within its counter in ``order``.  ``counters`` is ``(name, seq)`` and
     ``df[counter_col]`` holds the counter name.  A missing counter fails
     the job (the source system errors instead of upserting)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    keys = [counter_col, *order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-
-    stats = tagged.groupBy("_pid", counter_col).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.partitionBy(counter_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    ranked = rank_within(df, order, counter_col, num_partitions=num_partitions)
     c = counters.select(F.col("name").alias(counter_col), F.col("seq").alias("_prev"))
-    stats = stats.join(c, counter_col, "left").withColumn(
-        "_prev",
-        F.when(F.col("_prev").isNull(), F.raise_error(F.concat(F.lit("missing counter: "), F.col(counter_col))))
-        .otherwise(F.col("_prev")),
+    out = ranked.join(c, counter_col, "left")
+    prev = F.when(F.col("_prev").isNull(), F.raise_error(F.concat(F.lit("missing counter: "), F.col(counter_col)))).otherwise(
+        F.col("_prev")
     )
-    out = tagged.join(stats.select("_pid", counter_col, "_before", "_m0", "_prev"), ["_pid", counter_col])
-    ident = F.col("_prev") + F.col("_before") + (F.col("_mid") - F.col("_m0")) + F.lit(1)
-    return out.withColumn(id_col, ident.cast("long")).drop("_pid", "_mid", "_before", "_m0", "_prev")
+    return out.withColumn(id_col, (prev + F.col("_rank")).cast("long")).drop("_prev", "_rank")
 
 
 def advance_counters(counters: DataFrame, batch: DataFrame, counter_col: str) -> DataFrame:

@@ -145,3 +145,26 @@ def counter_init(spark, sf_dir):
     return I.init_counters(have, want)
 
 
+
+
+# ------------------------------------------------------------------ D3
+
+LRU_CAPACITY = 100
+LRU_BLOCK_ROWS = 1000
+
+
+@register(
+    "dedupe_lru_exact",
+    f"""WITH r AS (SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS i FROM events),
+p AS (SELECT *, lag(i) OVER (PARTITION BY user_id ORDER BY i) AS prev FROM r)
+SELECT a.event_id, CASE WHEN a.prev IS NULL THEN false ELSE
+  (SELECT count(*) FROM p b WHERE b.i > a.prev AND b.i < a.i AND (b.prev IS NULL OR b.prev < a.prev))
+  < {LRU_CAPACITY} END AS hit
+FROM p a""",
+)
+def dedupe_lru_exact(spark, sf_dir):
+    from quillstream.operators.lru import lru_hits
+
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    out = lru_hits(events, "user_id", ["ts", "event_id"], LRU_CAPACITY, block_rows=LRU_BLOCK_ROWS)
+    return out.select("event_id", "hit")
