@@ -68,7 +68,10 @@ def ordered_messages(turn: Column, role: Column, content: Column) -> Column:
 
 
 def parse_response(body: Column) -> Column:
-    return F.from_json(body, RESPONSE_SCHEMA)
+    """Decoded response envelope, NULL when the body is not JSON or does
+    not fit the envelope's types (both are decode errors upstream).
+    One variant parse, then a typed cast."""
+    return F.try_variant_get(F.try_parse_json(body), "$", f"struct<{RESPONSE_SCHEMA}>")
 
 
 def first_choice_content(status: Column, body: Column) -> Column:
