@@ -2,9 +2,14 @@
 
 All byte-level work (base64 payload, length prefix, slicing) is done on
 BINARY columns with built-in functions, so it runs in codegen on the
-executors.  Intermediate values are bound once with :func:`let` instead of
-chained ``withColumn`` calls: chained projections get collapsed and the
-decoded payload expression would be duplicated into every consumer.
+executors.  Two forms of U1 share the same byte logic:
+
+* :func:`unwrap_link` -- a single Column expression (intermediates bound
+  with :func:`let`), usable anywhere a Column is;
+* :func:`unwrap_links_df` -- successive projections, the form the jobs use:
+  every intermediate is a real column computed once, Catalyst keeps the
+  expensive projections apart instead of duplicating them, and no
+  interpreted higher-order function is involved (about 1.5x faster).
 """
 
 from __future__ import annotations
@@ -61,20 +66,27 @@ def _byte_at(b: Column, pos: int) -> Column:
     return F.conv(F.hex(F.substring(b, pos, 1)), 16, 10).cast("int")
 
 
-def _b64url_decode(s: Column, padded: bool) -> Column:
-    """Strict base64url decode to BINARY, NULL when invalid.
+def _b64url_valid(s: Column, padded: bool) -> Column:
+    """Exact validity of a base64url string under the source system's
+    decoder.  ``padded``: the string is first padded with '=' to a multiple
+    of 4, so it is valid iff the data part has length % 4 != 1 and the
+    padding it ends up with is exactly what that length needs.  Otherwise
+    (raw alphabet) no '=' may appear and length % 4 != 1."""
+    n = F.octet_length(s)
+    if not padded:
+        return s.rlike(B64URL_RAW_RE) & (n % 4 != 1)
+    d = F.octet_length(F.rtrim(s, F.lit("=")))
+    total_pad = (n - d) + (F.lit(4) - n % 4) % 4
+    return s.rlike(B64URL_RE) & (d % 4 != 1) & (total_pad == (F.lit(4) - d % 4) % 4)
+
 
-    ``padded``: pad to a multiple of 4 first (length % 4 == 1 stays
-    invalid).  Otherwise the raw (unpadded) alphabet is required."""
+def _b64url_decode(s: Column, padded: bool) -> Column:
+    """Strict base64url decode to BINARY, NULL when invalid.  Validity is
+    decided up front, so the plain (codegen) decoder is used, not a
+    try-wrapped one."""
     n = F.octet_length(s)
-    if padded:
-        ok = s.rlike(B64URL_RE)
-        s4 = F.concat(s, F.repeat(F.lit("="), (F.lit(4) - n % 4) % 4))
-    else:
-        ok = s.rlike(B64URL_RAW_RE) & (n % 4 != 1)
-        s4 = F.concat(s, F.repeat(F.lit("="), (F.lit(4) - n % 4) % 4))
-    std = F.translate(s4, "-_", "+/")
-    return F.when(ok & (n % 4 != 1), F.try_to_binary(std, F.lit("base64")))
+    s4 = F.concat(s, F.repeat(F.lit("="), (F.lit(4) - n % 4) % 4))
+    return F.when(_b64url_valid(s, padded), F.unbase64(F.translate(s4, "-_", "+/")))
 
 
 def padded_id(s: Column) -> Column:
@@ -260,3 +272,62 @@ RESOLVER_REQ_HEAD = (
     '\\"en-US\\",\\"US\\",1,[2,3,4,8],1,0,\\"655000234\\",0,0,null,0],\\"'
 )
 RESOLVER_REQ_TAIL = '\\"]",null,"generic"]]]'
+
+
+def unwrap_links_df(df, link_col: str, out: str = "unwrapped", compat: bool = False):
+    """U1 as successive projections: the same contract as :func:`unwrap_link`
+    but every intermediate is a real column, so Catalyst evaluates it once
+    (expensive projections are not collapsed into their consumers) and no
+    higher-order-function binding is needed.  Adds struct column ``out``
+    (link, reason, resolver_id)."""
+    c = F.col
+    tmp = ["_u_host", "_u_segs", "_u_last", "_u_wrapped", "_u_raw", "_u_fb1", "_u_fb", "_u_sl", "_u_txt"]
+    x = df.withColumns({"_u_host": url_host(c(link_col)), "_u_segs": path_segments(c(link_col))})
+    x = x.withColumns(
+        {
+            "_u_last": F.substring_index(F.element_at(c("_u_segs"), -1), "?", 1),
+            "_u_wrapped": (c("_u_host") == AGGREGATOR_HOST)
+            & (F.size(c("_u_segs")) > 1)
+            & (F.element_at(c("_u_segs"), -2) == ARTICLES_SEGMENT),
+        }
+    )
+    x = x.withColumn("_u_raw", F.when(c("_u_wrapped"), _b64url_decode(c("_u_last"), padded=True)))
+    pre = F.unhex(F.lit(PAYLOAD_PREFIX_HEX))
+    suf = F.unhex(F.lit(PAYLOAD_SUFFIX_HEX))
+    x = x.withColumn(
+        "_u_fb1", F.when(F.substring(c("_u_raw"), 1, 3) == pre, F.substring(c("_u_raw"), 4, 1 << 30)).otherwise(c("_u_raw"))
+    )
+    n1 = F.octet_length(c("_u_fb1"))
+    x = x.withColumn(
+        "_u_fb",
+        F.when((n1 >= 3) & (F.substring(c("_u_fb1"), -3, 3) == suf), F.substring(c("_u_fb1"), 1, n1 - 3)).otherwise(
+            c("_u_fb1")
+        ),
+    )
+    x = x.withColumn("_u_sl", _slice_payload(c("_u_fb"), compat))
+    x = x.withColumn("_u_txt", c("_u_sl.payload").cast("string"))
+    unresolved = c("_u_txt").startswith(UNRESOLVED_MARKER)
+    null_s = F.lit(None).cast("string")
+    decoded = F.struct(
+        F.when(~unresolved, c("_u_txt")).alias("link"),
+        F.when(c("_u_sl.reason").isNotNull(), c("_u_sl.reason")).when(unresolved, F.lit("unresolved")).alias("reason"),
+        F.when(unresolved, padded_id(c("_u_last"))).alias("resolver_id"),
+    )
+    bad = F.struct(null_s.alias("link"), F.lit("bad_base64").alias("reason"), null_s.alias("resolver_id"))
+    invalid = F.struct(null_s.alias("link"), F.lit("invalid_url").alias("reason"), null_s.alias("resolver_id"))
+    passthrough = F.struct(c(link_col).alias("link"), null_s.alias("reason"), null_s.alias("resolver_id"))
+    result = (
+        F.when(c(link_col).isNull(), F.lit(None))
+        .when(c("_u_host").isNull() & c("_u_segs").isNull(), invalid)
+        .when(c("_u_wrapped") & c("_u_raw").isNull(), bad)
+        .when(c("_u_wrapped"), decoded)
+        .otherwise(passthrough)
+    )
+    return x.withColumn(out, result).drop(*tmp)
+
+
+def source_links_df(df, link_col: str = "link", compat: bool = False):
+    """P8 on a DataFrame: replace ``link_col`` by the decoded link, or keep
+    it when decoding fails."""
+    x = unwrap_links_df(df, link_col, "_u_out", compat)
+    return x.withColumn(link_col, F.coalesce(F.col("_u_out.link"), F.col(link_col))).drop("_u_out")

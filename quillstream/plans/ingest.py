@@ -49,7 +49,7 @@ class TickResult:
 def scoring_inputs(items: DataFrame, page_content: DataFrame | None) -> DataFrame:
     """Steps 2-3: publisher link, page content, scoring text, and the
     model request JSON."""
-    x = items.withColumn("link", L.source_link(F.col("link")))
+    x = L.source_links_df(items, "link")
     x = x.withColumn("source", L.url_host(F.col("link")))
     if page_content is not None:
         pc = page_content.select(F.col("url").alias("_url"), F.col("content"))

@@ -52,7 +52,8 @@ def _inline_sql(idx: int) -> str:
 
 @register("unwrap_links", f"SELECT page_id, url AS link FROM pages UNION ALL {_inline_sql(2)}")
 def unwrap_links(spark, sf_dir):
-    return _wrapped_pages(spark, sf_dir).select("page_id", L.unwrap_link(F.col("link"))["link"].alias("link"))
+    u = L.unwrap_links_df(_wrapped_pages(spark, sf_dir), "link", "u")
+    return u.select("page_id", F.col("u.link").alias("link"))
 
 
 _MIXED_ROWS = [(c[0], c[2] if c[2] is not None else c[1]) for c in _LINKS]
@@ -64,7 +65,7 @@ _MIXED_ROWS = [(c[0], c[2] if c[2] is not None else c[1]) for c in _LINKS]
     f"SELECT page_id, link FROM {FX.sql_values(_MIXED_ROWS, ['page_id', 'link'])}",
 )
 def unwrap_links_mixed(spark, sf_dir):
-    return _wrapped_pages(spark, sf_dir).select("page_id", L.source_link(F.col("link")).alias("link"))
+    return L.source_links_df(_wrapped_pages(spark, sf_dir), "link").select("page_id", "link")
 
 
 @register("unwrap_links_legacy", f"SELECT page_id, url AS link FROM pages UNION ALL {_inline_sql(4)}")

@@ -91,14 +91,8 @@ def project_items(feed: DataFrame) -> DataFrame:
     """P1 + P8: feed row -> news item (guid, title, date, link, source).
     The link is the unwrapped publisher link, or the original link when it
     cannot be decoded; source is the site name (host fallback of H4)."""
-    link = L.source_link(F.col("link"))
-    return feed.select(
-        "guid",
-        "title",
-        F.col("published").alias("date"),
-        link.alias("link"),
-        L.url_host(link).alias("source"),
-    )
+    x = L.source_links_df(feed.select("guid", "title", "published", "link"), "link")
+    return x.select("guid", "title", F.col("published").alias("date"), "link", L.url_host(F.col("link")).alias("source"))
 
 
 def counters_table(spark: SparkSession, sf_dir: str) -> DataFrame:

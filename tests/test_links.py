@@ -74,3 +74,11 @@ def test_resolver_parse(spark):
     df = spark.createDataFrame([(200, body), (500, body), (200, "nothing")], "status int, body string")
     got = [tuple(r["r"]) for r in df.select(L.resolver_parse(F.col("status"), F.col("body")).alias("r")).collect()]
     assert got == [("https://a.example/p", None), (None, "status"), (None, "no_header")]
+
+
+def test_staged_unwrap_equals_column_form(spark):
+    rows = FX.link_cases() + [(1, FX.wrapped(FX.framed("https://example.org/ok")), None, None, None)]
+    df = spark.createDataFrame([(r[0], r[1]) for r in rows], "id long, link string")
+    a = {r["id"]: tuple(r["u"]) if r["u"] else None for r in df.select("id", L.unwrap_link(F.col("link")).alias("u")).collect()}
+    b = {r["id"]: tuple(r["u"]) if r["u"] else None for r in L.unwrap_links_df(df, "link", "u").collect()}
+    assert a == b
