@@ -6,8 +6,9 @@ filters -- Catalyst cannot reorder around the Python scorer):
 1. anti-join the tick's items against the persisted seen keys (D2);
 2. unwrap links (U1/P8), left-join page content (J1), compose the scoring
    text with the title-only fallback (X2/P9);
-3. reduce exact duplicates (same guid and same scoring text) to their
-   first arrival, so a hot guid costs one model call, not one per copy;
+3. (done first) reduce copies of an item (same guid, title and link, hence
+   the same scoring text) to their first arrival, so a hot guid costs one
+   model call and one page lookup, not one per copy;
 4. obtain answers: landed responses joined on the item key (J4/E2a/E5),
    or a scorer through ``mapInPandas`` (E3);
 5. strict parse (E4/C5); rejects go to the quarantine output and are
@@ -53,6 +54,8 @@ def scoring_inputs(items: DataFrame, page_content: DataFrame | None) -> DataFram
     x = x.withColumn("source", L.url_host(F.col("link")))
     if page_content is not None:
         pc = page_content.select(F.col("url").alias("_url"), F.col("content"))
+        # page URLs are unique, so no fan-out: AQE broadcasts the page side
+        # when its runtime size is under the threshold, else sort-merge
         x = x.join(pc, x.link == pc._url, "left").drop("_url")
     else:
         x = x.withColumn("content", F.lit(None).cast("string"))
@@ -73,9 +76,11 @@ def run_tick(
     ``seen``: guid.  ``counters``: name, seq.  Provide either landed
     ``responses`` (key, status, body) keyed by guid, or ``make_scorer``."""
     fresh = D.not_seen(items, seen.select("guid"), "guid")
-    x = scoring_inputs(fresh, page_content)
-    # one model call per (guid, text): duplicates of an item share the answer
-    x = D.first_per_key(x, ["guid", "scoring_text"], arrival)
+    # one model call per distinct item: the scoring text is a function of
+    # (title, link), so copies are collapsed (map-side partial aggregate)
+    # before any link decoding, page join or text composition
+    distinct_items = D.first_per_key(fresh, ["guid", "title", "link"], arrival)
+    x = scoring_inputs(distinct_items, page_content)
 
     if responses is not None:
         r = responses.select(F.col("key").alias("_key"), M.first_choice_content(F.col("status"), F.col("body")).alias("answer"))

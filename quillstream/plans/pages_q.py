@@ -158,7 +158,8 @@ def item_metadata(spark, sf_dir):
 
     items = project_items(feed_items(spark, sf_dir)).select("guid", "date", "link")
     meta = page_metadata_df(spark, sf_dir).select("url", "site_name", "description", "image_url")
-    j = items.join(meta, items.link == meta.url, "left")
+    # fan-out join with expensive columns on both sides: keep the shuffle
+    j = items.join(meta.hint("merge"), items.link == meta.url, "left")
     return j.select("guid", "date", "link", "site_name", "description", "image_url")
 
 

@@ -37,12 +37,12 @@ def page_title(expr: str) -> str:
     return decode_entities(f"regexp_extract({strip_comments(expr)}, {lit(H.TITLE_RE)}, 1)")
 
 
+def drop_noise(expr: str) -> str:
+    return rr(expr, H.NOISE_RE)
+
+
 def visible_text(expr: str) -> str:
-    c = strip_comments(expr)
-    for tag in H.SKIPPED_ELEMENTS:
-        c = rr(c, H.element_re(tag))
-    c = rr(c, H.TAG_RE)
-    return decode_entities(c)
+    return decode_entities(rr(drop_noise(expr), H.TAG_RE))
 
 
 def main_content(expr: str) -> str:
@@ -60,28 +60,25 @@ def compose_scoring_text(title: str, content: str) -> str:
     )
 
 
-def _without_skipped(expr: str) -> str:
-    c = strip_comments(expr)
-    for tag in H.SKIPPED_ELEMENTS:
-        c = rr(c, H.element_re(tag))
-    return c
+def _visible(b: str) -> str:
+    return decode_entities(rr(b, H.TAG_RE))
 
 
-def _block_text(b: str) -> str:
-    return clean_words(decode_entities(rr(b, H.TAG_RE)))
+def _solid_bytes(t: str) -> str:
+    return f"strlen(regexp_replace({t}, {lit(H.WHITESPACE_CHARS_RE)}, '', 'g'))"
 
 
 def article_text(expr: str) -> str:
     body = page_body(expr)
     src = f"(CASE WHEN {body} = '' THEN {expr} ELSE {body} END)"
-    blocks = f"regexp_split_to_array({_without_skipped(src)}, {lit(H.BLOCK_SPLIT_RE)})"
+    blocks = f"regexp_split_to_array({drop_noise(src)}, {lit(H.BLOCK_SPLIT_RE)})"
     links = f"array_to_string(regexp_extract_all(b, {lit(H.ANCHOR_RE)}, 1), ' ')"
-    scored = f"list_transform({blocks}, lambda b: struct_pack(t := {_block_text('b')}, l := {_block_text(links)}))"
+    scored = f"list_transform({blocks}, lambda b: struct_pack(t := {_visible('b')}, l := {_solid_bytes(_visible(links))}))"
     kept = (
-        f"list_filter({scored}, lambda s: strlen(s.t) >= {H.ARTICLE_MIN_BLOCK_BYTES} "
-        f"AND strlen(s.l) * {H.ARTICLE_MAX_LINK_SHARE_INV} <= strlen(s.t))"
+        f"list_filter({scored}, lambda s: {_solid_bytes('s.t')} >= {H.ARTICLE_MIN_BLOCK_BYTES} "
+        f"AND s.l * {H.ARTICLE_MAX_LINK_SHARE_INV} <= {_solid_bytes('s.t')})"
     )
-    return f"array_to_string(list_transform({kept}, lambda s: s.t), ' ')"
+    return clean_words(f"array_to_string(list_transform({kept}, lambda s: s.t), ' ')")
 
 
 def has_complete_body(expr: str) -> str:

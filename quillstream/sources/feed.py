@@ -43,15 +43,19 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     # page side is projected to (id, url, title) before the join: the HTML
     # never crosses the shuffle
     pages = read_table(spark, sf_dir, "pages").select(
-        F.col("page_id"), F.col("url"), H.page_title(F.col("html")).alias("title")
+        F.col("page_id"), H.page_title(F.col("html")).alias("title"), L.wrap_link(F.col("url")).alias("link")
     )
-    j = events.join(pages, events.user_id == pages.page_id)
+    # sort-merge, not broadcast: the page-side columns are expensive and each
+    # page matches many events; behind a shuffle they are computed once per
+    # page instead of once per matching row (codegen re-evaluates streamed-side
+    # projections inside the match loop)
+    j = events.join(pages.hint("merge"), events.user_id == pages.page_id)
     return j.select(
         F.col("event_type").alias("topic"),
         F.lit(FEED_LANG).alias("lang"),
         F.lit(FEED_COUNTRY).alias("country"),
         F.col("title"),
-        L.wrap_link(F.col("url")).alias("link"),
+        F.col("link"),
         F.col("user_id").cast("string").alias("guid"),
         F.col("ts").alias("published"),
         F.col("event_id"),

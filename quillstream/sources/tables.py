@@ -15,5 +15,24 @@ DRIVER_TABLES = (
 ).split()
 
 
+# Tables whose rows carry whole pages or documents: the per-row work on
+# them (regex extraction, word filtering) dominates, so a scan must use all
+# cores.
+TEXT_TABLES = frozenset({"pages", "documents"})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cores when it yields fewer partitions
+    than the default parallelism (a few large row groups in a small file).
+    A large input already has at least that many splits, so this never
+    shuffles raw text at scale; filters and column pruning still reach the
+    parquet scan below the repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
