@@ -27,9 +27,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def not_seen(df: DataFrame, seen: DataFrame, key: str, seen_key: str | None = None) -> DataFrame:
-    """Rows whose key is absent from the persisted seen-keys table."""
+    """Rows whose key is absent from the persisted seen-keys table.
+    No ``distinct`` on the seen side: duplicates do not change an anti
+    join, and de-duplicating the whole history every tick would be a full
+    aggregate that grows with it."""
     sk = seen_key or key
-    keys = seen.select(F.col(sk).alias("_seen_key")).distinct()
+    keys = seen.select(F.col(sk).alias("_seen_key"))
     return df.join(keys, df[key].eqNullSafe(keys["_seen_key"]), "left_anti")
 
 

@@ -38,6 +38,8 @@ from pyspark.sql import types as T
 
 from quillstream.operators.ids import rank_within
 
+MAX_BLOCK_ROWS = 2_000_000
+
 
 def _top_c(df: DataFrame, key: str, capacity: int) -> DataFrame:
     w = Window.partitionBy("_blk").orderBy(F.col("_last").desc())
@@ -49,17 +51,22 @@ def lru_hits(
     key: str,
     order: Sequence[str],
     capacity: int,
-    block_rows: int = 1_000_000,
+    block_rows: int | None = None,
     hit_col: str = "hit",
 ) -> DataFrame:
     """``df`` plus boolean ``hit_col``: was the row's key in the LRU cache
-    of ``capacity`` keys when the row was processed in ``order``?"""
-    ranked = rank_within(df, order, rank_col="_pos")
-    x = ranked.withColumn("_pos", F.col("_pos") - 1).withColumn(
-        "_blk", F.floor(F.col("_pos") / F.lit(block_rows)).cast("long")
-    )
-    n_blocks_row = x.agg(F.max("_blk").alias("m")).first()
-    n_blocks = 0 if n_blocks_row is None or n_blocks_row["m"] is None else int(n_blocks_row["m"]) + 1
+    of ``capacity`` keys when the row was processed in ``order``?
+
+    ``block_rows`` defaults to enough blocks for two per core, within
+    ``[10 * capacity, MAX_BLOCK_ROWS]`` so one block always fits a task."""
+    ranked = rank_within(df, order, rank_col="_pos").withColumn("_pos", F.col("_pos") - 1)
+    total_row = ranked.agg(F.max("_pos").alias("m")).first()
+    total = 0 if total_row is None or total_row["m"] is None else int(total_row["m"]) + 1
+    if block_rows is None:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        block_rows = min(MAX_BLOCK_ROWS, max(10 * capacity, -(-total // (2 * cores))))
+    x = ranked.withColumn("_blk", F.floor(F.col("_pos") / F.lit(block_rows)).cast("long"))
+    n_blocks = -(-total // block_rows)
 
     last = x.groupBy("_blk", key).agg(F.max("_pos").alias("_last"))
     prefix = _top_c(last, key, capacity).checkpoint(eager=True)

@@ -150,7 +150,6 @@ def counter_init(spark, sf_dir):
 # ------------------------------------------------------------------ D3
 
 LRU_CAPACITY = 100
-LRU_BLOCK_ROWS = 1000
 
 
 @register(
@@ -166,5 +165,5 @@ def dedupe_lru_exact(spark, sf_dir):
     from quillstream.operators.lru import lru_hits
 
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    out = lru_hits(events, "user_id", ["ts", "event_id"], LRU_CAPACITY, block_rows=LRU_BLOCK_ROWS)
+    out = lru_hits(events, "user_id", ["ts", "event_id"], LRU_CAPACITY)
     return out.select("event_id", "hit")
