@@ -102,7 +102,7 @@ def counter_lookup(spark, sf_dir):
 
 @register(
     "counter_json",
-    f"SELECT name, to_json(struct_pack(name := name, seq := seq)) AS json FROM ({_COUNTERS_SQL})",
+    f"SELECT name, to_json(struct_pack(name := name, seq := seq))::VARCHAR AS json FROM ({_COUNTERS_SQL})",
 )
 def counter_json(spark, sf_dir):
     return I.counter_json(FD.counters_table(spark, sf_dir))

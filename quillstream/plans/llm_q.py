@@ -18,7 +18,7 @@ SELECT conv_id, count(*)::BIGINT AS n_messages,
        to_json(struct_pack(model := {lit(M.SCORING_MODEL)},
                            messages := list(struct_pack(role := role, content := text) ORDER BY turn),
                            stream := false,
-                           response_format := MAP {{'type': 'json_object'}})) AS request
+                           response_format := MAP {{'type': 'json_object'}}))::VARCHAR AS request
 FROM conversations GROUP BY conv_id
 """
 
@@ -176,7 +176,9 @@ def score_parse_strict(spark, sf_dir):
     return p.filter(F.col("p.reason").isNull()).select("doc_id", F.col("p.score").alias("score"), F.col("p.analyse").alias("analyse"))
 
 
-@register("score_quarantine", f"SELECT doc_id, reason FROM {FX.sql_values(_REJECTED, ['doc_id', 'reason'])}")
+@register(
+    "score_quarantine", f"SELECT doc_id::BIGINT AS doc_id, reason FROM {FX.sql_values(_REJECTED, ['doc_id', 'reason'])}"
+)
 def score_quarantine(spark, sf_dir):
     p = parsed_answers(spark, sf_dir)
     return p.filter(F.col("p.reason").isNotNull()).select("doc_id", F.col("p.reason").alias("reason"))

@@ -10,6 +10,12 @@ import __spark_entry__ as E
 from quillstream.sources.tables import DRIVER_TABLES
 from tests.conftest import SMALL
 
+# Spark simple type -> DuckDB type name
+TYPE_MAP = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "array<string>": "VARCHAR[]",
+}
+
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 
@@ -47,6 +53,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
     srows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(ORACLES[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: TYPE_MAP.get(t, t) for c, t in stypes.items()} == otypes
     res = duck.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
