@@ -72,3 +72,54 @@ def test_compose_falls_back_to_title(spark):
     df = spark.createDataFrame([("T", "c"), ("T", None)], "t string, c string")
     got = [r["s"] for r in df.select(T.compose_scoring_text(F.col("t"), F.col("c")).alias("s")).collect()]
     assert got == ["Title:T\nContent:c", "T"]
+
+
+# White space of the source system's field splitter: TAB..CR, SPACE, U+0085,
+# U+00A0 and the Unicode space separators / line / paragraph separators.
+_GO_SPACE = set("\t\n\v\f\r \u0085      　") | {chr(c) for c in range(0x2000, 0x200B)}
+
+
+def _go_fields_clean(s):
+    words, cur = [], ""
+    for ch in s:
+        if ch in _GO_SPACE:
+            if cur:
+                words.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    if cur:
+        words.append(cur)
+    return " ".join(w for w in words if len(w.encode()) > 1 and not w.startswith(("function", "var")))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_alphabet = st.sampled_from(list("ab é€​") + sorted(_GO_SPACE) + ["var", "function", "x", " "])
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(_alphabet, max_size=40).map("".join), min_size=1, max_size=20))
+def test_clean_words_matches_field_splitter(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["c"] for r in df.select(T.clean_words(F.col("t")).alias("c")).collect()]
+    assert got == [_go_fields_clean(t) for t in texts]
+
+
+def test_html_edge_cases(spark):
+    pages = [
+        "<html><head><title></title></head><body><p>alpha beta</p></body></html>",
+        "<HTML><BODY><SCRIPT>var x = 1;</SCRIPT><P>Upper Case</P></BODY></HTML>",
+        "<body><!-- <p>hidden words</p> --><p>shown words</p></body>",
+        "<body><nav><a>menu items never closed <p>still nav",
+        "<body><p>aa &amp;lt; bb &lt;cc</p></body>",
+    ]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i int, h string")
+    got = {r["i"]: (r["t"], r["c"]) for r in df.select(
+        "i", H.page_title(F.col("h")).alias("t"), H.main_content(F.col("h")).alias("c")).collect()}
+    assert got[0] == ("", "alpha beta")
+    assert got[1] == ("", "Upper Case")
+    assert got[2] == ("", "shown words")
+    assert got[3] == ("", "")
+    assert got[4] == ("", "aa &lt; bb <cc")
