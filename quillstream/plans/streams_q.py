@@ -161,7 +161,8 @@ FROM firsts WHERE score <> '0'
 def stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream-ingest")
     state = TK.TickState(spark, f"{root}/state")
-    feed = FD.feed_items(spark, sf_dir)
+    # derived once (reliable checkpoint), then landed as two ticks
+    feed = FD.feed_items(spark, sf_dir).checkpoint(eager=True)
     landing = f"{root}/landing"
     events = read_table(spark, sf_dir, "events")
     state.init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
