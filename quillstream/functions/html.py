@@ -47,10 +47,11 @@ def element_re(tag: str) -> str:
 # Comments and the skipped subtrees removed in ONE left-to-right pass: an
 # alternation of the comment pattern and one pattern per element (RE2 has
 # no back-references, so no single "<(tag)...</\1>" form).  Whichever
-# construct starts first wins, as in a tokenizer.
-NOISE_RE = "(?is)" + "|".join(
-    [r"<!--.*?(?:-->|\z)"] + [rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
-)
+# construct starts first wins, as in a tokenizer.  The shared "<" is
+# factored out so every other character costs one comparison.
+NOISE_RE = "(?is)<(?:" + "|".join(
+    [r"!--.*?(?:-->|\z)"] + [rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
+) + ")"
 
 
 def decode_entities(c: Column) -> Column:

@@ -123,3 +123,11 @@ def test_html_edge_cases(spark):
     assert got[2] == ("", "shown words")
     assert got[3] == ("", "")
     assert got[4] == ("", "aa &lt; bb <cc")
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(_alphabet, max_size=60).map("".join), min_size=1, max_size=20))
+def test_regex_word_filter_equals_listwise(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(T.clean_words(F.col("t")).alias("a"), T.clean_words_listwise(F.col("t")).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)
