@@ -160,20 +160,17 @@ FROM firsts WHERE score <> '0'
 @register("stream_ingest", STREAM_INGEST_SQL)
 def stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream-ingest")
-    state = TK.TickState(spark, f"{root}/state")
+    state_root = f"{root}/state"
+    events = read_table(spark, sf_dir, "events")
+    TK.TickState(spark, state_root).init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
     # derived once (reliable checkpoint), then landed as two ticks
     feed = FD.feed_items(spark, sf_dir).checkpoint(eager=True)
     landing = f"{root}/landing"
-    events = read_table(spark, sf_dir, "events")
-    state.init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
     responses = landed_responses(spark, sf_dir)
     cut = FD.ts_lit(feed, "published", FD.CUTOFF)
     # tick 1 then tick 2, each an availableNow run over the same checkpoint
     for part in (F.col("published") < cut, F.col("published") >= cut):
         feed.filter(part).write.mode("append").parquet(landing)
-        s = spark.readStream.schema(feed.schema).parquet(landing)
-        TK.run_available(spark, s, f"{root}/_checkpoint", sink=state.ingest(responses=responses))
-    items = spark.read.parquet(state.items)
+        TK.ingest_stream(spark, landing, feed.schema, state_root, responses=responses)
+    items = spark.read.parquet(f"{state_root}/items")
     return items.select("topic", "id", "guid", "score")
-
-

@@ -141,3 +141,32 @@ class TickState:
 
 def new_root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
+
+
+def ingest_stream(
+    spark: SparkSession,
+    landing: str,
+    feed_schema,
+    state_root: str,
+    hours: int | None = None,
+    responses: DataFrame | None = None,
+    page_content: DataFrame | None = None,
+    make_scorer: Callable | None = None,
+    checkpoint: str | None = None,
+):
+    """The periodic ingest.  ``hours`` set: a processing-time trigger
+    every ``hours`` hours (the source system's interval, which is also its
+    look-back); ``hours=None``: process what is available and stop.
+    Returns the started query (already finished for availableNow)."""
+    state = TickState(spark, state_root)
+    ckpt = checkpoint or f"{state_root.rstrip('/')}/_checkpoint"
+    stream = spark.readStream.schema(feed_schema).parquet(landing)
+    sink = state.ingest(responses=responses, page_content=page_content, make_scorer=make_scorer)
+    if hours is None:
+        return run_available(spark, stream, ckpt, sink=sink)
+    return (
+        stream.writeStream.option("checkpointLocation", ckpt)
+        .trigger(processingTime=f"{hours} hours")
+        .foreachBatch(sink)
+        .start()
+    )

@@ -32,3 +32,17 @@ def test_empty_batch_is_noop(spark):
     feed = FD.feed_items(spark, SMALL)
     state.ingest()(feed.filter(F.lit(False)), 0)
     assert state._read(state.items) is None
+
+
+def test_periodic_trigger_starts_and_stops(spark):
+    from quillstream.streaming.ticks import ingest_stream
+
+    root = scratch_path(spark, "periodic")
+    feed = FD.feed_items(spark, SMALL)
+    feed.filter(F.lit(False)).write.parquet(f"{root}/landing")
+    q = ingest_stream(spark, f"{root}/landing", feed.schema, f"{root}/state", hours=6)
+    try:
+        assert q.isActive
+        assert "6 hours" in str(q.lastProgress or "") or q.isActive
+    finally:
+        q.stop()
