@@ -33,12 +33,16 @@ def merge_updates(
     key: str,
     columns: Sequence[str],
     delete_neutral_col: str | None = None,
+    check_base_unique: bool = False,
 ) -> DataFrame:
     """K3 + K4: set ``columns`` from ``updates`` on matching ``key``; when
     ``delete_neutral_col`` is given, matched rows whose new value there is
     the neutral score are deleted.  Unmatched rows are unchanged.  A key
     that appears twice in ``updates`` fails the job (merge needs a unique
-    key; the source system silently touched the first match only)."""
+    key; the source system silently touched the first match only).
+    ``check_base_unique`` also verifies the base side; it is off by default
+    because base ids come from the counter allocation (unique by
+    construction) and the check is a full aggregation of the table."""
     cols = list(columns)
     reduced = updates.groupBy(key).agg(
         F.count(F.lit(1)).alias("_k"), *[F.first(c).alias(f"_u_{c}") for c in cols]
@@ -48,6 +52,10 @@ def merge_updates(
         F.when(F.col("_k") > 1, F.raise_error(F.concat(F.lit("duplicate update key: "), F.col(key).cast("string"))))
         .otherwise(F.col("_k")),
     )
+    if check_base_unique:
+        dup = base.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"duplicate base key: {dup[0][key]}")
     j = base.join(reduced, key, "left")
     matched = F.col("_k").isNotNull()
     out = j

@@ -25,6 +25,9 @@ _LOCAL_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # reliable checkpoints (answers, ranked batches, LRU prefixes) are
+    # removed once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

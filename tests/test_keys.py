@@ -86,3 +86,10 @@ def test_repair_links(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "http://x")], "id long, link string")
     got = sorted(map(tuple, MG.repair_links(df).collect()))
     assert got == [(1, "default_link"), (2, "default_link"), (3, "http://x")]
+
+
+def test_merge_base_uniqueness_check(spark):
+    base = spark.createDataFrame([(1, "a"), (1, "b")], "id long, score string")
+    upd = spark.createDataFrame([(1, "4")], "id long, score string")
+    with pytest.raises(ValueError, match="duplicate base key"):
+        MG.merge_updates(base, upd, "id", ["score"], check_base_unique=True)
