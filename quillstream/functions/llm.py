@@ -95,36 +95,52 @@ def total_tokens(body: Column) -> Column:
     return parse_response(body)["usage"]["total_tokens"]
 
 
-def _field(m: Column, name: str) -> Column:
-    """Last entry of the object whose key equals ``name`` ignoring case."""
-    hits = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == name)
-    return F.try_element_at(hits, F.lit(-1))
+def _matches(keys: Column, name: str) -> Column:
+    return F.filter(keys, lambda x: F.lower(x) == name)
 
 
-def _string_ok(entry: Column) -> Column:
-    t = F.schema_of_variant(entry["value"])
-    return entry.isNull() | t.isNull() | t.isin("STRING", "VOID")
+def _field(m: Column, keys: Column, name: str) -> Column:
+    """Value (variant) of the last key equal to ``name`` ignoring case, in
+    document order (``keys`` from ``json_object_keys``); NULL when absent."""
+    k = F.try_element_at(_matches(keys, name), F.lit(-1))
+    return F.when(k.isNotNull(), F.element_at(m, k))
 
 
-def _string_value(entry: Column) -> Column:
-    return F.coalesce(F.try_variant_get(entry["value"], "$", "string"), F.lit(""))
+def _string_ok(value: Column) -> Column:
+    t = F.schema_of_variant(value)
+    return value.isNull() | t.isNull() | t.isin("STRING", "VOID")
+
+
+def _all_string_ok(m: Column, keys: Column, name: str) -> Column:
+    """Every key matching ``name`` must hold a string or null: a wrong type
+    under any of them is a decode error, even if a later key overrides it."""
+    return F.forall(_matches(keys, name), lambda k: _string_ok(F.element_at(m, k)))
+
+
+def _string_value(value: Column) -> Column:
+    return F.coalesce(F.try_variant_get(value, "$", "string"), F.lit(""))
 
 
 def strict_answer(answer: Column) -> Column:
     """E4 (contract C5): struct(score, analyse, reason).
 
     Accepted when the answer is JSON ``null`` (both fields empty) or an
-    object whose ``score`` and ``analyse`` keys (matched ignoring case,
-    last one wins) are each absent, null or a string.  Anything else is
-    rejected with a reason; rejected rows have score/analyse NULL."""
+    object whose ``score`` and ``analyse`` keys (matched ignoring case; the
+    last match in document order wins) are each absent, null or a string --
+    under every matching key, as a type error anywhere fails the decode.
+    Anything else is rejected with a reason; rejected rows have
+    score/analyse NULL."""
 
     def on_variant(v: Column) -> Column:
         top = F.schema_of_variant(v)
         m = F.try_variant_get(v, "$", "map<string,variant>")
+        keys = F.json_object_keys(answer)
 
         def on_map(mm: Column) -> Column:
-            s, a = _field(mm, "score"), _field(mm, "analyse")
-            reason = F.when(~_string_ok(s), F.lit("score_type")).when(~_string_ok(a), F.lit("analyse_type"))
+            s, a = _field(mm, keys, "score"), _field(mm, keys, "analyse")
+            reason = F.when(~_all_string_ok(mm, keys, "score"), F.lit("score_type")).when(
+                ~_all_string_ok(mm, keys, "analyse"), F.lit("analyse_type")
+            )
             return F.struct(
                 F.when(reason.isNull(), _string_value(s)).alias("score"),
                 F.when(reason.isNull(), _string_value(a)).alias("analyse"),

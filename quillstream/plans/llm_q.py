@@ -136,6 +136,9 @@ ANSWER_CASES = [
     (-14, '{"score":"2","analyse":{"a":1}}', None, None, "analyse_type"),
     (-15, '{"score":"1","analyse":"a","extra":[1,2]}', "1", "a", None),
     (-16, '""', None, None, "not_object"),
+    (-17, '{"Score":"1","score":"2","analyse":"case"}', "2", "case", None),
+    (-18, '{"score":"2","Score":"1","analyse":"case"}', "1", "case", None),
+    (-19, '{"SCORE":3,"score":"3","analyse":"t"}', None, None, "score_type"),
 ]
 
 
