@@ -68,27 +68,89 @@ def ordered_messages(turn: Column, role: Column, content: Column) -> Column:
 
 
 def parse_response(body: Column) -> Column:
-    """Decoded response envelope, NULL when the body is not JSON or does
-    not fit the envelope's types (both are decode errors upstream).
-    One variant parse, then a typed cast."""
+    """Decoded response envelope, NULL when the body is not JSON.  One
+    variant parse, then a typed cast (lenient: see :func:`envelope_ok`)."""
     return F.try_variant_get(F.try_parse_json(body), "$", f"struct<{RESPONSE_SCHEMA}>")
 
 
+_INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+
+
+def _vtype_ok(x: Column, exact: tuple = (), prefix: tuple = ()) -> Column:
+    """Variant ``x`` is absent, JSON null, or of one of the given types."""
+    t = F.schema_of_variant(x)
+    ok = x.isNull() | t.isNull() | (t == "VOID")
+    if exact:
+        ok = ok | t.isin(*exact)
+    for p in prefix:
+        ok = ok | t.startswith(p)
+    return ok
+
+
+def _at(x: Column, path: str) -> Column:
+    return F.try_variant_get(x, path, "variant")
+
+
+def envelope_ok(v: Column) -> Column:
+    """Strict types of the response envelope, as the source system decodes
+    it: a type mismatch anywhere is a decode error (-> the "0" fallback).
+    Strings must be strings, counts integers, ``choices`` an array of
+    objects whose ``message`` is an object with string role/content."""
+
+    def choice_ok(c: Column) -> Column:
+        m = _at(c, "$.message")
+        return (
+            _vtype_ok(c, prefix=("OBJECT",))
+            & _vtype_ok(_at(c, "$.index"), exact=_INT_TYPES)
+            & _vtype_ok(_at(c, "$.finish_reason"), exact=("STRING",))
+            & _vtype_ok(m, prefix=("OBJECT",))
+            & _vtype_ok(_at(m, "$.role"), exact=("STRING",))
+            & _vtype_ok(_at(m, "$.content"), exact=("STRING",))
+        )
+
+    u = _at(v, "$.usage")
+    choices = _at(v, "$.choices")
+    return (
+        _vtype_ok(v, prefix=("OBJECT",))
+        & _vtype_ok(_at(v, "$.id"), exact=("STRING",))
+        & _vtype_ok(_at(v, "$.object"), exact=("STRING",))
+        & _vtype_ok(_at(v, "$.model"), exact=("STRING",))
+        & _vtype_ok(_at(v, "$.created"), exact=_INT_TYPES)
+        & _vtype_ok(u, prefix=("OBJECT",))
+        & _vtype_ok(_at(u, "$.prompt_tokens"), exact=_INT_TYPES)
+        & _vtype_ok(_at(u, "$.completion_tokens"), exact=_INT_TYPES)
+        & _vtype_ok(_at(u, "$.total_tokens"), exact=_INT_TYPES)
+        & _vtype_ok(choices, prefix=("ARRAY",))
+        & F.coalesce(F.forall(F.try_variant_get(v, "$.choices", "array<variant>"), choice_ok), F.lit(True))
+    )
+
+
+def _response_contents(status: Column, body: Column) -> Column:
+    """struct(first, all): E2a and E2b contents with the E5 fallbacks."""
+
+    def on_variant(v: Column) -> Column:
+        r = F.try_variant_get(v, "$", f"struct<{RESPONSE_SCHEMA}>")
+        contents = F.transform(r["choices"], lambda c: F.coalesce(c["message"]["content"], F.lit("")))
+        failed = (status != 200) | v.isNull() | ~envelope_ok(v)
+        first = F.when(failed | (F.coalesce(F.size(contents), F.lit(0)) <= 0), F.lit(NO_RESULT)).otherwise(
+            F.element_at(contents, 1)
+        )
+        every = F.when(failed, F.lit(NO_RESULT)).otherwise(F.coalesce(F.array_join(contents, ""), F.lit("")))
+        return F.struct(first.alias("first"), every.alias("all"))
+
+    return F.element_at(F.transform(F.array(F.try_parse_json(body)), on_variant), 1)
+
+
 def first_choice_content(status: Column, body: Column) -> Column:
     """E2a + E5: content of the first choice; "0" on non-200, undecodable
-    body or no choices."""
-    r = parse_response(body)
-    first = F.try_element_at(r["choices"], F.lit(1))
-    content = F.coalesce(first["message"]["content"], F.lit(""))
-    return F.when((status != 200) | r.isNull() | first.isNull(), F.lit(NO_RESULT)).otherwise(content)
+    body (bad JSON or wrong types) or no choices."""
+    return _response_contents(status, body)["first"]
 
 
 def all_choices_content(status: Column, body: Column) -> Column:
     """E2b + A4: concatenation of every choice's content in order; "0" on
     non-200 or undecodable body, "" when there are no choices."""
-    r = parse_response(body)
-    joined = F.array_join(F.transform(r["choices"], lambda c: F.coalesce(c["message"]["content"], F.lit(""))), "")
-    return F.when((status != 200) | r.isNull(), F.lit(NO_RESULT)).otherwise(F.coalesce(joined, F.lit("")))
+    return _response_contents(status, body)["all"]
 
 
 def total_tokens(body: Column) -> Column:

@@ -21,13 +21,23 @@ def test_response_first_and_all(spark):
     two = '{"choices":[{"index":0,"message":{"role":"assistant","content":"a"}},' \
           '{"index":1,"message":{"role":"assistant","content":"b"}}],"usage":{"total_tokens":3}}'
     none = '{"choices":[]}'
-    rows = [(200, two), (200, none), (500, two), (200, "not json")]
+    rows = [
+        (200, two), (200, none), (500, two), (200, "not json"),
+        (200, '{"choices":"x"}'),                                   # wrong type -> decode error
+        (200, '{"choices":[{"message":{"content":4}}]}'),           # numeric content -> error
+        (200, "null"),                                              # decodes to an empty envelope
+        (200, '{"created":1.5,"choices":[{"message":{"content":"z"}}]}'),
+        (200, '{"choices":[{"message":{"content":"q"}}],"usage":{"total_tokens":"7"}}'),
+        (200, '{"choices":null}'),
+        (200, "[1]"),
+    ]
     df = spark.createDataFrame(rows, "status int, body string")
     got = [(r["f"], r["a"]) for r in df.select(
         M.first_choice_content(F.col("status"), F.col("body")).alias("f"),
         M.all_choices_content(F.col("status"), F.col("body")).alias("a"),
     ).collect()]
-    assert got == [("a", "ab"), ("0", ""), ("0", "0"), ("0", "0")]
+    assert got == [("a", "ab"), ("0", ""), ("0", "0"), ("0", "0"), ("0", "0"), ("0", "0"), ("0", ""),
+                   ("0", "0"), ("0", "0"), ("0", ""), ("0", "0")]
 
 
 def test_scoring_request_shape(spark):
