@@ -25,6 +25,21 @@ from pyspark.sql import functions as F
 from quillstream.session import ensure_checkpoint_dir
 
 COUNTER_SUFFIX = "-counter"  # fixed value: counter name = topic + "-counter"
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_RANGE_PARTITIONS = 100_000
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Range-partition count for ``df``: its estimated size (optimizer
+    statistics) over ~128 MiB, at least ``spark.sql.shuffle.partitions``.
+    A fixed count would give 100 TB inputs partitions of hundreds of GB."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no statistics: keep the floor
+        return floor
+    return int(min(MAX_RANGE_PARTITIONS, max(floor, -(-size // TARGET_PARTITION_BYTES))))
 
 
 def counter_name(topic):
@@ -46,7 +61,7 @@ def rank_within(
     src = df if group_col else df.withColumn("_g", F.lit(0))
     g = group_col or "_g"
     keys = [g, *order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(src)
     ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     stats = tagged.groupBy("_pid", g).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))

@@ -71,10 +71,12 @@ def run_tick(
     responses: DataFrame | None = None,
     make_scorer: Callable[[], Scorer] | None = None,
     arrival: list[str] = ARRIVAL,
+    concurrency: int | None = None,
 ) -> TickResult:
     """``items``: topic, guid, title, link, published (+ arrival columns).
     ``seen``: guid.  ``counters``: name, seq.  Provide either landed
-    ``responses`` (key, status, body) keyed by guid, or ``make_scorer``."""
+    ``responses`` (key, status, body) keyed by guid, or ``make_scorer``;
+    ``concurrency`` bounds the number of parallel model clients."""
     fresh = D.not_seen(items, seen.select("guid"), "guid")
     # one model call per distinct item: the scoring text is a function of
     # (title, link), so copies are collapsed (map-side partial aggregate)
@@ -87,7 +89,7 @@ def run_tick(
         x = x.join(r, x.guid == r._key, "left").drop("_key")
         x = x.withColumn("answer", F.coalesce(F.col("answer"), F.lit(M.NO_RESULT)))
     else:
-        x = score_rows(x, "scoring_text", make_scorer or (lambda: standin_scorer))
+        x = score_rows(x, "scoring_text", make_scorer or (lambda: standin_scorer), concurrency=concurrency)
 
     # Materialise the answers once (reliable checkpoint in the shared
     # checkpoint folder): a real model is not deterministic, several outputs
