@@ -103,10 +103,12 @@ def ingest_metrics(spark, sf_dir):
 
     prog = _two_tick_progress(spark, sf_dir, build)
     rows = []
-    for p in prog:
+    # data-carrying micro-batches in order (a no-data batch would only
+    # shift Spark's batch ids, not the ticks)
+    for p in sorted(prog, key=lambda p: int(p["batchId"])):
         m = (p.get("observedMetrics") or {}).get("ingest")
         if m and int(p.get("numInputRows", 0)) > 0:
-            rows.append((f"collected_batch_{p['batchId']}", int(m["collected"])))
+            rows.append((f"collected_batch_{len(rows)}", int(m["collected"])))
     return spark.createDataFrame(rows, "metric string, value long")
 
 
