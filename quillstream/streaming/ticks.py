@@ -67,9 +67,25 @@ def progress_list(q) -> list[dict]:
     return out
 
 
+SEEN_BUCKETS = 256
+
+
+def seen_bucket(guid):
+    """Hash bucket of a guid: the seen-key table is partitioned by it."""
+    return F.pmod(F.xxhash64(guid), F.lit(SEEN_BUCKETS)).cast("int")
+
+
 class TickState:
     """Cross-tick tables under ``root``: items (topic, batch_id partitions),
-    seen keys and counter versions (batch_id partitions)."""
+    counter versions (batch_id partitions) and seen keys (partitioned by
+    guid hash bucket, ``batch_id`` kept as a column).
+
+    The seen-key history grows with every tick; a tick only reads the
+    buckets of its own guids (partition pruning with a literal list of at
+    most SEEN_BUCKETS ids), so a small tick touches a small slice of the
+    history however long it gets.  Keys are appended: a replayed batch may
+    append a key twice, which an anti-join ignores, and ``batch_id < b``
+    keeps a replay from seeing its own earlier attempt."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -109,11 +125,16 @@ class TickState:
         c = self._read(self.counters)
         return c is not None and not c.filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def seen_before(self, batch_id: int) -> DataFrame:
+    def seen_before(self, batch_id: int, batch: DataFrame | None = None) -> DataFrame:
         s = self._read(self.seen)
         if s is None:
             return self.spark.createDataFrame([], "guid string")
-        return s.filter(F.col("batch_id") < batch_id).select("guid")
+        s = s.filter(F.col("batch_id") < batch_id)
+        if batch is not None:
+            # bounded: at most SEEN_BUCKETS small integers reach the driver
+            buckets = [r[0] for r in batch.select(seen_bucket(F.col("guid"))).distinct().collect()]
+            s = s.filter(F.col("bucket").isin(buckets))
+        return s.select("guid")
 
     def ingest(self, responses: DataFrame | None = None, page_content: DataFrame | None = None,
                make_scorer: Callable | None = None) -> Callable[[DataFrame, int], None]:
@@ -124,11 +145,12 @@ class TickState:
                 return
             if self.committed(batch_id):  # replay of a committed batch
                 return
-            res = run_tick(batch, self.seen_before(batch_id), self.counters_before(batch_id),
+            res = run_tick(batch, self.seen_before(batch_id, batch), self.counters_before(batch_id),
                            page_content=page_content, responses=responses, make_scorer=make_scorer)
             b = F.lit(batch_id).cast("long")
             self._write(res.items.withColumn("batch_id", b), self.items, ["topic", "batch_id"])
-            self._write(res.seen.withColumn("batch_id", b), self.seen, ["batch_id"])
+            seen = res.seen.withColumn("batch_id", b).withColumn("bucket", seen_bucket(F.col("guid")))
+            seen.write.mode("append").partitionBy("bucket").parquet(self.seen)
             self._write(res.quarantine.withColumn("batch_id", b), self.quarantine, ["batch_id"])
             # checkpointed: the new version must not be planned as a read of the
             # table it is written into
