@@ -87,3 +87,27 @@ def test_replay_after_partial_write_equals_clean_run(spark):
         return sorted(map(tuple, spark.read.parquet(st.items).select("topic", "id", "guid", "score").collect()))
 
     assert items(crashed) == items(clean) and len(items(clean)) > 0
+
+
+def test_two_streaming_ticks_equal_one_batch_tick(spark):
+    from quillstream.plans.ingest import run_tick
+    from quillstream.streaming.ticks import ingest_stream
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    names = events.select(I.counter_name(F.col("event_type")).alias("name")).distinct()
+    feed = FD.feed_items(spark, SMALL).checkpoint(eager=True)
+    responses = landed_responses(spark, SMALL)
+
+    root = scratch_path(spark, "stream-vs-batch")
+    state = TickState(spark, f"{root}/state")
+    state.init_counters(names)
+    cut = FD.ts_lit(feed, "published", FD.CUTOFF)
+    for part in (F.col("published") < cut, F.col("published") >= cut):
+        feed.filter(part).write.mode("append").parquet(f"{root}/landing")
+        ingest_stream(spark, f"{root}/landing", feed.schema, f"{root}/state", responses=responses)
+    streamed = sorted(map(tuple, spark.read.parquet(state.items).select("topic", "id", "guid", "score").collect()))
+
+    zero = names.select("name", F.lit(0).cast("long").alias("seq"))
+    batch = run_tick(feed, spark.createDataFrame([], "guid string"), zero, responses=responses).items
+    batched = sorted(map(tuple, batch.select("topic", "id", "guid", "score").collect()))
+    assert streamed == batched and len(batched) > 0
