@@ -30,14 +30,22 @@ MAX_RANGE_PARTITIONS = 100_000
 
 
 def partitions_for(df: DataFrame) -> int:
-    """Range-partition count for ``df``: its estimated size (optimizer
-    statistics) over ~128 MiB, at least ``spark.sql.shuffle.partitions``.
-    A fixed count would give 100 TB inputs partitions of hundreds of GB."""
+    """Range-partition count for ``df``: the bytes of the files it scans
+    over ~128 MiB, at least ``spark.sql.shuffle.partitions``.  A fixed
+    count would give 100 TB inputs partitions of hundreds of GB.  Only
+    file-scan leaves are counted: optimizer estimates above a join are
+    products of the inputs, and checkpointed leaves carry such estimates
+    too, so they are ignored (the floor applies)."""
     spark = df.sparkSession
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no statistics: keep the floor
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if leaf.nodeName() == "LogicalRelation":
+                size += int(str(leaf.stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no plan statistics: keep the floor
         return floor
     return int(min(MAX_RANGE_PARTITIONS, max(floor, -(-size // TARGET_PARTITION_BYTES))))
 

@@ -150,7 +150,8 @@ class TickState:
             b = F.lit(batch_id).cast("long")
             self._write(res.items.withColumn("batch_id", b), self.items, ["topic", "batch_id"])
             seen = res.seen.withColumn("batch_id", b).withColumn("bucket", seen_bucket(F.col("guid")))
-            seen.write.mode("append").partitionBy("bucket").parquet(self.seen)
+            # one file per touched bucket per tick (not one per task and bucket)
+            seen.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.seen)
             self._write(res.quarantine.withColumn("batch_id", b), self.quarantine, ["batch_id"])
             # checkpointed: the new version must not be planned as a read of the
             # table it is written into

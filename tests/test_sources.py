@@ -39,3 +39,8 @@ def test_topic_window_pushes_bounds_to_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-20T02:00)" in plan and "LessThanOrEqual(ts,2024-01-20T12:00)" in plan
     assert "TakeOrderedAndProject" in plan
     assert w.count() <= FD.FEED_LIMIT
+
+
+def test_partitions_for_ignores_join_estimates(spark):
+    feed = FD.feed_items(spark, MEDIUM)  # events x pages: the optimizer multiplies sizes
+    assert partitions_for(feed) == int(spark.conf.get("spark.sql.shuffle.partitions"))
