@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstream.functions import columns
+
 from quillstream.functions.text import clean_words
 
 # Fixed values (must match the source system's behaviour):
@@ -54,37 +56,44 @@ NOISE_RE = "(?is)<(?:" + "|".join(
 ) + ")"
 
 
+@columns(1)
 def decode_entities(c: Column) -> Column:
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c
 
 
+@columns(1)
 def strip_comments(html: Column) -> Column:
     return F.regexp_replace(html, COMMENT_RE, " ")
 
 
+@columns(1)
 def page_title(html: Column) -> Column:
     """H1: text of the first <title> element, entities decoded; '' if none."""
     return decode_entities(F.regexp_extract(strip_comments(html), TITLE_RE, 1))
 
 
+@columns(1)
 def drop_noise(html: Column) -> Column:
     """Comments and skipped subtrees replaced by a space (one pass)."""
     return F.regexp_replace(html, NOISE_RE, " ")
 
 
+@columns(1)
 def visible_text(html: Column) -> Column:
     """Comments, the skipped subtrees and all remaining tags replaced by a
     space (one text node per gap), then entities decoded."""
     return decode_entities(F.regexp_replace(drop_noise(html), TAG_RE, " "))
 
 
+@columns(1)
 def main_content(html: Column) -> Column:
     """H2: visible text of the page with X1 applied."""
     return clean_words(visible_text(html))
 
 
+@columns(1)
 def page_body(html: Column) -> Column:
     """H3: outer HTML of <body> (to the end of input when unclosed)."""
     return F.regexp_extract(html, BODY_RE, 0)
@@ -97,6 +106,7 @@ def _meta_patterns(key: str) -> tuple[str, str]:
     return attr_first, content_first
 
 
+@columns(1)
 def meta_content(html: Column, key: str) -> Column:
     """Content of the first <meta property|name=key content=...>, NULL when absent."""
     a, b = _meta_patterns(key)
@@ -104,6 +114,7 @@ def meta_content(html: Column, key: str) -> Column:
     return decode_entities(v)
 
 
+@columns(2)
 def page_metadata_cols(html: Column, url: Column) -> list[Column]:
     """H4: site name, title, description, keywords, image url/size.
     Site name falls back to the host, title to <title>, description to
@@ -153,6 +164,7 @@ def _solid_bytes(t: Column) -> Column:
     return F.octet_length(F.regexp_replace(t, WHITESPACE_CHARS_RE, ""))
 
 
+@columns(1)
 def article_text(html: Column) -> Column:
     """H5: main article text of a page (see the rule above)."""
     body = page_body(html)
@@ -173,6 +185,7 @@ def article_text(html: Column) -> Column:
     return clean_words(F.array_join(F.transform(kept, lambda s: s["text"]), " "))
 
 
+@columns(1)
 def has_complete_body(html: Column) -> Column:
     """A fetched page is complete when its </body> arrived."""
     return html.rlike(r"(?i)</body\s*>")

@@ -19,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstream.functions import columns
+
 # Fixed values (must match the source system's behaviour):
 #   aggregator host            news.google.com
 #   wrapped-link path          .../articles/<base64url id>
@@ -47,16 +49,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+@columns(1)
 def url_host(url: Column) -> Column:
     return F.try_parse_url(url, F.lit("HOST"))
 
 
+@columns(1)
 def url_path(url: Column) -> Column:
     """Percent-decoded path; '+' is literal in a path, so protect it."""
     raw = F.try_parse_url(url, F.lit("PATH"))
     return F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
 
 
+@columns(1)
 def path_segments(url: Column) -> Column:
     return F.split(url_path(url), "/")
 
@@ -89,6 +94,7 @@ def _b64url_decode(s: Column, padded: bool) -> Column:
     return F.when(_b64url_valid(s, padded), F.unbase64(F.translate(s4, "-_", "+/")))
 
 
+@columns(1)
 def padded_id(s: Column) -> Column:
     n = F.octet_length(s)
     return F.concat(s, F.repeat(F.lit("="), (F.lit(4) - n % 4) % 4))
@@ -131,6 +137,7 @@ def _slice_payload(b: Column, compat: bool) -> Column:
     return F.when(n == 0, empty).when(b0 < 128, short).otherwise(long_)
 
 
+@columns(1)
 def unwrap_link(link: Column, compat: bool = False) -> Column:
     """Decode an aggregator link into the publisher link.
 
@@ -187,11 +194,13 @@ def unwrap_link(link: Column, compat: bool = False) -> Column:
     )
 
 
+@columns(1)
 def source_link(link: Column, compat: bool = False) -> Column:
     """Decoded link, or the original link when decoding fails."""
     return F.coalesce(unwrap_link(link, compat)["link"], link)
 
 
+@columns(1)
 def clean_url(s: Column) -> Column:
     """Cut from the first "http", drop characters that are not letters,
     marks, numbers, punctuation or symbols, trim one trailing U+FFFD."""
@@ -201,6 +210,7 @@ def clean_url(s: Column) -> Column:
     return F.regexp_replace(kept, TRAILING_REPLACEMENT_RE, "")
 
 
+@columns(1)
 def unwrap_link_legacy(link: Column) -> Column:
     """Last path part, unpadded base64url, then U3; '' on any error
     (the legacy contract).  Host is not checked; >= 3 path parts needed."""
@@ -215,6 +225,7 @@ def unwrap_link_legacy(link: Column) -> Column:
     ).otherwise(F.lit(""))
 
 
+@columns(1)
 def wrap_link(url: Column) -> Column:
     """Inverse of U1 for fixtures: aggregator link carrying ``url``.
     Length prefix is a one-byte or two-byte varint (URLs < 16 KiB)."""
@@ -227,12 +238,14 @@ def wrap_link(url: Column) -> Column:
     return F.concat(F.lit(WRAP_BASE), b64, F.lit(WRAP_QUERY))
 
 
+@columns(1)
 def wrap_bytes_link(payload: Column) -> Column:
     """Aggregator link around an arbitrary framed BINARY payload (fixtures)."""
     b64 = F.regexp_replace(F.translate(F.base64(payload), "+/", "-_"), r"[=\r\n]", "")
     return F.concat(F.lit(WRAP_BASE), b64, F.lit(WRAP_QUERY))
 
 
+@columns(1)
 def substring_offsets(s: Column, needle: str) -> Column:
     """0-based byte offsets of every (overlapping) occurrence of
     ``needle``.  Split before each match with a zero-width look-ahead:
@@ -248,11 +261,13 @@ def substring_offsets(s: Column, needle: str) -> Column:
     return F.slice(prefix, start, F.size(chunks) - start + 1)
 
 
+@columns(1)
 def resolver_request(resolver_id: Column) -> Column:
     """U4: form-encoded body of the resolver call for an unresolved id."""
     return F.concat(F.lit("f.req="), F.url_encode(F.concat(F.lit(RESOLVER_REQ_HEAD), resolver_id, F.lit(RESOLVER_REQ_TAIL))))
 
 
+@columns(2)
 def resolver_parse(status: Column, body: Column) -> Column:
     """U5 + P10: struct(link, reason) from a resolver response."""
     after = F.substring(body, F.locate(RESOLVER_HEADER, body) + len(RESOLVER_HEADER), 1 << 30)

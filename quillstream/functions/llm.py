@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstream.functions import columns
+
 # Fixed values (must match the source system's behaviour):
 #   scoring model             deepseek-chat
 #   response format           {"type": "json_object"}
@@ -47,6 +49,7 @@ def message(role: Column | str, content: Column) -> Column:
     return F.struct(r.alias("role"), content.alias("content"))
 
 
+@columns(1)
 def chat_request(messages: Column, model: str = SCORING_MODEL, json_answer: bool = True) -> Column:
     """Request JSON for a chat completion."""
     fmt = F.create_map(*[x for k, v in RESPONSE_FORMAT.items() for x in (F.lit(k), F.lit(v))])
@@ -56,17 +59,20 @@ def chat_request(messages: Column, model: str = SCORING_MODEL, json_answer: bool
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+@columns(1)
 def scoring_request(text: Column) -> Column:
     """E1 for one item: the fixed system prompt plus the item text."""
     return chat_request(F.array(message("system", F.lit(SYSTEM_PROMPT)), message("user", text)))
 
 
+@columns(3)
 def ordered_messages(turn: Column, role: Column, content: Column) -> Column:
     """A5 aggregate: messages of one conversation in turn order."""
     ordered = F.array_sort(F.collect_list(F.struct(turn.alias("t"), role.alias("role"), content.alias("content"))))
     return F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
 
 
+@columns(1)
 def parse_response(body: Column) -> Column:
     """Decoded response envelope, NULL when the body is not JSON.  One
     variant parse, then a typed cast (lenient: see :func:`envelope_ok`)."""
@@ -91,6 +97,7 @@ def _at(x: Column, path: str) -> Column:
     return F.try_variant_get(x, path, "variant")
 
 
+@columns(1)
 def envelope_ok(v: Column) -> Column:
     """Strict types of the response envelope, as the source system decodes
     it: a type mismatch anywhere is a decode error (-> the "0" fallback).
@@ -141,18 +148,21 @@ def _response_contents(status: Column, body: Column) -> Column:
     return F.element_at(F.transform(F.array(F.try_parse_json(body)), on_variant), 1)
 
 
+@columns(2)
 def first_choice_content(status: Column, body: Column) -> Column:
     """E2a + E5: content of the first choice; "0" on non-200, undecodable
     body (bad JSON or wrong types) or no choices."""
     return _response_contents(status, body)["first"]
 
 
+@columns(2)
 def all_choices_content(status: Column, body: Column) -> Column:
     """E2b + A4: concatenation of every choice's content in order; "0" on
     non-200 or undecodable body, "" when there are no choices."""
     return _response_contents(status, body)["all"]
 
 
+@columns(1)
 def total_tokens(body: Column) -> Column:
     return parse_response(body)["usage"]["total_tokens"]
 
@@ -183,6 +193,7 @@ def _string_value(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "string"), F.lit(""))
 
 
+@columns(1)
 def strict_answer(answer: Column) -> Column:
     """E4 (contract C5): struct(score, analyse, reason).
 
@@ -225,6 +236,7 @@ def strict_answer(answer: Column) -> Column:
     return F.element_at(F.transform(F.array(F.try_parse_json(answer)), on_variant), 1)
 
 
+@columns(1)
 def is_neutral(score: Column) -> Column:
     """Exact string equality with "0" ("-0", "0.0" and "" pass)."""
     return score.eqNullSafe(F.lit(NEUTRAL_SCORE))

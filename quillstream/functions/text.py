@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstream.functions import columns
+
 # Fixed values (must match the source system's behaviour):
 #   word separators = Unicode white space: TAB, LF, VT, FF, CR, SPACE, U+0085
 #                     and every character of category Z (Zs, Zl, Zp)
@@ -24,6 +26,7 @@ DROPPED_WORD_RE = (
 )
 
 
+@columns(1)
 def clean_words(text: Column) -> Column:
     """Split on white space, keep words longer than one byte that do
     not start with a dropped prefix, join with single spaces.
@@ -37,6 +40,7 @@ def clean_words(text: Column) -> Column:
     return F.btrim(kept, F.lit(" "))
 
 
+@columns(1)
 def clean_words_listwise(text: Column) -> Column:
     """X1 as split / filter / join (reference formulation, used in tests)."""
     words = F.split(text, WHITESPACE_RUN)
@@ -50,6 +54,7 @@ def clean_words_listwise(text: Column) -> Column:
     return F.array_join(F.filter(words, keep), " ")
 
 
+@columns(2)
 def compose_scoring_text(title: Column, content: Column) -> Column:
     """X2 + P9: labelled title and content; the title alone when the page
     could not be obtained (``content`` is NULL)."""
@@ -68,6 +73,7 @@ REPORT_SQL = (
 )
 
 
+@columns(7)
 def report_line(ident: Column, title: Column, date: Column, link: Column, source: Column, score: Column,
                 content: Column) -> Column:
     """One report block per item; missing fields print empty."""

@@ -131,3 +131,11 @@ def test_regex_word_filter_equals_listwise(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     rows = df.select(T.clean_words(F.col("t")).alias("a"), T.clean_words_listwise(F.col("t")).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows)
+
+
+def test_functions_accept_column_names(spark):
+    df = spark.createDataFrame([("<html><title>t</title><body><p>hello world</p></body></html>", "aa bb")], "html string, t string")
+    a = df.select(H.page_title("html").alias("x"), H.main_content("html").alias("y"), T.clean_words("t").alias("z")).first()
+    b = df.select(H.page_title(F.col("html")).alias("x"), H.main_content(F.col("html")).alias("y"),
+                  T.clean_words(F.col("t")).alias("z")).first()
+    assert a == b == ("t", "hello world", "aa bb")
