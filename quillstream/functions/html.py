@@ -55,6 +55,10 @@ NOISE_RE = "(?is)<(?:" + "|".join(
     [r"!--.*?(?:-->|\z)"] + [rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
 ) + ")"
 
+# Noise and every other tag in the same pass (both become one space): the
+# generic tag alternative comes last, so comments and skipped subtrees win.
+MARKUP_RE = NOISE_RE[:-1] + r"|[/!?]?[A-Za-z][^>]*(?:>|\z))"
+
 
 @columns(1)
 def decode_entities(c: Column) -> Column:
@@ -84,7 +88,7 @@ def drop_noise(html: Column) -> Column:
 def visible_text(html: Column) -> Column:
     """Comments, the skipped subtrees and all remaining tags replaced by a
     space (one text node per gap), then entities decoded."""
-    return decode_entities(F.regexp_replace(drop_noise(html), TAG_RE, " "))
+    return decode_entities(F.regexp_replace(html, MARKUP_RE, " "))
 
 
 @columns(1)

@@ -42,7 +42,7 @@ def drop_noise(expr: str) -> str:
 
 
 def visible_text(expr: str) -> str:
-    return decode_entities(rr(drop_noise(expr), H.TAG_RE))
+    return decode_entities(rr(expr, H.MARKUP_RE))
 
 
 def main_content(expr: str) -> str:
