@@ -62,9 +62,11 @@ MARKUP_RE = NOISE_RE[:-1] + r"|[/!?]?[A-Za-z][^>]*(?:>|\z))"
 
 @columns(1)
 def decode_entities(c: Column) -> Column:
+    decoded = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
+    # every entity starts with "&": text without one is returned as is
+    return F.when(c.contains("&"), decoded).otherwise(c)
 
 
 @columns(1)
@@ -174,17 +176,23 @@ def article_text(html: Column) -> Column:
     body = page_body(html)
     src = F.when(body == "", html).otherwise(body)
     blocks = F.split(drop_noise(src), BLOCK_SPLIT_RE)
-    scored = F.transform(
-        blocks,
-        lambda b: F.struct(
-            _visible(b).alias("text"),
-            _solid_bytes(_visible(F.array_join(F.regexp_extract_all(b, F.lit(ANCHOR_RE), 1), " "))).alias("links"),
-        ),
-    )
+
+    def score(b: Column) -> Column:
+        text = _visible(b)
+        # anchor text is only looked for when the block can hold an anchor
+        maybe_anchor = b.contains("<a") | b.contains("<A")
+        links = F.when(
+            maybe_anchor, _solid_bytes(_visible(F.array_join(F.regexp_extract_all(b, F.lit(ANCHOR_RE), 1), " ")))
+        ).otherwise(F.lit(0))
+        return F.struct(text.alias("text"), links.alias("links"))
+
+    def size(s: Column) -> Column:
+        return F.struct(s["text"].alias("text"), s["links"].alias("links"), _solid_bytes(s["text"]).alias("n"))
+
+    scored = F.transform(F.transform(blocks, score), size)
     kept = F.filter(
         scored,
-        lambda s: (_solid_bytes(s["text"]) >= ARTICLE_MIN_BLOCK_BYTES)
-        & (s["links"] * ARTICLE_MAX_LINK_SHARE_INV <= _solid_bytes(s["text"])),
+        lambda s: (s["n"] >= ARTICLE_MIN_BLOCK_BYTES) & (s["links"] * ARTICLE_MAX_LINK_SHARE_INV <= s["n"]),
     )
     return clean_words(F.array_join(F.transform(kept, lambda s: s["text"]), " "))
 
