@@ -85,13 +85,21 @@ class TickState:
     most SEEN_BUCKETS ids), so a small tick touches a small slice of the
     history however long it gets.  Keys are appended: a replayed batch may
     append a key twice, which an anti-join ignores, and ``batch_id < b``
-    keeps a replay from seeing its own earlier attempt."""
+    keeps a replay from seeing its own earlier attempt.
+
+    Appends land in the current *epoch* (``seen/epoch=k``).  ``compact_seen``
+    rewrites everything older as one row per guid and bucket into
+    ``seen_compacted/epoch=k+1`` and opens epoch k+1, so a read touches one
+    compacted file per bucket plus the current epoch's appends -- the file
+    count stays bounded however many ticks ran.  Nothing is deleted; old
+    epoch directories are simply no longer read."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.items = f"{self.root}/items"
         self.seen = f"{self.root}/seen"
+        self.seen_compacted = f"{self.root}/seen_compacted"
         self.counters = f"{self.root}/counters"
         self.quarantine = f"{self.root}/quarantine"
 
@@ -125,16 +133,60 @@ class TickState:
         c = self._read(self.counters)
         return c is not None and not c.filter(F.col("batch_id") == batch_id).isEmpty()
 
+    def epoch(self) -> int:
+        """Current seen-key epoch: the newest compacted version (0 if none)."""
+        c = self._read(self.seen_compacted)
+        if c is None:
+            return 0
+        row = c.select(F.max("epoch").alias("e")).first()
+        return 0 if row is None or row["e"] is None else int(row["e"])
+
     def seen_before(self, batch_id: int, batch: DataFrame | None = None) -> DataFrame:
-        s = self._read(self.seen)
-        if s is None:
+        k = self.epoch()
+        parts = []
+        live = self._read(f"{self.seen}/epoch={k}")
+        if live is not None:
+            parts.append(live.filter(F.col("batch_id") < batch_id))
+        if k > 0:
+            parts.append(self.spark.read.parquet(f"{self.seen_compacted}/epoch={k}"))
+        if not parts:
             return self.spark.createDataFrame([], "guid string")
-        s = s.filter(F.col("batch_id") < batch_id)
         if batch is not None:
             # bounded: at most SEEN_BUCKETS small integers reach the driver
             buckets = [r[0] for r in batch.select(seen_bucket(F.col("guid"))).distinct().collect()]
-            s = s.filter(F.col("bucket").isin(buckets))
-        return s.select("guid")
+            parts = [p.filter(F.col("bucket").isin(buckets)) for p in parts]
+        out = parts[0].select("guid")
+        for p in parts[1:]:
+            out = out.unionByName(p.select("guid"))
+        return out
+
+    def append_seen(self, seen: DataFrame, batch_id: int) -> None:
+        rows = seen.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", seen_bucket(F.col("guid")))
+        # one file per touched bucket per tick (not one per task and bucket)
+        rows.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.seen}/epoch={self.epoch()}")
+
+    def compact_seen(self) -> int:
+        """Fold the current epoch (and the previous compacted version) into
+        one row per guid -- first batch that saw it, a partial aggregate, so
+        a hot guid collapses map-side -- and open the next epoch.  Run
+        between ticks.  Returns the new epoch."""
+        k = self.epoch()
+        parts = []
+        live = self._read(f"{self.seen}/epoch={k}")
+        if live is not None:
+            parts.append(live.select("guid", "batch_id"))
+        if k > 0:
+            parts.append(self.spark.read.parquet(f"{self.seen_compacted}/epoch={k}").select("guid", "batch_id"))
+        if not parts:
+            return k
+        allk = parts[0]
+        for p in parts[1:]:
+            allk = allk.unionByName(p)
+        folded = allk.groupBy("guid").agg(F.min("batch_id").alias("batch_id"))
+        folded = folded.withColumn("bucket", seen_bucket(F.col("guid")))
+        target = f"{self.seen_compacted}/epoch={k + 1}"
+        folded.repartition("bucket").write.mode("errorifexists").partitionBy("bucket").parquet(target)
+        return k + 1
 
     def ingest(self, responses: DataFrame | None = None, page_content: DataFrame | None = None,
                make_scorer: Callable | None = None) -> Callable[[DataFrame, int], None]:
@@ -149,9 +201,7 @@ class TickState:
                            page_content=page_content, responses=responses, make_scorer=make_scorer)
             b = F.lit(batch_id).cast("long")
             self._write(res.items.withColumn("batch_id", b), self.items, ["topic", "batch_id"])
-            seen = res.seen.withColumn("batch_id", b).withColumn("bucket", seen_bucket(F.col("guid")))
-            # one file per touched bucket per tick (not one per task and bucket)
-            seen.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.seen)
+            self.append_seen(res.seen, batch_id)
             self._write(res.quarantine.withColumn("batch_id", b), self.quarantine, ["batch_id"])
             # checkpointed: the new version must not be planned as a read of the
             # table it is written into

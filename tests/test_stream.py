@@ -49,11 +49,10 @@ def test_periodic_trigger_starts_and_stops(spark):
 
 
 def test_seen_history_read_is_pruned_to_batch_buckets(spark):
-    from quillstream.streaming.ticks import SEEN_BUCKETS, seen_bucket
+    from quillstream.streaming.ticks import SEEN_BUCKETS
 
     state = TickState(spark, scratch_path(spark, "buckets"))
-    hist = spark.range(5000).select(F.col("id").cast("string").alias("guid"), F.lit(0).cast("long").alias("batch_id"))
-    hist.withColumn("bucket", seen_bucket(F.col("guid"))).write.partitionBy("bucket").parquet(state.seen)
+    state.append_seen(spark.range(5000).select(F.col("id").cast("string").alias("guid")), 0)
     batch = spark.createDataFrame([("7",), ("4242",)], "guid string")
     seen = state.seen_before(1, batch)
     plan = seen._sc._jvm.PythonSQLUtils.explainString(seen._jdf.queryExecution(), "formatted")
@@ -64,8 +63,6 @@ def test_seen_history_read_is_pruned_to_batch_buckets(spark):
 
 
 def test_replay_after_partial_write_equals_clean_run(spark):
-    from quillstream.streaming.ticks import seen_bucket
-
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     names = events.select(I.counter_name(F.col("event_type")).alias("name"))
     feed = FD.feed_items(spark, SMALL)
@@ -79,8 +76,7 @@ def test_replay_after_partial_write_equals_clean_run(spark):
     crashed = TickState(spark, scratch_path(spark, "crashed"))
     crashed.init_counters(names)
     # a first attempt of batch 0 wrote its seen keys, then died before committing
-    partial = batch.select("guid").distinct().withColumn("batch_id", F.lit(0).cast("long"))
-    partial.withColumn("bucket", seen_bucket(F.col("guid"))).write.partitionBy("bucket").parquet(crashed.seen)
+    crashed.append_seen(batch.select("guid").distinct(), 0)
     crashed.ingest(responses=responses)(batch, 0)
 
     def items(st):
@@ -111,3 +107,28 @@ def test_two_streaming_ticks_equal_one_batch_tick(spark):
     batch = run_tick(feed, spark.createDataFrame([], "guid string"), zero, responses=responses).items
     batched = sorted(map(tuple, batch.select("topic", "id", "guid", "score").collect()))
     assert streamed == batched and len(batched) > 0
+
+
+def test_compaction_keeps_results_and_folds_history(spark):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    names = events.select(I.counter_name(F.col("event_type")).alias("name"))
+    feed = FD.feed_items(spark, SMALL).checkpoint(eager=True)
+    responses = landed_responses(spark, SMALL)
+    cut = FD.ts_lit(feed, "published", FD.CUTOFF)
+    ticks = [feed.filter(F.col("published") < cut), feed.filter(F.col("published") >= cut)]
+
+    def run(compact):
+        st = TickState(spark, scratch_path(spark, "compact" if compact else "plain"))
+        st.init_counters(names)
+        proc = st.ingest(responses=responses)
+        proc(ticks[0], 0)
+        if compact:
+            assert st.compact_seen() == 1 and st.epoch() == 1
+        proc(ticks[1], 1)
+        return st, sorted(map(tuple, spark.read.parquet(st.items).select("topic", "id", "guid", "score").collect()))
+
+    st, compacted = run(True)
+    _, plain = run(False)
+    assert compacted == plain and len(plain) > 0
+    folded = spark.read.parquet(f"{st.seen_compacted}/epoch=1")
+    assert folded.count() == folded.select("guid").distinct().count()
