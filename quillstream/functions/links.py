@@ -44,6 +44,40 @@ NOT_PRINTABLE_RE = r"[^\p{L}\p{M}\p{N}\p{P}\p{S}]"
 TRAILING_REPLACEMENT_RE = r"\x{FFFD}\z"
 
 
+# Well-formed UTF-8 sequences (RFC 3629) as uppercase hex pairs.
+UTF8_SEQ_HEX = (
+    "[0-7][0-9A-F]"
+    "|(?:C[2-9A-F]|D[0-9A-F])[89AB][0-9A-F]"
+    "|E0[AB][0-9A-F][89AB][0-9A-F]"
+    "|(?:E[1-9A-C]|E[EF])[89AB][0-9A-F][89AB][0-9A-F]"
+    "|ED[89][0-9A-F][89AB][0-9A-F]"
+    "|F0[9AB][0-9A-F](?:[89AB][0-9A-F]){2}"
+    "|F[1-3](?:[89AB][0-9A-F]){3}"
+    "|F48[0-9A-F](?:[89AB][0-9A-F]){2}"
+)
+REPLACEMENT_HEX = "EFBFBD"
+
+
+def utf8_per_byte(b: Column) -> Column:
+    """BINARY -> STRING replacing every byte that is not part of a
+    well-formed UTF-8 sequence by its own U+FFFD (the source system's
+    rule; the JVM decoder would fold a truncated sequence into one).
+    Tokens are taken left to right: a well-formed sequence if one starts
+    here, else a single byte."""
+    tokens = F.regexp_extract_all(F.hex(b), F.lit(f"({UTF8_SEQ_HEX}|[0-9A-F]{{2}})"), 1)
+    fixed = F.transform(
+        tokens, lambda t: F.when(t.rlike(f"^(?:{UTF8_SEQ_HEX})$"), t).otherwise(F.lit(REPLACEMENT_HEX))
+    )
+    return F.unhex(F.array_join(fixed, "")).cast("string")
+
+
+def payload_text(b: Column) -> Column:
+    """URL bytes as text: a plain cast when they are valid UTF-8, else
+    :func:`utf8_per_byte` (Spark strings must hold valid UTF-8)."""
+    raw = b.cast("string")
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(utf8_per_byte(b))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and bind it for ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -156,7 +190,7 @@ def unwrap_link(link: Column, compat: bool = False) -> Column:
         def from_bytes(raw: Column) -> Column:
             def from_framed(fb: Column) -> Column:
                 def from_sliced(sl: Column) -> Column:
-                    txt = sl["payload"].cast("string")
+                    txt = payload_text(sl["payload"])
                     unresolved = txt.startswith(UNRESOLVED_MARKER)
                     return F.struct(
                         F.when(~unresolved, txt).alias("link"),
@@ -217,7 +251,7 @@ def unwrap_link_legacy(link: Column) -> Column:
     segs = path_segments(link)
 
     def from_bytes(raw: Column) -> Column:
-        return F.when(raw.isNull(), F.lit("")).otherwise(clean_url(F.make_valid_utf8(raw.cast("string"))))
+        return F.when(raw.isNull(), F.lit("")).otherwise(clean_url(utf8_per_byte(raw)))
 
     ok = segs.isNotNull() & (F.size(segs) >= 3)
     return F.when(link.isNull(), F.lit(None)).when(
@@ -320,7 +354,7 @@ def unwrap_links_df(df, link_col: str, out: str = "unwrapped", compat: bool = Fa
         ),
     )
     x = x.withColumn("_u_sl", _slice_payload(c("_u_fb"), compat))
-    x = x.withColumn("_u_txt", c("_u_sl.payload").cast("string"))
+    x = x.withColumn("_u_txt", payload_text(c("_u_sl.payload")))
     unresolved = c("_u_txt").startswith(UNRESOLVED_MARKER)
     null_s = F.lit(None).cast("string")
     decoded = F.struct(

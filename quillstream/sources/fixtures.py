@@ -66,6 +66,13 @@ def link_cases() -> list[tuple[int, str, str | None, str | None, str]]:
     cases.append((pid, wrapped(framed(au)), None, "unresolved", ""))
     pid -= 1
     cases.append((pid, "http://bad host/x", None, "invalid_url", ""))
+    pid -= 1
+    # truncated multi-byte sequence (E2 82) at the end of the URL bytes: each
+    # invalid byte becomes its own U+FFFD (two here); on the legacy path the
+    # suffix byte D2 adds a third, and one trailing U+FFFD is trimmed
+    u = b"http://x.example/a\xe2\x82"
+    payload = PREFIX + varint(len(u)) + u + SUFFIX
+    cases.append((pid, wrapped(payload), "http://x.example/a\ufffd\ufffd", None, "http://x.example/a\ufffd\ufffd"))
     return cases
 
 

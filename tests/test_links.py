@@ -82,3 +82,32 @@ def test_staged_unwrap_equals_column_form(spark):
     a = {r["id"]: tuple(r["u"]) if r["u"] else None for r in df.select("id", L.unwrap_link(F.col("link")).alias("u")).collect()}
     b = {r["id"]: tuple(r["u"]) if r["u"] else None for r in L.unwrap_links_df(df, "link", "u").collect()}
     assert a == b
+
+
+def _go_decode(b: bytes) -> str:
+    """Per-byte replacement model: a well-formed sequence decodes, any
+    other byte becomes one U+FFFD."""
+    out, i = [], 0
+    while i < len(b):
+        for n in (1, 2, 3, 4):
+            chunk = b[i:i + n]
+            try:
+                ch = chunk.decode("utf-8", errors="strict")
+            except UnicodeDecodeError:
+                continue
+            if len(ch) == 1:
+                out.append(ch)
+                i += n
+                break
+        else:
+            out.append("�")
+            i += 1
+    return "".join(out)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.binary(max_size=24) | st.text(max_size=8).map(lambda t: t.encode()), min_size=1, max_size=10))
+def test_utf8_per_byte_matches_model(spark, blobs):
+    df = spark.createDataFrame([(bytearray(b),) for b in blobs], "b binary")
+    got = [r["s"] for r in df.select(L.utf8_per_byte(F.col("b")).alias("s")).collect()]
+    assert got == [_go_decode(b) for b in blobs]
