@@ -189,7 +189,10 @@ def article_text(html: Column) -> Column:
     def size(s: Column) -> Column:
         return F.struct(s["text"].alias("text"), s["links"].alias("links"), _solid_bytes(s["text"]).alias("n"))
 
-    scored = F.transform(F.transform(blocks, score), size)
+    # visible text never has more bytes than the block's markup (tags become
+    # one space, entities shrink), so short blocks are dropped up front
+    candidates = F.filter(blocks, lambda b: F.octet_length(b) >= ARTICLE_MIN_BLOCK_BYTES)
+    scored = F.transform(F.transform(candidates, score), size)
     kept = F.filter(
         scored,
         lambda s: (s["n"] >= ARTICLE_MIN_BLOCK_BYTES) & (s["links"] * ARTICLE_MAX_LINK_SHARE_INV <= s["n"]),
