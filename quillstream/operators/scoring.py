@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Scorer = Callable[[list], list]
@@ -63,3 +64,73 @@ def score_rows(
             yield pdf
 
     return src.mapInPandas(run, out_schema)
+
+
+# --------------------------------------------------------------------- HTTP
+# A model call returns (status, body); the body is parsed by the Spark
+# column functions (llm.first_choice_content / llm.strict_answer), so the
+# Python side stays a thin transport with timeout and retries.
+
+Client = Callable[[str], tuple]
+
+
+def http_chat_client(endpoint: str, api_key: str, timeout: float = 60.0, retries: int = 2) -> Callable[[], Client]:
+    """Factory of a chat-completion client (standard library only).  The
+    client takes a request JSON (``llm.scoring_request``) and returns
+    ``(status, body)``; transport failures give ``(0, "")`` after
+    ``retries`` extra attempts.  Built once per partition on executors."""
+
+    def make() -> Client:
+        import time
+        import urllib.error
+        import urllib.request
+
+        def call(request_json: str) -> tuple:
+            for attempt in range(retries + 1):
+                req = urllib.request.Request(
+                    endpoint,
+                    data=request_json.encode("utf-8"),
+                    headers={"Content-Type": "application/json", "Authorization": f"Bearer {api_key}"},
+                    method="POST",
+                )
+                try:
+                    with urllib.request.urlopen(req, timeout=timeout) as resp:
+                        return resp.status, resp.read().decode("utf-8", errors="replace")
+                except urllib.error.HTTPError as e:
+                    if e.code < 500 or attempt == retries:
+                        return e.code, e.read().decode("utf-8", errors="replace")
+                except Exception:  # noqa: BLE001 - timeout, connection reset, DNS
+                    if attempt == retries:
+                        return 0, ""
+                time.sleep(min(30.0, 2.0**attempt))
+            return 0, ""
+
+        return call
+
+    return make
+
+
+def fetch_responses(
+    df: DataFrame,
+    key_col: str,
+    request_col: str,
+    make_client: Callable[[], Client],
+    concurrency: int | None = None,
+) -> DataFrame:
+    """Call the model for every row and land ``(key, status, body)`` --
+    the responses table the tick joins (J4).  ``concurrency`` round-robin
+    repartitions first to bound parallel clients."""
+    src = df.select(F.col(key_col).alias("key"), F.col(request_col).alias("request"))
+    if concurrency:
+        src = src.repartition(concurrency)
+    key_type = df.schema[key_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make_client()
+        for pdf in batches:
+            out = [client(r) if isinstance(r, str) else (0, "") for r in pdf["request"].tolist()]
+            yield pd.DataFrame(
+                {"key": pdf["key"], "status": [int(s) for s, _ in out], "body": [b for _, b in out]}
+            )
+
+    return src.mapInPandas(run, f"key {key_type}, status int, body string")

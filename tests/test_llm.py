@@ -49,3 +49,25 @@ def test_scoring_request_shape(spark):
     assert req["response_format"] == {"type": "json_object"}
     assert [m["role"] for m in req["messages"]] == ["system", "user"]
     assert req["messages"][1]["content"] == "hello"
+
+
+def test_fetch_responses_feeds_the_spark_parsers(spark):
+    import json
+
+    from quillstream.operators.scoring import fetch_responses
+
+    def make_client():
+        def call(request_json):
+            text = json.loads(request_json)["messages"][1]["content"]
+            if text == "down":
+                return 503, "unavailable"
+            answer = json.dumps({"score": str(len(text) % 3 - 1), "analyse": "ok"})
+            return 200, json.dumps({"choices": [{"index": 0, "message": {"role": "assistant", "content": answer}}]})
+        return call
+
+    items = spark.createDataFrame([("g1", "aaaa"), ("g2", "down"), ("g3", "abc")], "guid string, text string")
+    reqs = items.select("guid", M.scoring_request(F.col("text")).alias("request"))
+    resp = fetch_responses(reqs, "guid", "request", make_client, concurrency=2)
+    parsed = resp.select("key", M.strict_answer(M.first_choice_content(F.col("status"), F.col("body"))).alias("p"))
+    got = {r["key"]: (r["p"]["score"], r["p"]["reason"]) for r in parsed.collect()}
+    assert got == {"g1": ("0", None), "g2": (None, "not_object"), "g3": ("-1", None)}
