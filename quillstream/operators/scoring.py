@@ -110,27 +110,39 @@ def http_chat_client(endpoint: str, api_key: str, timeout: float = 60.0, retries
     return make
 
 
-def fetch_responses(
+def fetch_rows(
     df: DataFrame,
-    key_col: str,
     request_col: str,
     make_client: Callable[[], Client],
     concurrency: int | None = None,
 ) -> DataFrame:
-    """Call the model for every row and land ``(key, status, body)`` --
-    the responses table the tick joins (J4).  ``concurrency`` round-robin
-    repartitions first to bound parallel clients."""
-    src = df.select(F.col(key_col).alias("key"), F.col(request_col).alias("request"))
-    if concurrency:
-        src = src.repartition(concurrency)
-    key_type = df.schema[key_col].dataType.simpleString()
+    """``df`` plus ``status`` (int) and ``body`` (string) from one model call
+    per row; all columns pass through the Arrow batches.  ``concurrency``
+    round-robin repartitions first to bound parallel clients."""
+    src = df.repartition(concurrency) if concurrency else df
+    out_schema = T.StructType(
+        list(src.schema.fields) + [T.StructField("status", T.IntegerType()), T.StructField("body", T.StringType())]
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for pdf in batches:
-            out = [client(r) if isinstance(r, str) else (0, "") for r in pdf["request"].tolist()]
-            yield pd.DataFrame(
-                {"key": pdf["key"], "status": [int(s) for s, _ in out], "body": [b for _, b in out]}
-            )
+            out = [client(r) if isinstance(r, str) else (0, "") for r in pdf[request_col].tolist()]
+            pdf["status"] = [int(s) for s, _ in out]
+            pdf["body"] = [b for _, b in out]
+            yield pdf
+
+    return src.mapInPandas(run, out_schema)
+
 
-    return src.mapInPandas(run, f"key {key_type}, status int, body string")
+def fetch_responses(
+    df: DataFrame,
+    key_col: str,
+    request_col: str,
+    make_client: Callable[[], Client],
+    concurrency: int | None = None,
+) -> DataFrame:
+    """Call the model for every row and land ``(key, status, body)`` --
+    the responses table the tick joins (J4)."""
+    src = df.select(F.col(key_col).alias("key"), F.col(request_col).alias("request"))
+    return fetch_rows(src, "request", make_client, concurrency).select("key", "status", "body")

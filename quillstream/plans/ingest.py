@@ -32,7 +32,7 @@ from quillstream.functions import llm as M
 from quillstream.functions import text as T
 from quillstream.operators import dedupe as D
 from quillstream.operators import ids as I
-from quillstream.operators.scoring import Scorer, score_rows, standin_scorer
+from quillstream.operators.scoring import Scorer, fetch_rows, score_rows, standin_scorer
 from quillstream.session import ensure_checkpoint_dir
 
 ARRIVAL = ["published", "event_id"]
@@ -72,11 +72,14 @@ def run_tick(
     make_scorer: Callable[[], Scorer] | None = None,
     arrival: list[str] = ARRIVAL,
     concurrency: int | None = None,
+    make_client: Callable | None = None,
 ) -> TickResult:
     """``items``: topic, guid, title, link, published (+ arrival columns).
     ``seen``: guid.  ``counters``: name, seq.  Provide either landed
-    ``responses`` (key, status, body) keyed by guid, or ``make_scorer``;
-    ``concurrency`` bounds the number of parallel model clients."""
+    ``responses`` (key, status, body) keyed by guid, ``make_client`` (a
+    chat client returning status and body, parsed here in Spark), or
+    ``make_scorer`` (returns the answer text); ``concurrency`` bounds the
+    number of parallel model clients."""
     fresh = D.not_seen(items, seen.select("guid"), "guid")
     # one model call per distinct item: the scoring text is a function of
     # (title, link), so copies are collapsed (map-side partial aggregate)
@@ -88,6 +91,12 @@ def run_tick(
         r = responses.select(F.col("key").alias("_key"), M.first_choice_content(F.col("status"), F.col("body")).alias("answer"))
         x = x.join(r, x.guid == r._key, "left").drop("_key")
         x = x.withColumn("answer", F.coalesce(F.col("answer"), F.lit(M.NO_RESULT)))
+    elif make_client is not None:
+        x = x.withColumn("_request", M.scoring_request(F.col("scoring_text")))
+        x = fetch_rows(x, "_request", make_client, concurrency)
+        x = x.withColumn("answer", M.first_choice_content(F.col("status"), F.col("body"))).drop(
+            "_request", "status", "body"
+        )
     else:
         x = score_rows(x, "scoring_text", make_scorer or (lambda: standin_scorer), concurrency=concurrency)
 

@@ -71,3 +71,26 @@ def test_fetch_responses_feeds_the_spark_parsers(spark):
     parsed = resp.select("key", M.strict_answer(M.first_choice_content(F.col("status"), F.col("body"))).alias("p"))
     got = {r["key"]: (r["p"]["score"], r["p"]["reason"]) for r in parsed.collect()}
     assert got == {"g1": ("0", None), "g2": (None, "not_object"), "g3": ("-1", None)}
+
+
+def test_tick_with_a_chat_client(spark):
+    import json
+
+    from quillstream.plans.ingest import run_tick
+    from quillstream.sources import feed as FD
+    from tests.conftest import SMALL
+
+    def make_client():
+        def call(request_json):
+            text = json.loads(request_json)["messages"][1]["content"]
+            answer = json.dumps({"score": "2", "analyse": str(len(text))})
+            return 200, json.dumps({"choices": [{"message": {"role": "assistant", "content": answer}}]})
+        return call
+
+    feed = FD.feed_items(spark, SMALL)
+    counters = FD.counters_table(spark, SMALL)
+    batch = feed.filter(F.col("published") >= FD.ts_lit(feed, "published", FD.CUTOFF))
+    res = run_tick(batch, spark.createDataFrame([], "guid string"), counters, make_client=make_client, concurrency=3)
+    rows = res.items.collect()
+    assert rows and all(r["score"] == "2" for r in rows)
+    assert len({r["guid"] for r in rows}) == len(rows)
