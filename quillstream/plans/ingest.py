@@ -1,22 +1,26 @@
 """One ingest tick as a DataFrame plan (S1 -> ... -> K1).
 
-Plan order (contract C6, with the expensive step moved after the cheap
-filters -- Catalyst cannot reorder around the Python scorer):
+Plan order (contract C6, with the expensive steps moved after the cheap
+filters -- Catalyst cannot reorder around the Python model call):
 
 1. anti-join the tick's items against the persisted seen keys (D2);
-2. unwrap links (U1/P8), left-join page content (J1), compose the scoring
+2. reduce copies of an item (same guid, title and link, hence the same
+   scoring text) to their first arrival -- a partial aggregate, so a hot
+   guid costs one model call and one page lookup, not one per copy;
+3. unwrap links (U1/P8), left-join page content (J1), compose the scoring
    text with the title-only fallback (X2/P9);
-3. (done first) reduce copies of an item (same guid, title and link, hence
-   the same scoring text) to their first arrival, so a hot guid costs one
-   model call and one page lookup, not one per copy;
-4. obtain answers: landed responses joined on the item key (J4/E2a/E5),
-   or a scorer through ``mapInPandas`` (E3);
+4. obtain answers: landed responses joined on the guid (J4/E2a/E5), a chat
+   client whose status/body are parsed in Spark, or a scorer (E3); the
+   result is checkpointed so the model is never called twice;
 5. strict parse (E4/C5); rejects go to the quarantine output and are
    *not* marked seen, so they are retried next tick;
 6. first parseable row per guid in arrival order (D1, partial aggregate);
 7. every survivor is marked seen (neutral ones too);
 8. drop neutral scores (P4);
 9. allocate contiguous ids per topic counter (W1/K6) and advance counters.
+
+``arrival`` names the columns that order a tick's rows (default
+``published, event_id``); ties must be broken by the last one.
 """
 
 from __future__ import annotations
@@ -48,8 +52,7 @@ class TickResult:
 
 
 def scoring_inputs(items: DataFrame, page_content: DataFrame | None) -> DataFrame:
-    """Steps 2-3: publisher link, page content, scoring text, and the
-    model request JSON."""
+    """Step 3: publisher link, site name, page content and scoring text."""
     x = L.source_links_df(items, "link")
     x = x.withColumn("source", L.url_host(F.col("link")))
     if page_content is not None:
