@@ -37,6 +37,13 @@ RESOLVER_HEADER = '[\\"garturlres\\",\\"'
 RESOLVER_FOOTER = '\\",'
 WRAP_BASE = "https://news.google.com/rss/articles/"
 WRAP_QUERY = "?oc=5"
+#   resolver request envelope around the (padded) id, verbatim text:
+RESOLVER_REQ_HEAD = (
+    '[[["Fbv4je","[\\"garturlreq\\",[[\\"en-US\\",\\"US\\",[\\"FINANCE_TOP_INDICES\\",\\"WEB_TEST_1_0_0\\"],'
+    'null,null,1,1,\\"US:en\\",null,180,null,null,null,null,null,0,null,null,[1608992183,723341000]],'
+    '\\"en-US\\",\\"US\\",1,[2,3,4,8],1,0,\\"655000234\\",0,0,null,0],\\"'
+)
+RESOLVER_REQ_TAIL = '\\"]",null,"generic"]]]'
 
 B64URL_RE = r"^[A-Za-z0-9_-]*=*$"
 B64URL_RAW_RE = r"^[A-Za-z0-9_-]*$"
@@ -314,13 +321,6 @@ def resolver_parse(status: Column, body: Column) -> Column:
     return F.struct(F.when(reason.isNull(), link).alias("link"), reason.alias("reason"))
 
 
-# Resolver request envelope around the id (verbatim text).
-RESOLVER_REQ_HEAD = (
-    '[[["Fbv4je","[\\"garturlreq\\",[[\\"en-US\\",\\"US\\",[\\"FINANCE_TOP_INDICES\\",\\"WEB_TEST_1_0_0\\"],'
-    'null,null,1,1,\\"US:en\\",null,180,null,null,null,null,null,0,null,null,[1608992183,723341000]],'
-    '\\"en-US\\",\\"US\\",1,[2,3,4,8],1,0,\\"655000234\\",0,0,null,0],\\"'
-)
-RESOLVER_REQ_TAIL = '\\"]",null,"generic"]]]'
 
 
 def unwrap_links_df(df, link_col: str, out: str = "unwrapped", compat: bool = False):
