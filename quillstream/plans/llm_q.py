@@ -144,17 +144,16 @@ ANSWER_CASES = [
 
 def score_answers(spark, sf_dir):
     """Model answers landed for labelled documents (score = quality - toxic)
-    plus the inline edge cases."""
+    plus the inline edge cases.  A 0/1 label stands for a model that
+    answered the score as a JSON number, which the strict contract rejects."""
     labels = read_table(spark, sf_dir, "labels")
-    derived = labels.select(
-        "doc_id",
-        F.to_json(
-            F.struct(
-                (F.col("quality") - F.col("toxic")).cast("string").alias("score"),
-                F.concat(F.lit("quality="), F.col("quality"), F.lit(" toxic="), F.col("toxic")).alias("analyse"),
-            )
-        ).alias("answer"),
+    analyse = F.concat(F.lit("quality="), F.col("quality"), F.lit(" toxic="), F.col("toxic")).alias("analyse")
+    diff = F.col("quality") - F.col("toxic")
+    numeric = (F.col("quality") == 0) & (F.col("toxic") == 1)
+    answer = F.when(numeric, F.to_json(F.struct(diff.alias("score"), analyse))).otherwise(
+        F.to_json(F.struct(diff.cast("string").alias("score"), analyse))
     )
+    derived = labels.select("doc_id", answer.alias("answer"))
     inline = spark.createDataFrame([c[:2] for c in ANSWER_CASES], "doc_id long, answer string")
     return derived.unionByName(inline)
 
@@ -166,7 +165,8 @@ def parsed_answers(spark, sf_dir):
 
 _LABEL_SQL = (
     "SELECT doc_id, (quality - toxic)::VARCHAR AS score, "
-    '\'quality=\' || quality || \' toxic=\' || toxic AS "analyse" FROM labels'
+    '\'quality=\' || quality || \' toxic=\' || toxic AS "analyse" FROM labels '
+    "WHERE NOT (quality = 0 AND toxic = 1)"
 )
 _ACCEPTED = [(c[0], c[2], c[3]) for c in ANSWER_CASES if c[4] is None]
 _REJECTED = [(c[0], c[4]) for c in ANSWER_CASES if c[4] is not None]
@@ -180,7 +180,9 @@ def score_parse_strict(spark, sf_dir):
 
 
 @register(
-    "score_quarantine", f"SELECT doc_id::BIGINT AS doc_id, reason FROM {FX.sql_values(_REJECTED, ['doc_id', 'reason'])}"
+    "score_quarantine",
+    "SELECT doc_id, 'score_type' AS reason FROM labels WHERE quality = 0 AND toxic = 1 UNION ALL "
+    f"SELECT doc_id::BIGINT AS doc_id, reason FROM {FX.sql_values(_REJECTED, ['doc_id', 'reason'])}",
 )
 def score_quarantine(spark, sf_dir):
     p = parsed_answers(spark, sf_dir)
