@@ -93,3 +93,36 @@ def test_merge_base_uniqueness_check(spark):
     upd = spark.createDataFrame([(1, "4")], "id long, score string")
     with pytest.raises(ValueError, match="duplicate base key"):
         MG.merge_updates(base, upd, "id", ["score"], check_base_unique=True)
+
+
+def test_tick_with_a_hot_guid(spark):
+    import datetime as dt
+
+    from quillstream.plans.ingest import run_tick
+
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        guid = "hot" if hot else f"g{i}"
+        rows.append(("news" if i % 2 else "tech", guid, "Hot story" if hot else f"t{i}",
+                     "https://a.example/hot" if hot else f"https://a.example/{i}",
+                     base + dt.timedelta(minutes=(3000 - i)), i))
+    feed = spark.createDataFrame(rows, "topic string, guid string, title string, link string, published timestamp, event_id long")
+    counters = spark.createDataFrame([("news-counter", 100), ("tech-counter", 0)], "name string, seq long")
+    res = run_tick(feed, spark.createDataFrame([], "guid string"), counters)
+    out = res.items.collect()
+    guids = [r["guid"] for r in out]
+    assert len(guids) == len(set(guids))
+    hot_rows = [r for r in rows if r[1] == "hot"]
+    first_hot = min(hot_rows, key=lambda r: (r[4], r[5]))
+    stored_hot = [r for r in out if r["guid"] == "hot"]
+    # the hot item is either stored once (at its first arrival) or dropped as neutral
+    assert len(stored_hot) <= 1
+    if stored_hot:
+        assert stored_hot[0]["date"] == first_hot[4] and stored_hot[0]["topic"] == first_hot[0]
+    for topic, start in (("news", 100), ("tech", 0)):
+        ids = sorted(r["id"] for r in out if r["topic"] == topic)
+        assert ids == list(range(start + 1, start + 1 + len(ids)))
+        by_arrival = [r["id"] for r in sorted((r for r in out if r["topic"] == topic), key=lambda r: r["date"])]
+        assert by_arrival == ids
