@@ -28,6 +28,9 @@ _LOCAL_DEFAULTS = {
     # reliable checkpoints (answers, ranked batches, LRU prefixes) are
     # removed once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # duplicate keys in a model answer: the last one wins (the source
+    # system's decoder), instead of failing the parse
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

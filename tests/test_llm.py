@@ -94,3 +94,18 @@ def test_tick_with_a_chat_client(spark):
     rows = res.items.collect()
     assert rows and all(r["score"] == "2" for r in rows)
     assert len({r["guid"] for r in rows}) == len(rows)
+
+
+def test_duplicate_keys_last_wins_with_session_setting(spark):
+    key = "spark.sql.variant.allowDuplicateKeys"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        df = spark.createDataFrame([('{"score":"1","score":"2","analyse":"a"}',), ('{"score":"1","score":3}',)], "a string")
+        got = [tuple(r["p"]) for r in df.select(M.strict_answer(F.col("a")).alias("p")).collect()]
+        assert got == [("2", "a", None), (None, None, "score_type")]
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
