@@ -103,11 +103,25 @@ class TickState:
         self.counters = f"{self.root}/counters"
         self.quarantine = f"{self.root}/quarantine"
 
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+
     def _read(self, path: str) -> DataFrame | None:
+        """The table, or None when it was never written.  Any other read
+        error propagates: a storage hiccup must fail the micro-batch (and
+        let Spark retry it), not look like "no state yet"."""
+        if not self._exists(path):
+            return None
         try:
             return self.spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - table not created yet
-            return None
+        except Exception as e:  # noqa: BLE001
+            # a directory left empty by an aborted write holds no state yet
+            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
 
     def init_counters(self, names: DataFrame) -> None:
         """K7: counters at seq 0 for every topic, as version -1."""

@@ -132,3 +132,12 @@ def test_compaction_keeps_results_and_folds_history(spark):
     assert compacted == plain and len(plain) > 0
     folded = spark.read.parquet(f"{st.seen_compacted}/epoch=1")
     assert folded.count() == folded.select("guid").distinct().count()
+
+
+def test_state_reads_treat_empty_dirs_as_absent(spark):
+    import os
+
+    st = TickState(spark, scratch_path(spark, "emptydir"))
+    os.makedirs(st.counters.replace("file:", ""), exist_ok=True)  # left by an aborted write
+    assert st._read(st.counters) is None
+    assert st._read(st.seen) is None
