@@ -134,11 +134,13 @@ class Words:
 
 
 def window_hashes(word_hash: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every run of ``width`` consecutive words (order matters)."""
+    """Hash of every run of ``width`` consecutive words (order matters: each
+    place has its own unrelated odd multiplier)."""
+    place = mix64((np.arange(width, dtype=np.uint64) + U64(11)) * U64(GOLDEN)) | U64(1)
     n = len(word_hash) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
     total = np.zeros(n, dtype=np.uint64)
     for k in range(width):
-        total += word_hash[k : k + n] * U64((GOLDEN * (2 * k + 1)) & MASK64 | 1)
+        total += word_hash[k : k + n] * place[k]
     return mix64(total)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import quality_forest
+from quillstream.llm import ngram_join, quality_forest
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,37 @@ def query(fn):
     return fn
 
 
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+COMPONENTS_SQL = f"""
+    tokens AS MATERIALIZED (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    sets AS MATERIALIZED (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i:i+4] END AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM tokens WHERE len(w) > 0)),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+    links AS MATERIALIZED (
+        SELECT a.doc_id AS u, b.doc_id AS v
+        FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id != b.doc_id
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        GROUP BY 1, 2, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+    reach AS (
+        SELECT doc_id AS v, doc_id AS root FROM documents
+        UNION SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.v)"""
+
+ORACLES["op1_ngram_join"] = f"""
+WITH RECURSIVE {COMPONENTS_SQL}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT v AS doc_id, min(root) AS component_id FROM reach GROUP BY 1) c ON c.doc_id = d.doc_id"""
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics and isolation-forest verdict of every document."""
