@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import ngram_join, quality_forest
+from quillstream.llm import ngram_join, quality_forest, repeats
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to 50-byte strings of earlier documents."""
+    return repeats.repeat_report(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics and isolation-forest verdict of every document."""

@@ -6,6 +6,8 @@ size.  Tables stay until the folder's own retention removes them."""
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 
 from quillstream.session import scratch_path
@@ -16,4 +18,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    # lets Spark's cleaner drop the shuffle files of the finished job now
+    # instead of at the driver's next collection
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
