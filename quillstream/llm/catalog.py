@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import ngram_join, quality_forest, repeats
+from quillstream.llm import ngram_join, quality_forest, repeats, token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,20 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum as read back from token files."""
+    folder = token_files.token_folder(spark)
+    index = token_files.write_token_files(read(spark, sf_dir, "documents"), vocabulary(), folder, end_id=2)
+    return token_files.read_token_files(spark, folder, index)
+
+
 @query
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to 50-byte strings of earlier documents."""
