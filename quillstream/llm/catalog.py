@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import ngram_join, quality_forest, repeats, token_files
+from quillstream.llm import genetic_packing, ngram_join, quality_forest, repeats, token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,9 @@ def op8_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     forest = quality_forest.fit_forest(docs, read(spark, sf_dir, "labels"))
     return quality_forest.score_quality(docs, forest)
+
+
+@query
+def op10_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return genetic_packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=0)
