@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import genetic_packing, ngram_join, quality_forest, repeats, token_files
+from quillstream.llm import genetic_packing, ngram_join, quality_forest, repeats, token_files, url_digests
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,35 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(read(spark, sf_dir, "documents"))
 
 
+#: The rules of the contract (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+ORACLES["op7_url_digests"] = r"""
+WITH parts AS (
+    SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                          ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+SELECT page_id, host, path,
+       (SELECT arg_max(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+       coalesce((SELECT arg_max(v, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
+FROM parts"""
+
+
+@query
+def op7_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url under the fixed rules."""
+    store = url_digests.write_store(url_digests.rule_table(spark, URL_RULES))
+    return url_digests.judge_urls(read(spark, sf_dir, "pages"), store)
+
+
 @query
 def op8_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics and isolation-forest verdict of every document."""
