@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import genetic_packing, ngram_join, quality_forest, repeats, token_files, url_digests
+from quillstream.llm import chunk_prints, genetic_packing, ngram_join, quality_forest, repeats, token_files, url_digests
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,12 @@ def op8_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_forest.score_quality(docs, forest)
 
 
+@query
+def op9_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk fingerprints of every document, its edited form and neighbour."""
+    return chunk_prints.fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
