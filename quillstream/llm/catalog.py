@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import chunk_prints, genetic_packing, ngram_join, quality_forest, repeats, token_files, url_digests
+from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, quality_forest, repeats, token_files, url_digests
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,12 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_diff.extract_main_text(read(spark, sf_dir, "pages"))
+
+
 #: The rules of the contract (host, path, verdict).
 URL_RULES = [
     ("org", "/", "allow"),
