@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, quality_forest, repeats, token_files, url_digests
+from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, quality_forest, repeats, secret_forest, token_files, url_digests
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, index)
 
 
+@query
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of the documents with the forest's verdict."""
+    return secret_forest.scan_secrets(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to 50-byte strings of earlier documents."""
