@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, quality_forest, repeats, secret_forest, token_files, url_digests
+from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, piece_models, quality_forest, repeats, secret_forest, token_files, url_digests
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_piece_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, decoded and held against sentencepiece."""
+    return piece_models.check_pieces(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum as read back from token files."""

@@ -36,6 +36,56 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+class UnitTable:
+    """Ids of text units, each encoded once and found by a 64-bit hash."""
+
+    def __init__(self, encode) -> None:
+        self.encode = encode  # list of unit strings -> list of id lists
+        self.hasher = SpanHasher(seed=3)
+        self.hasher.weights = mix64(np.arange(0x110000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat = np.empty(1 << 16, dtype=np.uint32)
+        self.at = np.zeros(1 << 16, dtype=np.int64)  # unit i has flat[at[i]:at[i + 1]]
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        count = len(self.known)
+        if count + len(texts) + 1 >= len(self.at):
+            self.at = np.concatenate((self.at, np.zeros(len(self.at) + len(texts), dtype=np.int64)))
+        own = self.encode(texts)
+        sizes = np.array([len(x) for x in own], dtype=np.int64)
+        used, total = int(self.at[count]), int(sizes.sum())
+        if used + total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty(len(self.flat) + total, dtype=np.uint32)))
+        self.flat[used : used + total] = np.fromiter((i for x in own for i in x), dtype=np.uint32, count=total)
+        self.at[count + 1 : count + 1 + len(own)] = used + np.cumsum(sizes)
+        self.known.update(zip(hashes.tolist(), range(count, count + len(own)), strict=True))
+
+    def ids(self, points: np.ndarray, starts: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds per text) of the units that begin at ``starts`` in
+        the code points; ``edges`` are the text bounds, which start units."""
+        ends = np.append(starts[1:], len(points))
+        hashes = self.hasher.spans(self.hasher.prefix(points), starts, ends)
+        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) + len(distinct) > MAX_PIECES:
+            self._forget()
+        index = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), dtype=np.int64, count=len(distinct))
+        new = np.flatnonzero(index < 0)
+        if len(new):
+            base = len(self.known)
+            raw = points.astype("<u4").tobytes()
+            spans = zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)
+            self._learn(distinct[new], [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in spans])
+            index[new] = base + np.arange(len(new))
+        unit = index[inverse]
+        first, size = self.at[unit], self.at[unit + 1] - self.at[unit]
+        run = np.concatenate(([0], np.cumsum(size)))
+        ids = self.flat[np.arange(run[-1]) + np.repeat(first - run[:-1], size)]
+        return ids, run[np.searchsorted(starts, edges)]
+
+
 class PieceEncoder:
     """Encodes Arrow string columns to flat ids."""
 
@@ -57,14 +107,11 @@ class PieceEncoder:
         self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.alphabet = byte_alphabet()
         self.kind = np.full(0x110000, UNKNOWN, dtype=np.uint8)
-        self.hasher = SpanHasher(seed=3)
-        self.hasher.weights = mix64(np.arange(0x110000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self._forget()
+        self.table = UnitTable(self._encode_units)
 
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.empty(1 << 16, dtype=np.uint32)
-        self.at = np.zeros(1 << 16, dtype=np.int64)  # piece i has flat[at[i]:at[i + 1]]
+    def _encode_units(self, units: list[str]) -> list[list[int]]:
+        mapped = (u.encode("utf-8").decode("latin-1").translate(self.alphabet) for u in units)
+        return [[t.id for t in self.model.tokenize(m)] for m in mapped]
 
     def _learn_characters(self, points: np.ndarray) -> np.ndarray:
         kinds = self.kind[points]
@@ -105,45 +152,11 @@ class PieceEncoder:
                         break
         return np.flatnonzero(cut[:n])
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        count = len(self.known)
-        if count + len(texts) + 1 >= len(self.at):
-            self.at = np.concatenate((self.at, np.zeros(len(self.at) + len(texts), dtype=np.int64)))
-        used = self.at[count]
-        for key, text in zip(hashes.tolist(), texts, strict=True):
-            mapped = text.encode("utf-8").decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(mapped)]
-            if used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.empty(len(self.flat) + len(ids), dtype=np.uint32)))
-            self.flat[used : used + len(ids)] = ids
-            used += len(ids)
-            self.known[key] = count
-            count += 1
-            self.at[count] = used
-
     def _encode_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
         heads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         edges = heads[offsets]
-        starts = self.piece_starts(points, edges)
-        ends = np.append(starts[1:], len(points))
-        hashes = self.hasher.spans(self.hasher.prefix(points), starts, ends)
-        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > MAX_PIECES:
-            self._forget()
-        index = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), dtype=np.int64, count=len(distinct))
-        new = np.flatnonzero(index < 0)
-        if len(new):
-            base = len(self.known)
-            raw = points.astype("<u4").tobytes()
-            texts = [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
-            self._learn(distinct[new], texts)
-            index[new] = base + np.arange(len(new))
-        piece = index[inverse]
-        first, size = self.at[piece], self.at[piece + 1] - self.at[piece]
-        run = np.concatenate(([0], np.cumsum(size)))
-        ids = self.flat[np.arange(run[-1]) + np.repeat(first - run[:-1], size)]
-        return ids, run[np.searchsorted(starts, edges)]
+        return self.table.ids(points, self.piece_starts(points, edges), edges)
 
     def chunks(self, column: pa.Array):
         """Yield (first row, ids, bounds): the ids of row first + i are
@@ -161,10 +174,15 @@ class PieceEncoder:
             yield row, ids, bounds
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The encoder of this worker process (kept between tasks)."""
+def kept_in_worker(kind: type, path: str):
+    """``kind(path)``, made once in this worker process and kept between
+    tasks."""
     holder = sys.modules.setdefault("_quillstream_worker_state", types.ModuleType("_quillstream_worker_state"))
     made = holder.__dict__.setdefault("encoders", {})
-    if path not in made:
-        made[path] = PieceEncoder(path)
-    return made[path]
+    if (kind.__name__, path) not in made:
+        made[kind.__name__, path] = kind(path)
+    return made[kind.__name__, path]
+
+
+def encoder(path: str) -> PieceEncoder:
+    return kept_in_worker(PieceEncoder, path)
