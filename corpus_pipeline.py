@@ -1,15 +1,80 @@
-"""Corpus pipeline: quality rules, near-duplicate join, repeated-passage
-removal, secret scan, packing.  Each stage reads what its predecessor
-wrote."""
+"""Corpus pipeline over ``documents``: quality rules, near duplicates,
+repeated passages, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on everything that its
+predecessor kept; the result is written as Parquet and read again before the
+next stage.  All stages but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstream.llm import genetic_packing, ngram_join, quality_forest, repeats, secret_forest
+from quillstream.llm.catalog import read, vocabulary
+from quillstream.llm.scratch import cut
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text where the table has it."""
+    if "n_chars" not in docs.columns:
+        return docs
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return docs.select(*(length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the isolation forest, which is
+    fitted on the labelled documents among ``docs``."""
+    forest = quality_forest.fit_forest(docs, read(spark, sf_dir, "labels"))
+    return quality_forest.filter_quality(docs, forest)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every near-duplicate group; rows
+    without an id stay, of rows with one id one stays."""
+    groups = ngram_join.ngram_jaccard_components(docs)
+    gone = groups.where("doc_id != component_id").select("doc_id")
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = cut(again.join(gone, "doc_id", "left_anti"), "repeated_ids")
+    kept = docs.join(cut(gone.union(again).distinct(), "dropped_ids"), "doc_id", "left_anti")
+    single = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(docs.columns).unionByName(single.select(docs.columns))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that an earlier document has."""
+    return _with_length(repeats.remove_repeats(docs))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with the found secrets replaced."""
+    return _with_length(secret_forest.redact_secrets(docs, secret_forest.scan_secrets(docs)))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every kept document's place in sequences of at most 2048 tokens."""
+    return genetic_packing.pack_documents(docs, vocabulary(), capacity=2048, end_id=0)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+
+#: A trained forest decides in two stages, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = cut(docs, name)
     return docs
