@@ -237,7 +237,7 @@ def score_quality(docs: DataFrame, forest: IsolationForest | None, id_col: str =
             stats = rule_statistics(batch.column(1))
             points, failed = features(stats), base_failed(stats)
             score = forest.score(points) if forest else np.zeros(len(failed))
-            kept = ~failed & ~(forest.rejects(points) if forest else False)
+            kept = ~failed & ~forest.rejects(points) if forest else ~failed
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(stats[c]) for c in BASE), pa.array(failed), pa.array(kept), pa.array(score)],
                 names=["doc_id", *BASE, "base_failed", "kept", "anomaly"],

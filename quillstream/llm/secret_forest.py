@@ -63,9 +63,10 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def dictionary(docs: DataFrame, size: int = 20_000, text_col: str = "text") -> DataFrame:
-    """The ``size`` words of three or more letters a-z that most rows have."""
-    words = F.array_distinct(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z]+"))
-    counted = docs.select(F.explode(words).alias("word")).where(F.length("word") >= 3).groupBy("word").count()
+    """The ``size`` words of three or more letters a-z that most rows have;
+    letters beside digits are parts of codes, not words."""
+    words = F.array_distinct(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z0-9]+"))
+    counted = docs.select(F.explode(words).alias("word")).where(F.col("word").rlike("^[a-z]{3,}$")).groupBy("word").count()
     return counted.orderBy(F.desc("count"), "word").limit(size).select("word")
 
 
