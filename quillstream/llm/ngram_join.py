@@ -119,8 +119,9 @@ def _survivors(sets: DataFrame, threshold: float, extra: float) -> DataFrame:
         F.xxhash64("digest").alias("cid"), "n_shingles", F.explode("prefix").alias("tok")
     )
     # copies of a class post the same cid, so they never make a token shared
-    shared = (
-        postings.groupBy("tok").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo != hi").select("tok")
+    shared = cut(
+        postings.groupBy("tok").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo != hi").select("tok"),
+        "shared",
     )
     # one row a token and partition: the build side of each partition is bounded
     hits = postings.join(shared.hint("shuffle_hash"), "tok").groupBy("cid", "n_shingles").count()
@@ -244,7 +245,8 @@ def ngram_jaccard_components(
     )
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     full = cut(
-        _full_sets(texts.join(chosen, "id", "left_semi"), width).where("size(tokens) > 0").distinct(), "full"
+        _full_sets(texts.join(chosen, "id", "left_semi").dropDuplicates(["id", "text"]), width).where("size(tokens) > 0"),
+        "full",
     )
     orders = cut(_orders(full, threshold), "orders")
     components = connected_components(ngram_links(orders, full, threshold))

@@ -17,9 +17,9 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under spark.checkpoint.dir and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    # lets Spark's cleaner drop the shuffle files of the finished job now
-    # instead of at the driver's next collection
+    # frames of earlier steps are out of scope by now: a collection lets
+    # Spark's cleaner drop their shuffle files before this step writes its own
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
