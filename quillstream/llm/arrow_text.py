@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 U64 = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
 MASK64 = (1 << 64) - 1
