@@ -35,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.arrow_text import SpanHasher, mix64, text_chunks
+from quillstream.llm.arrow_text import SpanHasher, text_chunks
 from quillstream.llm.scratch import cut
 
 LENGTH = 50
 TRIGGER = 28
 SEED_BYTES = 5  # hashes of so many bytes place the trigger; = TRIGGER modulo the places
 PLACES = LENGTH - TRIGGER + 1
+SEED_FACTOR = 0x9E3779B97F4A7C15
 SEGMENT = 4_000_000
 PHRASE_SCHEMA = "doc_id bigint, at bigint, key bigint, place int, phrase binary"
 
@@ -69,30 +70,38 @@ class Phrases:
         self.key = empty
         if n <= 0:
             return
-        wide = np.zeros(len(data) - SEED_BYTES + 1, dtype=np.uint64)
-        for k in range(SEED_BYTES):
-            wide |= data[k : k + len(wide)].astype(np.uint64) << np.uint64(8 * k)
-        low = (mix64(wide) & ~np.uint64((1 << 24) - 1)) | np.arange(len(wide), dtype=np.uint64)
+        padded = np.concatenate((data, np.zeros(8, np.uint8)))
+        wide = np.ndarray((len(data) - SEED_BYTES + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        low = wide << np.uint64(64 - 8 * SEED_BYTES)  # the seed's bytes alone
+        low *= np.uint64(SEED_FACTOR)
+        low ^= low >> np.uint64(32)
+        low *= np.uint64(SEED_FACTOR)
+        low &= ~np.uint64((1 << 24) - 1)
+        low |= np.arange(len(low), dtype=np.uint64)
         width, span = 1, LENGTH - SEED_BYTES + 1
         while 2 * width <= span:  # minimum over 1, 2, 4 ... places
             low = np.minimum(low[: len(low) - width], low[width:])
             width *= 2
         least = np.minimum(low[:n], low[span - width : span - width + n])
-        window = np.arange(n)
-        place = ((least & np.uint64((1 << 24) - 1)).astype(np.int64) - window) % PLACES
-        trigger = window + place
-        lengths = np.diff(offsets)
-        text = np.repeat(np.arange(len(lengths)), lengths)[:n]
-        valid = np.flatnonzero(window + LENGTH <= offsets[text + 1])
-        if not len(valid):
-            return
-        trigger, text = trigger[valid], text[valid]
-        change = np.flatnonzero((np.diff(trigger) != 0) | (np.diff(text) != 0)) + 1
+        least &= np.uint64((1 << 24) - 1)
+        trigger = least.astype(np.int64)
+        trigger -= PLACES * (trigger - np.arange(n) >= PLACES)
+        inside = np.ones(n, dtype=bool)
+        for end in offsets[1:].tolist():
+            inside[max(0, end - LENGTH + 1) : end] = False
+        # a text under LENGTH bytes has no window of its own
+        for start in offsets[:-1][np.diff(offsets) < LENGTH].tolist():
+            inside[start : start + 1] = False
+        change = np.flatnonzero((trigger[1:] != trigger[:-1]) | (inside[1:] != inside[:-1])) + 1
         first = np.concatenate(([0], change))
-        last = np.concatenate((change, [len(valid)])) - 1
-        self.text = text[first]
-        self.start, self.end = valid[first], valid[last] + LENGTH
-        self.place = trigger[first] - self.start
+        last = np.concatenate((change, [n])) - 1
+        good = inside[first]
+        first, last = first[good], last[good]
+        if not len(first):
+            return
+        self.text = np.searchsorted(offsets, first, side="right") - 1
+        self.start, self.end = first, last + LENGTH
+        self.place = trigger[first] - first
         prefix = hasher.prefix(data)
         self.key = hasher.spans(prefix, trigger[first], trigger[first] + TRIGGER).view(np.int64)
 
@@ -281,7 +290,9 @@ def repeated_spans(docs: DataFrame, heads: DataFrame, max_class: int = 20_000) -
         flagged.where("flags != 0").select(F.xxhash64("key", "place", "phrase").alias("id"), "key", "flags"), "flags"
     )
     first = dictionary.select(F.xxhash64("key", "place", "phrase").alias("id"), "key", "first")
-    verdicts = first.join(flagged, ["id", "key"], "left")
+    # written, so that the join below has a shuffle on both sides and a phrase
+    # of very many documents can be split
+    verdicts = cut(first.join(flagged, ["id", "key"], "left"), "verdicts")
     places = parse.select("doc_id", "at", "id", "key", F.length("phrase").alias("size")).join(verdicts, ["id", "key"])
     whole = F.col("first") < F.col("doc_id")
     span = F.struct(
