@@ -3,17 +3,19 @@
 Plan order (contract C6, with the expensive steps moved after the cheap
 filters -- Catalyst cannot reorder around the Python model call):
 
-1. anti-join the tick's items against the persisted seen keys (D2);
-2. reduce copies of an item (same guid, title and link, hence the same
+1. reduce copies of an item (same guid, title and link, hence the same
    scoring text) to their first arrival -- a partial aggregate, so a hot
-   guid costs one model call and one page lookup, not one per copy;
+   guid costs one model call and one page lookup, not one per copy, and
+   reaches the joins as one row;
+2. anti-join them against the persisted seen keys (D2);
 3. unwrap links (U1/P8), left-join page content (J1), compose the scoring
    text with the title-only fallback (X2/P9);
 4. obtain answers: landed responses joined on the guid (J4/E2a/E5), a chat
    client whose status/body are parsed in Spark, or a scorer (E3); the
-   result is checkpointed so the model is never called twice;
+   result is written once so the model is never called twice;
 5. strict parse (E4/C5); rejects go to the quarantine output and are
-   *not* marked seen, so they are retried next tick;
+   *not* marked seen; ``rejected`` returns their items, which the streaming
+   ingest feeds into its next tick;
 6. first parseable row per guid in arrival order (D1, partial aggregate);
 7. every survivor is marked seen (neutral ones too);
 8. drop neutral scores (P4);
@@ -28,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions import links as L
@@ -37,7 +39,7 @@ from quillstream.functions import text as T
 from quillstream.operators import dedupe as D
 from quillstream.operators import ids as I
 from quillstream.operators.scoring import Scorer, fetch_rows, score_rows, standin_scorer
-from quillstream.session import ensure_checkpoint_dir
+from quillstream.session import scratch_path
 
 ARRIVAL = ["published", "event_id"]
 
@@ -49,11 +51,26 @@ class TickResult:
     counters: DataFrame     # name, prev_seq, new_seq
     quarantine: DataFrame   # guid, reason, answer
     requests: DataFrame     # guid, request (model request JSON for the scorer/fetcher)
+    rejected: DataFrame     # input rows whose answer was rejected, columns of the input
 
 
-def scoring_inputs(items: DataFrame, page_content: DataFrame | None) -> DataFrame:
-    """Step 3: publisher link, site name, page content and scoring text."""
+def scoring_inputs(
+    items: DataFrame, page_content: DataFrame | None, extract: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Step 3: publisher link, site name, page content and scoring text.
+    ``page_content`` has url and content, or url and html with ``extract``
+    making the content: then only the pages that the items link to are
+    extracted."""
     x = L.source_links_df(items, "link")
+    if page_content is not None and extract is not None:
+        # the tick's distinct items, written once: their links are read twice
+        # and their size is known to the planner
+        spark, path = items.sparkSession, scratch_path(items.sparkSession, "linked")
+        x.write.parquet(path)
+        x = spark.read.parquet(path)
+        wanted = x.select(F.col("link").alias("url")).distinct()
+        own = page_content.join(wanted, "url", "left_semi")
+        page_content = own.select("url", extract(F.col("html")).alias("content"))
     x = x.withColumn("source", L.url_host(F.col("link")))
     if page_content is not None:
         pc = page_content.select(F.col("url").alias("_url"), F.col("content"))
@@ -76,6 +93,7 @@ def run_tick(
     arrival: list[str] = ARRIVAL,
     concurrency: int | None = None,
     make_client: Callable | None = None,
+    extract: Callable[[Column], Column] | None = None,
 ) -> TickResult:
     """``items``: topic, guid, title, link, published (+ arrival columns).
     ``seen``: guid.  ``counters``: name, seq.  Provide either landed
@@ -83,12 +101,12 @@ def run_tick(
     chat client returning status and body, parsed here in Spark), or
     ``make_scorer`` (returns the answer text); ``concurrency`` bounds the
     number of parallel model clients."""
-    fresh = D.not_seen(items, seen.select("guid"), "guid")
     # one model call per distinct item: the scoring text is a function of
     # (title, link), so copies are collapsed (map-side partial aggregate)
-    # before any link decoding, page join or text composition
-    distinct_items = D.first_per_key(fresh, ["guid", "title", "link"], arrival)
-    x = scoring_inputs(distinct_items, page_content)
+    # before the anti join, link decoding, page join or text composition
+    distinct_items = D.first_per_key(items, ["guid", "title", "link"], arrival)
+    fresh = D.not_seen(distinct_items, seen.select("guid"), "guid").withColumn("_feed_link", F.col("link"))
+    x = scoring_inputs(fresh, page_content, extract)
 
     if responses is not None:
         r = responses.select(F.col("key").alias("_key"), M.first_choice_content(F.col("status"), F.col("body")).alias("answer"))
@@ -103,11 +121,12 @@ def run_tick(
     else:
         x = score_rows(x, "scoring_text", make_scorer or (lambda: standin_scorer), concurrency=concurrency)
 
-    # Materialise the answers once (reliable checkpoint in the shared
-    # checkpoint folder): a real model is not deterministic, several outputs
-    # reuse them, and a lost executor must not trigger a second model call.
-    ensure_checkpoint_dir(items.sparkSession)
-    x = x.withColumn("_p", M.strict_answer(F.col("answer"))).checkpoint(eager=True)
+    # Materialise the answers once, as a table in the shared checkpoint
+    # folder: a real model is not deterministic, several outputs read single
+    # columns of them, and a lost executor must not call the model again.
+    answers = scratch_path(items.sparkSession, "answers")
+    x.withColumn("_p", M.strict_answer(F.col("answer"))).write.parquet(answers)
+    x = items.sparkSession.read.parquet(answers)
     quarantine = x.filter(F.col("_p.reason").isNotNull()).select("guid", F.col("_p.reason").alias("reason"), "answer")
     ok = x.filter(F.col("_p.reason").isNull()).select(
         "topic", "guid", "title", "link", "source", *arrival,
@@ -121,5 +140,7 @@ def run_tick(
         "topic", "id", "guid", "title", F.col(arrival[0]).alias("date"), "link", "source", "score", "analyse"
     )
     advanced = I.advance_counters(counters, kept, "counter")
+    rejected = x.filter(F.col("_p.reason").isNotNull()).withColumn("link", F.col("_feed_link")).select(items.columns)
+    rejected = D.not_seen(rejected, new_seen, "guid")
     requests = x.select("guid", M.scoring_request(F.col("scoring_text")).alias("request"))
-    return TickResult(stored, new_seen, advanced, quarantine, requests)
+    return TickResult(stored, new_seen, advanced, quarantine, requests, rejected)

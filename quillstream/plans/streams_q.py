@@ -146,6 +146,9 @@ def landed_responses(spark, sf_dir):
     )
 
 
+# Two ticks.  Answers for odd users land only after the first one: their items
+# are rejected there, wait, and are stored in the second tick, in their own
+# place in arrival order.
 STREAM_INGEST_SQL = f"""
 WITH items AS (
   SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id
@@ -153,26 +156,31 @@ WITH items AS (
 ans AS (SELECT i.*, (l.quality - l.toxic)::VARCHAR AS score FROM items i
         JOIN labels l ON l.doc_id::VARCHAR = i.guid WHERE NOT (l.quality = 1 AND l.toxic = 1)),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY guid ORDER BY ts, event_id) AS rn FROM ans)
-           WHERE rn = 1)
-SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY ts, event_id)::BIGINT AS id, guid, score
-FROM firsts WHERE score <> '0'
+           WHERE rn = 1),
+ticks AS (SELECT *, CASE WHEN ts < TIMESTAMP '{CUT}' AND guid::BIGINT % 2 = 0 THEN 1 ELSE 2 END AS tick FROM firsts)
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY tick, ts, event_id)::BIGINT AS id, guid, score
+FROM ticks WHERE score <> '0'
 """
 
 
 @register("stream_ingest", STREAM_INGEST_SQL)
 def stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream-ingest")
-    state_root = f"{root}/state"
+    state = TK.TickState(spark, f"{root}/state")
     events = read_table(spark, sf_dir, "events")
-    TK.TickState(spark, state_root).init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
-    # derived once (reliable checkpoint), then landed as two ticks
-    feed = FD.feed_items(spark, sf_dir).checkpoint(eager=True)
-    landing = f"{root}/landing"
+    state.init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
+    # derived once (a written table), then landed as two ticks
+    FD.feed_items(spark, sf_dir).write.parquet(f"{root}/feed")
+    feed = spark.read.parquet(f"{root}/feed")
+    landing, answers = f"{root}/landing", f"{root}/answers"
     responses = landed_responses(spark, sf_dir)
+    odd = F.col("key").cast("long") % 2 == 1
     cut = FD.ts_lit(feed, "published", FD.CUTOFF)
-    # tick 1 then tick 2, each an availableNow run over the same checkpoint
-    for part in (F.col("published") < cut, F.col("published") >= cut):
-        feed.filter(part).write.mode("append").parquet(landing)
-        TK.ingest_stream(spark, landing, feed.schema, state_root, responses=responses)
-    items = spark.read.parquet(f"{state_root}/items")
-    return items.select("topic", "id", "guid", "score")
+    # tick 1 then tick 2, each an availableNow run over the same checkpoint,
+    # the seen keys folded between them; the reader lists answers anew
+    for items, landed in ((F.col("published") < cut, ~odd), (F.col("published") >= cut, odd)):
+        feed.filter(items).write.mode("append").parquet(landing)
+        responses.filter(landed).write.mode("append").parquet(answers)
+        TK.ingest_stream(spark, landing, feed.schema, state.root, responses=lambda: spark.read.parquet(answers))
+        state.compact_seen()
+    return state.read(state.items).select("topic", "id", "guid", "score")

@@ -3,15 +3,20 @@
 The source system's ticker ("every N hours, look back N hours") becomes a
 file stream over a landing directory with ``trigger(processingTime='N
 hours')`` in production and ``availableNow`` in tests.  Each micro-batch
-runs the same tick plan as the batch job inside ``foreachBatch``; all
-cross-tick state (seen keys, counters, stored items) lives in tables under
-the shared checkpoint folder, and every write for batch ``b`` overwrites
-exactly the partitions tagged ``batch_id = b`` -- so replaying a batch after
-a failure changes nothing (idempotent ``foreachBatch``).
+runs the same tick plan as the batch job inside ``foreachBatch``.
+
+All cross-tick state (items, seen keys, counters, items waiting for another
+try) lives in tables under one root.  An attempt at batch ``b`` writes only
+into its own ``batch_id=b/attempt=...`` folders, and one empty file whose
+name holds both ends it.  Readers take committed attempts of earlier batches
+only, so a replay, whatever its answers, neither sees nor mixes with what an
+earlier attempt left behind.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +24,6 @@ from pyspark.sql import functions as F
 
 from quillstream.operators import ids as I
 from quillstream.plans.ingest import run_tick
-from quillstream.session import scratch_path
 
 
 def tick_counts(df: DataFrame, time_col: str, hours: int, by: str) -> DataFrame:
@@ -54,198 +58,240 @@ def run_available(
 
 
 def progress_list(q) -> list[dict]:
+    """Progress of every micro-batch of a finished run.  Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` only; a run that may
+    have lost some fails here instead of reporting too little."""
     import json
 
+    kept = int(q._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
     out = []
     for p in q.recentProgress:
         if isinstance(p, dict):
             out.append(p)
-        elif hasattr(p, "json"):
-            out.append(json.loads(p.json))
         else:
-            out.append(json.loads(str(p)))
+            out.append(json.loads(p.json if hasattr(p, "json") else str(p)))
+    if len(out) >= kept:
+        raise RuntimeError(f"progress of more than {kept} micro-batches is not kept: raise numRecentProgressUpdates")
     return out
 
 
-SEEN_BUCKETS = 256
+MIN_BUCKETS = 256
+KEYS_PER_BUCKET = 5_000_000
+PRUNE_BUCKETS = 10_000  # bucket ids that may reach the driver for pruning
 
 
-def seen_bucket(guid):
-    """Hash bucket of a guid: the seen-key table is partitioned by it."""
-    return F.pmod(F.xxhash64(guid), F.lit(SEEN_BUCKETS)).cast("int")
+def seen_bucket(guid, buckets: int):
+    """Hash bucket of a guid in a folded key table of ``buckets`` buckets."""
+    return F.pmod(F.xxhash64(guid), F.lit(buckets)).cast("int")
+
+
+def _now(source: DataFrame | Callable[[], DataFrame] | None) -> DataFrame | None:
+    """A side table of this micro-batch: a reader is called anew, so it lists
+    files that landed since the stream started."""
+    return source() if callable(source) and not isinstance(source, DataFrame) else source
 
 
 class TickState:
-    """Cross-tick tables under ``root``: items (topic, batch_id partitions),
-    counter versions (batch_id partitions) and seen keys (partitioned by
-    guid hash bucket, ``batch_id`` kept as a column).
-
-    The seen-key history grows with every tick; a tick only reads the
-    buckets of its own guids (partition pruning with a literal list of at
-    most SEEN_BUCKETS ids), so a small tick touches a small slice of the
-    history however long it gets.  Keys are appended: a replayed batch may
-    append a key twice, which an anti-join ignores, and ``batch_id < b``
-    keeps a replay from seeing its own earlier attempt.
-
-    Appends land in the current *epoch* (``seen/epoch=k``).  ``compact_seen``
-    rewrites everything older as one row per guid and bucket into
-    ``seen_compacted/epoch=k+1`` and opens epoch k+1, so a read touches one
-    compacted file per bucket plus the current epoch's appends -- the file
-    count stays bounded however many ticks ran.  Nothing is deleted; old
-    epoch directories are simply no longer read."""
-
-    def __init__(self, spark: SparkSession, root: str):
+    """Cross-tick tables under ``root``.
+
+    * ``items``, ``seen``, ``quarantine``, ``pending``, ``counters``: one
+      folder per attempt (``batch_id=b/attempt=a``);
+    * ``commits``: an empty file ``<batch>-<attempt>`` per committed batch,
+      created last.  Its creation is the only commit step;
+    * ``counter_names``: names asked for by ``init_counters``, at any time;
+    * ``seen_folded``/``folds``: ``compact_seen`` folds the keys of all
+      committed batches into one row per guid, in hash buckets whose number
+      grows with the keys, and publishes the table by the file
+      ``<version>-<through batch>-<buckets>``.  A tick reads the buckets of
+      its own guids there and the keys of the batches committed since.
+
+    ``pending`` holds the items whose answer was rejected, with their tries;
+    every tick works on them again until ``retry_ticks`` is reached."""
+
+    def __init__(self, spark: SparkSession, root: str, retry_ticks: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.items = f"{self.root}/items"
-        self.seen = f"{self.root}/seen"
-        self.seen_compacted = f"{self.root}/seen_compacted"
-        self.counters = f"{self.root}/counters"
-        self.quarantine = f"{self.root}/quarantine"
+        self.retry_ticks = retry_ticks
+        for name in ("items", "seen", "quarantine", "pending", "counters", "folds", "seen_folded", "counter_names"):
+            setattr(self, name, f"{self.root}/{name}")
+
+    # -- files ---------------------------------------------------------------
 
-    def _exists(self, path: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
-
-    def _read(self, path: str) -> DataFrame | None:
-        """The table, or None when it was never written.  Any other read
-        error propagates: a storage hiccup must fail the micro-batch (and
-        let Spark retry it), not look like "no state yet"."""
-        if not self._exists(path):
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _touch(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.create(p, False).close()
+
+    def _at(self, table: str, batch_id: int, attempt: str) -> str:
+        return f"{table}/batch_id={batch_id}/attempt={attempt}"
+
+    # -- commits -------------------------------------------------------------
+
+    def commits(self) -> dict[int, str]:
+        """Committed attempt of every batch (one small name per tick)."""
+        out: dict[int, str] = {}
+        for name in self._names(f"{self.root}/commits"):
+            batch, attempt = name.split("-", 1)
+            out.setdefault(int(batch), attempt)
+        return out
+
+    def committed(self, batch_id: int) -> bool:
+        return batch_id in self.commits()
+
+    def read(self, table: str) -> DataFrame | None:
+        """Rows of all committed attempts of a table, with ``batch_id``."""
+        done = self.commits()
+        if not done:
             return None
-        try:
-            return self.spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001
-            # a directory left empty by an aborted write holds no state yet
-            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
+        rows = self.spark.read.parquet(table).withColumn("batch_id", F.col("batch_id").cast("long"))
+        keep = self.spark.createDataFrame(sorted(done.items()), "batch_id long, attempt string")
+        return rows.join(F.broadcast(keep), ["batch_id", "attempt"], "left_semi").drop("attempt")
 
-    def init_counters(self, names: DataFrame) -> None:
-        """K7: counters at seq 0 for every topic, as version -1."""
-        empty = self.spark.createDataFrame([], "name string, seq long")
-        c = I.init_counters(empty, names).withColumn("batch_id", F.lit(-1).cast("long"))
-        self._write(c, self.counters, ["batch_id"])
+    # -- counters ------------------------------------------------------------
 
-    def _write(self, df: DataFrame, path: str, parts: list[str]) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(path)
-        )
+    def init_counters(self, names: DataFrame) -> None:
+        """K7: counters at seq 0 for the given names; names that are known
+        keep their seq.  May be called at any time, also between ticks."""
+        names.select("name").distinct().write.mode("append").parquet(self.counter_names)
 
     def counters_before(self, batch_id: int) -> DataFrame:
-        c = self._read(self.counters)
-        c = c.filter(F.col("batch_id") < batch_id)
-        last = c.agg(F.max("batch_id").alias("m"))
-        return c.join(last, c.batch_id == last.m).select("name", "seq")
+        done = [(b, a) for b, a in self.commits().items() if b < batch_id]
+        empty = self.spark.createDataFrame([], "name string, seq long")
+        last = self.spark.read.parquet(self._at(self.counters, *max(done))).select("name", "seq") if done else empty
+        if not self._names(self.counter_names):
+            return last
+        return I.init_counters(last, self.spark.read.parquet(self.counter_names))
 
-    def committed(self, batch_id: int) -> bool:
-        c = self._read(self.counters)
-        return c is not None and not c.filter(F.col("batch_id") == batch_id).isEmpty()
+    # -- seen keys -----------------------------------------------------------
+
+    def fold(self) -> tuple[int, int, int]:
+        """(version, last batch folded, buckets) of the newest fold."""
+        names = self._names(self.folds)
+        return tuple(int(x) for x in names[-1].split("_")) if names else (0, -1, MIN_BUCKETS)  # type: ignore[return-value]
 
     def epoch(self) -> int:
-        """Current seen-key epoch: the newest compacted version (0 if none)."""
-        c = self._read(self.seen_compacted)
-        if c is None:
-            return 0
-        row = c.select(F.max("epoch").alias("e")).first()
-        return 0 if row is None or row["e"] is None else int(row["e"])
+        return self.fold()[0]
+
+    def _recent(self, after: int, before: int) -> list[str]:
+        return [self._at(self.seen, b, a) for b, a in sorted(self.commits().items()) if after < b < before]
 
     def seen_before(self, batch_id: int, batch: DataFrame | None = None) -> DataFrame:
-        k = self.epoch()
-        parts = []
-        live = self._read(f"{self.seen}/epoch={k}")
-        if live is not None:
-            parts.append(live.filter(F.col("batch_id") < batch_id))
-        if k > 0:
-            parts.append(self.spark.read.parquet(f"{self.seen_compacted}/epoch={k}"))
-        if not parts:
-            return self.spark.createDataFrame([], "guid string")
-        if batch is not None:
-            # bounded: at most SEEN_BUCKETS small integers reach the driver
-            buckets = [r[0] for r in batch.select(seen_bucket(F.col("guid"))).distinct().collect()]
-            parts = [p.filter(F.col("bucket").isin(buckets)) for p in parts]
-        out = parts[0].select("guid")
-        for p in parts[1:]:
-            out = out.unionByName(p.select("guid"))
+        """Guids marked by committed batches before ``batch_id``.  With
+        ``batch`` only the buckets of its guids are read from the fold."""
+        version, through, buckets = self.fold()
+        out = self.spark.createDataFrame([], "guid string")
+        recent = self._recent(through, batch_id)
+        if recent:
+            out = out.unionByName(self.spark.read.parquet(*recent).select("guid"))
+        if version:
+            old = self.spark.read.parquet(f"{self.seen_folded}/version={version}").filter(F.col("batch_id") < batch_id)
+            if batch is not None and buckets <= PRUNE_BUCKETS:
+                own = [r[0] for r in batch.select(seen_bucket(F.col("guid"), buckets)).distinct().collect()]
+                old = old.filter(F.col("bucket").isin(own))
+            out = out.unionByName(old.select("guid"))
         return out
 
-    def append_seen(self, seen: DataFrame, batch_id: int) -> None:
-        rows = seen.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", seen_bucket(F.col("guid")))
-        # one file per touched bucket per tick (not one per task and bucket)
-        rows.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.seen}/epoch={self.epoch()}")
-
     def compact_seen(self) -> int:
-        """Fold the current epoch (and the previous compacted version) into
-        one row per guid -- first batch that saw it, a partial aggregate, so
-        a hot guid collapses map-side -- and open the next epoch.  Run
-        between ticks.  Returns the new epoch."""
-        k = self.epoch()
-        parts = []
-        live = self._read(f"{self.seen}/epoch={k}")
-        if live is not None:
-            parts.append(live.select("guid", "batch_id"))
-        if k > 0:
-            parts.append(self.spark.read.parquet(f"{self.seen_compacted}/epoch={k}").select("guid", "batch_id"))
-        if not parts:
-            return k
-        allk = parts[0]
-        for p in parts[1:]:
-            allk = allk.unionByName(p)
-        folded = allk.groupBy("guid").agg(F.min("batch_id").alias("batch_id"))
-        folded = folded.withColumn("bucket", seen_bucket(F.col("guid")))
-        target = f"{self.seen_compacted}/epoch={k + 1}"
-        folded.repartition("bucket").write.mode("errorifexists").partitionBy("bucket").parquet(target)
-        return k + 1
-
-    def ingest(self, responses: DataFrame | None = None, page_content: DataFrame | None = None,
-               make_scorer: Callable | None = None) -> Callable[[DataFrame, int], None]:
-        """``foreachBatch`` function running one tick per micro-batch."""
+        """Fold the keys of all committed batches; returns the version."""
+        version, through, buckets = self.fold()
+        last = max(self.commits(), default=-1)
+        recent = self._recent(through, last + 1)
+        if not recent:
+            return version
+        keys = self.spark.read.option("basePath", self.seen).parquet(*recent)
+        keys = keys.select("guid", F.col("batch_id").cast("long").alias("batch_id"))
+        if version:
+            keys = keys.unionByName(self.spark.read.parquet(f"{self.seen_folded}/version={version}").select("guid", "batch_id"))
+        buckets = max(buckets, math.ceil(keys.count() / KEYS_PER_BUCKET))
+        folded = keys.groupBy("guid").agg(F.min("batch_id").alias("batch_id"))
+        folded = folded.withColumn("bucket", seen_bucket(F.col("guid"), buckets))
+        target = f"{self.seen_folded}/version={version + 1}"
+        # overwrite: a fold that died before its name was published is redone
+        folded.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        self._touch(f"{self.folds}/{version + 1:012d}_{last}_{buckets}")
+        return version + 1
+
+    def drop_folded(self) -> None:
+        """Retention: remove key folders that the newest fold replaces.  Run
+        it between ticks."""
+        version, through, _ = self.fold()
+        old = [f"{self.seen}/{n}" for n in self._names(self.seen) if n.startswith("batch_id=") and int(n[9:]) <= through]
+        old += [f"{self.seen_folded}/{n}" for n in self._names(self.seen_folded) if int(n.split("=")[1]) < version]
+        for path in old:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+
+    # -- ticks ---------------------------------------------------------------
+
+    def pending_before(self, batch_id: int) -> DataFrame | None:
+        """Items that wait for another try, as the newest earlier batch left
+        them."""
+        done = [(b, a) for b, a in self.commits().items() if b < batch_id]
+        return self.spark.read.parquet(self._at(self.pending, *max(done))) if done else None
+
+    def ingest(
+        self,
+        responses: DataFrame | Callable[[], DataFrame] | None = None,
+        page_content: DataFrame | Callable[[], DataFrame] | None = None,
+        make_scorer: Callable | None = None,
+    ) -> Callable[[DataFrame, int], None]:
+        """``foreachBatch`` function running one tick per micro-batch.  Side
+        tables that grow while the stream runs are given as readers
+        (functions without arguments)."""
 
         def process(batch: DataFrame, batch_id: int) -> None:
-            if batch.isEmpty():  # K9: nothing collected, nothing changes
-                return
             if self.committed(batch_id):  # replay of a committed batch
                 return
-            res = run_tick(batch, self.seen_before(batch_id, batch), self.counters_before(batch_id),
-                           page_content=page_content, responses=responses, make_scorer=make_scorer)
-            b = F.lit(batch_id).cast("long")
-            self._write(res.items.withColumn("batch_id", b), self.items, ["topic", "batch_id"])
-            self.append_seen(res.seen, batch_id)
-            self._write(res.quarantine.withColumn("batch_id", b), self.quarantine, ["batch_id"])
-            # checkpointed: the new version must not be planned as a read of the
-            # table it is written into
-            new_counters = I.apply_advance(self.counters_before(batch_id), res.counters).checkpoint(eager=True)
-            # the counter version is written last: it is the commit marker
-            self._write(new_counters.withColumn("batch_id", b), self.counters, ["batch_id"])
+            waiting = self.pending_before(batch_id)
+            if batch.isEmpty() and (waiting is None or waiting.isEmpty()):
+                return  # K9: nothing collected, nothing changes
+            work = batch.withColumn("tries", F.lit(0))
+            if waiting is not None:
+                work = work.unionByName(waiting)
+            before = self.counters_before(batch_id)
+            res = run_tick(work, self.seen_before(batch_id, work), before, page_content=_now(page_content),
+                           responses=_now(responses), make_scorer=make_scorer)
+            again = res.rejected.withColumn("tries", F.col("tries") + 1)
+            attempt = f"a{uuid.uuid4().hex[:16]}"
+            outputs = [
+                (self.items, res.items),
+                (self.seen, res.seen),
+                (self.quarantine, res.quarantine),
+                (self.pending, again.filter(F.col("tries") < self.retry_ticks)),
+                (self.counters, I.apply_advance(before, res.counters)),
+            ]
+            for table, rows in outputs:
+                rows.write.parquet(self._at(table, batch_id, attempt))
+            self._touch(f"{self.root}/commits/{batch_id:020d}-{attempt}")
 
         return process
 
 
-def new_root(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)
-
-
 def ingest_stream(
     spark: SparkSession,
     landing: str,
     feed_schema,
     state_root: str,
     hours: int | None = None,
-    responses: DataFrame | None = None,
-    page_content: DataFrame | None = None,
+    responses: DataFrame | Callable[[], DataFrame] | None = None,
+    page_content: DataFrame | Callable[[], DataFrame] | None = None,
     make_scorer: Callable | None = None,
     checkpoint: str | None = None,
+    retry_ticks: int = 8,
 ):
     """The periodic ingest.  ``hours`` set: a processing-time trigger
     every ``hours`` hours (the source system's interval, which is also its
     look-back); ``hours=None``: process what is available and stop.
     Returns the started query (already finished for availableNow)."""
-    state = TickState(spark, state_root)
+    state = TickState(spark, state_root, retry_ticks)
     ckpt = checkpoint or f"{state_root.rstrip('/')}/_checkpoint"
     stream = spark.readStream.schema(feed_schema).parquet(landing)
     sink = state.ingest(responses=responses, page_content=page_content, make_scorer=make_scorer)
