@@ -14,7 +14,7 @@ from quillstream.session import get_session, scratch_path  # noqa: F401
 
 
 def _pickle_by_value() -> None:
-    """Python tasks (the scorer, the LRU replay) must not need this package
+    """Python tasks (the scorer, text scans) must not need this package
     installed on executors: pickle its functions by value instead of by
     module reference."""
     try:

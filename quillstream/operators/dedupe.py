@@ -1,7 +1,7 @@
-"""Deduplication operators (D1, D2, D4 helpers; D3 lives in ``lru``).
+"""Deduplication operators (D1, D2, D4 helpers).
 
 All of them are skew-safe: a single guid may hold a third of a batch, so
-"first row per key" is a hash aggregate with map-side partial
+"first row per key" is a sort aggregate with map-side partial
 aggregation (``min`` over a struct ordered by arrival) rather than a
 ``row_number`` window, which would sort every row of the hot key inside
 one task.  Anti joins run *after* the per-key reduction, so a hot key

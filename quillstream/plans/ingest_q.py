@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quillstream.functions import html as H
 from quillstream.operators import ids as I
 from quillstream.plans import ingest as G
 from quillstream.plans import sqlfrag as S
 from quillstream.plans.catalog import register
-from quillstream.plans.pages_q import landed_pages
+from quillstream.plans.pages_q import fetched_pages
 from quillstream.sources import feed as FD
 
 CUT = FD.CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
-SEEN = FD.SEEN_CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
+_GUID = "{u} || ':' || strftime({t}, '%H')"
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
 
 BATCH_INGEST_SQL = f"""
 WITH items AS (
-  SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id,
+  SELECT e.event_type AS topic, {_GUID.format(u='e.user_id', t='e.ts')} AS guid, e.ts, e.event_id,
          {S.page_title('p.html')} AS title, p.url AS link, {_HOST.replace('url', 'p.url')} AS source
   FROM events e JOIN pages p ON p.page_id = e.user_id
   WHERE e.ts >= TIMESTAMP '{CUT}'),
-fresh AS (SELECT * FROM items WHERE guid NOT IN (SELECT user_id::VARCHAR FROM events WHERE ts < TIMESTAMP '{SEEN}')),
+fresh AS (SELECT * FROM items WHERE guid NOT IN (SELECT {_GUID.format(u='user_id', t='ts')} FROM events WHERE ts < TIMESTAMP '{CUT}')),
 landed AS (SELECT url, {S.article_text('html')} AS content FROM pages WHERE {S.has_complete_body('html')}),
 texts AS (SELECT f.*, {S.compose_scoring_text('f.title', 'l.content')} AS st FROM fresh f LEFT JOIN landed l ON l.url = f.link),
 ans AS (SELECT *, ((length(st) % 11) - 5)::VARCHAR AS score, length(st) || ' characters' AS "analyse" FROM texts),
@@ -37,8 +38,10 @@ FROM kept k JOIN c ON c.name = k.topic || '{I.COUNTER_SUFFIX}'
 def batch_tick(spark, sf_dir):
     feed = FD.feed_items(spark, sf_dir)
     items = feed.filter(F.col("published") >= FD.ts_lit(feed, "published", FD.CUTOFF))
-    seen = FD.seen_keys(spark, sf_dir).select(F.col("user_id").cast("string").alias("guid"))
-    return G.run_tick(items, seen, FD.counters_table(spark, sf_dir), page_content=landed_pages(spark, sf_dir))
+    items = items.withColumn("guid", FD.hourly_guid(F.col("guid"), F.col("published")))
+    counters = FD.counters_table(spark, sf_dir, FD.CUTOFF)
+    pages = fetched_pages(spark, sf_dir)
+    return G.run_tick(items, FD.seen_keys(spark, sf_dir), counters, page_content=pages, extract=H.article_text)
 
 
 @register("batch_ingest", BATCH_INGEST_SQL)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from quillstream.operators import dedupe as D
@@ -14,7 +12,7 @@ from quillstream.sources import feed as FD
 from quillstream.sources.tables import read_table
 
 CUT = FD.CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
-SEEN = FD.SEEN_CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
+_ALL_COUNTERS_SQL = f"SELECT event_type || '{I.COUNTER_SUFFIX}' AS name, count(*)::BIGINT AS seq FROM events GROUP BY 1"
 _COUNTERS_SQL = (
     f"SELECT event_type || '{I.COUNTER_SUFFIX}' AS name, count(*)::BIGINT AS seq FROM events "
     f"WHERE ts < TIMESTAMP '{CUT}' GROUP BY 1"
@@ -24,21 +22,26 @@ _BATCH_SQL = f"SELECT * FROM events WHERE ts >= TIMESTAMP '{CUT}'"
 # ------------------------------------------------------------------ S1 / P2 / P3 / W3
 
 WINDOW_TOPIC = "click"
-WINDOW_HI = dt.datetime(2024, 1, 20, 12, 0, 0)
-WINDOW_HOURS = 10
+WINDOW_HOURS = 48
+WINDOW_LIMIT = 30  # fixed value: items per topic and poll
+_LANG_SQL = "CASE WHEN user_id % 5 = 0 THEN 'de' ELSE 'en' END"
+_COUNTRY_SQL = "CASE WHEN user_id % 7 = 0 THEN 'DE' ELSE 'US' END"
 
 
 @register(
     "feed_topic_window",
-    f"SELECT event_id, ts, user_id FROM events WHERE event_type = '{WINDOW_TOPIC}' "
-    f"AND ts >= TIMESTAMP '{(WINDOW_HI - dt.timedelta(hours=WINDOW_HOURS)):%Y-%m-%d %H:%M:%S}' "
-    f"AND ts <= TIMESTAMP '{WINDOW_HI:%Y-%m-%d %H:%M:%S}' ORDER BY ts DESC, event_id LIMIT {FD.FEED_LIMIT}",
+    f"WITH hi AS (SELECT max(ts) AS t FROM events WHERE event_type = '{WINDOW_TOPIC}') "
+    f"SELECT event_id, ts, user_id FROM events, hi WHERE event_type = '{WINDOW_TOPIC}' "
+    f"AND ts >= t - INTERVAL {WINDOW_HOURS} HOURS AND ts <= t AND {_LANG_SQL} = 'en' AND {_COUNTRY_SQL} = 'US' "
+    f"ORDER BY ts DESC, event_id LIMIT {WINDOW_LIMIT}",
 )
 def feed_topic_window(spark, sf_dir):
     events = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", F.col("event_type").alias("topic")
+        "event_id", "ts", "user_id", F.col("event_type").alias("topic"),
+        F.expr(_LANG_SQL).alias("lang"), F.expr(_COUNTRY_SQL).alias("country"),
     )
-    w = FD.topic_window(events, WINDOW_TOPIC, WINDOW_HI, WINDOW_HOURS, time_col="ts", tie_col="event_id")
+    hi = events.filter(F.col("topic") == WINDOW_TOPIC).agg(F.max("ts")).first()[0]  # the topic's newest item
+    w = FD.topic_window(events, WINDOW_TOPIC, hi, WINDOW_HOURS, time_col="ts", tie_col="event_id", limit=WINDOW_LIMIT)
     return w.select("event_id", "ts", "user_id")
 
 
@@ -67,15 +70,17 @@ def dedupe_first(spark, sf_dir):
     return D.first_per_key(events, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id")
 
 
+_HOURLY_SQL = "user_id || ':' || strftime(ts, '%H')"
+
+
 @register(
     "dedupe_new_only",
-    f"SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id FROM ({_BATCH_SQL}) b "
-    f"WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '{SEEN}') GROUP BY user_id",
+    f"SELECT {_HOURLY_SQL} AS guid, arg_min(event_id, (ts, event_id)) AS event_id FROM ({_BATCH_SQL}) b "
+    f"WHERE {_HOURLY_SQL} NOT IN (SELECT {_HOURLY_SQL} FROM events WHERE ts < TIMESTAMP '{CUT}') GROUP BY 1",
 )
 def dedupe_new_only(spark, sf_dir):
-    batch = FD.current_batch(spark, sf_dir).select("user_id", "ts", "event_id")
-    seen = FD.seen_keys(spark, sf_dir)
-    return D.new_only(batch, seen, "user_id", ["ts", "event_id"]).select("user_id", "event_id")
+    batch = FD.current_batch(spark, sf_dir).select(FD.hourly_guid(F.col("user_id"), F.col("ts")).alias("guid"), "ts", "event_id")
+    return D.new_only(batch, FD.seen_keys(spark, sf_dir), "guid", ["ts", "event_id"]).select("guid", "event_id")
 
 
 # ------------------------------------------------------------------ W1 / K6 / K7 / S5 / K11
@@ -91,18 +96,18 @@ def allocate_ids(spark, sf_dir):
     batch = FD.current_batch(spark, sf_dir).select(
         "event_id", "ts", I.counter_name(F.col("event_type")).alias("counter")
     )
-    out = I.allocate_ids(batch, ["ts", "event_id"], "counter", FD.counters_table(spark, sf_dir))
+    out = I.allocate_ids(batch, ["ts", "event_id"], "counter", FD.counters_table(spark, sf_dir, FD.CUTOFF))
     return out.select("event_id", "id")
 
 
-@register("counter_lookup", f"SELECT name, seq FROM ({_COUNTERS_SQL}) WHERE name = 'click{I.COUNTER_SUFFIX}' LIMIT 1")
+@register("counter_lookup", f"SELECT name, seq FROM ({_ALL_COUNTERS_SQL}) WHERE name = 'click{I.COUNTER_SUFFIX}' LIMIT 1")
 def counter_lookup(spark, sf_dir):
     return I.lookup_counter(FD.counters_table(spark, sf_dir), f"click{I.COUNTER_SUFFIX}")
 
 
 @register(
     "counter_json",
-    f"SELECT name, to_json(struct_pack(name := name, seq := seq))::VARCHAR AS json FROM ({_COUNTERS_SQL})",
+    f"SELECT name, to_json(struct_pack(name := name, seq := seq))::VARCHAR AS json FROM ({_ALL_COUNTERS_SQL})",
 )
 def counter_json(spark, sf_dir):
     return I.counter_json(FD.counters_table(spark, sf_dir))
@@ -116,7 +121,7 @@ def counter_json(spark, sf_dir):
 )
 def counter_advance(spark, sf_dir):
     batch = FD.current_batch(spark, sf_dir).select(I.counter_name(F.col("event_type")).alias("counter"))
-    return I.advance_counters(FD.counters_table(spark, sf_dir), batch, "counter")
+    return I.advance_counters(FD.counters_table(spark, sf_dir, FD.CUTOFF), batch, "counter")
 
 
 # per-day topics: the first half of the month already has counters
@@ -144,26 +149,3 @@ def counter_init(spark, sf_dir):
     want = events.select(_day_name().alias("name"))
     return I.init_counters(have, want)
 
-
-
-
-# ------------------------------------------------------------------ D3
-
-LRU_CAPACITY = 100
-
-
-@register(
-    "dedupe_lru_exact",
-    f"""WITH r AS (SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS i FROM events),
-p AS (SELECT *, lag(i) OVER (PARTITION BY user_id ORDER BY i) AS prev FROM r)
-SELECT a.event_id, CASE WHEN a.prev IS NULL THEN false ELSE
-  (SELECT count(*) FROM p b WHERE b.i > a.prev AND b.i < a.i AND (b.prev IS NULL OR b.prev < a.prev))
-  < {LRU_CAPACITY} END AS hit
-FROM p a""",
-)
-def dedupe_lru_exact(spark, sf_dir):
-    from quillstream.operators.lru import lru_hits
-
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    out = lru_hits(events, "user_id", ["ts", "event_id"], LRU_CAPACITY)
-    return out.select("event_id", "hit")

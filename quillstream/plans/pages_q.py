@@ -50,14 +50,16 @@ def article_blocks(spark, sf_dir):
 # page and is scored on the title alone.
 
 
+def fetched_pages(spark, sf_dir):
+    """(url, html) of every completely fetched page."""
+    return read_table(spark, sf_dir, "pages").filter(H.has_complete_body(F.col("html"))).select("url", "html")
+
+
 def landed_pages(spark, sf_dir):
     """(url, content): article text of every completely fetched page.
     Computed map-side, so only (url, text) -- not the HTML -- is shuffled
     into the join."""
-    pages = read_table(spark, sf_dir, "pages")
-    return pages.filter(H.has_complete_body(F.col("html"))).select(
-        "url", H.article_text(F.col("html")).alias("content")
-    )
+    return fetched_pages(spark, sf_dir).select("url", H.article_text(F.col("html")).alias("content"))
 
 
 def page_items(spark, sf_dir):

@@ -8,7 +8,6 @@ setting is absent (tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,7 +24,7 @@ _LOCAL_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # reliable checkpoints (answers, ranked batches, LRU prefixes) are
+    # reliable checkpoints (ranked batches) are
     # removed once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # duplicate keys in a model answer: the last one wins (the source
@@ -35,16 +34,19 @@ _LOCAL_DEFAULTS = {
 
 
 def get_session(master: str | None = None, app_name: str = "quillstream", **conf: str) -> SparkSession:
-    """Return the active session or build a local one with sane defaults."""
+    """The active session, or a new one.  Without ``master`` the deployment's
+    own settings (spark-submit, spark-defaults) hold and nothing local is
+    assumed; with a local ``master`` the defaults for tests and small runs
+    apply.  ``conf`` wins over both."""
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
     builder = SparkSession.builder.appName(app_name)
-    if master is None:
-        master = os.environ.get("QUILLSTREAM_MASTER", "local[8]")
-    builder = builder.master(master)
-    for k, v in {**_LOCAL_DEFAULTS, **conf}.items():
+    if master is not None:
+        builder = builder.master(master)
+    defaults = _LOCAL_DEFAULTS if master is not None and master.startswith("local") else {}
+    for k, v in {**defaults, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,14 +55,17 @@ def get_session(master: str | None = None, app_name: str = "quillstream", **conf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the cluster sets it; otherwise
-    create a local one (only happens in tests / local runs)."""
+    """The folder of ``spark.checkpoint.dir``.  Only a local master gets a
+    temporary one when it is unset; on a cluster that would be one machine's
+    folder, so the setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quillstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

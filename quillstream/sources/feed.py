@@ -19,16 +19,13 @@ from quillstream.functions import links as L
 from quillstream.operators.ids import counter_name
 from quillstream.sources.tables import read_table
 
-# Fixed values of the source system's search: language, location, limit.
+# Fixed values of the source system's search: language and location.
 FEED_LANG = "en"
 FEED_COUNTRY = "US"
-FEED_LIMIT = 30
 
 # Fixture parameters: items published before CUTOFF were ingested by
 # earlier ticks (they define the counters and the seen keys).
 CUTOFF = dt.datetime(2024, 1, 15)
-# Guids already marked seen: those of the first ticks (before SEEN_CUTOFF).
-SEEN_CUTOFF = dt.datetime(2024, 1, 1, 12)
 
 
 def ts_lit(df: DataFrame, col: str, value: dt.datetime):
@@ -69,26 +66,29 @@ def topic_window(
     hours: int,
     time_col: str = "published",
     tie_col: str = "guid",
-    limit: int = FEED_LIMIT,
+    limit: int | None = None,
     lang: str | None = FEED_LANG,
     country: str | None = FEED_COUNTRY,
 ) -> DataFrame:
-    """Items of ``topic`` published in ``[hi - hours, hi]``, newest
-    first, at most ``limit``.  The bounds are literals so the predicate is
-    pushed into the parquet scan and a rerun is repeatable; the limit is
-    a per-partition top-k merged on the driver side of the plan
-    (TakeOrderedAndProject), never a global sort."""
+    """Items of ``topic`` published in ``[hi - hours, hi]`` in the given
+    language and country (None: any); a feed without such a column is an
+    error, not a filter that is left out.  With ``limit`` (W3) the newest
+    ones, by a per-partition top-k (TakeOrderedAndProject); without it all of
+    them, unordered.  The bounds are literals, so the predicate is pushed into
+    the parquet scan and a rerun is repeatable."""
     lo = hi - dt.timedelta(hours=hours)
     cond = (
         (F.col("topic") == topic)
         & (F.col(time_col) >= ts_lit(feed, time_col, lo))
         & (F.col(time_col) <= ts_lit(feed, time_col, hi))
     )
-    if lang is not None and "lang" in feed.columns:
-        cond = cond & (F.col("lang") == lang)
-    if country is not None and "country" in feed.columns:
-        cond = cond & (F.col("country") == country)
-    return feed.filter(cond).orderBy(F.col(time_col).desc(), F.col(tie_col)).limit(limit)
+    for name, wanted in (("lang", lang), ("country", country)):
+        if wanted is not None:
+            if name not in feed.columns:
+                raise ValueError(f"the feed has no column {name!r}: pass {name}=None to take any")
+            cond = cond & (F.col(name) == wanted)
+    found = feed.filter(cond)
+    return found if limit is None else found.orderBy(F.col(time_col).desc(), F.col(tie_col)).limit(limit)
 
 
 def project_items(feed: DataFrame) -> DataFrame:
@@ -99,13 +99,13 @@ def project_items(feed: DataFrame) -> DataFrame:
     return x.select("guid", "title", F.col("published").alias("date"), "link", L.url_host(F.col("link")).alias("source"))
 
 
-def counters_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters as left by earlier ticks: one per topic, seq = items
-    published before CUTOFF."""
+def counters_table(spark: SparkSession, sf_dir: str, before: dt.datetime | None = None) -> DataFrame:
+    """Counters, one per topic, seq = its items; with ``before`` as earlier
+    ticks left them: only items published before that time count."""
     events = read_table(spark, sf_dir, "events")
+    past = events if before is None else events.filter(F.col("ts") < ts_lit(events, "ts", before))
     return (
-        events.filter(F.col("ts") < ts_lit(events, "ts", CUTOFF))
-        .groupBy(counter_name(F.col("event_type")).alias("name"))
+        past.groupBy(counter_name(F.col("event_type")).alias("name"))
         .agg(F.count(F.lit(1)).cast("long").alias("seq"))
     )
 
@@ -116,7 +116,14 @@ def current_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.filter(F.col("ts") >= ts_lit(events, "ts", CUTOFF))
 
 
+def hourly_guid(guid, published):
+    """Guid of a user's items of one hour of the day: fine enough that a
+    batch holds both known and new guids."""
+    return F.concat_ws(":", guid.cast("string"), F.date_format(published, "HH"))
+
+
 def seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Guids marked seen by earlier ticks."""
+    """Hourly guids of all items of earlier ticks."""
     events = read_table(spark, sf_dir, "events")
-    return events.filter(F.col("ts") < ts_lit(events, "ts", SEEN_CUTOFF)).select("user_id")
+    past = events.filter(F.col("ts") < ts_lit(events, "ts", CUTOFF))
+    return past.select(hourly_guid(F.col("user_id"), F.col("ts")).alias("guid"))

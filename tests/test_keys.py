@@ -1,5 +1,4 @@
 import random
-from collections import OrderedDict
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +6,6 @@ from pyspark.sql import functions as F
 from quillstream.operators import dedupe as D
 from quillstream.operators import ids as I
 from quillstream.operators import merge as MG
-from quillstream.operators.lru import lru_hits
 
 
 def _skewed(spark, n=3000, seed=7):
@@ -17,29 +15,6 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "pos long, key string, t long"), rows
 
 
-def _py_lru(keys, cap):
-    c, out = OrderedDict(), []
-    for k in keys:
-        if k in c:
-            c.move_to_end(k)
-            out.append(True)
-        else:
-            c[k] = None
-            if len(c) > cap:
-                c.popitem(last=False)
-            out.append(False)
-    return out
-
-
-@pytest.mark.parametrize("cap,block", [(5, 97), (50, 400), (300, 1000)])
-def test_lru_matches_sequential_replay(spark, cap, block):
-    df, rows = _skewed(spark)
-    got = {r["pos"]: r["hit"] for r in lru_hits(df, "key", ["t", "pos"], cap, block_rows=block).collect()}
-    order = sorted(rows, key=lambda r: (r[2], r[0]))
-    want = dict(zip([r[0] for r in order], _py_lru([r[1] for r in order], cap)))
-    assert got == want
-
-
 def test_ids_contiguous_unique_under_skew(spark):
     df, rows = _skewed(spark)
     df = df.withColumn("counter", F.concat(F.when(F.col("key") == "hot", "hot").otherwise("cold"), F.lit("-counter")))
