@@ -8,42 +8,35 @@ oracle possible.  Every element pattern ends with ``(?:...|\\z)`` so pages
 truncated mid-element still parse.
 
 Known limits of the regex form (documented, tested): same-name nesting
-inside a skipped element, ``>`` inside attribute values, entities outside
-the fixed list below, and ``<!--`` inside script text.
+inside a skipped element, ``>`` inside attribute values, references without
+a semicolon, and ``<!--`` inside script text.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillstream.functions import columns
-
+from quillstream.functions.links import let, url_host
 from quillstream.functions.text import clean_words
 
 # Fixed values (must match the source system's behaviour):
 #   subtrees dropped from main content: script, style, nav, header, footer
-#   entity map, applied in this order, "&amp;" last so "&amp;lt;" stays "&lt;"
 SKIPPED_ELEMENTS = ("script", "style", "nav", "header", "footer")
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
 
 COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
 TAG_RE = r"(?s)<[/!?]?[A-Za-z][^>]*(?:>|\z)"
-TITLE_RE = r"(?is)<title\b[^>]*>(.*?)(?:</title\s*>|\z)"
-BODY_RE = r"(?is)<body\b.*?(?:</body\s*>|\z)"
+# a tag name ends at white space, a slash or ">": "<nav" does not match "<nav-bar>"
+TITLE_RE = r"(?is)<title(?:[\s/][^>]*)?>(.*?)(?:</title\s*>|\z)"
+BODY_RE = r"(?is)<body(?:[\s/>]).*?(?:</body\s*>|\z)"
 
 
 def element_re(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)"
+    return rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?(?:</{tag}\s*>|\z)"
 
 
 # Comments and the skipped subtrees removed in ONE left-to-right pass: an
@@ -52,7 +45,7 @@ def element_re(tag: str) -> str:
 # construct starts first wins, as in a tokenizer.  The shared "<" is
 # factored out so every other character costs one comparison.
 NOISE_RE = "(?is)<(?:" + "|".join(
-    [r"!--.*?(?:-->|\z)"] + [rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
+    [r"!--.*?(?:-->|\z)"] + [rf"{t}(?:[\s/][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
 ) + ")"
 
 # Noise and every other tag in the same pass (both become one space): the
@@ -60,13 +53,38 @@ NOISE_RE = "(?is)<(?:" + "|".join(
 MARKUP_RE = NOISE_RE[:-1] + r"|[/!?]?[A-Za-z][^>]*(?:>|\z))"
 
 
+NAMED_REFERENCES = json.dumps({**{n: chr(p) for n, p in sorted(name2codepoint.items())}, "apos": "'"})
+REFERENCE_RE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point; U+FFFD for none (0, surrogates, too
+    large)."""
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 @columns(1)
 def decode_entities(c: Column) -> Column:
-    decoded = c
-    for ent, ch in ENTITIES:
-        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
-    # every entity starts with "&": text without one is returned as is
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    """Character references with their semicolon: decimal, hexadecimal and
+    the named ones of HTML 4 (the standard library's table).  One pass, so
+    "&amp;lt;" becomes "&lt;"; unknown names stay."""
+    names = F.from_json(F.lit(NAMED_REFERENCES), "map<string,string>")  # folded to one literal
+
+    def one(part: Column) -> Column:
+        ref = F.regexp_extract(part, REFERENCE_RE, 1)
+        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7))
+        char = F.when(ref.startswith("#"), _code_point(number.cast("long"))).otherwise(F.try_element_at(names, ref))
+        rest = F.substring(part, F.length(ref) + 2, F.length(part))
+        return F.when((ref == "") | char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, rest))
+
+    def decoded(text: Column) -> Column:
+        parts = F.split(text, "&")
+        rest = F.transform(F.slice(parts, 2, F.size(parts)), one)
+        # every reference starts with "&": text without one is returned as is
+        return F.when(text.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(text)
+
+    return let(c, decoded)  # the input, often a long expression, is bound once
 
 
 @columns(1)
@@ -126,7 +144,7 @@ def page_metadata_cols(html: Column, url: Column) -> list[Column]:
     Site name falls back to the host, title to <title>, description to
     the plain description meta tag."""
     head = F.regexp_extract(html, r"(?is)^.*?(?:</head\s*>|<body\b|\z)", 0)
-    host = F.try_parse_url(url, F.lit("HOST"))
+    host = url_host(url)
     return [
         F.coalesce(meta_content(head, "og:site_name"), host).alias("site_name"),
         F.coalesce(meta_content(head, "og:title"), page_title(head)).alias("title"),
@@ -171,7 +189,7 @@ def _solid_bytes(t: Column) -> Column:
 
 
 @columns(1)
-def article_text(html: Column) -> Column:
+def article_text(html: Column, min_bytes: int = ARTICLE_MIN_BLOCK_BYTES, link_share_inv: int = ARTICLE_MAX_LINK_SHARE_INV) -> Column:
     """H5: main article text of a page (see the rule above)."""
     body = page_body(html)
     src = F.when(body == "", html).otherwise(body)
@@ -191,11 +209,11 @@ def article_text(html: Column) -> Column:
 
     # visible text never has more bytes than the block's markup (tags become
     # one space, entities shrink), so short blocks are dropped up front
-    candidates = F.filter(blocks, lambda b: F.octet_length(b) >= ARTICLE_MIN_BLOCK_BYTES)
+    candidates = F.filter(blocks, lambda b: F.octet_length(b) >= min_bytes)
     scored = F.transform(F.transform(candidates, score), size)
     kept = F.filter(
         scored,
-        lambda s: (s["n"] >= ARTICLE_MIN_BLOCK_BYTES) & (s["links"] * ARTICLE_MAX_LINK_SHARE_INV <= s["n"]),
+        lambda s: (s["n"] >= min_bytes) & (s["links"] * link_share_inv <= s["n"]),
     )
     return clean_words(F.array_join(F.transform(kept, lambda s: s["text"]), " "))
 

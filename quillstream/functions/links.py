@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions import columns
@@ -90,9 +90,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+HOST_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@\s]+)(?::[0-9]*)?(?:[/?#].*)?$"
+
+
 @columns(1)
 def url_host(url: Column) -> Column:
-    return F.try_parse_url(url, F.lit("HOST"))
+    """Host of a URL.  Spark's parser refuses URLs with characters that the
+    source system's parser takes (``|``, a blank or braces after the host,
+    ``_`` in it); those fall back to the pattern.  A blank in the host is
+    invalid for both."""
+
+    def host(u: Column) -> Column:
+        plain = F.nullif(F.regexp_extract(u, "(?s)" + HOST_RE, 1), F.lit(""))
+        return F.coalesce(F.try_parse_url(u, F.lit("HOST")), plain)
+
+    return let(url, host)  # the url, often a long expression, is bound once
 
 
 @columns(1)
@@ -302,6 +314,32 @@ def substring_offsets(s: Column, needle: str) -> Column:
     return F.slice(prefix, start, F.size(chunks) - start + 1)
 
 
+def substring_offset_rows(df: DataFrame, key_col: str, text_col: str, needle: str) -> DataFrame:
+    """U6 for texts of any length: (key, offset) rows, one for each
+    (overlapping) occurrence, in one linear Arrow-batched scan.
+    :func:`substring_offsets` copies its result per match and suits texts
+    with few matches."""
+    wanted = needle.encode()
+
+    def scan(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, offsets = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = (text or "").encode()
+                at = raw.find(wanted)
+                while at >= 0:
+                    keys.append(key)
+                    offsets.append(at)
+                    at = raw.find(wanted, at + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(offsets, pa.int64())], names=["key", "offset"])
+
+    kind = df.schema[key_col].dataType.simpleString()
+    rows = df.select(key_col, F.col(text_col).cast("string")).mapInArrow(scan, f"key {kind}, offset bigint")
+    return rows.withColumnRenamed("key", key_col)
+
+
 @columns(1)
 def resolver_request(resolver_id: Column) -> Column:
     """U4: form-encoded body of the resolver call for an unresolved id."""

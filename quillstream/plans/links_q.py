@@ -117,7 +117,7 @@ NEEDLE = "<li"
 )
 def substring_offsets(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", F.explode(L.substring_offsets(F.col("html"), NEEDLE)).alias("offset"))
+    return L.substring_offset_rows(pages, "page_id", "html", NEEDLE)
 
 
 # --------------------------------------------------------------------- U4 / P11

@@ -139,6 +139,15 @@ ANSWER_CASES = [
     (-17, '{"Score":"1","score":"2","analyse":"case"}', "2", "case", None),
     (-18, '{"score":"2","Score":"1","analyse":"case"}', "1", "case", None),
     (-19, '{"SCORE":3,"score":"3","analyse":"t"}', None, None, "score_type"),
+    (-20, '{"score":"4","analyse":"ok"} This news is good', None, None, "invalid_json"),
+    (-21, "null trailing", None, None, "invalid_json"),
+    (-22, '{"score":"4"}{"score":"5"}', None, None, "invalid_json"),
+    (-23, '{"score":"4"},{"score":"5"}', None, None, "invalid_json"),
+    (-24, '{"score":"4"}] [2', None, None, "invalid_json"),
+    (-25, '{"score":"4"}} {', None, None, "invalid_json"),
+    (-26, ' {"score":"4","analyse":"ws"} \n', "4", "ws", None),
+    (-27, '{"score":"2","Score":null,"analyse":"later null"}', "2", "later null", None),
+    (-28, '{"score":"1","score":"2","analyse":"twice"}', "2", "twice", None),
 ]
 
 

@@ -19,8 +19,12 @@ def clean_words(expr: str) -> str:
     )
 
 
+# references in the driver pages, "&amp;" last (one pass on the Spark side)
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
 def decode_entities(expr: str) -> str:
-    for ent, ch in H.ENTITIES:
+    for ent, ch in ENTITIES:
         expr = f"replace({expr}, {lit(ent)}, {lit(ch)})"
     return expr
 
