@@ -111,3 +111,27 @@ def test_utf8_per_byte_matches_model(spark, blobs):
     df = spark.createDataFrame([(bytearray(b),) for b in blobs], "b binary")
     got = [r["s"] for r in df.select(L.utf8_per_byte(F.col("b")).alias("s")).collect()]
     assert got == [_go_decode(b) for b in blobs]
+
+
+def test_hosts_of_urls_that_a_strict_parser_refuses(spark):
+    cases = {
+        "https://example.com/a|b": "example.com",
+        "https://my_site.example.com/x": "my_site.example.com",
+        "https://example.com/a b": "example.com",
+        "https://example.com/?q={x}": "example.com",
+        "https://user:pw@host.example:8080/a|b": "host.example",
+        "http://bad host/x": None,
+        "no url": None,
+    }
+    df = spark.createDataFrame([(u,) for u in cases], "u string")
+    assert {r["u"]: r["h"] for r in df.select("u", L.url_host(F.col("u")).alias("h")).collect()} == cases
+
+
+def test_offset_rows_equal_the_column_function_and_scale_linearly(spark):
+    rows = [(1, "aaa"), (2, "éxéx"), (3, None), (4, ""), (5, "ab" * 40_000)]
+    df = spark.createDataFrame(rows, "k long, s string")
+    got = {}
+    for r in L.substring_offset_rows(df, "k", "s", "a").collect():
+        got.setdefault(r["k"], []).append(r["offset"])
+    assert got == {1: [0, 1, 2], 5: list(range(0, 80_000, 2))}
+    assert [r["offset"] for r in L.substring_offset_rows(df.where("k = 2"), "k", "s", "x").collect()] == [2, 5]

@@ -109,3 +109,27 @@ def test_duplicate_keys_last_wins_with_session_setting(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
+
+
+def test_envelope_keys_in_any_case_and_finish_reason_by_decoder(spark):
+    rows = [
+        '{"Choices":[{"Message":{"CONTENT":"x"}}]}',
+        '{"choices":[{"message":{"content":"x"},"finish_reason":3}]}',
+        '{"choices":[{"message":{"content":"say \\"Role\\": no"}}]}',
+    ]
+    df = spark.createDataFrame([(200, r) for r in rows], "status int, body string")
+    got = df.select(
+        M.first_choice_content(F.col("status"), F.col("body")).alias("f"), M.all_choices_content(F.col("status"), F.col("body")).alias("a")
+    ).collect()
+    assert [(r["f"], r["a"]) for r in got] == [("x", "x"), ("0", "x"), ('say "Role": no', 'say "Role": no')]
+
+
+def test_the_answer_parse_does_not_depend_on_the_session(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    df = spark.createDataFrame([('{"score":"1","score":"2"}',)], "a string")
+    assert df.select(M.strict_answer(F.col("a")).alias("p")).first()["p"]["score"] == "2"
+
+
+def test_the_prompt_names_topic_and_scale():
+    text = M.scoring_prompt("Acme", -3, 3, 50)
+    assert "Acme" in text and "-3" in text and "50 words" in text

@@ -139,3 +139,24 @@ def test_functions_accept_column_names(spark):
     b = df.select(H.page_title(F.col("html")).alias("x"), H.main_content(F.col("html")).alias("y"),
                   T.clean_words(F.col("t")).alias("z")).first()
     assert a == b == ("t", "hello world", "aa bb")
+
+
+def test_tag_names_match_whole_and_references_decode(spark):
+    cases = [
+        ("<nav-bar>menu</nav-bar><p>hello world</p>", "menu hello world"),
+        ("<nav class=x>menu</nav><p>hello world</p>", "hello world"),
+        ("<header-x>top</header-x><header>gone</header><p>it&#8217;s here &mdash; now</p>", "top it’s here now"),
+        ("<p>caf&eacute; &#x27;x&#x27; &amp;lt; &unknown; a&b &#0; &#xD800;!</p>", "café 'x' &lt; &unknown; a&b �!"),
+        ("<p>no references</p>", "no references"),
+    ]
+    df = spark.createDataFrame([(h,) for h, _ in cases], "h string")
+    got = [r["t"] for r in df.select(H.visible_text(F.col("h")).alias("t")).collect()]
+    # words of one byte are kept here: only the markup pass is under test
+    assert [" ".join(t.split()) for t in got] == [
+        "menu hello world",
+        "hello world",
+        "top it’s here — now",
+        "café 'x' &lt; &unknown; a&b � �!",
+        "no references",
+    ]
+    assert [r["t"] for r in df.select(H.main_content(F.col("h")).alias("t")).limit(2).collect()] == [c for _, c in cases[:2]]
