@@ -135,7 +135,7 @@ def test_side_tables_that_land_after_the_start_are_read(spark):
     feed_rows(spark, [("g1", "A", 1)]).write.parquet(feed)
     st = new_state(spark, ("A",))
     read = lambda: spark.read.parquet(pages)
-    scorer = lambda: (lambda text: '{"score":"' + str(len(text)) + '"}')
+    scorer = lambda: (lambda texts: ['{"score":"' + str(len(t)) + '"}' for t in texts])
     for guid in ("g1", "g2"):
         if guid == "g2":
             spark.createDataFrame([("https://example.org/g2", "a longer content")], "url string, content string").write.mode("append").parquet(pages)
