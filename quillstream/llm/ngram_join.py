@@ -138,14 +138,11 @@ def _orders(full: DataFrame, threshold: float) -> DataFrame:
     df = postings.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     # tokens of one class only come first in orders 2 and 3; they use up
     # prefix places and meet nobody
-    ranked = (
-        postings.join(df.hint("shuffle_hash"), "tok")
-        .groupBy("id")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("a"),
-            F.sort_array(F.collect_list(F.struct("df", F.xxhash64("tok").alias("h"), "tok"))).alias("b"),
-        )
+    ranked = postings.join(df.hint("shuffle_hash"), "tok").groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("a")
     )
+    again = F.transform("a", lambda x: F.struct(x["df"].alias("df"), F.xxhash64(x["tok"]).alias("h"), x["tok"].alias("tok")))
+    ranked = ranked.withColumn("b", F.sort_array(again))
     room = F.col("p") - (F.col("n") - F.size("a"))
     return (
         base.join(ranked, "id")
@@ -217,7 +214,7 @@ def ngram_jaccard_components(
     docs: DataFrame,
     threshold: float = 0.75,
     width: int = 5,
-    extra: float = 0.05,
+    extra: float = 0.15,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
