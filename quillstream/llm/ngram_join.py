@@ -130,10 +130,10 @@ def _survivors(sets: DataFrame, threshold: float, extra: float) -> DataFrame:
 
 
 def _orders(full: DataFrame, threshold: float) -> DataFrame:
-    """Prefix tokens of every surviving class under the three orders."""
+    """Set and prefix tokens of every surviving class under the three orders."""
     n = F.size("tokens")
     length = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
-    base = full.select("id", n.alias("n"), length.alias("p"), F.slice("tokens", 1, length).alias("p1"))
+    base = full.select("id", "tokens", n.alias("n"), length.alias("p"), F.slice("tokens", 1, length).alias("p1"))
     postings = full.select("id", F.explode("tokens").alias("tok"))
     df = postings.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     # tokens of one class only come first in orders 2 and 3; they use up
@@ -147,40 +147,45 @@ def _orders(full: DataFrame, threshold: float) -> DataFrame:
     return (
         base.join(ranked, "id")
         .where(room > 0)
-        .select("id", "n", "p1", F.slice("a.tok", 1, room).alias("p2"), F.slice("b.tok", 1, room).alias("p3"))
+        .select("id", "n", "tokens", "p1", F.slice("a.tok", 1, room).alias("p2"), F.slice("b.tok", 1, room).alias("p3"))
     )
 
 
-def _verified(pairs: DataFrame, orders: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
-    """Links (u, v) among candidate pairs that met under order 2: pairs that
-    also share prefix tokens under orders 1 and 3 have their sets compared."""
+def _verified(pairs: DataFrame, orders: DataFrame, threshold: float) -> DataFrame:
+    """Links (u, v) among candidate pairs that met under order 2: the sets of
+    pairs that also share prefix tokens under orders 1 and 3 are compared."""
 
-    def side(table: DataFrame, end: str, *cols: str) -> DataFrame:
-        return table.select(F.col("id").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in cols))
+    def side(end: str) -> DataFrame:
+        return orders.select(F.col("id").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("p1", "p3", "tokens")))
 
-    both = pairs.join(side(orders, "u", "p1", "p3"), "u").join(side(orders, "v", "p1", "p3"), "v")
-    passed = both.where(F.arrays_overlap("p3_u", "p3_v") & F.arrays_overlap("p1_u", "p1_v")).select("u", "v")
-    met = passed.join(side(full, "u", "tokens"), "u").join(side(full, "v", "tokens"), "v")
+    met = pairs.join(side("u"), "u").join(side("v"), "v")
+    passed = met.where(F.arrays_overlap("p3_u", "p3_v") & F.arrays_overlap("p1_u", "p1_v"))
     common = F.size(F.array_intersect("tokens_u", "tokens_v"))
     union = F.size("tokens_u") + F.size("tokens_v") - common
-    return met.where(100 * common >= round(100 * threshold) * union).select("u", "v")
+    return passed.where(100 * common >= round(100 * threshold) * union).select("u", "v")
 
 
-def ngram_links(orders: DataFrame, full: DataFrame, threshold: float, rest_factor: int = 8, max_rounds: int = 6) -> DataFrame:
-    """Verified links among classes that connect all truly linked classes."""
+def ngram_links(orders: DataFrame, threshold: float, rest_factor: int = 8, max_rounds: int = 4) -> DataFrame:
+    """Verified links among classes that connect all truly linked classes.
+
+    A star round compares every member of a bucket with the bucket's leader
+    (the smallest id, later the first in a hash order).  Members that share a
+    leader they are linked with need no comparison with each other; they get
+    that leader as their label, in one hop.  The pairs of a bucket with
+    different labels are enumerated once there are at most ``rest_factor`` of
+    them per posting, or after ``max_rounds`` rounds."""
     spark = orders.sparkSession
     buckets = cut(orders.select("id", "n", F.explode("p2").alias("tok")), "buckets")
     postings = buckets.count()
-    links = spark.createDataFrame([], "u bigint, v bigint")
-    tried = links
+    links = tried = None
     labelled = buckets.withColumn("comp", F.col("id"))
     similar = (F.col("v_n") >= F.col("u_n") * threshold - 1e-9) & (F.col("u_n") >= F.col("v_n") * threshold - 1e-9)
     ends = [F.least("u_id", "v_id").alias("u"), F.greatest("u_id", "v_id").alias("v")]
+    member = [F.col(c).alias(f"u_{c}") for c in ("id", "n", "comp")]
+    partner = [F.col(c).alias(f"v_{c}") for c in ("id", "n", "comp")]
     for turn in range(max_rounds + 1):
         parts = labelled.groupBy("tok", "comp").count()
-        rest = parts.groupBy("tok").agg(
-            (F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("pairs")
-        )
+        rest = parts.groupBy("tok").agg((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("pairs"))
         left = rest.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
@@ -188,26 +193,32 @@ def ngram_links(orders: DataFrame, full: DataFrame, threshold: float, rest_facto
         if last:
             open_ = rest.where("pairs > 0").select("tok").hint("shuffle_hash")
             rows = labelled.join(open_, "tok")
-            one = rows.select("tok", *(F.col(c).alias(f"u_{c}") for c in ("id", "n", "comp")))
-            two = rows.select("tok", *(F.col(c).alias(f"v_{c}") for c in ("id", "n", "comp")))
-            pairs = one.join(two, "tok").where("u_id < v_id")
+            pairs = rows.select("tok", *member).join(rows.select("tok", *partner), "tok").where("u_id < v_id")
         else:
-            lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "comp")).alias("lead")
-            leaders = labelled.groupBy("tok").agg(lead).select("tok", *(F.col(f"lead.{c}").alias(f"v_{c}") for c in ("id", "n", "comp")))
-            pairs = labelled.select("tok", *(F.col(c).alias(f"u_{c}") for c in ("id", "n", "comp"))).join(leaders, "tok")
-        pairs = pairs.where("u_comp != v_comp").where(similar).select(*ends).distinct().join(tried, ["u", "v"], "left_anti")
+            place = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
+            lead = F.min(F.struct(place.alias("h"), "id", "n", "comp")).alias("lead")
+            leaders = labelled.groupBy("tok").agg(lead).select("tok", "lead.*").select("tok", *partner)
+            pairs = labelled.select("tok", *member).join(leaders, "tok").withColumn("lead", F.col("v_id"))
+        pairs = pairs.where("u_comp != v_comp").where(similar)
+        if last:
+            pairs = pairs.select(*ends).distinct()
+        else:  # with the leader that joins the two
+            pairs = pairs.groupBy(*ends).agg(F.min("lead").alias("lead"))
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
         pairs = cut(pairs, "pairs")
-        links = cut(links.union(_verified(pairs, orders, full, threshold)), "found")
+        found = cut(_verified(pairs, orders, threshold), "found")
+        links = found if links is None else links.union(found)
         if last:
             break
-        tried = tried.union(pairs)
-        labelled = cut(
-            buckets.join(connected_components(links), "id", "left").select(
-                "id", "n", "tok", F.coalesce("component", "id").alias("comp")
-            ),
-            "labelled",
-        )
-    return links
+        tried = pairs.select("u", "v") if tried is None else tried.union(pairs.select("u", "v"))
+        # a label is a leader that its members are linked with, so members of
+        # one label are connected; a member that has one keeps it
+        own = found.join(pairs, ["u", "v"]).select("lead", F.when(F.col("lead") == F.col("u"), F.col("v")).otherwise(F.col("u")).alias("id"))
+        own = own.groupBy("id").agg(F.min("lead").alias("lead"))
+        label = F.when((F.col("comp") == F.col("id")) & F.col("lead").isNotNull(), F.col("lead")).otherwise(F.col("comp"))
+        labelled = cut(labelled.join(own, "id", "left").select("id", "n", "tok", label.alias("comp")), "labelled")
+    return spark.createDataFrame([], "u bigint, v bigint") if links is None else links
 
 
 def ngram_jaccard_components(
@@ -246,7 +257,7 @@ def ngram_jaccard_components(
         "full",
     )
     orders = cut(_orders(full, threshold), "orders")
-    components = connected_components(ngram_links(orders, full, threshold))
+    components = connected_components(ngram_links(orders, threshold))
     merged = classes.join(components.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
