@@ -165,7 +165,7 @@ def _verified(pairs: DataFrame, orders: DataFrame, threshold: float) -> DataFram
     return passed.where(100 * common >= round(100 * threshold) * union).select("u", "v")
 
 
-def ngram_links(orders: DataFrame, threshold: float, rest_factor: int = 8, max_rounds: int = 4) -> DataFrame:
+def ngram_links(orders: DataFrame, threshold: float, rest_factor: int = 4, max_rounds: int = 4) -> DataFrame:
     """Verified links among classes that connect all truly linked classes.
 
     A star round compares every member of a bucket with the bucket's leader
