@@ -32,7 +32,9 @@ KNOWN_PREFIX = "^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk_live
 TOKEN = "[A-Za-z0-9+/_-]"
 CANDIDATE = (
     f"(?<!{TOKEN})(?=[A-Za-z+/_-]{{0,256}}[0-9]){TOKEN}{{16,}}"
-    f"|(?<=(?i:{SECRET_NAMES})[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?)(?=[^\\s0-9]{{0,64}}[0-9])[^\\s\"'<>,;]{{6,}}"
+    # the short look-behind spares most places the long one, which implies it
+    "|(?<=[=:][ \\t]{0,3}[\"']?)"
+    f"(?<=(?i:{SECRET_NAMES})[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?)(?=[^\\s0-9]{{0,64}}[0-9])[^\\s\"'<>,;]{{6,}}"
 )
 REDACTED = "[SECRET]"
 
@@ -165,7 +167,8 @@ def scan_secrets(
     rows; without labels of both kinds the published prefixes and assigned
     secret names decide; other columns are ignored."""
     words = cut(dictionary(docs, dictionary_size, text_col), "dictionary")
-    rows = cut(with_features(find_candidates(docs, id_col, text_col), words), "candidates")
+    found = cut(find_candidates(docs, id_col, text_col), "found")  # read twice below
+    rows = cut(with_features(found, words), "candidates")
     known = seed_labels(rows) if labelled is None else with_features(labelled, words)
     found = judge(rows, train(known, max_labelled))
     return found.select("doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret")
