@@ -1,16 +1,18 @@
 """Secret scan with a random forest against false positives (operator 4).
 
-Everything runs as DataFrame and SQL functions.  Candidates are long tokens
-with a digit, and values assigned to a secret-like name.  Each one gets
+Everything runs as DataFrame and SQL functions.  Candidates are values of six
+or more characters that a URL gives as a login's password or that are assigned
+to a secret-like name, and long tokens; none needs a digit.  Each one gets
 numbers for its length, its character classes and the transitions between
 them, the share of it that dictionary words cover, whether it stands in a
 path or URL, and the words beside it.  A random forest (Spark ML), trained
 on a bounded sample of labelled findings, keeps the true ones.
 
-The dictionary is the ``dictionary_size`` words that most documents have,
-counted over the whole corpus; its size is bounded by that parameter, so it
+The dictionary is the ``dictionary_size`` words that most documents, and at
+least two, have, counted over the whole corpus; its size is bounded by that parameter, so it
 is broadcast.  Without labelled findings of the user's own, ``seed_labels``
-labels the findings whose form and neighbours leave no doubt.
+labels the findings whose form and neighbours leave no doubt; the forest
+learns from these and decides the others.
 """
 
 from __future__ import annotations
@@ -30,17 +32,28 @@ PLAIN_NAMES = "sha1|sha256|md5|hash|digest|checksum|commit|revision|uuid|guid|or
 #: Published prefixes of access tokens.
 KNOWN_PREFIX = "^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk_live_|rk_live_|AIza|SG\\.|eyJ)"
 TOKEN = "[A-Za-z0-9+/_-]"
+#: What may follow a secret-like name: SECRET_KEY, tokens, apiKeyValue, auth.value.
+NAME_END = "s?(?:(?:[0-9_.-]|(?<=[a-z])[A-Z])[A-Za-z0-9_.-]{0,48}|)"
+#: Characters that end an unquoted value unless more of the value follows them.
+STOP = "[,;&.)\\]}\"']"
+VALUE = (
+    "(?:(?<=\")(?=[^\"\\s][^\"\\n]{5})[^\"\\\\\\n]*+(?:\\\\.[^\"\\\\\\n]*+){0,256}+(?=\")"
+    "|(?<=')(?=[^'\\s][^'\\n]{5})[^'\\\\\\n]*+(?:\\\\.[^'\\\\\\n]*+){0,256}+(?=')"
+    f"|[^\\s<>,;&.)\\]}}\"']++(?:{STOP}(?![\\s<>]|{STOP}|$|[A-Za-z_][A-Za-z0-9_.-]{{0,40}}[\"']?[ \\t]{{0,3}}[=:])[^\\s<>,;&.)\\]}}\"']++){{0,256}}+)"
+)
+LOGIN = "(?<=[A-Za-z0-9+.-]://[^\\s/?#:]{0,64}:)"
 CANDIDATE = (
-    f"(?<!{TOKEN})(?=[A-Za-z+/_-]{{0,256}}[0-9]){TOKEN}{{16,}}"
-    # the short look-behind spares most places the long one, which implies it
-    "|(?<=[=:][ \\t]{0,3}[\"']?)"
-    f"(?<=(?i:{SECRET_NAMES})[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?)(?=[^\\s0-9]{{0,64}}[0-9])[^\\s\"'<>,;]{{6,}}"
+    # the short look-behinds spare most places the long ones, which imply them
+    f"(?<=:){LOGIN}[^\\s/?#\"'<>]{{6,}}(?=@)"
+    "|(?<=[=: \\t\"'])(?<=[=:][ \\t]{0,3}[\"']?)"
+    f"(?<=(?i:{SECRET_NAMES}){NAME_END}[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?){VALUE}"
+    f"|(?<!{TOKEN}){TOKEN}{{16,}}+"
 )
 REDACTED = "[SECRET]"
 
 FEATURES = [
     "length", "digits", "uppers", "lowers", "others", "hex", "changes", "distinct", "longest_digits", "covered", "known_prefix",
-    "in_path", "slashes", "assigned", "quoted", "named_secret", "named_plain",
+    "in_path", "slashes", "assigned", "quoted", "named_secret", "named_plain", "given", "one_word",
 ]
 
 
@@ -48,27 +61,31 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, ordinal, candidate, before, after) of every candidate; before
     and after hold up to 80 and 40 characters of the text beside it."""
     text = F.col("text")
-    # a candidate holds a digit: texts without one need no search
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(text.rlike("[0-9]"))
-    found = own.select(
-        "doc_id", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), F.split(text, CANDIDATE, -1).alias("gaps")
-    ).where(F.size("c") > 0)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    searched = own.select("doc_id", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), text)
+    found = searched.select("doc_id", "c", F.when(F.size("c") > 0, F.split(text, CANDIDATE, -1)).alias("gaps"))
+    piece = lambda name, i: F.coalesce(F.get(name, i), F.lit(""))
     beside = F.transform(
         "c",
         lambda c, i: F.struct(
             c.alias("candidate"),
-            F.right(F.get("gaps", i), F.lit(80)).alias("before"),
-            F.left(F.get("gaps", i + 1), F.lit(40)).alias("after"),
+            # a name beside it may be a candidate itself
+            F.right(F.concat(piece("gaps", i - 1), piece("c", i - 1), piece("gaps", i)), F.lit(80)).alias("before"),
+            F.left(F.concat(piece("gaps", i + 1), piece("c", i + 1), piece("gaps", i + 2)), F.lit(40)).alias("after"),
         ),
     )
-    return found.select("doc_id", F.posexplode(beside).alias("ordinal", "f")).select("doc_id", "ordinal", "f.*")
+    long_enough = F.filter(beside, lambda f: F.length(f["candidate"]) >= 6)
+    # outer: a row filter before it would run the search a second time
+    rows = found.select("doc_id", F.posexplode_outer(long_enough).alias("ordinal", "f")).where("ordinal is not null")
+    return rows.select("doc_id", "ordinal", "f.*")
 
 
 def dictionary(docs: DataFrame, size: int = 20_000, text_col: str = "text") -> DataFrame:
-    """The ``size`` words of three or more letters a-z that most rows have;
-    letters beside digits are parts of codes, not words."""
+    """The ``size`` words of three or more letters a-z that most rows have,
+    each in two or more: a secret of letters must not make itself a word.
+    Letters beside digits are parts of codes, not words."""
     words = F.array_distinct(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z0-9]+"))
-    counted = docs.select(F.explode(words).alias("word")).where(F.col("word").rlike("^[a-z]{3,}$")).groupBy("word").count()
+    counted = docs.select(F.explode(words).alias("word")).where(F.col("word").rlike("^[a-z]{3,}$")).groupBy("word").count().where("count > 1")
     return counted.orderBy(F.desc("count"), "word").limit(size).select("word")
 
 
@@ -87,6 +104,10 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     last_words = F.lower(F.regexp_extract("before", r"((?:\S+\s+){0,2}\S*\s*)$", 1))
     word = F.regexp_extract("before", r"(\S*)$", 1)
     flag = lambda c: c.cast("double")
+    login = F.col("before").rlike(LOGIN + "$") & F.col("after").startswith("@")
+    quoted = F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")
+    assigned = F.col("before").rlike(r"[=:]\s*[\"']?$")
+    named = name.rlike(f"(?i:{SECRET_NAMES}){NAME_END}$")
     return (
         found.join(covered, "candidate", "left")
         .withColumn("length", size.cast("double"))
@@ -103,26 +124,38 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         )
         .withColumn("covered", F.coalesce("letters", F.lit(0)) / size)
         .withColumn("known_prefix", flag(F.col("candidate").rlike(KNOWN_PREFIX)))
-        .withColumn("in_path", flag(word.contains("://") | word.endswith("/") | F.col("candidate").rlike(r"\.[a-z]{2,4}$")))
+        .withColumn("in_path", flag(~login & (word.contains("://") & ~(assigned & named) | word.endswith("/") | F.col("candidate").rlike(r"\.[a-z]{2,4}$"))))
         .withColumn("slashes", F.regexp_count("candidate", F.lit("/")).cast("double"))
-        .withColumn("assigned", flag(F.col("before").rlike(r"[=:]\s*[\"']?$")))
-        .withColumn("quoted", flag(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")))
-        .withColumn("named_secret", flag(F.lower(name).rlike(f"({SECRET_NAMES})") | last_words.rlike(f"\\b({SECRET_NAMES})\\b")))
+        .withColumn("assigned", flag(assigned))
+        .withColumn("quoted", flag(quoted))
+        .withColumn("named_secret", flag(login | named | last_words.rlike(f"\\b({SECRET_NAMES})\\b")))
         .withColumn("named_plain", flag(last_words.rlike(f"\\b({PLAIN_NAMES})\\b")))
+        .withColumn("given", flag(login | (assigned & named)))
+        .withColumn("one_word", flag(~login & ~quoted & F.col("candidate").rlike("^([A-Z]?[a-z]+|[A-Z]+)[!?:]*$") & (F.col("covered") >= 0.5)))
         .drop("letters")
     )
 
 
-def seed_labels(rows: DataFrame) -> DataFrame:
-    """Findings with a label where form and neighbours agree: 1 for a
-    published prefix in full form or a mixed value assigned to a secret name,
-    0 for plain numbers, path parts and tokens made of dictionary words."""
-    mixed = (F.col("digits") > 0.05) & (F.col("digits") < 0.95) & (F.col("distinct") > 0.15)
-    secret = ((F.col("known_prefix") == 1) & (F.col("length") >= 20) & mixed) | (
-        (F.col("named_secret") == 1) & (F.col("assigned") == 1) & mixed & (F.col("covered") < 0.5)
+def seed_label() -> Column:
+    """The label of a finding where form and neighbours agree: 1 for a
+    published prefix in full form or a value given to a secret name or login,
+    0 for a single dictionary word beside such a name, and for plain numbers,
+    path parts, tokens made of dictionary words, and tokens without a digit
+    that nothing names and that have few changes of case or name a value."""
+    varied = F.col("distinct") > 0.15
+    secret = ((F.col("known_prefix") == 1) & (F.col("length") >= 20) & varied & (F.col("digits") < 0.95)) | (
+        (F.col("given") == 1) & varied & (F.col("one_word") == 0) & (F.col("digits") < 0.95)
     )
-    plain = (F.col("digits") >= 0.95) | (F.col("covered") >= 0.5) | ((F.col("in_path") == 1) & (F.col("named_secret") == 0))
-    return rows.withColumn("label", F.when(secret, 1.0).when(plain, 0.0)).where("label is not null")
+    names_value = F.col("after").rlike(r"^[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?[^\s=]")
+    wordlike = (F.col("digits") == 0) & ((F.col("changes") < 0.2) | names_value) & (F.col("known_prefix") == 0) & (F.col("named_secret") == 0)
+    other = (F.col("given") == 0) & ((F.col("digits") >= 0.95) | (F.col("covered") >= 0.5) | wordlike | ((F.col("in_path") == 1) & (F.col("named_secret") == 0)))
+    plain = other | ((F.col("given") == 1) & (F.col("one_word") == 1))
+    return F.when(secret, 1.0).when(plain, 0.0)
+
+
+def seed_labels(rows: DataFrame) -> DataFrame:
+    """Findings that have a ``seed_label``."""
+    return rows.withColumn("label", seed_label()).where("label is not null")
 
 
 def train(
@@ -130,21 +163,27 @@ def train(
 ) -> RandomForestClassificationModel | None:
     """Forest on at most ``max_labelled`` findings: distinct feature rows of
     the label, the first in a hash order, half the places for each label.
-    None without findings of both labels."""
+    Every kind of finding weighs alike in its label, so that a frequent form
+    of secret does not outvote a rare one.  None without findings of both
+    labels."""
     rows = labelled.select(*FEATURES, "label", F.xxhash64("candidate", "before").alias("h")).distinct()
     parts = [rows.where(F.col("label") == v).orderBy("h", *FEATURES).limit(max_labelled // 2) for v in (0.0, 1.0)]
-    sample = cut(parts[0].unionAll(parts[1]), "labelled").orderBy("label", "h", *FEATURES).coalesce(1)
+    sample = cut(parts[0].unionAll(parts[1]), "labelled")
     if sample.select("label").distinct().count() < 2:
         return None
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label").fit(ready)
+    kind = F.concat_ws(" ", "label", "given", "known_prefix", "one_word", F.col("digits") == 0)
+    weights = sample.groupBy(kind.alias("kind")).agg((F.lit(1000.0) / F.count("*")).alias("weight"))
+    weighed = sample.withColumn("kind", kind).join(F.broadcast(weights), "kind").orderBy("label", "h", *FEATURES).coalesce(1)
+    ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(weighed)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label", weightCol="weight")
+    return forest.fit(ready)
 
 
 def judge(rows: DataFrame, model: RandomForestClassificationModel | None, threshold: float = 0.5) -> DataFrame:
     """Adds probability and is_secret.  Without a model only the published
     prefixes and assigned secret names count."""
     if model is None:
-        sure = (F.col("known_prefix") == 1) | ((F.col("named_secret") == 1) & (F.col("assigned") == 1))
+        sure = (F.col("known_prefix") == 1) | (F.col("given") == 1)
         return rows.withColumn("probability", F.when(sure, 1.0).otherwise(0.0)).withColumn("is_secret", sure)
     scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows))
     return scored.withColumn("probability", vector_to_array("probability")[1]).withColumn("is_secret", F.col("probability") >= threshold)
@@ -171,6 +210,9 @@ def scan_secrets(
     rows = cut(with_features(found, words), "candidates")
     known = seed_labels(rows) if labelled is None else with_features(labelled, words)
     found = judge(rows, train(known, max_labelled))
+    if labelled is None:
+        # no doubt is left to the forest's vote, which a corpus with few findings of a form can turn
+        found = found.withColumn("probability", F.coalesce(seed_label(), "probability")).withColumn("is_secret", F.col("probability") >= 0.5)
     return found.select("doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret")
 
 

@@ -156,3 +156,42 @@ def test_secret_edge_rows(spark):
     twice = spark.createDataFrame([(1, "password=a1b2c3d4e5 x password=a1b2c3d4e5"), (1, "password=a1b2c3d4e5 x password=a1b2c3d4e5"), (None, "token=z9y8x7w6v5")], "doc_id long, text string")
     rows = secret_forest.scan_secrets(twice).collect()
     assert len(rows) == 5 and all(r["is_secret"] for r in rows)
+
+
+def hidden(spark, texts):
+    """The texts after the scan of a corpus with the planted rows."""
+    rows = [(i, planted(i)[0]) for i in range(100)] + [(1000 + i, f"{prose(i + 7, 20)} {t}\n{prose(i + 9, 20)}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = secret_forest.redact_secrets(docs, secret_forest.scan_secrets(docs))
+    return [r["text"] for r in clean.where("doc_id >= 1000").orderBy("doc_id").collect()]
+
+
+def test_secrets_without_digits_or_with_punctuation(spark):
+    forms = [
+        ("password = {}", "correct-horse-battery-staple"),
+        ("api_key: {}", "QwErTzUiOpLkJhGfDsAy"),
+        ('{{"token": "{}"}}', "abcDEFghiJKLmno"),
+        ("AWS_SECRET_ACCESS_KEY={}", "wJalr/XUtnFEMI/KMDENG"),
+        ("SECRET_KEY={}", "k3yw0rd!"),
+        ("export clientSecretValue={} x", "hunter-two!"),
+        ("password={}", "abcd1234efgh5678!zz"),
+        ("password={};Server=db", "a,b;c$dEf.g8"),
+        ("passwd: '{}'", "it is, as ever; a long \\' phrase"),
+        ("postgres://user:{}@host/db", "s3cretpw"),
+        ("redis://:{}@cache:6379", "lettersonly"),
+        ("https://token:{}@example.org/x", "qwerty!uiop"),
+    ]
+    got = hidden(spark, [form.format(secret) for form, secret in forms])
+    assert [(f, s) for (f, s), text in zip(forms, got, strict=True) if f.format("[SECRET]") not in text] == []
+
+
+def test_words_that_nothing_names_stay(spark):
+    texts = ["uncharacteristically", "https://example.org/state/of/the/art", "a state-of-the-art-solution here", "author: Maria-Luisa Lopez", "http://host:8080/path@x"]
+    for text, got in zip(texts, hidden(spark, texts), strict=True):
+        assert text in got
+
+
+def test_a_name_that_is_a_candidate_is_kept_beside_its_value(spark):
+    docs = spark.createDataFrame([(1, "AWS_SECRET_ACCESS_KEY=abcdefghij")], "doc_id long, text string")
+    rows = {r["candidate"]: r["before"] for r in secret_forest.find_candidates(docs).collect()}
+    assert rows["abcdefghij"] == "AWS_SECRET_ACCESS_KEY="
