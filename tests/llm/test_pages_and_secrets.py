@@ -35,6 +35,24 @@ def test_broken_pages_do_not_crash():
     assert text_of("<p>a</p>" * 2000) == " ".join(["a"] * 2000)
 
 
+def test_wrappers_with_furniture_names_keep_the_article():
+    body = f"<article><h1>Title</h1><p>{prose(1, 40)}</p></article>"
+    want = "Title " + prose(1, 40)
+    for wrapper in ('div class="content with-sidebar"', 'div class="has-comments"', 'div class="page menu-open"', 'form id="aspnetForm"'):
+        name = wrapper.split()[0]
+        assert text_of(f"<body><{wrapper}><nav>Home</nav>{body}</{name}></body>") == want
+        plain = body.replace("article", "div")
+        assert text_of(f"<body><{wrapper}><nav>Home</nav>{plain}</{name}></body>") == want
+    comments = f'<div id="comments"><article><p>{prose(3, 10)}</p></article></div>'
+    assert text_of(f"<body>{body}{comments}</body>") == want
+    assert text_of(f"<body><h1>Title</h1><p>{prose(1, 40)}</p><div id=comments><p>{prose(3, 90)}</p></div></body>") == want
+
+
+def test_a_teaser_article_does_not_replace_the_body():
+    page = f"<body><div><h1>Title</h1><p>{prose(1, 60)}</p></div><article><p>Read next</p></article></body>"
+    assert prose(1, 60) in text_of(page)
+
+
 def test_lines_shared_with_a_neighbour_go():
     page = "<div>Site name</div><p>{}</p><div>All rights reserved</div>"
     one, two = page.format(prose(1, 40)), page.format(prose(2, 40))
