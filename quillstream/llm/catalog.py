@@ -8,7 +8,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import chunk_prints, genetic_packing, ngram_join, page_diff, piece_models, quality_forest, repeats, secret_forest, token_files, url_digests
+from quillstream.llm import (
+    chunk_prints,
+    conversation_repair,
+    genetic_packing,
+    merkle_manifest,
+    ngram_join,
+    oracle_sql,
+    page_diff,
+    piece_models,
+    quality_forest,
+    repeats,
+    secret_forest,
+    token_files,
+    url_digests,
+    vector_cells,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +154,31 @@ def op9_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return genetic_packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=0)
+
+
+ORACLES["op11_conversation_repair"] = oracle_sql.conversations_sql()
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation's faults, cheapest edits and repaired form."""
+    damaged = conversation_repair.damage_conversations(read(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(damaged)
+
+
+ORACLES["op12_merkle_manifest"] = oracle_sql.merkle_sql()
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, a fifth of them tampered."""
+    return merkle_manifest.merkle_manifest(read(spark, sf_dir, "documents"), tampered=merkle_manifest.lowered_leaf())
+
+
+ORACLES["op13_vector_cells"] = oracle_sql.embeddings_sql()
+
+
+@query
+def op13_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return vector_cells.embedding_components(read(spark, sf_dir, "embeddings"))
