@@ -16,12 +16,21 @@ used, and a pair must pass all of them before its sets are compared:
    Classes meet in the buckets of these prefix tokens.
 3. by (that number, second token hash).
 
-Large buckets (a group of thousands of near copies) are never expanded into
-all pairs.  In *star rounds* every member of a bucket is compared with one
-leader only; verified links merge components.  What is left to compare is
-the pairs of a bucket in different components, which are enumerated once
-they are few; no pair of different texts that may link is left out, so the
-components are exact.
+What meets in a bucket is cut down three times before pairs are made:
+
+* By position.  At the first common token of a pair under order 2 neither
+  text has more tokens in common than stand from there on, so both must
+  have at least t/(1+t) of both sizes together left.  A template whose copies
+  differ by more than t lets through leaves no pair.
+* By a star.  The bucket's most central text (tokens of many classes) is
+  compared with all others; verified links make components.
+* By components.  Texts of the bucket's main component need no comparison
+  with each other: pairs are made of the *others* and all.  In wide buckets
+  the key has the size band as well, and a text probes only the bands that
+  the position leaves to its partners.
+
+No pair of different texts that may link is left out, so the components are
+exact.
 """
 
 from __future__ import annotations
@@ -31,12 +40,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.arrow_text import SpanHasher, Words, lower_table, mix64, text_chunks, window_hashes
 from quillstream.llm.components import connected_components
-from quillstream.llm.scratch import cut
+from quillstream.llm.scratch import cut, drop
 
 SET_SCHEMA = "doc_id bigint, n_shingles bigint, digest binary, prefix array<bigint>"
 
@@ -114,7 +123,8 @@ def _full_sets(texts: DataFrame, width: int) -> DataFrame:
 
 
 def _survivors(sets: DataFrame, threshold: float, extra: float) -> DataFrame:
-    """Class digests (low 64 bits as ``cid``) that pass the hash-order filter."""
+    """Class digests (low 64 bits as ``cid``) that pass the hash-order filter,
+    as a written table."""
     postings = sets.where("size(prefix) > 0").select(
         F.xxhash64("digest").alias("cid"), "n_shingles", F.explode("prefix").alias("tok")
     )
@@ -126,11 +136,15 @@ def _survivors(sets: DataFrame, threshold: float, extra: float) -> DataFrame:
     # one row a token and partition: the build side of each partition is bounded
     hits = postings.join(shared.hint("shuffle_hash"), "tok").groupBy("cid", "n_shingles").count()
     need = 1 + F.floor(F.lit(extra) * F.ceil(F.col("n_shingles") * threshold - 1e-9))
-    return hits.where(F.col("count") >= need).select("cid").distinct()
+    alive = cut(hits.where(F.col("count") >= need).select("cid").distinct(), "alive")
+    drop(shared)
+    return alive
 
 
 def _orders(full: DataFrame, threshold: float) -> DataFrame:
-    """Set and prefix tokens of every surviving class under the three orders."""
+    """Set and prefix tokens of every surviving class under the three orders;
+    ``shared`` counts its tokens that other classes have, ``central`` is the
+    mean logarithm of their classes."""
     n = F.size("tokens")
     length = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
     base = full.select("id", "tokens", n.alias("n"), length.alias("p"), F.slice("tokens", 1, length).alias("p1"))
@@ -139,16 +153,20 @@ def _orders(full: DataFrame, threshold: float) -> DataFrame:
     # tokens of one class only come first in orders 2 and 3; they use up
     # prefix places and meet nobody
     ranked = postings.join(df.hint("shuffle_hash"), "tok").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("a")
+        F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("a"), F.sum(F.log2("df")).alias("logs")
     )
     again = F.transform("a", lambda x: F.struct(x["df"].alias("df"), F.xxhash64(x["tok"]).alias("h"), x["tok"].alias("tok")))
     ranked = ranked.withColumn("b", F.sort_array(again))
-    room = F.col("p") - (F.col("n") - F.size("a"))
+    shared = F.size("a")
+    room = F.col("p") - (F.col("n") - shared)
     return (
         base.join(ranked, "id")
         .where(room > 0)
-        .select("id", "n", "tokens", "p1", F.slice("a.tok", 1, room).alias("p2"), F.slice("b.tok", 1, room).alias("p3"))
-    )
+        .select(
+            "id", "n", "tokens", "p1", F.slice("a.tok", 1, room).alias("p2"), F.slice("b.tok", 1, room).alias("p3"),
+            shared.alias("shared"), (F.col("logs") / F.col("n")).alias("central"),
+        )
+    )
 
 
 def _verified(pairs: DataFrame, orders: DataFrame, threshold: float) -> DataFrame:
@@ -165,60 +183,52 @@ def _verified(pairs: DataFrame, orders: DataFrame, threshold: float) -> DataFram
     return passed.where(100 * common >= round(100 * threshold) * union).select("u", "v")
 
 
-def ngram_links(orders: DataFrame, threshold: float, rest_factor: int = 4, max_rounds: int = 4) -> DataFrame:
-    """Verified links among classes that connect all truly linked classes.
-
-    A star round compares every member of a bucket with the bucket's leader
-    (the smallest id, later the first in a hash order).  Members that share a
-    leader they are linked with need no comparison with each other; they get
-    that leader as their label, in one hop.  The pairs of a bucket with
-    different labels are enumerated once there are at most ``rest_factor`` of
-    them per posting, or after ``max_rounds`` rounds."""
-    spark = orders.sparkSession
-    buckets = cut(orders.select("id", "n", F.explode("p2").alias("tok")), "buckets")
-    postings = buckets.count()
-    links = tried = None
-    labelled = buckets.withColumn("comp", F.col("id"))
-    similar = (F.col("v_n") >= F.col("u_n") * threshold - 1e-9) & (F.col("u_n") >= F.col("v_n") * threshold - 1e-9)
-    ends = [F.least("u_id", "v_id").alias("u"), F.greatest("u_id", "v_id").alias("v")]
-    member = [F.col(c).alias(f"u_{c}") for c in ("id", "n", "comp")]
-    partner = [F.col(c).alias(f"v_{c}") for c in ("id", "n", "comp")]
-    for turn in range(max_rounds + 1):
-        parts = labelled.groupBy("tok", "comp").count()
-        rest = parts.groupBy("tok").agg((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("pairs"))
-        left = rest.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            break
-        last = left <= 2 * rest_factor * postings or turn == max_rounds
-        if last:
-            open_ = rest.where("pairs > 0").select("tok").hint("shuffle_hash")
-            rows = labelled.join(open_, "tok")
-            pairs = rows.select("tok", *member).join(rows.select("tok", *partner), "tok").where("u_id < v_id")
-        else:
-            place = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-            lead = F.min(F.struct(place.alias("h"), "id", "n", "comp")).alias("lead")
-            leaders = labelled.groupBy("tok").agg(lead).select("tok", "lead.*").select("tok", *partner)
-            pairs = labelled.select("tok", *member).join(leaders, "tok").withColumn("lead", F.col("v_id"))
-        pairs = pairs.where("u_comp != v_comp").where(similar)
-        if last:
-            pairs = pairs.select(*ends).distinct()
-        else:  # with the leader that joins the two
-            pairs = pairs.groupBy(*ends).agg(F.min("lead").alias("lead"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        found = cut(_verified(pairs, orders, threshold), "found")
-        links = found if links is None else links.union(found)
-        if last:
-            break
-        tried = pairs.select("u", "v") if tried is None else tried.union(pairs.select("u", "v"))
-        # a label is a leader that its members are linked with, so members of
-        # one label are connected; a member that has one keeps it
-        own = found.join(pairs, ["u", "v"]).select("lead", F.when(F.col("lead") == F.col("u"), F.col("v")).otherwise(F.col("u")).alias("id"))
-        own = own.groupBy("id").agg(F.min("lead").alias("lead"))
-        label = F.when((F.col("comp") == F.col("id")) & F.col("lead").isNotNull(), F.col("lead")).otherwise(F.col("comp"))
-        labelled = cut(labelled.join(own, "id", "left").select("id", "n", "tok", label.alias("comp")), "labelled")
-    return spark.createDataFrame([], "u bigint, v bigint") if links is None else links
+#: Buckets of more classes are dealt by size band as well; ratio of two bands.
+WIDE, BAND = 64, 1.03
+
+
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size) / math.log(BAND)).cast("int")
+
+
+def ngram_links(orders: DataFrame, threshold: float, wide: int = WIDE) -> DataFrame:
+    """Verified links among classes that connect all truly linked classes
+    (see the module's text)."""
+    part = threshold / (1 + threshold)
+    # rest: shared tokens from this place of order 2 on
+    placed = orders.select("id", "n", "central", "shared", F.posexplode("p2").alias("pos", "tok"))
+    buckets = cut(placed.select("tok", "id", "n", "central", (F.col("shared") - F.col("pos")).alias("rest")), "buckets")
+    fits = (F.least("u_rest", "v_rest") >= (F.col("u_n") + F.col("v_n")) * part - 1e-9) & (F.col("u") != F.col("v"))
+    ends = [F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+
+    def side(rows: DataFrame, end: str, *more) -> DataFrame:
+        return rows.select("tok", F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("rest").alias(f"{end}_rest"), *more)
+
+    top = F.max(F.struct("central", (-F.col("id")).alias("first"), "id", "n", "rest")).alias("top")
+    heads = cut(buckets.groupBy("tok").agg(top, F.count("*").alias("size")).where("size > 1"), "heads")
+    stars = side(buckets, "u").join(side(heads.select("tok", "top.*"), "v"), "tok").where(fits)
+    stars = cut(stars.select(*ends).distinct(), "stars")
+    found = cut(_verified(stars, orders, threshold), "star_links")
+
+    own = connected_components(found)
+    told = buckets.join(own, "id", "left").join(heads.select("tok", (F.col("size") > wide).alias("is_wide")), "tok")
+    label = F.coalesce("component", "id").alias("label")
+    labelled = cut(told.select("tok", "id", "n", "rest", "is_wide", label), "labelled")
+    counts = labelled.groupBy("tok", "label").agg(F.count("*").alias("c"))
+    main = counts.groupBy("tok").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("labels"))
+    main = main.where("labels > 1").select("tok", "main")
+    others = labelled.join(main.hint("shuffle_hash"), "tok").where("label != main")
+    least = F.ceil(F.col("n") * threshold - 1e-9)
+    most = F.least(F.floor(F.col("n") / threshold + 1e-9), F.floor(F.col("rest") / part + 1e-9) - F.col("n"))
+    bands = F.when(F.col("is_wide"), F.sequence(_band(least), _band(F.greatest(most, least)))).otherwise(F.array(F.lit(-1)))
+    probes = side(others.where(most >= least), "u", F.col("label").alias("u_label"), F.explode(bands).alias("band"))
+    band = F.when(F.col("is_wide"), _band(F.col("n"))).otherwise(F.lit(-1)).alias("band")
+    pairs = probes.join(side(labelled, "v", F.col("label").alias("v_label"), band), ["tok", "band"])
+    pairs = pairs.where("u_label != v_label").where(fits).select(*ends).distinct().join(stars, ["u", "v"], "left_anti")
+    rest = cut(_verified(cut(pairs, "pairs"), orders, threshold), "rest_links")
+    links = cut(found.union(rest), "links")
+    drop(buckets, heads, stars, labelled)
+    return links
 
 
 def ngram_jaccard_components(
@@ -257,7 +267,8 @@ def ngram_jaccard_components(
         "full",
     )
     orders = cut(_orders(full, threshold), "orders")
-    components = connected_components(ngram_links(orders, threshold))
+    components = cut(connected_components(ngram_links(orders, threshold)), "components")
+    drop(alive, chosen, full, orders)
     merged = classes.join(components.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )

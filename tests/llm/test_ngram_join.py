@@ -92,10 +92,11 @@ def test_prefix_filter_keeps_every_pair_at_the_threshold():
         x = set(rng.sample(range(200), n))
         y = {t for t in x if rng.random() > 0.12} | set(rng.sample(range(200, 260), rng.randint(0, 6)))
         if y and 100 * len(x & y) >= 75 * len(x | y):
-            cut = lambda s: set(sorted(s)[: ngram_join.hash_prefix_length(len(s), 0.75, 0.05)])
-            shared = len(cut(x) & cut(y))
-            assert shared >= ngram_join.shared_needed(len(x), 0.75, 0.05)
-            assert shared >= ngram_join.shared_needed(len(y), 0.75, 0.05)
+            for extra in (0.05, 0.15):
+                cut = lambda s: set(sorted(s)[: ngram_join.hash_prefix_length(len(s), 0.75, extra)])  # noqa: B023, E731
+                shared = len(cut(x) & cut(y))
+                assert shared >= ngram_join.shared_needed(len(x), 0.75, extra)
+                assert shared >= ngram_join.shared_needed(len(y), 0.75, extra)
 
 
 def test_components_of_paths_stars_and_self_links(spark):
@@ -103,3 +104,55 @@ def test_components_of_paths_stars_and_self_links(spark):
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "u long, v long")).distinct().collect())
     assert got == {**{i: 10 for i in range(10, 41)}, **{i: 100 for i in range(100, 160)}, 2: 2, 3: 2}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def template_rows(n, seed=4):
+    """Texts of one template that share about 0.68 and link with nothing."""
+    rng = random.Random(seed)
+    base = prose(90, 200).split()
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for k in rng.sample(range(0, 200, 5), 8):
+            own[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_a_template_group_makes_no_square_of_pairs(spark, monkeypatch):
+    """The pairs that are compared grow with the group, not with its square."""
+    made = []
+    verified = ngram_join._verified
+
+    def counted(pairs, orders, threshold):
+        made.append(pairs.count())
+        return verified(pairs, orders, threshold)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    sums = []
+    for n in (200, 400, 800):
+        made.clear()
+        df = spark.createDataFrame(template_rows(n), "doc_id long, text string")
+        got = ngram_join.ngram_jaccard_components(df).where("component_id != doc_id").count()
+        assert got == 0
+        sums.append(sum(made))
+    assert sums[2] <= 5 * max(sums[0], 100) and sums[2] < 800 * 8
+
+
+def test_wide_buckets_by_size_bands(spark, monkeypatch):
+    """Near copies of one text, with edits and other lengths, in buckets
+    that are all wide: the result of comparing all pairs."""
+    rng = random.Random(12)
+    base = prose(53, 120).split()
+    rows = []
+    for i in range(140):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4, 6])):
+            k = rng.randrange(len(own))
+            own[k : k + rng.choice([0, 1, 2])] = [f"e{rng.randrange(40)}"] * rng.choice([0, 1, 1, 3])
+        rows.append((i, " ".join(own)))
+    rows += template_rows(60)
+    rows = [(k, text) for k, (_, text) in enumerate(rows)]
+    monkeypatch.setattr(ngram_join.ngram_links, "__defaults__", (3,))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(ngram_join.ngram_jaccard_components(df)) == brute(rows)
