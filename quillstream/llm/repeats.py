@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.arrow_text import SpanHasher, text_chunks
-from quillstream.llm.scratch import cut
+from quillstream.llm.scratch import cut, drop, free_name
 
 LENGTH = 50
 TRIGGER = 28
@@ -274,12 +274,14 @@ def repeated_spans(docs: DataFrame, heads: DataFrame, max_class: int = 20_000) -
     # one row a key and partition: the build side of each partition is bounded
     wanted = keys.join(shared.hint("shuffle_hash"), "key").groupBy("cls").agg(F.collect_set("key").alias("keys"))
     wanted = cut(firsts.select("cls", "doc_id").join(wanted, "cls").select("doc_id", "keys"), "wanted")
+    drop(shared)
     parse = cut(
         _shared_phrases(docs.select("doc_id", "text").join(wanted, "doc_id")).withColumn(
             "id", F.xxhash64("key", "place", "phrase")
         ),
         "parse",
     )
+    drop(wanted)
     dictionary = cut(parse.groupBy("key", "place", "phrase").agg(F.min("doc_id").alias("first")), "dictionary")
     sizes = dictionary.groupBy("key").count().where("count > 1")
     several = cut(dictionary.join(sizes.hint("shuffle_hash"), "key"), "classes")
@@ -289,10 +291,12 @@ def repeated_spans(docs: DataFrame, heads: DataFrame, max_class: int = 20_000) -
     flagged = cut(
         flagged.where("flags != 0").select(F.xxhash64("key", "place", "phrase").alias("id"), "key", "flags"), "flags"
     )
+    drop(several)
     first = dictionary.select(F.xxhash64("key", "place", "phrase").alias("id"), "key", "first")
     # written, so that the join below has a shuffle on both sides and a phrase
     # of very many documents can be split
     verdicts = cut(first.join(flagged, ["id", "key"], "left"), "verdicts")
+    drop(dictionary, flagged)
     places = parse.select("doc_id", "at", "id", "key", F.length("phrase").alias("size")).join(verdicts, ["id", "key"])
     whole = F.col("first") < F.col("doc_id")
     span = F.struct(
@@ -301,7 +305,9 @@ def repeated_spans(docs: DataFrame, heads: DataFrame, max_class: int = 20_000) -
         F.when(whole, F.lit(0)).otherwise(F.col("flags")).cast("long").alias("flags"),
     )
     found = places.where(whole | F.col("flags").isNotNull()).select("doc_id", span.alias("span"))
-    return cut(found.groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "spans")
+    spans = cut(found.groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "spans")
+    drop(parse, verdicts)
+    return spans
 
 
 def kept_bytes(raw: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
@@ -374,7 +380,9 @@ def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text column; bytes of
-    a character of which only a part was cut go too.  Other columns stay."""
+    a character of which only a part was cut go too.  Other columns stay,
+    whatever their names; the cases of ``repeat_report`` hold, and a null text
+    stays null."""
     own = with_class(docs, id_col, text_col)
     heads = cut(text_heads(own), "heads")
     spans = repeated_spans(own, heads)
@@ -386,12 +394,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ),
         "marks",
     )
-    marks = marks.groupBy("doc_id").agg(F.max("spans").alias("_spans"), F.collect_set("whole").alias("_whole"))
-    joined = docs.join(marks.withColumnRenamed("doc_id", "_marked"), F.col(id_col).cast("long") == F.col("_marked"), "left").drop("_marked")
+    id_, spans_, whole_ = (free_name(n, docs.columns) for n in ("marked", "spans", "whole"))
+    marks = marks.groupBy(F.col("doc_id").alias(id_)).agg(F.max("spans").alias(spans_), F.collect_set("whole").alias(whole_))
+    joined = docs.join(marks, F.col(id_col).cast("long") == F.col(id_), "left").drop(id_)
     at = joined.columns.index(text_col)
     width = len(docs.columns)
-    copy = F.array_contains("_whole", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    joined = joined.withColumn("_whole", F.coalesce(copy, F.lit(False)))
+    copy = F.array_contains(whole_, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    joined = joined.withColumn(whole_, F.coalesce(copy, F.lit(False)))
 
     def clean(batches):
         for batch in batches:
