@@ -8,22 +8,26 @@ them, the share of it that dictionary words cover, whether it stands in a
 path or URL, and the words beside it.  A random forest (Spark ML), trained
 on a bounded sample of labelled findings, keeps the true ones.
 
-The dictionary is the ``dictionary_size`` words that most documents, and at
-least two, have, counted over the whole corpus; its size is bounded by that parameter, so it
-is broadcast.  Without labelled findings of the user's own, ``seed_labels``
-labels the findings whose form and neighbours leave no doubt; the forest
-learns from these and decides the others.
+The dictionary is every word that at least a share of the documents, and at
+least two, have, counted over the whole corpus.  Without labelled findings of
+the user's own, ``seed_labels`` labels those whose form and neighbours leave
+no doubt, and the forest is trained on them.  Every verdict is the forest's:
+a seed is a training row, never a result.  The threshold is set on a held-out
+part of the labelled findings (``calibrated``), whose precision and recall
+``held_out`` reports.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.scratch import cut
+from quillstream.llm.scratch import cut, drop, free_name
 
 #: Names of variables that hold secrets.
 SECRET_NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer"
@@ -62,8 +66,9 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and after hold up to 80 and 40 characters of the text beside it."""
     text = F.col("text")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    searched = own.select("doc_id", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), text)
-    found = searched.select("doc_id", "c", F.when(F.size("c") > 0, F.split(text, CANDIDATE, -1)).alias("gaps"))
+    key = F.when(F.col("doc_id").isNull(), F.md5("text")).alias("row_key")
+    searched = own.select("doc_id", key, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), text)
+    found = searched.select("doc_id", "row_key", "c", F.when(F.size("c") > 0, F.split(text, CANDIDATE, -1)).alias("gaps"))
     piece = lambda name, i: F.coalesce(F.get(name, i), F.lit(""))
     beside = F.transform(
         "c",
@@ -76,17 +81,18 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     long_enough = F.filter(beside, lambda f: F.length(f["candidate"]) >= 6)
     # outer: a row filter before it would run the search a second time
-    rows = found.select("doc_id", F.posexplode_outer(long_enough).alias("ordinal", "f")).where("ordinal is not null")
-    return rows.select("doc_id", "ordinal", "f.*")
+    rows = found.select("doc_id", "row_key", F.posexplode_outer(long_enough).alias("ordinal", "f")).where("ordinal is not null")
+    return rows.select("doc_id", "row_key", "ordinal", "f.*")
 
 
-def dictionary(docs: DataFrame, size: int = 20_000, text_col: str = "text") -> DataFrame:
-    """The ``size`` words of three or more letters a-z that most rows have,
-    each in two or more: a secret of letters must not make itself a word.
-    Letters beside digits are parts of codes, not words."""
+def dictionary(docs: DataFrame, share: float = 1e-4, text_col: str = "text") -> DataFrame:
+    """The words of three or more letters a-z that at least ``share`` of the
+    rows have, and two of them at least: a secret of letters must not make
+    itself a word.  Letters beside digits are parts of codes, not words."""
     words = F.array_distinct(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z0-9]+"))
-    counted = docs.select(F.explode(words).alias("word")).where(F.col("word").rlike("^[a-z]{3,}$")).groupBy("word").count().where("count > 1")
-    return counted.orderBy(F.desc("count"), "word").limit(size).select("word")
+    least = max(2, math.ceil(share * docs.count()))
+    counted = docs.select(F.explode(words).alias("word")).where(F.col("word").rlike("^[a-z]{3,}$")).groupBy("word").count()
+    return counted.where(F.col("count") >= least).select("word")
 
 
 def _share(pattern: str) -> Column:
@@ -98,7 +104,9 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     runs = found.select("candidate").distinct().select(
         "candidate", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word")
     )
-    covered = runs.join(F.broadcast(words), "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("letters"))
+    # written, so that the join below has a shuffle on both sides and a
+    # candidate of very many rows can be split
+    covered = cut(runs.join(words, "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("letters")), "covered")
     size = F.length("candidate")
     name = F.regexp_extract("before", r"([A-Za-z0-9_.\-]*)[\"']?\s*[=:]?\s*[\"']?$", 1)
     last_words = F.lower(F.regexp_extract("before", r"((?:\S+\s+){0,2}\S*\s*)$", 1))
@@ -179,6 +187,37 @@ def train(
     return forest.fit(ready)
 
 
+def held_out_part(fifths: int = 1) -> Column:
+    """Whether a labelled finding is held out: ``fifths`` of five, by hash of
+    the candidate, so that a finding and its repetitions are on one side."""
+    return F.pmod(F.xxhash64("candidate", F.lit("held out")), F.lit(5)) < fifths
+
+
+def held_out(model: RandomForestClassificationModel, labelled: DataFrame, steps: int = 19) -> list[tuple[float, float, float]]:
+    """(threshold, precision, recall) on the held-out part of ``labelled`` at
+    evenly spaced thresholds."""
+    judged = judge(labelled.where(held_out_part()), model)
+    hits = [F.count(F.when(F.col("probability") >= k / (steps + 1), 1)).alias(f"t{k}") for k in range(1, steps + 1)]
+    by = {r["label"]: r for r in judged.groupBy("label").agg(F.count("*").alias("n"), *hits).collect()}
+    if not {0.0, 1.0} <= by.keys():
+        return []
+    out = []
+    for k in range(1, steps + 1):
+        right, wrong = by[1.0][f"t{k}"], by[0.0][f"t{k}"]
+        out.append((k / (steps + 1), right / max(1, right + wrong), right / by[1.0]["n"]))
+    return out
+
+
+def calibrated(points: list[tuple[float, float, float]], default: float = 0.5) -> float:
+    """The middle of the thresholds with the best F1 on the held-out part;
+    ``default`` if that has not both labels."""
+    if not points:
+        return default
+    f1 = [2 * p * r / max(1e-9, p + r) for _, p, r in points]
+    best = [t for (t, _, _), v in zip(points, f1, strict=True) if v >= max(f1) - 1e-9]
+    return best[len(best) // 2] if default not in best else default
+
+
 def judge(rows: DataFrame, model: RandomForestClassificationModel | None, threshold: float = 0.5) -> DataFrame:
     """Adds probability and is_secret.  Without a model only the published
     prefixes and assigned secret names count."""
@@ -192,36 +231,41 @@ def judge(rows: DataFrame, model: RandomForestClassificationModel | None, thresh
 def scan_secrets(
     docs: DataFrame,
     labelled: DataFrame | None = None,
-    dictionary_size: int = 20_000,
+    dictionary_share: float = 1e-4,
     max_labelled: int = 20_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Every candidate of ``docs`` with its verdict: doc_id, ordinal (place
     among the candidates of the row), candidate, before, after, probability,
-    is_secret.  ``labelled`` has candidate, before, after and label.
+    is_secret, and row_key (the md5 of the text, for rows without an id).
+    ``labelled`` has candidate, before, after and label.
 
     Defined cases: a null or empty text has no candidate; null ids stay null;
     repeated rows report their candidates once each; an empty table gives no
     rows; without labels of both kinds the published prefixes and assigned
     secret names decide; other columns are ignored."""
-    words = cut(dictionary(docs, dictionary_size, text_col), "dictionary")
+    words = cut(dictionary(docs, dictionary_share, text_col), "dictionary")
     found = cut(find_candidates(docs, id_col, text_col), "found")  # read twice below
     rows = cut(with_features(found, words), "candidates")
     known = seed_labels(rows) if labelled is None else with_features(labelled, words)
-    found = judge(rows, train(known, max_labelled))
-    if labelled is None:
-        # no doubt is left to the forest's vote, which a corpus with few findings of a form can turn
-        found = found.withColumn("probability", F.coalesce(seed_label(), "probability")).withColumn("is_secret", F.col("probability") >= 0.5)
-    return found.select("doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret")
+    known = cut(known.select("candidate", "before", *FEATURES, "label"), "labelled")
+    model = train(known.where(~held_out_part()), max_labelled)
+    threshold = calibrated(held_out(model, known)) if model is not None else 0.5
+    judged = judge(rows, model, threshold)
+    drop(words, found, known)
+    return judged.select("doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret", "row_key")
 
 
 def redact_secrets(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every reported secret replaced by ``REDACTED`` in the
-    rows that have its id; other columns and rows stay as they are."""
-    per_doc = found.where("is_secret and doc_id is not null").groupBy(F.col("doc_id").alias("_found_in")).agg(F.collect_set("candidate").alias("_secrets"))
-    longest_first = F.reverse(F.array_sort(F.transform("_secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
+    rows that have its id, or without an id its text; other columns and rows
+    stay as they are, whatever the names of the columns."""
+    row, key, secrets = F.col("doc_id").cast("string"), free_name("found_in", docs.columns), free_name("secrets", docs.columns)
+    per_doc = found.where("is_secret").groupBy(F.coalesce(row, "row_key").alias(key)).agg(F.collect_set("candidate").alias(secrets))
+    longest_first = F.reverse(F.array_sort(F.transform(secrets, lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
     hidden = F.aggregate(longest_first, F.col(text_col).cast("string"), lambda t, s: F.replace(t, s["s"], F.lit(REDACTED)))
-    joined = docs.join(per_doc, F.col(id_col).cast("long") == F.col("_found_in"), "left")
-    text = F.when(F.col("_secrets").isNull(), F.col(text_col)).otherwise(hidden)
+    own = F.coalesce(F.col(id_col).cast("long").cast("string"), F.md5(F.col(text_col).cast("string")))
+    joined = docs.join(per_doc, own == F.col(key), "left")
+    text = F.when(F.col(secrets).isNull(), F.col(text_col)).otherwise(hidden)
     return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))

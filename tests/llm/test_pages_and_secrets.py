@@ -167,7 +167,7 @@ def test_the_plan_has_no_python(spark):
 def test_secret_edge_rows(spark):
     frame = edge_frame(spark).withColumnRenamed("key", "candidate")
     found = secret_forest.scan_secrets(frame)
-    assert found.columns == ["doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret"]
+    assert found.columns == ["doc_id", "ordinal", "candidate", "before", "after", "probability", "is_secret", "row_key"]
     assert secret_forest.redact_secrets(frame, found).columns == frame.columns
     assert secret_forest.redact_secrets(frame, found).count() == frame.count()
     assert secret_forest.scan_secrets(empty_frame(spark)).count() == 0
