@@ -1,114 +1,47 @@
-"""HTML scalars as column expressions (H1-H4).
-
-Pages are processed with ordered regular-expression rewrites instead of a
-DOM: every step is a JVM-side string function, so a 100 TB page table is
-processed map-side in codegen without a Python hop.  Each pattern also runs
-unchanged on RE2 (no back-references, no look-around), which keeps a DuckDB
-oracle possible.  Every element pattern ends with ``(?:...|\\z)`` so pages
-truncated mid-element still parse.
-
-Known limits of the regex form (documented, tested): same-name nesting
-inside a skipped element, ``>`` inside attribute values, references without
-a semicolon, and ``<!--`` inside script text.
+"""HTML scalars as column functions (H1-H5).
+
+Titles, visible text, metadata and articles need the nesting of a page, so
+each is one Arrow-batched pass over the element tree of ``functions.markup``
+(a scan with a tag stack).  Pages are independent rows: a page table of any
+size is processed map-side, without a shuffle.
 """
 
 from __future__ import annotations
 
-import json
-from html.entities import name2codepoint
-
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillstream.functions import columns
-from quillstream.functions.links import let, url_host
+from quillstream.functions import columns, markup
+from quillstream.functions.links import url_host
 from quillstream.functions.text import clean_words
 
 # Fixed values (must match the source system's behaviour):
 #   subtrees dropped from main content: script, style, nav, header, footer
 SKIPPED_ELEMENTS = ("script", "style", "nav", "header", "footer")
 
-COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
-TAG_RE = r"(?s)<[/!?]?[A-Za-z][^>]*(?:>|\z)"
-# a tag name ends at white space, a slash or ">": "<nav" does not match "<nav-bar>"
-TITLE_RE = r"(?is)<title(?:[\s/][^>]*)?>(.*?)(?:</title\s*>|\z)"
-BODY_RE = r"(?is)<body(?:[\s/>]).*?(?:</body\s*>|\z)"
-
-
-def element_re(tag: str) -> str:
-    return rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?(?:</{tag}\s*>|\z)"
-
-
-# Comments and the skipped subtrees removed in ONE left-to-right pass: an
-# alternation of the comment pattern and one pattern per element (RE2 has
-# no back-references, so no single "<(tag)...</\1>" form).  Whichever
-# construct starts first wins, as in a tokenizer.  The shared "<" is
-# factored out so every other character costs one comparison.
-NOISE_RE = "(?is)<(?:" + "|".join(
-    [r"!--.*?(?:-->|\z)"] + [rf"{t}(?:[\s/][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in SKIPPED_ELEMENTS]
-) + ")"
-
-# Noise and every other tag in the same pass (both become one space): the
-# generic tag alternative comes last, so comments and skipped subtrees win.
-MARKUP_RE = NOISE_RE[:-1] + r"|[/!?]?[A-Za-z][^>]*(?:>|\z))"
-
 
-NAMED_REFERENCES = json.dumps({**{n: chr(p) for n, p in sorted(name2codepoint.items())}, "apos": "'"})
-REFERENCE_RE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+def _per_page(function, kind: str = "string"):
+    """Arrow-batched column function of one page text; null stays null."""
 
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: None if page is None else function(page), na_action="ignore")
 
-def _code_point(number: Column) -> Column:
-    """The character of a code point; U+FFFD for none (0, surrogates, too
-    large)."""
-    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-
-
-@columns(1)
-def decode_entities(c: Column) -> Column:
-    """Character references with their semicolon: decimal, hexadecimal and
-    the named ones of HTML 4 (the standard library's table).  One pass, so
-    "&amp;lt;" becomes "&lt;"; unknown names stay."""
-    names = F.from_json(F.lit(NAMED_REFERENCES), "map<string,string>")  # folded to one literal
-
-    def one(part: Column) -> Column:
-        ref = F.regexp_extract(part, REFERENCE_RE, 1)
-        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7))
-        char = F.when(ref.startswith("#"), _code_point(number.cast("long"))).otherwise(F.try_element_at(names, ref))
-        rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        return F.when((ref == "") | char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, rest))
-
-    def decoded(text: Column) -> Column:
-        parts = F.split(text, "&")
-        rest = F.transform(F.slice(parts, 2, F.size(parts)), one)
-        # every reference starts with "&": text without one is returned as is
-        return F.when(text.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(text)
-
-    return let(c, decoded)  # the input, often a long expression, is bound once
-
-
-@columns(1)
-def strip_comments(html: Column) -> Column:
-    return F.regexp_replace(html, COMMENT_RE, " ")
+    return F.pandas_udf(run, kind)
 
 
 @columns(1)
 def page_title(html: Column) -> Column:
-    """H1: text of the first <title> element, entities decoded; '' if none."""
-    return decode_entities(F.regexp_extract(strip_comments(html), TITLE_RE, 1))
-
-
-@columns(1)
-def drop_noise(html: Column) -> Column:
-    """Comments and skipped subtrees replaced by a space (one pass)."""
-    return F.regexp_replace(html, NOISE_RE, " ")
+    """H1: text of the first <title> element, references decoded; '' if none."""
+    return _per_page(markup.title)(html)
 
 
 @columns(1)
 def visible_text(html: Column) -> Column:
-    """Comments, the skipped subtrees and all remaining tags replaced by a
-    space (one text node per gap), then entities decoded."""
-    return decode_entities(F.regexp_replace(html, MARKUP_RE, " "))
+    """Text nodes outside the skipped subtrees, trimmed, one space between
+    them, references decoded."""
+    skipped = frozenset(SKIPPED_ELEMENTS)
+    return _per_page(lambda page: markup.visible_text(page, skipped))(html)
 
 
 @columns(1)
@@ -120,102 +53,62 @@ def main_content(html: Column) -> Column:
 @columns(1)
 def page_body(html: Column) -> Column:
     """H3: outer HTML of <body> (to the end of input when unclosed)."""
-    return F.regexp_extract(html, BODY_RE, 0)
+    return _per_page(markup.body)(html)
+
+
+META_FIELDS = {
+    "site_name": ("og:site_name",),
+    "title": ("og:title", "<title>"),
+    "description": ("og:description", "description"),
+    "keywords": ("keywords",),
+    "image_url": ("og:image",),
+    "image_width": ("og:image:width",),
+    "image_height": ("og:image:height",),
+}
 
 
-def _meta_patterns(key: str) -> tuple[str, str]:
-    k = key.replace(".", r"\.")
-    attr_first = rf"""(?is)<meta\b[^>]*?\b(?:property|name)\s*=\s*["']{k}["'][^>]*?\bcontent\s*=\s*["']([^"']*)["']"""
-    content_first = rf"""(?is)<meta\b[^>]*?\bcontent\s*=\s*["']([^"']*)["'][^>]*?\b(?:property|name)\s*=\s*["']{k}["']"""
-    return attr_first, content_first
+def _field(found: dict[str, str], field: str) -> str | None:
+    return next((found[k] for k in META_FIELDS[field] if k in found), None)
+
+
+def _metadata(pages: pd.Series) -> pd.DataFrame:
+    found = [markup.metadata(page) if isinstance(page, str) else {} for page in pages]
+    return pd.DataFrame({field: [_field(m, field) for m in found] for field in META_FIELDS}, dtype=object)
 
 
 @columns(1)
-def meta_content(html: Column, key: str) -> Column:
-    """Content of the first <meta property|name=key content=...>, NULL when absent."""
-    a, b = _meta_patterns(key)
-    v = F.coalesce(F.nullif(F.regexp_extract(html, a, 1), F.lit("")), F.nullif(F.regexp_extract(html, b, 1), F.lit("")))
-    return decode_entities(v)
+def page_metadata(html: Column) -> Column:
+    """Struct of the page's own metadata, null where a tag is missing; the
+    title falls back to <title>, the description to the plain meta tag."""
+    return F.pandas_udf(_metadata, ", ".join(f"{field} string" for field in META_FIELDS))(html)
 
 
 @columns(2)
 def page_metadata_cols(html: Column, url: Column) -> list[Column]:
-    """H4: site name, title, description, keywords, image url/size.
-    Site name falls back to the host, title to <title>, description to
-    the plain description meta tag."""
-    head = F.regexp_extract(html, r"(?is)^.*?(?:</head\s*>|<body\b|\z)", 0)
-    host = url_host(url)
-    return [
-        F.coalesce(meta_content(head, "og:site_name"), host).alias("site_name"),
-        F.coalesce(meta_content(head, "og:title"), page_title(head)).alias("title"),
-        F.coalesce(meta_content(head, "og:description"), meta_content(head, "description")).alias("description"),
-        meta_content(head, "keywords").alias("keywords"),
-        meta_content(head, "og:image").alias("image_url"),
-        meta_content(head, "og:image:width").alias("image_width"),
-        meta_content(head, "og:image:height").alias("image_height"),
-    ]
-
-
-# ---------------------------------------------------------------- H5
-# Article extraction by block density (our rule, stated here and tested on
-# its own terms; it is not claimed equal to any readability library):
-#   1. take <body> (whole page when there is none), drop comments and the
-#      skipped subtrees;
-#   2. split at every opening/closing block-level tag;
-#   3. per block: text = visible text (tags -> space, entities decoded),
-#      links = visible text inside <a> elements; sizes are counted in bytes
-#      excluding white space;
-#   4. keep blocks with at least ARTICLE_MIN_BLOCK_BYTES bytes of text whose
-#      link text is at most 1/ARTICLE_MAX_LINK_SHARE_INV of it;
-#   5. join the kept block texts in document order and apply X1 once.
-# Sizes are plain byte counts so each block costs a few string functions;
-# the word filter (X1) runs once per page, not once per block.
-ARTICLE_MIN_BLOCK_BYTES = 25
-ARTICLE_MAX_LINK_SHARE_INV = 3
-BLOCK_SPLIT_RE = (
-    r"(?i)</?(?:p|div|article|section|main|aside|li|ul|ol|h[1-6]|table|tr|td|th|"
-    r"blockquote|pre|br|hr|figure|figcaption)\b[^>]*>"
-)
-ANCHOR_RE = r"(?is)<a\b[^>]*>(.*?)(?:</a\s*>|\z)"
-WHITESPACE_CHARS_RE = r"[\t-\r \x{85}\p{Z}]"
-
-
-def _visible(b: Column) -> Column:
-    return decode_entities(F.regexp_replace(b, TAG_RE, " "))
-
-
-def _solid_bytes(t: Column) -> Column:
-    return F.octet_length(F.regexp_replace(t, WHITESPACE_CHARS_RE, ""))
+    """H4: site name, title, description, keywords, image url/size.  The site
+    name falls back to the host."""
+    own = page_metadata(html)
+    site = F.coalesce(own["site_name"], url_host(url)).alias("site_name")
+    return [site, *(own[field].alias(field) for field in META_FIELDS if field != "site_name")]
+
+
+@columns(1)
+def article_text(html: Column) -> Column:
+    """H5: main article text of a page (the rule is ``markup.article``), with
+    X1 applied."""
+    return clean_words(_per_page(markup.article)(html))
+
+
+def _parts(pages: pd.Series) -> pd.DataFrame:
+    found = [markup.article_and_metadata(page) if isinstance(page, str) else (None, {}) for page in pages]
+    return pd.DataFrame([(text, _field(meta, "site_name")) for text, meta in found], columns=["article", "site_name"], dtype=object)
 
 
 @columns(1)
-def article_text(html: Column, min_bytes: int = ARTICLE_MIN_BLOCK_BYTES, link_share_inv: int = ARTICLE_MAX_LINK_SHARE_INV) -> Column:
-    """H5: main article text of a page (see the rule above)."""
-    body = page_body(html)
-    src = F.when(body == "", html).otherwise(body)
-    blocks = F.split(drop_noise(src), BLOCK_SPLIT_RE)
-
-    def score(b: Column) -> Column:
-        text = _visible(b)
-        # anchor text is only looked for when the block can hold an anchor
-        maybe_anchor = b.contains("<a") | b.contains("<A")
-        links = F.when(
-            maybe_anchor, _solid_bytes(_visible(F.array_join(F.regexp_extract_all(b, F.lit(ANCHOR_RE), 1), " ")))
-        ).otherwise(F.lit(0))
-        return F.struct(text.alias("text"), links.alias("links"))
-
-    def size(s: Column) -> Column:
-        return F.struct(s["text"].alias("text"), s["links"].alias("links"), _solid_bytes(s["text"]).alias("n"))
-
-    # visible text never has more bytes than the block's markup (tags become
-    # one space, entities shrink), so short blocks are dropped up front
-    candidates = F.filter(blocks, lambda b: F.octet_length(b) >= min_bytes)
-    scored = F.transform(F.transform(candidates, score), size)
-    kept = F.filter(
-        scored,
-        lambda s: (s["n"] >= min_bytes) & (s["links"] * link_share_inv <= s["n"]),
-    )
-    return clean_words(F.array_join(F.transform(kept, lambda s: s["text"]), " "))
+def page_parts(html: Column) -> Column:
+    """What a tick takes from a page, in one pass: struct(article before X1,
+    site_name as the page states it)."""
+    return F.pandas_udf(_parts, "article string, site_name string")(html)
 
 
 @columns(1)

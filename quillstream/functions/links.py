@@ -165,29 +165,51 @@ def _strip_frame(b: Column) -> Column:
     return let(b1, strip_suffix)
 
 
+# A length prefix: bytes of 128 and more go on, the last is below.  Nine
+# bytes hold any length below 2**63.
+LENGTH_PREFIX_RE = "^(?:[89A-F][0-9A-F]){0,8}[0-7][0-9A-F]"
+
+
+def _length_prefix(b: Column) -> Column:
+    """struct(size, value) of the length prefix, seven bits a byte, lowest
+    first; size 0 if there is none."""
+    digits = F.regexp_extract(F.hex(F.substring(b, 1, 9)), LENGTH_PREFIX_RE, 0)
+
+    def fold(hex_: Column) -> Column:
+        size = F.floor(F.length(hex_) / 2).cast("int")
+        byte = lambda i: F.conv(F.substring(hex_, 2 * i + 1, F.lit(2)), 16, 10).cast("long")
+        places = F.sequence(size - 1, F.lit(0), F.lit(-1))
+        value = F.aggregate(places, F.lit(0).cast("long"), lambda sum_, i: sum_ * 128 + byte(i) % 128)
+        return F.struct(size.alias("size"), F.when(size > 0, value).alias("value"))
+
+    return let(digits, fold)
+
+
 def _slice_payload(b: Column, compat: bool) -> Column:
     """Read the length prefix and slice the URL bytes.
     Returns struct(payload BINARY, reason STRING)."""
     n = F.octet_length(b)
     b0 = _byte_at(b, 1)
-    b1 = _byte_at(b, 2)
+
+    def cut(size: Column, length: Column) -> Column:
+        fits = length <= n - size
+        payload = F.substring(b, size + 1, F.least(length, n.cast("long")).cast("int"))
+        return F.struct(F.when(fits, payload).alias("payload"), F.when(~fits, F.lit("out_of_range")).alias("reason"))
+
+    def none(reason: str) -> Column:
+        return F.struct(F.lit(None).cast("binary").alias("payload"), F.lit(reason).alias("reason"))
+
     if compat:
         # the source system's slice [2 : b0+1] for a first byte >= 0x80
-        long_len = b0 - 1
-        long_end = b0 + 1
+        long_ = F.when(n < 2, none("too_short")).otherwise(cut(F.lit(2), (b0 - 1).cast("long")))
     else:
-        long_len = (b0 - 128) + b1 * 128
-        long_end = long_len + 2
-    short = F.struct(
-        F.when(b0 + 1 <= n, F.substring(b, 2, b0)).alias("payload"),
-        F.when(b0 + 1 > n, F.lit("out_of_range")).alias("reason"),
-    )
-    long_ = F.struct(
-        F.when((n >= 2) & (long_end <= n), F.substring(b, 3, long_len)).alias("payload"),
-        F.when(n < 2, F.lit("too_short")).when(long_end > n, F.lit("out_of_range")).alias("reason"),
-    )
-    empty = F.struct(F.lit(None).cast("binary").alias("payload"), F.lit("empty").alias("reason"))
-    return F.when(n == 0, empty).when(b0 < 128, short).otherwise(long_)
+
+        def any_size(prefix: Column) -> Column:
+            missing = F.when(n < 9, none("too_short")).otherwise(none("bad_length"))
+            return F.when(prefix["size"] > 0, cut(prefix["size"], prefix["value"])).otherwise(missing)
+
+        long_ = let(_length_prefix(b), any_size)
+    return F.when(n == 0, none("empty")).when(b0 < 128, cut(F.lit(1), b0.cast("long"))).otherwise(long_)
 
 
 @columns(1)
@@ -280,12 +302,16 @@ def unwrap_link_legacy(link: Column) -> Column:
 
 @columns(1)
 def wrap_link(url: Column) -> Column:
-    """Inverse of U1 for fixtures: aggregator link carrying ``url``.
-    Length prefix is a one-byte or two-byte varint (URLs < 16 KiB)."""
+    """Inverse of U1 for fixtures: aggregator link carrying ``url``, with the
+    length prefix of :func:`_length_prefix`."""
     n = F.octet_length(url)
-    one = F.lpad(F.hex(n), 2, "0")
-    two = F.concat(F.lpad(F.hex(n % 128 + 128), 2, "0"), F.lpad(F.hex(F.floor(n / 128).cast("int")), 2, "0"))
-    len_bytes = F.unhex(F.when(n < 128, one).otherwise(two))
+    last = F.floor((F.length(F.bin(n)) - 1) / 7).cast("int")
+
+    def byte(i: Column) -> Column:
+        seven = F.floor(n / F.pow(F.lit(128), i)).cast("long") % 128
+        return F.lpad(F.hex(seven + F.when(i < last, 128).otherwise(0)), 2, "0")
+
+    len_bytes = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), last), byte), ""))
     framed = F.concat(F.unhex(F.lit(PAYLOAD_PREFIX_HEX)), len_bytes, F.encode(url, "UTF-8"), F.unhex(F.lit(PAYLOAD_SUFFIX_HEX)))
     b64 = F.regexp_replace(F.translate(F.base64(framed), "+/", "-_"), r"[=\r\n]", "")
     return F.concat(F.lit(WRAP_BASE), b64, F.lit(WRAP_QUERY))

@@ -65,12 +65,6 @@ def compose_scoring_text(title: Column, content: Column) -> Column:
 # Fixed value: report block layout (80 '=' then labelled fields).
 REPORT_RULE = "=" * 80
 REPORT_FORMAT = "ID: %s\nTitle: %s\nDate: %s\nLink: %s\nSource: %s\nScore: %s\nContent: %s\n\n"
-# DuckDB form of the same block (used by the oracle); {x} are SQL expressions
-REPORT_SQL = (
-    "'" + REPORT_RULE + "' || chr(10) || printf('ID: %s' || chr(10) || 'Title: %s' || chr(10) || 'Date: %s' || chr(10) || "
-    "'Link: %s' || chr(10) || 'Source: %s' || chr(10) || 'Score: %s' || chr(10) || 'Content: %s' || chr(10) || chr(10), "
-    "{id}, coalesce({title}, ''), '', coalesce({link}, ''), coalesce({source}, ''), '', coalesce({content}, ''))"
-)
 
 
 @columns(7)

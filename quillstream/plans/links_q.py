@@ -87,8 +87,7 @@ _DIRTY_SQL = "('amp ' || chr(7) || url || chr(9) || chr(8203) || chr(65533) || c
 def _clean_url_sql(s: str) -> str:
     return (
         f"CASE WHEN strpos({s}, 'http') = 0 THEN '' ELSE regexp_replace(regexp_replace("
-        f"substring({s}, strpos({s}, 'http')), {lit(L.NOT_PRINTABLE_RE)}, '', 'g'), "
-        f"{lit(L.TRAILING_REPLACEMENT_RE)}, '') END"
+        f"substring({s}, strpos({s}, 'http')), '[^\\pL\\pM\\pN\\pP\\pS]', '', 'g'), chr(65533) || '$', '') END"
     )
 
 
@@ -123,8 +122,8 @@ def substring_offsets(spark, sf_dir):
 # --------------------------------------------------------------------- U4 / P11
 
 
-def _unresolved_payload(url):
-    # an aggregator id whose payload is an unresolved marker + digest of the page URL
+def unresolved_link(url):
+    # an aggregator link whose id whose payload is an unresolved marker + digest of the page URL
     inner = F.concat(F.lit(L.UNRESOLVED_MARKER), F.md5(url))
     framed = F.concat(
         F.unhex(F.lit(L.PAYLOAD_PREFIX_HEX)),
@@ -149,7 +148,7 @@ _ID_SQL = f"translate(to_base64({_FRAMED_SQL}), '+/', '-_')"
 )
 def stage_unresolved_links(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
-    u = pages.select("page_id", L.unwrap_link(_unresolved_payload(F.col("url"))).alias("u"))
+    u = pages.select("page_id", L.unwrap_link(unresolved_link(F.col("url"))).alias("u"))
     return u.filter(F.col("u.reason") == "unresolved").select(
         "page_id", L.resolver_request(F.col("u.resolver_id")).alias("payload")
     )
@@ -159,6 +158,12 @@ def stage_unresolved_links(spark, sf_dir):
 
 _RESP_HEAD = ")]}'\n\n[[\"wrb.fr\",\"Fbv4je\",\"" + L.RESOLVER_HEADER
 _RESP_TAIL = L.RESOLVER_FOOTER + '1]",null,null,null,"generic"]]'
+
+
+def resolver_body(url):
+    return F.concat(F.lit(_RESP_HEAD), url, F.lit(_RESP_TAIL))
+
+
 _RESOLVER_INLINE = [
     (-1, 500, _RESP_HEAD + "https://x.example/a" + _RESP_TAIL, None, "status"),
     (-2, 200, "[[\"wrb.fr\",\"Fbv4je\",null]]", None, "no_header"),
@@ -176,9 +181,7 @@ _RESOLVER_INLINE = [
 )
 def resolver_parse(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
-    derived = pages.select(
-        "page_id", F.lit(200).alias("status"), F.concat(F.lit(_RESP_HEAD), F.col("url"), F.lit(_RESP_TAIL)).alias("body")
-    )
+    derived = pages.select("page_id", F.lit(200).alias("status"), resolver_body(F.col("url")).alias("body"))
     inline = spark.createDataFrame([c[:3] for c in _RESOLVER_INLINE], "page_id long, status int, body string")
     r = derived.unionByName(inline).select("page_id", L.resolver_parse(F.col("status"), F.col("body")).alias("r"))
     return r.select("page_id", F.col("r.link").alias("link"), F.col("r.reason").alias("reason"))

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillstream.functions import html as H
+from quillstream.functions import links as L
 from quillstream.functions import text as T
 from quillstream.plans import sqlfrag as S
 from quillstream.plans.catalog import register
+from quillstream.plans.report import write_report
+from quillstream.session import scratch_path
+from quillstream.sources import fixtures as FX
 from quillstream.sources.tables import read_table
 
 
@@ -17,30 +21,44 @@ def clean_content(spark, sf_dir):
     return docs.select("doc_id", T.clean_words(F.col("text")).alias("content"))
 
 
-@register("page_title", f"SELECT page_id, {S.page_title('html')} AS text FROM pages")
+# The driver's pages and literal ones with odd markup (negative ids), whose
+# results are literals in the SQL.
+
+
+def pages_and_cases(spark, sf_dir):
+    cases = spark.createDataFrame([(i, html) for i, html, *_ in FX.page_cases()], "page_id long, html string")
+    return read_table(spark, sf_dir, "pages").select("page_id", "html").unionByName(cases)
+
+
+def with_cases(select: str, column: int, name: str) -> str:
+    rows = [(case[0], case[column]) for case in FX.page_cases()]
+    return f"{select} UNION ALL SELECT * FROM {FX.sql_values(rows, ['page_id', name])}"
+
+
+@register("page_title", with_cases(f"SELECT page_id, {S.page_title('html')} AS text FROM pages", 2, "text"))
 def page_title(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = pages_and_cases(spark, sf_dir)
     return pages.select("page_id", H.page_title(F.col("html")).alias("text"))
 
 
-@register("page_main_content", f"SELECT page_id, {S.main_content('html')} AS text FROM pages")
+@register("page_main_content", with_cases(f"SELECT page_id, {S.main_content('html')} AS text FROM pages", 4, "text"))
 def page_main_content(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = pages_and_cases(spark, sf_dir)
     return pages.select("page_id", H.main_content(F.col("html")).alias("text"))
 
 
-@register("page_body", f"SELECT page_id, {S.page_body('html')} AS text FROM pages")
+@register("page_body", with_cases(f"SELECT page_id, {S.page_body('html')} AS text FROM pages", 3, "text"))
 def page_body(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = pages_and_cases(spark, sf_dir)
     return pages.select("page_id", H.page_body(F.col("html")).alias("text"))
 
 
 # ------------------------------------------------------------------ H5
 
 
-@register("article_blocks", f"SELECT page_id, {S.article_text('html')} AS article FROM pages")
+@register("article_blocks", with_cases(f"SELECT page_id, {S.article_text('html')} AS article FROM pages", 5, "article"))
 def article_blocks(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = pages_and_cases(spark, sf_dir)
     return pages.select("page_id", H.article_text(F.col("html")).alias("article"))
 
 
@@ -129,10 +147,10 @@ def page_metadata_df(spark, sf_dir):
     return p.select("page_id", "url", *H.page_metadata_cols(F.col("html"), F.col("url")))
 
 
-_HOST_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
+HOST_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
 _META_SQL = f"""
 SELECT page_id, url,
-  CASE WHEN starts_with(url, 'https://') THEN 'Site ' || page_id ELSE {_HOST_SQL} END AS site_name,
+  CASE WHEN starts_with(url, 'https://') THEN 'Site ' || page_id ELSE {HOST_SQL} END AS site_name,
   CASE WHEN starts_with(url, 'https://') THEN 'Story ' || page_id ELSE {S.page_title('html')} END AS title,
   CASE WHEN starts_with(url, 'https://') THEN 'About story ' || page_id END AS description,
   CASE WHEN starts_with(url, 'https://') THEN 'news,story' || page_id END AS keywords,
@@ -142,12 +160,18 @@ SELECT page_id, url,
 FROM pages"""
 
 
+META_COLUMNS = ["page_id", "site_name", "title", "description", "keywords", "image_url", "image_width", "image_height"]
+_META_CASES = [(case[0], *case[3:]) for case in FX.meta_cases()]
+
+
 @register(
     "page_metadata",
-    f"SELECT page_id, site_name, title, description, keywords, image_url, image_width, image_height FROM ({_META_SQL})",
+    f"SELECT {', '.join(META_COLUMNS)} FROM ({_META_SQL}) UNION ALL SELECT * FROM {FX.sql_values(_META_CASES, META_COLUMNS)}",
 )
 def page_metadata(spark, sf_dir):
-    return page_metadata_df(spark, sf_dir).drop("url")
+    cases = spark.createDataFrame([case[:3] for case in FX.meta_cases()], "page_id long, url string, html string")
+    p = pages_with_meta(spark, sf_dir).unionByName(cases)
+    return p.select("page_id", *H.page_metadata_cols(F.col("html"), F.col("url")))
 
 
 @register(
@@ -180,17 +204,23 @@ def report_scan(spark, sf_dir):
     return items.join(landed, items.link == landed.url, "inner").select("page_id", "content")
 
 
-@register(
-    "report_render",
-    f"SELECT i.page_id, {T.REPORT_SQL.format(id='i.page_id::VARCHAR', title=S.page_title('i.html'), link='i.url', source=_HOST_SQL.replace('url', 'i.url'), content='l.content')} AS line "
-    f"FROM pages i JOIN ({_LANDED_SQL}) l ON i.url = l.url",
+# items of the report: pages with a date and a score derived from their id
+_DATE_SQL = "TIMESTAMP '2024-01-01' + to_hours(CAST(i.page_id % 700 AS INTEGER))"
+_REPORT_SQL = (
+    "repeat('=', 80) || chr(10) || 'ID: ' || i.page_id || chr(10) || 'Title: ' || " + S.page_title("i.html") + " || chr(10) || "
+    f"'Date: ' || strftime({_DATE_SQL}, '%Y-%m-%d %H:%M:%S') || chr(10) || 'Link: ' || i.url || chr(10) || "
+    "'Source: ' || " + HOST_SQL.replace("url", "i.url") + " || chr(10) || 'Score: ' || (i.page_id % 11 - 5) || chr(10) || "
+    "'Content: ' || l.content || chr(10) || chr(10)"
 )
+
+
+@register("report_render", f"SELECT i.page_id, {_REPORT_SQL} AS line FROM pages i JOIN ({_LANDED_SQL}) l ON i.url = l.url")
 def report_render(spark, sf_dir):
-    items = page_items(spark, sf_dir)
-    landed = landed_pages(spark, sf_dir)
-    j = items.join(landed, items.link == landed.url, "inner")
-    line = T.report_line(
-        F.col("page_id").cast("string"), F.col("title"), F.lit(None).cast("timestamp"), F.col("link"),
-        F.try_parse_url(F.col("link"), F.lit("HOST")), F.lit(None).cast("string"), F.col("content"),
-    )
-    return j.select("page_id", line.alias("line"))
+    items = page_items(spark, sf_dir).select(
+        F.col("page_id").alias("id"), "title", "link",
+        F.timestamp_add("HOUR", F.col("page_id") % 700, F.lit("2024-01-01").cast("timestamp")).alias("date"),
+        L.url_host(F.col("link")).alias("source"), (F.col("page_id") % 11 - 5).cast("string").alias("score"),
+    )
+    path = scratch_path(spark, "report")
+    write_report(items, landed_pages(spark, sf_dir), path)
+    return spark.read.parquet(path).select(F.col("id").alias("page_id"), "line")

@@ -20,7 +20,8 @@ def _b64url(b: bytes) -> str:
 
 
 def varint(n: int) -> bytes:
-    return bytes([n]) if n < 128 else bytes([n % 128 + 128, n // 128])
+    """Seven bits a byte, the lowest first; the last byte is below 128."""
+    return bytes([n]) if n < 128 else bytes([n % 128 + 128]) + varint(n // 128)
 
 
 def wrapped(payload: bytes, host: str = "news.google.com") -> str:
@@ -42,7 +43,7 @@ def url_of_len(n: int) -> str:
 def link_cases() -> list[tuple[int, str, str | None, str | None, str]]:
     cases = []
     pid = -1
-    for n in (127, 128, 255, 256):
+    for n in (127, 128, 255, 256, 16_383, 16_384, 40_000):
         u = url_of_len(n)
         cases.append((pid, wrapped(framed(u)), u, None, u))
         pid -= 1
@@ -89,6 +90,65 @@ def clean_url_cases() -> list[tuple[int, str, str]]:
     ]
 
 
+STORY = "A long first paragraph of the story, with commas, and with enough words to count as prose."
+MORE = "A second paragraph of the same story, again with commas, which goes on for quite a few words."
+SIBLING = "Behind the block stands one more paragraph of the story, long enough to be read as a part of it."
+
+
+def page_cases() -> list[tuple[int, str, str, str, str, str]]:
+    """(page_id, html, H1 title, H3 body, H2 main content, H5 article)."""
+    rows = [
+        # nested elements of a skipped name
+        ("<body><nav><nav>aa</nav>menu</nav><p>bb cc</p></body>", "", None, "bb cc", "bb cc"),
+        # ">" in quoted values, either quote, and unquoted values with slashes
+        ("<title>Tt &amp;lt; x</title><body class='a>b'><a title=\"x>y\" href=/a/b>text</a> <img alt='<p>'>here</body>tail",
+         "Tt &lt; x", "<body class='a>b'><a title=\"x>y\" href=/a/b>text</a> <img alt='<p>'>here</body>", "Tt &lt; text here tail", "text here tail"),
+        # references without a semicolon, unknown ones, numbers
+        ("<body><p>caf&eacute done &unknown; &#8217;tis &#x27;ok&#x27 &amp;amp;</p></body>", "", None,
+         "caf\u00e9 done &unknown; \u2019tis 'ok' &amp;", "caf\u00e9 done &unknown; \u2019tis 'ok' &amp;"),
+        # raw text, comments in it, comments of odd form
+        ("<body><script>if (a < b) { x = '<!--'; }</script>one<!--> two --><style><p></style>three<!-- four", "",
+         None, "one two --> three", "one two --> three"),
+        # open ends, ignored end tags, paragraphs that end each other
+        ("<body>fo</b>o bar<p>one<p>two<div>three</div>four</nav> five<footer>six", "", None,
+         "foo bar one two three four five", "foo bar one two three four five"),
+        # short paragraphs and quotes between kept ones stay; lists of links,
+        # furniture and menus go
+        (f"<body><div class=top><a href=/>Home page</a> <a href=/n>News today</a></div><div id=col><h1>Head line</h1><p>{STORY}</p>"
+         f"<p>Short one.</p><blockquote>\"So it is.\"</blockquote><p>{MORE}</p><ul><li><a href=1>Another story</a><li><a href=2>And another</a></ul></div>"
+         f"<div class='box sidebar'>Buy things now, they are cheap, good, and nothing but great for all of you.</div><p>{SIBLING}</p></body>", "", None,
+         f"Home page News today Head line {STORY} Short one. \"So it is.\" {MORE} Another story And another "
+         f"Buy things now, they are cheap, good, and nothing but great for all of you. {SIBLING}",
+         f"Head line {STORY} Short one. \"So it is.\" {MORE} {SIBLING}"),
+        # the text of a whole name counts, not of a part of it
+        (f"<body><section class='related-work'><p>{STORY}</p></section><section><p>{MORE}</p></section></body>", "", None,
+         f"{STORY} {MORE}", f"{STORY} {MORE}"),
+        # nothing of a paragraph's size
+        ("<body><nav>menu items</nav><main><p>Tiny text.</p></main><p>Other.</p></body>", "", None, "Tiny text. Other.", "Tiny text."),
+        ("", "", "", "", ""),
+    ]
+    words = lambda s: " ".join(w for w in s.split() if len(w.encode()) > 1)
+    return [(-1 - i, h, t, h if b is None else b, words(m), words(a)) for i, (h, t, b, m, a) in enumerate(rows)]
+
+
+def meta_cases() -> list[tuple]:
+    """(page_id, url, html, site_name, title, description, keywords,
+    image_url, image_width, image_height)."""
+    url = "https://www.site.example/a"
+    rows = [
+        ("<head><meta property=\"og:title\" content=\"It's good news\"><meta name='description' content='The \"Daily\"'></head>",
+         "www.site.example", "It's good news", 'The "Daily"', None, None, None, None),
+        ("<head><title>Plain</title><META CONTENT=short NAME=Description><meta content=\"a, b\" data-x='>' name=keywords></head>",
+         "www.site.example", "Plain", "short", "a, b", None, None, None),
+        ("<head><meta property=og:site_name content='A &amp; B'><meta property=og:image content=\"https://i.example/p?a=1&copy=2&amp;c=3\">"
+         "<meta property='og:image:width' content=640><meta property='og:image:height' content=\"480\" /></head>",
+         "A & B", "", None, None, "https://i.example/p?a=1&copy=2&c=3", "640", "480"),
+        ("<head><meta property=\"og:title\" content=\"\"><meta property=\"og:title\" content=\"x > y\"><!-- <meta name=keywords content=no> -->"
+         "</head><body><meta name=description content=late></body>", "www.site.example", "x > y", None, None, None, None, None),
+    ]
+    return [(-1 - i, url, *row) for i, row in enumerate(rows)]
+
+
 def sql_values(rows: list[tuple], cols: list[str]) -> str:
     """DuckDB VALUES list for inline rows (strings via chr() for control chars)."""
 
@@ -98,6 +158,9 @@ def sql_values(rows: list[tuple], cols: list[str]) -> str:
         if isinstance(v, int):
             return str(v)
         parts, buf = [], ""
+        tail = len(v) - len(v.rstrip(v[-1:]))
+        if tail > 50:
+            return f"({q(v[:-tail])} || repeat({q(v[-1])}, {tail}))"
         for ch in v:
             if ord(ch) < 32 or ord(ch) == 127 or ord(ch) > 126:
                 if buf:

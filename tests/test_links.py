@@ -46,7 +46,7 @@ def test_unwrap_reasons(spark):
 def test_unresolved_id_is_padded(spark):
     link = FX.wrapped(FX.framed("AU_yqLabc"))
     rid = _one(spark, lambda c: L.unwrap_link(c)["resolver_id"], link)
-    assert len(rid) % 4 == 0 and rid.endswith("=") or len(rid) % 4 == 0
+    assert len(rid) % 4 == 0 and rid.rstrip("=") == link.split("/")[-1].split("?")[0]
     assert base64.urlsafe_b64decode(rid).endswith(b"AU_yqLabc\xd2\x01\x00")
 
 
@@ -135,3 +135,25 @@ def test_offset_rows_equal_the_column_function_and_scale_linearly(spark):
         got.setdefault(r["k"], []).append(r["offset"])
     assert got == {1: [0, 1, 2], 5: list(range(0, 80_000, 2))}
     assert [r["offset"] for r in L.substring_offset_rows(df.where("k = 2"), "k", "s", "x").collect()] == [2, 5]
+
+
+def test_length_prefixes_of_any_size(spark):
+    """Lengths on both sides of every further byte, up to three megabytes;
+    padded, endless and missing prefixes."""
+    sizes = [20, 127, 128, 16_383, 16_384, 40_000, 2_097_151, 2_097_152, 3_000_000]
+    df = spark.createDataFrame([(n, FX.wrapped(FX.framed(FX.url_of_len(n)))) for n in sizes], "n long, link string")
+    for form in (lambda d: d.select("n", L.unwrap_link("link").alias("u")), lambda d: L.unwrap_links_df(d, "link", "u")):
+        got = {r["n"]: (len(r["u"]["link"]), r["u"]["reason"]) for r in form(df).select("n", "u").collect()}
+        assert got == {n: (n, None) for n in sizes}
+    url = "https://example.org/padded"
+    raw = [
+        (1, FX.PREFIX + bytes([len(url) | 128, 128, 128, 0]) + url.encode(), url, None),
+        (2, FX.PREFIX + b"\xff" * 20, None, "bad_length"),
+        (3, FX.PREFIX + b"\xff\xff", None, "too_short"),
+        (4, FX.PREFIX + b"\xff" * 8 + b"\x7f" + b"x" * 30, None, "out_of_range"),
+    ]
+    df = spark.createDataFrame([(i, FX.wrapped(b)) for i, b, *_ in raw], "i long, link string")
+    got = {r["i"]: (r["u"]["link"], r["u"]["reason"]) for r in df.select("i", L.unwrap_link("link").alias("u")).collect()}
+    assert got == {i: (link, why) for i, _, link, why in raw}
+    sizes = spark.createDataFrame([(FX.url_of_len(n),) for n in sizes], "u string")
+    assert sizes.select(L.unwrap_link(L.wrap_link("u"))["link"].alias("l"), "u").filter("l = u").count() == 9

@@ -160,3 +160,36 @@ def test_tag_names_match_whole_and_references_decode(spark):
         "no references",
     ]
     assert [r["t"] for r in df.select(H.main_content(F.col("h")).alias("t")).limit(2).collect()] == [c for _, c in cases[:2]]
+
+
+def test_literal_pages_and_metadata(spark):
+    from quillstream.sources import fixtures as FX
+
+    df = spark.createDataFrame([c[:2] for c in FX.page_cases()], "id long, h string")
+    got = {tuple(r) for r in df.select("id", H.page_title("h"), H.page_body("h"), H.main_content("h"), H.article_text("h")).collect()}
+    assert got == {(c[0], *c[2:]) for c in FX.page_cases()}
+    meta = spark.createDataFrame([c[:3] for c in FX.meta_cases()], "id long, u string, h string")
+    assert {tuple(r) for r in meta.select("id", *H.page_metadata_cols("h", "u")).collect()} == {(c[0], *c[3:]) for c in FX.meta_cases()}
+
+
+def test_null_and_long_pages(spark):
+    long = "<div>" * 20_000 + "<p>" + "word, " * 20_000 + "<!--" * 20_000
+    df = spark.createDataFrame([(1, None), (2, long)], "id long, h string")
+    rows = df.select("id", H.page_title("h").alias("t"), H.page_body("h").alias("b"), H.article_text("h").alias("a"), H.page_parts("h").alias("p")).collect()
+    got = {r["id"]: r for r in rows}
+    assert (got[1]["t"], got[1]["b"], got[1]["a"], got[1]["p"]["article"]) == (None,) * 4
+    assert got[2]["a"] == " ".join(["word,"] * 20_000)
+
+
+def test_articles_score_by_their_paragraphs():
+    from quillstream.functions import markup
+
+    prose = "Some words of a story, which has commas, and goes on. "
+    links = "".join(f"<li><a href=/{i}>Another headline, with a comma {i}</a></li>" for i in range(20))
+    page = f"<body><div id=a><ul>{links}</ul></div><div id=b><p>{prose * 3}</p><p>Yes.</p><p>{prose * 2}</p></div></body>"
+    assert markup.article(page).split() == (prose * 3 + "Yes. " + prose * 2).split()
+    comments = f"<body><div class='comments'><p>{prose * 9}</p></div><div><p>{prose}</p></div></body>"
+    assert markup.article(comments).split() == prose.split()
+    assert markup.article(f"<article>{prose}<br>{prose}</article><div>{prose}</div>").split() == (prose * 3).split()
+    table = f"<table><tr><td>{prose}<td><a href=x>link</a></table>"
+    assert markup.article(table).split() == prose.split()
