@@ -7,10 +7,11 @@ rows; everything around that call is a column expression.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillstream.functions import columns
+from quillstream.functions import columns, jsonscan
 
 # Fixed values (must match the source system's behaviour):
 #   scoring model             deepseek-chat
@@ -36,13 +37,6 @@ def scoring_prompt(topic: str = "the subject of the title", low: int = -5, high:
     )
 
 
-RESPONSE_SCHEMA = (
-    "id STRING, object STRING, created LONG, model STRING, "
-    "choices ARRAY<STRUCT<index INT, message STRUCT<role STRING, content STRING>, finish_reason STRING>>, "
-    "usage STRUCT<prompt_tokens INT, completion_tokens INT, total_tokens INT>"
-)
-
-
 def message(role: Column | str, content: Column) -> Column:
     r = F.lit(role) if isinstance(role, str) else role
     return F.struct(r.alias("role"), content.alias("content"))
@@ -71,209 +65,112 @@ def ordered_messages(turn: Column, role: Column, content: Column) -> Column:
     return F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
 
 
-#: Keys of the response envelope.
-ENVELOPE_KEYS = (
-    "id object created model choices index message role content finish_reason usage prompt_tokens completion_tokens total_tokens"
-).split()
-
-
-def folded_keys(body: Column) -> Column:
-    """Envelope keys in lower case, as the source system's decoder matches
-    them in any case.  Only a quoted word before a colon is a key: inside a
-    string value the closing quote would be escaped."""
-    folded = body
-    for key in ENVELOPE_KEYS:
-        folded = F.regexp_replace(folded, rf'(?i)"{key}"(\s*:)', rf'"{key}"$1')
-    other_case = body.rlike('"[A-Za-z_]*[A-Z][A-Za-z_]*"\\s*:')
-    return F.when(other_case, folded).otherwise(body)
-
-
-@columns(1)
-def parse_response(body: Column) -> Column:
-    """Decoded response envelope, NULL when the body is not JSON.  One
-    variant parse, then a typed cast (lenient: see :func:`envelope_ok`)."""
-    return F.try_variant_get(F.try_parse_json(folded_keys(body)), "$", f"struct<{RESPONSE_SCHEMA}>")
-
+#: Fields of the response envelope.  The all-choices decoder has
+#: no ``finish_reason`` field.
+CHOICE = {"index": int, "message": {"role": str, "content": str}}
+USAGE_FIELDS = ("prompt_tokens", "completion_tokens", "total_tokens")
+ENVELOPE = {
+    "id": str, "object": str, "created": int, "model": str, "choices": [CHOICE], "usage": dict.fromkeys(USAGE_FIELDS, int),
+}
+FIRST_ENVELOPE = ENVELOPE | {"choices": [CHOICE | {"finish_reason": str}]}
 
-_INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+DECODED = "first string, every string, " + ", ".join(f"{f} long" for f in USAGE_FIELDS)
 
 
-def _vtype_ok(x: Column, exact: tuple = (), prefix: tuple = ()) -> Column:
-    """Variant ``x`` is absent, JSON null, or of one of the given types."""
-    t = F.schema_of_variant(x)
-    ok = x.isNull() | t.isNull() | (t == "VOID")
-    if exact:
-        ok = ok | t.isin(*exact)
-    for p in prefix:
-        ok = ok | t.startswith(p)
-    return ok
+def _contents(kind: dict, value) -> tuple[list[str] | None, dict]:
+    """(contents of the choices, usage) of a parsed envelope; None if it does
+    not decode."""
+    try:
+        found = jsonscan.fill(kind, value)
+    except jsonscan.Wrong:
+        return None, {}
+    choices = found.get("choices") or []
+    return [c.get("message", {}).get("content") or "" for c in choices], found.get("usage") or {}
 
 
-def _at(x: Column, path: str) -> Column:
-    return F.try_variant_get(x, path, "variant")
+def _decode(body: str | None) -> dict:
+    out: dict = {}
+    try:
+        value = jsonscan.parse(body or "")
+    except ValueError:
+        return out
+    contents, usage = _contents(FIRST_ENVELOPE, value)
+    out["first"] = contents[0] if contents else None
+    contents, other = _contents(ENVELOPE, value)
+    out["every"] = None if contents is None else "".join(contents)
+    return out | {k: v for k, v in (usage or other).items()}
 
 
 @columns(1)
-def envelope_ok(v: Column, finish_reason: bool = True) -> Column:
-    """Strict types of the response envelope, as the source system decodes
-    it: a type mismatch anywhere is a decode error (-> the "0" fallback).
-    Strings must be strings, counts integers, ``choices`` an array of
-    objects whose ``message`` is an object with string role/content.  The
-    all-choices decoder has no ``finish_reason`` field and ignores it."""
-
-    def choice_ok(c: Column) -> Column:
-        m = _at(c, "$.message")
-        return (
-            _vtype_ok(c, prefix=("OBJECT",))
-            & _vtype_ok(_at(c, "$.index"), exact=_INT_TYPES)
-            & (_vtype_ok(_at(c, "$.finish_reason"), exact=("STRING",)) if finish_reason else F.lit(True))
-            & _vtype_ok(m, prefix=("OBJECT",))
-            & _vtype_ok(_at(m, "$.role"), exact=("STRING",))
-            & _vtype_ok(_at(m, "$.content"), exact=("STRING",))
-        )
-
-    u = _at(v, "$.usage")
-    choices = _at(v, "$.choices")
-    return (
-        _vtype_ok(v, prefix=("OBJECT",))
-        & _vtype_ok(_at(v, "$.id"), exact=("STRING",))
-        & _vtype_ok(_at(v, "$.object"), exact=("STRING",))
-        & _vtype_ok(_at(v, "$.model"), exact=("STRING",))
-        & _vtype_ok(_at(v, "$.created"), exact=_INT_TYPES)
-        & _vtype_ok(u, prefix=("OBJECT",))
-        & _vtype_ok(_at(u, "$.prompt_tokens"), exact=_INT_TYPES)
-        & _vtype_ok(_at(u, "$.completion_tokens"), exact=_INT_TYPES)
-        & _vtype_ok(_at(u, "$.total_tokens"), exact=_INT_TYPES)
-        & _vtype_ok(choices, prefix=("ARRAY",))
-        & F.coalesce(F.forall(F.try_variant_get(v, "$.choices", "array<variant>"), choice_ok), F.lit(True))
-    )
-
-
-def _response_contents(status: Column, body: Column) -> Column:
-    """struct(first, all): E2a and E2b contents with the E5 fallbacks."""
+def decode_response(body: Column) -> Column:
+    """Struct of a response envelope: ``first`` choice's content (null when
+    it does not decode or has no choice), ``every`` choice's contents joined
+    (null when it does not decode) and the usage counts.  Types are strict:
+    a wrong one anywhere is a decode error; keys match in any case."""
+    fields = [f.split()[0] for f in DECODED.split(", ")]
 
-    def on_variant(v: Column) -> Column:
-        r = F.try_variant_get(v, "$", f"struct<{RESPONSE_SCHEMA}>")
-        contents = F.transform(r["choices"], lambda c: F.coalesce(c["message"]["content"], F.lit("")))
-        broken = (status != 200) | v.isNull()
-        failed = broken | ~envelope_ok(v, finish_reason=False)
-        first = F.when(broken | ~envelope_ok(v) | (F.coalesce(F.size(contents), F.lit(0)) <= 0), F.lit(NO_RESULT)).otherwise(
-            F.element_at(contents, 1)
-        )
-        every = F.when(failed, F.lit(NO_RESULT)).otherwise(F.coalesce(F.array_join(contents, ""), F.lit("")))
-        return F.struct(first.alias("first"), every.alias("all"))
+    def run(bodies: pd.Series) -> pd.DataFrame:
+        rows = [_decode(b if isinstance(b, str) else None) for b in bodies]
+        return pd.DataFrame({f: pd.array([r.get(f) for r in rows], dtype="Int64" if f in USAGE_FIELDS else object) for f in fields})
 
-    return F.element_at(F.transform(F.array(F.try_parse_json(folded_keys(body))), on_variant), 1)
+    return F.pandas_udf(run, DECODED)(body)
 
 
 @columns(2)
 def first_choice_content(status: Column, body: Column) -> Column:
     """E2a + E5: content of the first choice; "0" on non-200, undecodable
     body (bad JSON or wrong types) or no choices."""
-    return _response_contents(status, body)["first"]
+    return F.coalesce(F.when(status == 200, decode_response(body)["first"]), F.lit(NO_RESULT))
 
 
 @columns(2)
 def all_choices_content(status: Column, body: Column) -> Column:
     """E2b + A4: concatenation of every choice's content in order; "0" on
     non-200 or undecodable body, "" when there are no choices."""
-    return _response_contents(status, body)["all"]
+    return F.coalesce(F.when(status == 200, decode_response(body)["every"]), F.lit(NO_RESULT))
 
 
 @columns(1)
-def total_tokens(body: Column) -> Column:
-    return parse_response(body)["usage"]["total_tokens"]
+def token_usage(body: Column) -> list[Column]:
+    """Prompt, completion and total tokens of a response."""
+    found = decode_response(body)
+    return [found[field].alias(field) for field in USAGE_FIELDS]
 
 
-def _matches(keys: Column, name: str) -> Column:
-    return F.filter(keys, lambda x: F.lower(x) == name)
+ANSWER_FIELDS = ("score", "analyse")
 
 
-def _field(m: Column, keys: Column, name: str) -> Column:
-    """Value (variant) of the last key equal to ``name`` ignoring case whose
-    value is not null, in document order (``keys`` from
-    ``json_object_keys``): a later null leaves the field as it is; NULL when
-    there is none."""
-    set_ = F.filter(_matches(keys, name), lambda k: F.schema_of_variant(F.element_at(m, k)) != "VOID")
-    k = F.try_element_at(set_, F.lit(-1))
-    return F.when(k.isNotNull(), F.element_at(m, k))
-
-
-def whole_json(text: Column) -> Column:
-    """The text as a variant if all of it is one JSON value, else NULL.  The
-    parser takes a value with anything after it; put into an array and into
-    an object, what follows the value would have to close both."""
-    inside = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))), "$.v", "variant")
-    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(items) == 1, inside)
-
-
-def keep_last_duplicate() -> None:
-    """Exact duplicate keys: the source system's decoder lets the last one
-    win.  Spark's parser does so under a session setting only, which is
-    turned on here for the active session."""
-    session = SparkSession.getActiveSession()
-    if session is not None and session.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
-        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-
-
-def _string_ok(value: Column) -> Column:
-    t = F.schema_of_variant(value)
-    return value.isNull() | t.isNull() | t.isin("STRING", "VOID")
-
-
-def _all_string_ok(m: Column, keys: Column, name: str) -> Column:
-    """Every key matching ``name`` must hold a string or null: a wrong type
-    under any of them is a decode error, even if a later key overrides it."""
-    return F.forall(_matches(keys, name), lambda k: _string_ok(F.element_at(m, k)))
-
-
-def _string_value(value: Column) -> Column:
-    return F.coalesce(F.try_variant_get(value, "$", "string"), F.lit(""))
+def _answer(text: str | None) -> tuple[str | None, str | None, str | None]:
+    """(score, analyse, reason) of a model answer."""
+    try:
+        value = jsonscan.parse(text or "")
+    except ValueError:
+        return None, None, "invalid_json"
+    if value is not None and type(value) is not jsonscan.Pairs:
+        return None, None, "not_object"
+    found = {}
+    for field in ANSWER_FIELDS:
+        try:
+            found[field] = jsonscan.fill({field: str}, value).get(field) or ""
+        except jsonscan.Wrong:
+            return None, None, f"{field}_type"
+    return found["score"], found["analyse"], None
 
 
 @columns(1)
 def strict_answer(answer: Column) -> Column:
     """E4 (contract C5): struct(score, analyse, reason).
 
-    Accepted when the answer is JSON ``null`` (both fields empty) or an
-    object whose ``score`` and ``analyse`` keys (matched ignoring case; the
-    last match in document order that is not null wins) are each absent, null
-    or a string -- under every matching key, as a type error anywhere fails
-    the decode.  The whole answer must be that one JSON value.  Anything else
-    is rejected with a reason; rejected rows have score/analyse NULL."""
-    keep_last_duplicate()
-
-    def on_variant(v: Column) -> Column:
-        top = F.schema_of_variant(v)
-        m = F.try_variant_get(v, "$", "map<string,variant>")
-        keys = F.json_object_keys(answer)
-
-        def on_map(mm: Column) -> Column:
-            s, a = _field(mm, keys, "score"), _field(mm, keys, "analyse")
-            reason = F.when(~_all_string_ok(mm, keys, "score"), F.lit("score_type")).when(
-                ~_all_string_ok(mm, keys, "analyse"), F.lit("analyse_type")
-            )
-            return F.struct(
-                F.when(reason.isNull(), _string_value(s)).alias("score"),
-                F.when(reason.isNull(), _string_value(a)).alias("analyse"),
-                reason.alias("reason"),
-            )
-
-        def reject(r: str) -> Column:
-            return F.struct(F.lit(None).cast("string").alias("score"), F.lit(None).cast("string").alias("analyse"),
-                            F.lit(r).alias("reason"))
-
-        accept_empty = F.struct(F.lit("").alias("score"), F.lit("").alias("analyse"),
-                                F.lit(None).cast("string").alias("reason"))
-        return (
-            F.when(v.isNull(), reject("invalid_json"))
-            .when(top == "VOID", accept_empty)
-            .when(~top.startswith("OBJECT"), reject("not_object"))
-            .otherwise(F.element_at(F.transform(F.array(m), on_map), 1))
-        )
-
-    return F.element_at(F.transform(F.array(whole_json(answer)), on_variant), 1)
+    Accepted when the whole answer is JSON ``null`` (both fields empty) or an
+    object whose ``score`` and ``analyse`` keys (matched in any case, repeated
+    ones in document order: the last that is not null wins) each hold a
+    string or null under every match.  Anything else is rejected with a
+    reason; rejected rows have score/analyse NULL."""
+
+    def run(answers: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_answer(a if isinstance(a, str) else None) for a in answers], columns=["score", "analyse", "reason"], dtype=object)
+
+    return F.pandas_udf(run, "score string, analyse string, reason string")(answer)
 
 
 @columns(1)

@@ -78,8 +78,8 @@ WITH c AS (
   SELECT conv_id,
          bool_or(role = 'system') AS has_system,
          list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS answers,
-         coalesce(sum(strlen(text)) FILTER (WHERE role <> 'assistant'), 0)
-           + coalesce(sum(strlen(text)) FILTER (WHERE role = 'assistant'), 0) AS tokens
+         coalesce(sum(strlen(text)) FILTER (WHERE role <> 'assistant'), 0)::BIGINT AS prompt_tokens,
+         coalesce(sum(strlen(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS completion_tokens
   FROM conversations GROUP BY conv_id)
 """
 
@@ -89,14 +89,14 @@ WITH c AS (
     _RESP_BASE
     + """SELECT conv_id,
        CASE WHEN has_system OR coalesce(len(answers), 0) = 0 THEN '0' ELSE answers[1] END AS content,
-       tokens::INTEGER AS total_tokens FROM c""",
+       prompt_tokens, completion_tokens, prompt_tokens + completion_tokens AS total_tokens FROM c""",
 )
 def response_parse_first(spark, sf_dir):
     r = response_bodies(spark, sf_dir)
     return r.select(
         "conv_id",
         M.first_choice_content(F.col("status"), F.col("body")).alias("content"),
-        M.total_tokens(F.col("body")).alias("total_tokens"),
+        *M.token_usage(F.col("body")),
     )
 
 
@@ -105,14 +105,14 @@ def response_parse_first(spark, sf_dir):
     _RESP_BASE
     + """SELECT conv_id,
        CASE WHEN has_system THEN '0' ELSE coalesce(array_to_string(answers, ''), '') END AS content,
-       tokens::INTEGER AS total_tokens FROM c""",
+       prompt_tokens, completion_tokens, prompt_tokens + completion_tokens AS total_tokens FROM c""",
 )
 def response_parse_all(spark, sf_dir):
     r = response_bodies(spark, sf_dir)
     return r.select(
         "conv_id",
         M.all_choices_content(F.col("status"), F.col("body")).alias("content"),
-        M.total_tokens(F.col("body")).alias("total_tokens"),
+        *M.token_usage(F.col("body")),
     )
 
 
@@ -148,6 +148,13 @@ ANSWER_CASES = [
     (-26, ' {"score":"4","analyse":"ws"} \n', "4", "ws", None),
     (-27, '{"score":"2","Score":null,"analyse":"later null"}', "2", "later null", None),
     (-28, '{"score":"1","score":"2","analyse":"twice"}', "2", "twice", None),
+    (-29, '{"score":"1","score":null,"analyse":"null last"}', "1", "null last", None),
+    (-30, '{"score":5,"score":"1","analyse":"type first"}', None, None, "score_type"),
+    (-31, '{"analyse":["x"],"score":"1","analyse":"y"}', None, None, "analyse_type"),
+    (-32, '{"score":"1","analyse":"a","extra":NaN}', None, None, "invalid_json"),
+    (-33, '{"score":"\\u0031","analyse":"a \\"quoted\\" part, {\\"score\\":\\"9\\"}"}', "1", 'a "quoted" part, {"score":"9"}', None),
+    (-34, '{"extra":{"score":5},"score":"3"}', "3", "", None),
+    (-35, '{"score":"3",}', None, None, "invalid_json"),
 ]
 
 

@@ -96,19 +96,33 @@ def test_tick_with_a_chat_client(spark):
     assert len({r["guid"] for r in rows}) == len(rows)
 
 
-def test_duplicate_keys_last_wins_with_session_setting(spark):
-    key = "spark.sql.variant.allowDuplicateKeys"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        df = spark.createDataFrame([('{"score":"1","score":"2","analyse":"a"}',), ('{"score":"1","score":3}',)], "a string")
-        got = [tuple(r["p"]) for r in df.select(M.strict_answer(F.col("a")).alias("p")).collect()]
-        assert got == [("2", "a", None), (None, None, "score_type")]
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+def test_repeated_keys_in_envelopes_and_answers(spark):
+    rows = [
+        '{"choices":[{"message":{"content":"x","content":"y"}}]}',
+        '{"choices":[{"message":{"content":"x"},"message":{"role":"r"}}]}',
+        '{"choices":[{"message":{"content":"x","content":null}}]}',
+        '{"choices":[{"message":{"content":1,"content":"x"}}]}',
+        '{"choices":[{"message":{"content":"x"}}],"choices":null}',
+        '{"created":10000000000000000000000,"choices":[]}',
+        '{"choices":[null,{"message":null}]}',
+    ]
+    df = spark.createDataFrame([(200, r) for r in rows], "status int, body string")
+    got = df.select(
+        M.first_choice_content(F.col("status"), F.col("body")).alias("f"), M.all_choices_content(F.col("status"), F.col("body")).alias("a")
+    ).collect()
+    assert [(r["f"], r["a"]) for r in got] == [("y", "y"), ("x", "x"), ("x", "x"), ("0", "0"), ("0", ""), ("0", "0"), ("", "")]
+
+
+def test_deep_and_null_answers(spark):
+    df = spark.createDataFrame([("[" * 100_000,), (None,), ('{"score":"1","a":' + "[" * 50 + "]" * 50 + "}",)], "a string")
+    got = [tuple(r["p"]) for r in df.select(M.strict_answer(F.col("a")).alias("p")).collect()]
+    assert got == [(None, None, "invalid_json"), (None, None, "invalid_json"), ("1", "", None)]
+
+
+def test_usage_fields(spark):
+    body = '{"choices":[],"Usage":{"prompt_tokens":3,"completion_tokens":4,"total_tokens":7}}'
+    df = spark.createDataFrame([(body,), ('{"usage":{"total_tokens":null}}',), ("no",)], "b string")
+    assert [tuple(r) for r in df.select(*M.token_usage(F.col("b"))).collect()] == [(3, 4, 7), (None,) * 3, (None,) * 3]
 
 
 def test_envelope_keys_in_any_case_and_finish_reason_by_decoder(spark):
@@ -124,12 +138,6 @@ def test_envelope_keys_in_any_case_and_finish_reason_by_decoder(spark):
     assert [(r["f"], r["a"]) for r in got] == [("x", "x"), ("0", "x"), ('say "Role": no', 'say "Role": no')]
 
 
-def test_the_answer_parse_does_not_depend_on_the_session(spark):
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
-    df = spark.createDataFrame([('{"score":"1","score":"2"}',)], "a string")
-    assert df.select(M.strict_answer(F.col("a")).alias("p")).first()["p"]["score"] == "2"
-
-
 def test_the_prompt_names_topic_and_scale():
     text = M.scoring_prompt("Acme", -3, 3, 50)
     assert "Acme" in text and "-3" in text and "50 words" in text
