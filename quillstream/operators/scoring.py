@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstream.session import read_or_empty, scratch_path
+
 Scorer = Callable[[list], list]
 
 
@@ -115,22 +117,27 @@ def fetch_rows(
     request_col: str,
     make_client: Callable[[], Client],
     concurrency: int | None = None,
+    in_flight: int = 1,
 ) -> DataFrame:
     """``df`` plus ``status`` (int) and ``body`` (string) from one model call
     per row; all columns pass through the Arrow batches.  ``concurrency``
-    round-robin repartitions first to bound parallel clients."""
+    round-robin repartitions first to bound parallel clients; each client
+    has at most ``in_flight`` calls open at a time."""
     src = df.repartition(concurrency) if concurrency else df
     out_schema = T.StructType(
         list(src.schema.fields) + [T.StructField("status", T.IntegerType()), T.StructField("body", T.StringType())]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+
         client = make_client()
-        for pdf in batches:
-            out = [client(r) if isinstance(r, str) else (0, "") for r in pdf[request_col].tolist()]
-            pdf["status"] = [int(s) for s, _ in out]
-            pdf["body"] = [b for _, b in out]
-            yield pdf
+        with ThreadPoolExecutor(max_workers=max(1, in_flight)) as pool:
+            for pdf in batches:
+                out = list(pool.map(lambda r: client(r) if isinstance(r, str) else (0, ""), pdf[request_col].tolist()))
+                pdf["status"] = [int(s) for s, _ in out]
+                pdf["body"] = [b for _, b in out]
+                yield pdf
 
     return src.mapInPandas(run, out_schema)
 
@@ -146,3 +153,52 @@ def fetch_responses(
     the responses table the tick joins (J4)."""
     src = df.select(F.col(key_col).alias("key"), F.col(request_col).alias("request"))
     return fetch_rows(src, "request", make_client, concurrency).select("key", "status", "body")
+
+
+LANDED = "key string, status int, body string, answered boolean"
+
+
+def land_responses(
+    requests: DataFrame,
+    path: str,
+    make_client: Callable[[], Client],
+    block_rows: int = 10_000,
+    concurrency: int | None = None,
+    in_flight: int = 8,
+    answered=lambda status, body: status == 200,
+) -> DataFrame:
+    """E3, resumable: (key, status, body) of every row of ``requests`` (key,
+    request), landed in the table at ``path``.
+
+    Keys that have an answer there are not called.  The others are dealt
+    over blocks of about ``block_rows``, each its own job whose answers are
+    landed before the next one starts: a failed tick, or a lost executor that
+    ends a job, repeats the calls of one block at most.  ``answered`` says
+    which responses count; others are landed, returned, and called again the
+    next time.  A key is one call however many rows have it."""
+    spark = requests.sparkSession
+    wanted = scratch_path(spark, "requests")
+    keyed = requests.select("key", "request").groupBy("key").agg(F.min("request").alias("request"))
+    landed = read_or_empty(spark, path, LANDED)
+    missing = keyed.join(landed.filter("answered").select("key"), "key", "left_anti")
+    missing.write.parquet(wanted)
+    todo = spark.read.parquet(wanted)
+    blocks = -(-todo.count() // block_rows)
+    for block in range(blocks):
+        rows = todo.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
+        got = fetch_rows(rows, "request", make_client, concurrency, in_flight)
+        got = got.select("key", "status", "body", answered(F.col("status"), F.col("body")).alias("answered"))
+        got.write.mode("append").parquet(path)
+    best = F.max(F.struct("answered", "status", "body")).alias("best")
+    found = read_or_empty(spark, path, LANDED).join(keyed.select("key"), "key", "left_semi").groupBy("key").agg(best)
+    return found.select("key", "best.status", "best.body")
+
+
+def scorer_client(make_scorer: Callable[[], Scorer]) -> Callable[[], Client]:
+    """A scorer as a client: the answer text is the body."""
+
+    def make() -> Client:
+        scorer = make_scorer()
+        return lambda text: (200, scorer([text])[0])
+
+    return make

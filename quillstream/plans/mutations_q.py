@@ -10,6 +10,7 @@ from quillstream.functions import llm as M
 from quillstream.operators import merge as MG
 from quillstream.operators.scoring import score_rows
 from quillstream.plans import sqlfrag as S
+from quillstream.plans.backfill import run_backfill
 from quillstream.plans.catalog import register
 from quillstream.session import scratch_path
 from quillstream.sources import feed as FD
@@ -72,6 +73,41 @@ def backfill_merge(spark, sf_dir):
     return merged.select("doc_id", "score", "analyse")
 
 
+# ------------------------------------------------------------------ backfill job
+# Pages as stored items, every second one without an analysis, in a table of
+# buckets; pages that never arrived whole are scored on the title alone.
+
+BUCKETS = 16
+
+_ITEMS_SQL = f"""
+SELECT page_id AS id, {S.page_title('html')} AS title, url AS link,
+  CASE WHEN page_id % 2 = 1 THEN 'old' END AS "analyse", CASE WHEN page_id % 2 = 1 THEN '1' END AS score,
+  CASE WHEN {S.has_complete_body('html')} THEN {S.article_text('html')} END AS content
+FROM pages"""
+
+
+@register(
+    "backfill_job",
+    f"""WITH base AS ({_ITEMS_SQL}),
+upd AS (SELECT *, {S.compose_scoring_text('title', 'content')} AS st FROM base)
+SELECT id, CASE WHEN "analyse" IS NULL THEN ((length(st) % 11) - 5)::VARCHAR ELSE score END AS score,
+       CASE WHEN "analyse" IS NULL THEN length(st) || ' characters' ELSE "analyse" END AS "analyse"
+FROM upd WHERE "analyse" IS NOT NULL OR length(st) % 11 <> 5""",
+)
+def backfill_job(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    old = F.col("page_id") % 2 == 1
+    items = pages.select(
+        F.col("page_id").alias("id"), H.page_title(F.col("html")).alias("title"), F.col("url").alias("link"),
+        F.when(old, "1").alias("score"), F.when(old, "old").alias("analyse"),
+    )
+    path = K.table_path(scratch_path(spark, "ns"), "test", "scored_items")
+    MG.write_bucketed(items, path, "id", BUCKETS)
+    fetched = pages.filter(H.has_complete_body(F.col("html"))).select("url", "html")
+    run_backfill(spark, path, "id", BUCKETS, pages=fetched)
+    return MG.read_bucketed(spark, path, "id").select("id", "score", "analyse")
+
+
 # ------------------------------------------------------------------ K5 / P7
 # Pages as stored items whose link was lost: truncated http pages have no
 # link field, truncated https pages an empty one.

@@ -2,12 +2,12 @@
 
 Tables are parquet directories partitioned by ``topic`` under a namespace
 root (the source system's database -> collection-per-topic layout).
-Appends add files; rewrites produce a new version directory and never
-overwrite a path that the job is reading.
+Appends add files; updates go through ``operators.merge``.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,9 +24,6 @@ NEWS_ITEMS = T.StructType(
         T.StructField("topic", T.StringType()),
     ]
 )
-SEEN_KEYS = T.StructType([T.StructField("guid", T.StringType()), T.StructField("batch_id", T.LongType())])
-COUNTERS = T.StructType([T.StructField("name", T.StringType()), T.StructField("seq", T.LongType())])
-
 
 def table_path(root: str, namespace: str, table: str) -> str:
     """K2: the target namespace is a parameter of the same job."""
@@ -38,7 +35,9 @@ def init_table(spark: SparkSession, path: str, schema: T.StructType, partition_b
     and return it."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - path does not exist yet
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         w = spark.createDataFrame([], schema).write.mode("append")
         if partition_by:
             w = w.partitionBy(partition_by)
@@ -54,12 +53,3 @@ def append(df: DataFrame, path: str, partition_by: str | None = "topic") -> None
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-
-
-def write_version(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Write ``df`` as a new table version and return its path."""
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return path

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -101,3 +102,58 @@ def test_tick_with_a_hot_guid(spark):
         assert ids == list(range(start + 1, start + 1 + len(ids)))
         by_arrival = [r["id"] for r in sorted((r for r in out if r["topic"] == topic), key=lambda r: r["date"])]
         assert by_arrival == ids
+
+
+def test_a_stored_merge_touches_only_the_buckets_it_hits(spark):
+    from quillstream.session import scratch_path
+
+    path, schema = scratch_path(spark, "bucketed"), "id long, title string, score string, analyse string"
+    rows = [(i, f"t{i}", None if i % 7 == 0 else "1", None if i % 7 == 0 else "x") for i in range(200)]
+    MG.write_bucketed(spark.createDataFrame(rows, schema), path, "id", 40)
+    before = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("bucket=")}
+    upd = spark.createDataFrame([(0, "4", "up"), (7, "0", "neutral"), (999, "1", "nobody")], "id long, score string, analyse string")
+    hit = MG.merge_into(spark, path, upd, "id", ["score", "analyse"], 40, delete_neutral_col="score")
+    after = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("bucket=")}
+    assert {d for d in before if before[d] != after[d]} == {f"bucket={b}" for b in hit} and len(hit) <= 3 and len(before) == 40
+    got = {r["id"]: (r["score"], r["analyse"]) for r in MG.read_bucketed(spark, path, "id").collect()}
+    want = {i: (s, a) for i, _, s, a in rows if i != 7} | {0: ("4", "up")}
+    assert got == want
+    assert MG.merge_into(spark, path, upd, "id", ["score", "analyse"], 40, delete_neutral_col="score") == hit  # again: the same
+    assert {r["id"]: (r["score"], r["analyse"]) for r in MG.read_bucketed(spark, path, "id").collect()} == want
+    plan = MG.read_bucketed(spark, path, "id", hit)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+
+
+def test_a_bucket_that_loses_its_last_row_and_double_keys(spark):
+    from quillstream.session import scratch_path
+
+    schema = "id long, score string"
+    path = scratch_path(spark, "bucketed")
+    MG.write_bucketed(spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], schema), path, "id", 1000)
+    MG.merge_into(spark, path, spark.createDataFrame([(1, "0")], schema), "id", ["score"], 1000, delete_neutral_col="score")
+    assert [tuple(r)[:2] for r in MG.read_bucketed(spark, path, "id").collect()] == [(2, "b")]
+    assert MG.merge_into(spark, path, spark.createDataFrame([], schema), "id", ["score"], 1000) == []
+    twice = scratch_path(spark, "twice")
+    MG.write_bucketed(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], schema), twice, "id", 8)
+    with pytest.raises(ValueError, match="duplicate base key"):
+        MG.merge_into(spark, twice, spark.createDataFrame([(1, "x")], schema), "id", ["score"], 8)
+    with pytest.raises(Exception, match="duplicate update key"):
+        MG.merge_into(spark, path, spark.createDataFrame([(2, "x"), (2, "y")], schema), "id", ["score"], 1000)
+
+
+def test_backfill_resumes_and_leaves_what_does_not_parse(spark):
+    from quillstream.plans.backfill import run_backfill
+    from quillstream.session import scratch_path
+
+    path, landed = scratch_path(spark, "items"), scratch_path(spark, "answers")
+    rows = [(i, f"title {i}", f"https://a.example/{i}", None, None, "T" if i < 6 else "U") for i in range(8)]
+    MG.write_bucketed(spark.createDataFrame(rows, "id long, title string, link string, score string, analyse string, topic string"), path, "id", 4)
+    pages = spark.createDataFrame([("https://a.example/1", "<body><p>The content of page one.</p></body>")], "url string, html string")
+
+    def scorer():
+        return lambda texts: ["no json" if t == "title 2" else '{"score":"0"}' if t == "title 3" else '{"score":"%d","analyse":"a"}' % len(t) for t in texts]
+
+    run_backfill(spark, path, "id", 4, pages, make_scorer=scorer, answers_path=landed, only=F.col("topic") == "T")
+    got = {r["id"]: (r["score"], r["analyse"]) for r in MG.read_bucketed(spark, path, "id").collect()}
+    content = len("Title:title 1\nContent:The content of page one.")
+    assert got == {0: ("7", "a"), 1: (str(content), "a"), 2: (None, None), 4: ("7", "a"), 5: ("7", "a"), 6: (None, None), 7: (None, None)}
