@@ -9,17 +9,22 @@ from quillstream.operators import ids as I
 from quillstream.plans import ingest as G
 from quillstream.plans import sqlfrag as S
 from quillstream.plans.catalog import register
-from quillstream.plans.pages_q import fetched_pages
+from quillstream.plans.pages_q import HOST_SQL, pages_with_meta
 from quillstream.sources import feed as FD
 
 CUT = FD.CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
 _GUID = "{u} || ':' || strftime({t}, '%H')"
-_HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
+
+# the site name that an https page states (and that was fetched whole), else the host
+SOURCE_SQL = (
+    f"CASE WHEN starts_with(p.url, 'https://') AND {S.has_complete_body('p.html')} THEN 'Site ' || p.page_id "
+    f"ELSE {HOST_SQL.replace('url', 'p.url')} END"
+)
 
 BATCH_INGEST_SQL = f"""
 WITH items AS (
   SELECT e.event_type AS topic, {_GUID.format(u='e.user_id', t='e.ts')} AS guid, e.ts, e.event_id,
-         {S.page_title('p.html')} AS title, p.url AS link, {_HOST.replace('url', 'p.url')} AS source
+         {S.page_title('p.html')} AS title, p.url AS link, {SOURCE_SQL} AS source
   FROM events e JOIN pages p ON p.page_id = e.user_id
   WHERE e.ts >= TIMESTAMP '{CUT}'),
 fresh AS (SELECT * FROM items WHERE guid NOT IN (SELECT {_GUID.format(u='user_id', t='ts')} FROM events WHERE ts < TIMESTAMP '{CUT}')),
@@ -40,8 +45,8 @@ def batch_tick(spark, sf_dir):
     items = feed.filter(F.col("published") >= FD.ts_lit(feed, "published", FD.CUTOFF))
     items = items.withColumn("guid", FD.hourly_guid(F.col("guid"), F.col("published")))
     counters = FD.counters_table(spark, sf_dir, FD.CUTOFF)
-    pages = fetched_pages(spark, sf_dir)
-    return G.run_tick(items, FD.seen_keys(spark, sf_dir), counters, page_content=pages, extract=H.article_text)
+    pages = pages_with_meta(spark, sf_dir).filter(H.has_complete_body(F.col("html"))).select("url", "html")
+    return G.run_tick(items, FD.seen_keys(spark, sf_dir), counters, page_content=pages)
 
 
 @register("batch_ingest", BATCH_INGEST_SQL)

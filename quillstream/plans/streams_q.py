@@ -4,13 +4,19 @@ directory that Spark fills from the driver tables)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from quillstream.functions import links as L
 from quillstream.operators import ids as I
 from quillstream.plans.catalog import register
+from quillstream.plans.links_q import resolver_body, unresolved_link
+from quillstream.plans.pages_q import HOST_SQL, pages_with_meta
 from quillstream.session import scratch_path
 from quillstream.sources import feed as FD
 from quillstream.sources.tables import read_table
+from quillstream.streaming import dedupe as DD
 from quillstream.streaming import ticks as TK
 
 CUT = FD.CUTOFF.strftime("%Y-%m-%d %H:%M:%S")
@@ -31,22 +37,32 @@ def tick_windows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ D4 / T3
+# Events land in three parts by time, so most users come back in later
+# micro-batches; each is a run of its own over one checkpoint (a restart).
 
+PARTS = [FD.CUTOFF - dt.timedelta(days=7), FD.CUTOFF]
 
-def _event_stream(spark, sf_dir):
-    events = read_table(spark, sf_dir, "events")
-    # a glob, not the single file: the file source needs a directory or pattern
-    s = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
+def landed_parts(spark, sf_dir, landing, table="events", time_col="ts"):
+    """Land the rows of ``table`` in parts by time; yields after each."""
+    rows = read_table(spark, sf_dir, table)
+    time, bounds = F.col(time_col), [FD.ts_lit(rows, time_col, p) for p in PARTS]
+    for part in (time < bounds[0], (time >= bounds[0]) & (time < bounds[1]), time >= bounds[1]):
+        rows.filter(part).write.mode("append").parquet(landing)
+        yield rows.schema
 
-@register("stream_dedupe", "SELECT DISTINCT user_id FROM events")
+
+@register(
+    "stream_dedupe",
+    "SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n = 1",
+)
 def stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "stream-dedupe")
-    s = _event_stream(spark, sf_dir).withWatermark("ts", f"{LATE_DELAY_HOURS} hours")
-    d = s.dropDuplicatesWithinWatermark(["user_id"]).select("user_id", "ts")
-    TK.run_available(spark, d, f"{root}/_checkpoint", path=f"{root}/out")
-    return spark.read.parquet(f"{root}/out").select("user_id")
+    for schema in landed_parts(spark, sf_dir, f"{root}/landing"):
+        s = spark.readStream.schema(schema).parquet(f"{root}/landing").select("user_id", "event_id", "ts")
+        first = DD.first_per_key_stream(s, "user_id", ["ts", "event_id"], keep="365 days")
+        TK.run_available(spark, first, f"{root}/_checkpoint", path=f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
 
 
 # ------------------------------------------------------------------ T4 / A3
@@ -54,62 +70,36 @@ def stream_dedupe(spark, sf_dir):
 # the older ones, which arrive after the watermark moved past them.
 
 
-def _land_two_ticks(spark, sf_dir, landing):
+def _two_tick_log(spark, sf_dir):
+    root = scratch_path(spark, "late")
+    landing = f"{root}/landing"
     events = read_table(spark, sf_dir, "events")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    tables, sink = TK.batch_log(spark, f"{root}/log", schema, "ts", LATE_DELAY_HOURS)
     cut = FD.ts_lit(events, "ts", FD.CUTOFF)
-    events.filter(F.col("ts") >= cut).write.mode("append").parquet(landing)
-    yield 0
-    events.filter(F.col("ts") < cut).write.mode("append").parquet(landing)
-    yield 1
+    for part in (F.col("ts") >= cut, F.col("ts") < cut):
+        events.filter(part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        TK.run_available(spark, stream, f"{root}/_checkpoint", sink=sink)
+    return tables
 
 
-def _two_tick_progress(spark, sf_dir, build):
-    root = scratch_path(spark, "late")
-    landing = f"{root}/landing"
-    schema = read_table(spark, sf_dir, "events").schema
-    progress = []
-    for _ in _land_two_ticks(spark, sf_dir, landing):
-        s = spark.readStream.schema(schema).parquet(landing).withColumn("ts", F.col("ts").cast("timestamp"))
-        q = TK.run_available(spark, build(s), f"{root}/_checkpoint", path=f"{root}/out")
-        progress.extend(TK.progress_list(q))
-    return progress
+LATE_SQL = f"""WITH a AS (SELECT max(ts) AS m FROM events WHERE ts >= TIMESTAMP '{CUT}'),
+late AS (SELECT events.* FROM events, a WHERE ts < TIMESTAMP '{CUT}' AND ts <= a.m - INTERVAL {LATE_DELAY_HOURS} HOUR)"""
 
 
-@register(
-    "late_rows",
-    f"""WITH a AS (SELECT max(ts) AS m FROM events WHERE ts >= TIMESTAMP '{CUT}')
-SELECT 'rows_in' AS metric, count(*)::BIGINT AS value FROM events
-UNION ALL SELECT 'late_rows', count(*)::BIGINT FROM events, a
-  WHERE ts < TIMESTAMP '{CUT}' AND ts <= a.m - INTERVAL {LATE_DELAY_HOURS} HOUR""",
-)
+@register("late_rows", f"{LATE_SQL} SELECT event_id, ts, user_id, event_type FROM late")
 def late_rows(spark, sf_dir):
-    def build(s):
-        return s.withWatermark("ts", f"{LATE_DELAY_HOURS} hours").dropDuplicates(["event_id", "ts"])
-
-    prog = _two_tick_progress(spark, sf_dir, build)
-    rows_in = sum(int(p.get("numInputRows", 0)) for p in prog)
-    late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in prog for op in p.get("stateOperators", []))
-    return spark.createDataFrame([("rows_in", rows_in), ("late_rows", late)], "metric string, value long")
+    return _two_tick_log(spark, sf_dir).read("late").select("event_id", "ts", "user_id", "event_type")
 
 
 @register(
     "ingest_metrics",
-    f"SELECT 'collected_batch_0' AS metric, count(*)::BIGINT AS value FROM events WHERE ts >= TIMESTAMP '{CUT}' "
-    f"UNION ALL SELECT 'collected_batch_1', count(*)::BIGINT FROM events WHERE ts < TIMESTAMP '{CUT}'",
+    f"{LATE_SQL} SELECT 0::BIGINT AS batch_id, count(*)::BIGINT AS collected, 0::BIGINT AS late FROM events WHERE ts >= TIMESTAMP '{CUT}' "
+    f"UNION ALL SELECT 1, count(*), (SELECT count(*) FROM late) FROM events WHERE ts < TIMESTAMP '{CUT}'",
 )
 def ingest_metrics(spark, sf_dir):
-    def build(s):
-        return s.observe("ingest", F.count(F.lit(1)).alias("collected"))
-
-    prog = _two_tick_progress(spark, sf_dir, build)
-    rows = []
-    # data-carrying micro-batches in order (a no-data batch would only
-    # shift Spark's batch ids, not the ticks)
-    for p in sorted(prog, key=lambda p: int(p["batchId"])):
-        m = (p.get("observedMetrics") or {}).get("ingest")
-        if m and int(p.get("numInputRows", 0)) > 0:
-            rows.append((f"collected_batch_{len(rows)}", int(m["collected"])))
-    return spark.createDataFrame(rows, "metric string, value long")
+    return _two_tick_log(spark, sf_dir).read("metrics").select("batch_id", "collected", "late")
 
 
 # ------------------------------------------------------------------ T1 / T3 / K9: streaming ingest
@@ -146,41 +136,93 @@ def landed_responses(spark, sf_dir):
     )
 
 
-# Two ticks.  Answers for odd users land only after the first one: their items
-# are rejected there, wait, and are stored in the second tick, in their own
-# place in arrival order.
+# Two ticks.  Answers for odd users, and the resolver's responses for the
+# links of every fifth page, land only after the first one: those items wait
+# there, and are stored in the second tick, in their own place in arrival order.
 STREAM_INGEST_SQL = f"""
 WITH items AS (
-  SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id
+  SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id, p.url, p.page_id
   FROM events e JOIN pages p ON p.page_id = e.user_id),
 ans AS (SELECT i.*, (l.quality - l.toxic)::VARCHAR AS score FROM items i
         JOIN labels l ON l.doc_id::VARCHAR = i.guid WHERE NOT (l.quality = 1 AND l.toxic = 1)),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY guid ORDER BY ts, event_id) AS rn FROM ans)
            WHERE rn = 1),
-ticks AS (SELECT *, CASE WHEN ts < TIMESTAMP '{CUT}' AND guid::BIGINT % 2 = 0 THEN 1 ELSE 2 END AS tick FROM firsts)
-SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY tick, ts, event_id)::BIGINT AS id, guid, score
+ticks AS (SELECT *, CASE WHEN ts < TIMESTAMP '{CUT}' AND guid::BIGINT % 2 = 0 AND page_id % 5 <> 0 THEN 1 ELSE 2 END AS tick FROM firsts)
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY tick, ts, event_id)::BIGINT AS id, guid, url AS link,
+       CASE WHEN starts_with(url, 'https://') THEN 'Site ' || page_id ELSE {HOST_SQL} END AS source, score
 FROM ticks WHERE score <> '0'
 """
 
 
+def feed_with_unresolved(spark, sf_dir):
+    """Feed items; the links of every fifth page need the resolver."""
+    pages = read_table(spark, sf_dir, "pages").filter("page_id % 5 = 0")
+    hidden = pages.select(F.col("page_id").cast("string").alias("guid"), unresolved_link(F.col("url")).alias("hidden"))
+    feed = FD.feed_items(spark, sf_dir)
+    return feed.join(hidden, "guid", "left").withColumn("link", F.coalesce("hidden", "link")).select(feed.columns)
+
+
+def landed_resolver_responses(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").filter("page_id % 5 = 0")
+    key = L.unwrap_link(unresolved_link(F.col("url")))["resolver_id"].alias("key")
+    return pages.select(key, F.lit(200).alias("status"), resolver_body(F.col("url")).alias("body"))
+
+
 @register("stream_ingest", STREAM_INGEST_SQL)
 def stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream-ingest")
-    state = TK.TickState(spark, f"{root}/state")
-    events = read_table(spark, sf_dir, "events")
-    state.init_counters(events.select(I.counter_name(F.col("event_type")).alias("name")))
     # derived once (a written table), then landed as two ticks
-    FD.feed_items(spark, sf_dir).write.parquet(f"{root}/feed")
+    feed_with_unresolved(spark, sf_dir).write.parquet(f"{root}/feed")
     feed = spark.read.parquet(f"{root}/feed")
-    landing, answers = f"{root}/landing", f"{root}/answers"
-    responses = landed_responses(spark, sf_dir)
+    state = TK.TickState(spark, f"{root}/state", feed_schema=feed.schema)
+    state.init_counters(feed.select(I.counter_name(F.col("topic")).alias("name")))
+    landing, answers, resolved = f"{root}/landing", f"{root}/answers", f"{root}/resolved"
+    responses, links = landed_responses(spark, sf_dir), landed_resolver_responses(spark, sf_dir)
+    pages = pages_with_meta(spark, sf_dir).select("url", "html")
     odd = F.col("key").cast("long") % 2 == 1
     cut = FD.ts_lit(feed, "published", FD.CUTOFF)
-    # tick 1 then tick 2, each an availableNow run over the same checkpoint,
-    # the seen keys folded between them; the reader lists answers anew
-    for items, landed in ((F.col("published") < cut, ~odd), (F.col("published") >= cut, odd)):
+    # tick 1 then tick 2, each an availableNow run over the same checkpoint;
+    # the readers list answers and resolver responses anew
+    for items, landed, known in ((F.col("published") < cut, ~odd, F.lit(False)), (F.col("published") >= cut, odd, F.lit(True))):
         feed.filter(items).write.mode("append").parquet(landing)
         responses.filter(landed).write.mode("append").parquet(answers)
-        TK.ingest_stream(spark, landing, feed.schema, state.root, responses=lambda: spark.read.parquet(answers))
-        state.compact_seen()
-    return state.read(state.items).select("topic", "id", "guid", "score")
+        links.filter(known).write.mode("append").parquet(resolved)
+        TK.ingest_stream(
+            spark, landing, feed.schema, state.root, state=state, page_content=pages,
+            responses=lambda: spark.read.parquet(answers), resolver_responses=lambda: spark.read.parquet(resolved),
+        )
+    return state.read("items").select("topic", "id", "guid", "link", "source", "score")
+
+
+# ------------------------------------------------------------------ S1 / P2: look-back windows as ticks
+# A landing table by topic and hour; three ticks, each over the 48 hours
+# before it, half of which the tick before has seen.
+
+WINDOW_HOURS = 48
+WINDOW_ENDS = [FD.CUTOFF + dt.timedelta(hours=24 * k) for k in range(3)]
+
+WINDOW_TICKS_SQL = f"""
+WITH items AS (
+  SELECT e.event_type AS topic, e.user_id::VARCHAR AS guid, e.ts, e.event_id,
+         CASE {" ".join(f"WHEN e.ts <= TIMESTAMP '{end}' THEN {k}" for k, end in enumerate(WINDOW_ENDS))} END AS tick,
+         (l.quality - l.toxic)::VARCHAR AS score
+  FROM events e JOIN pages p ON p.page_id = e.user_id JOIN labels l ON l.doc_id = e.user_id
+  WHERE e.ts >= TIMESTAMP '{WINDOW_ENDS[0] - dt.timedelta(hours=WINDOW_HOURS)}' AND e.ts <= TIMESTAMP '{WINDOW_ENDS[-1]}'
+    AND e.event_type IN ('click', 'view') AND NOT (l.quality = 1 AND l.toxic = 1)),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY guid ORDER BY tick, ts, event_id) AS rn FROM items) WHERE rn = 1)
+SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY tick, ts, event_id)::BIGINT AS id, guid, score
+FROM firsts WHERE score <> '0'
+"""
+
+
+@register("window_ticks", WINDOW_TICKS_SQL)
+def window_ticks(spark, sf_dir):
+    root = scratch_path(spark, "window-ticks")
+    FD.land_feed(FD.feed_items(spark, sf_dir), f"{root}/landing")
+    feed = spark.read.parquet(f"{root}/landing").drop("hour")
+    state = TK.TickState(spark, f"{root}/state", feed_schema=feed.select(sorted(feed.columns)).schema)
+    state.init_counters(spark.createDataFrame([("click-counter",), ("view-counter",)], "name string"))
+    responses = landed_responses(spark, sf_dir)
+    for tick, end in enumerate(WINDOW_ENDS):
+        state.window_tick(f"{root}/landing", end, WINDOW_HOURS, tick, topics=["click", "view"], responses=responses)
+    return state.read("items").select("topic", "id", "guid", "score")

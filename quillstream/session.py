@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -27,9 +28,6 @@ _LOCAL_DEFAULTS = {
     # reliable checkpoints (ranked batches) are
     # removed once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # duplicate keys in a model answer: the last one wins (the source
-    # system's decoder), instead of failing the parse
-    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -77,3 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or an empty one if nothing was written yet.
+    Any other fault is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -28,6 +28,11 @@ FEED_COUNTRY = "US"
 CUTOFF = dt.datetime(2024, 1, 15)
 
 
+#: Columns of the landed feed.
+FEED_SCHEMA = "topic string, lang string, country string, title string, link string, guid string, published timestamp, event_id long"
+HOUR = "yyyyMMddHH"
+
+
 def ts_lit(df: DataFrame, col: str, value: dt.datetime):
     """Timestamp literal typed like ``df[col]`` (TIMESTAMP or TIMESTAMP_NTZ),
     so the comparison needs no cast on the column and stays pushable."""
@@ -91,6 +96,28 @@ def topic_window(
     return found if limit is None else found.orderBy(F.col(time_col).desc(), F.col(tie_col)).limit(limit)
 
 
+def land_feed(feed: DataFrame, path: str) -> None:
+    """Append feed items to a landing table laid out by topic and hour."""
+    feed.withColumn("hour", F.date_format("published", HOUR)).write.mode("append").partitionBy("topic", "hour").parquet(path)
+
+
+def window_scan(
+    spark: SparkSession, path: str, hi: dt.datetime, hours: int, topics: list[str] | None = None, time_col: str = "published"
+) -> DataFrame:
+    """S1/P2 over a landing table of ``land_feed``: items published in
+    ``[hi - hours, hi]``, of the given topics or all.  Only the folders of
+    those topics and hours are read (partition filters)."""
+    lo = hi - dt.timedelta(hours=hours)
+    feed = spark.read.parquet(path)
+    # folder names may be read as numbers; compared as text either way
+    hour, topic = F.col("hour").cast("string"), F.col("topic").cast("string")
+    found = feed.filter((hour >= lo.strftime("%Y%m%d%H")) & (hour <= hi.strftime("%Y%m%d%H")))
+    if topics is not None:
+        found = found.filter(topic.isin(topics))
+    found = found.filter((F.col(time_col) >= ts_lit(feed, time_col, lo)) & (F.col(time_col) <= ts_lit(feed, time_col, hi)))
+    return found.withColumn("topic", topic).drop("hour")
+
+
 def project_items(feed: DataFrame) -> DataFrame:
     """P1 + P8: feed row -> news item (guid, title, date, link, source).
     The link is the unwrapped publisher link, or the original link when it

@@ -1,29 +1,27 @@
-"""Periodic ingest as Structured Streaming.
+"""Periodic ingest as Structured Streaming.
 
 The source system's ticker ("every N hours, look back N hours") becomes a
 file stream over a landing directory with ``trigger(processingTime='N
 hours')`` in production and ``availableNow`` in tests.  Each micro-batch
-runs the same tick plan as the batch job inside ``foreachBatch``.
-
-All cross-tick state (items, seen keys, counters, items waiting for another
-try) lives in tables under one root.  An attempt at batch ``b`` writes only
-into its own ``batch_id=b/attempt=...`` folders, and one empty file whose
-name holds both ends it.  Readers take committed attempts of earlier batches
-only, so a replay, whatever its answers, neither sees nor mixes with what an
-earlier attempt left behind.
+runs the same tick plan as the batch job inside ``foreachBatch`` over plain
+tables (``streaming.tables``).
 """
 
 from __future__ import annotations
 
-import math
-import uuid
+import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillstream.operators import ids as I
-from quillstream.plans.ingest import run_tick
+from quillstream.plans.ingest import run_tick, written
+from quillstream.session import read_or_empty
+from quillstream.sources import feed as FD
+from quillstream.streaming.tables import BatchTables
 
 
 def tick_counts(df: DataFrame, time_col: str, hours: int, by: str) -> DataFrame:
@@ -43,46 +41,64 @@ def run_available(
     path: str | None = None,
     query_name: str | None = None,
 ):
-    """Process everything available now and stop (test/backfill trigger)."""
+    """Process everything available now and stop (test/backfill trigger).
+
+    Batches without data are off for the run: an operator with processing-time
+    state asks for another batch at any time, and would never let it end."""
     w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         w = w.queryName(query_name)
-    if sink is not None:
-        q = w.foreachBatch(sink).start()
-    else:
-        q = w.format("parquet").option("path", path).outputMode("append").start()
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # the query takes the session's settings as it starts
+    try:
+        if sink is not None:
+            q = w.foreachBatch(sink).start()
+        else:
+            q = w.format("parquet").option("path", path).outputMode("append").start()
+    finally:
+        spark.conf.set(setting, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
 
 
-def progress_list(q) -> list[dict]:
-    """Progress of every micro-batch of a finished run.  Spark keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` only; a run that may
-    have lost some fails here instead of reporting too little."""
-    import json
-
-    kept = int(q._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
-    out = []
-    for p in q.recentProgress:
-        if isinstance(p, dict):
-            out.append(p)
-        else:
-            out.append(json.loads(p.json if hasattr(p, "json") else str(p)))
-    if len(out) >= kept:
-        raise RuntimeError(f"progress of more than {kept} micro-batches is not kept: raise numRecentProgressUpdates")
-    return out
+def log_batch(tables: BatchTables, batch: DataFrame, batch_id: int, time_col: str, late_hours: float | None):
+    """A3 / T4: the micro-batch, written once and observed while it is:
+    (rows in time, late rows, figures).  Late rows are those at or before the
+    watermark, the newest time of all earlier batches less ``late_hours``;
+    without it none are late."""
+    newest = None
+    if late_hours is not None:
+        newest = tables.before("metrics", batch_id).agg(F.max("newest")).first()[0]
+    time = F.col(time_col).cast("timestamp")
+    late = F.lit(False)
+    if newest is not None:
+        late = F.coalesce(time <= F.lit(newest - dt.timedelta(hours=late_hours)), F.lit(False))
+    seen = Observation()
+    marked = batch.withColumn("_late", late).observe(
+        seen, F.count(F.lit(1)).alias("collected"), F.count(F.when(F.col("_late"), 1)).alias("late"), F.max(time).alias("newest")
+    )
+    rows = written(marked, "batch")
+    figures = seen.get
+    return rows.filter(~F.col("_late")).drop("_late"), rows.filter("_late").drop("_late"), figures
 
 
-MIN_BUCKETS = 256
-KEYS_PER_BUCKET = 5_000_000
-PRUNE_BUCKETS = 10_000  # bucket ids that may reach the driver for pruning
+def batch_log(spark: SparkSession, root: str, schema: str, time_col: str, late_hours: float | None = None):
+    """(tables, ``foreachBatch`` function) that only keep the figures of
+    every micro-batch (``metrics``) and the late rows themselves (``late``):
+    no limit on their number, unlike a query's recent progress."""
+    tables = BatchTables(spark, root, {"late": schema})
 
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= tables.done():
+            return
+        _, late, figures = log_batch(tables, batch, batch_id, time_col, late_hours)
+        tables.write("late", batch_id, late)
+        tables.finish(batch_id, **figures)
 
-def seen_bucket(guid, buckets: int):
-    """Hash bucket of a guid in a folded key table of ``buckets`` buckets."""
-    return F.pmod(F.xxhash64(guid), F.lit(buckets)).cast("int")
+    return tables, process
 
 
 def _now(source: DataFrame | Callable[[], DataFrame] | None) -> DataFrame | None:
@@ -91,189 +107,144 @@ def _now(source: DataFrame | Callable[[], DataFrame] | None) -> DataFrame | None
     return source() if callable(source) and not isinstance(source, DataFrame) else source
 
 
-class TickState:
-    """Cross-tick tables under ``root``.
-
-    * ``items``, ``seen``, ``quarantine``, ``pending``, ``counters``: one
-      folder per attempt (``batch_id=b/attempt=a``);
-    * ``commits``: an empty file ``<batch>-<attempt>`` per committed batch,
-      created last.  Its creation is the only commit step;
-    * ``counter_names``: names asked for by ``init_counters``, at any time;
-    * ``seen_folded``/``folds``: ``compact_seen`` folds the keys of all
-      committed batches into one row per guid, in hash buckets whose number
-      grows with the keys, and publishes the table by the file
-      ``<version>-<through batch>-<buckets>``.  A tick reads the buckets of
-      its own guids there and the keys of the batches committed since.
-
-    ``pending`` holds the items whose answer was rejected, with their tries;
-    every tick works on them again until ``retry_ticks`` is reached."""
-
-    def __init__(self, spark: SparkSession, root: str, retry_ticks: int = 8):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.retry_ticks = retry_ticks
-        for name in ("items", "seen", "quarantine", "pending", "counters", "folds", "seen_folded", "counter_names"):
-            setattr(self, name, f"{self.root}/{name}")
-
-    # -- files ---------------------------------------------------------------
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _names(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
-
-    def _touch(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.create(p, False).close()
-
-    def _at(self, table: str, batch_id: int, attempt: str) -> str:
-        return f"{table}/batch_id={batch_id}/attempt={attempt}"
-
-    # -- commits -------------------------------------------------------------
-
-    def commits(self) -> dict[int, str]:
-        """Committed attempt of every batch (one small name per tick)."""
-        out: dict[int, str] = {}
-        for name in self._names(f"{self.root}/commits"):
-            batch, attempt = name.split("-", 1)
-            out.setdefault(int(batch), attempt)
-        return out
-
-    def committed(self, batch_id: int) -> bool:
-        return batch_id in self.commits()
-
-    def read(self, table: str) -> DataFrame | None:
-        """Rows of all committed attempts of a table, with ``batch_id``."""
-        done = self.commits()
-        if not done:
-            return None
-        rows = self.spark.read.parquet(table).withColumn("batch_id", F.col("batch_id").cast("long"))
-        keep = self.spark.createDataFrame(sorted(done.items()), "batch_id long, attempt string")
-        return rows.join(F.broadcast(keep), ["batch_id", "attempt"], "left_semi").drop("attempt")
-
-    # -- counters ------------------------------------------------------------
+ITEMS = "topic string, id long, guid string, title string, date timestamp, link string, source string, score string, analyse string"
+
+
+class TickState(BatchTables):
+    """Cross-tick tables under ``root``, one folder per micro-batch each:
+    ``items``, ``seen``, ``quarantine``, ``counters``, ``waiting`` (items
+    that wait for their link or for an accepted answer, with their tries),
+    ``given_up`` (items that waited ``retry_ticks``; a table of the feed's
+    columns, so it can be landed again), ``resolver_requests`` (for the
+    fetcher), ``late`` and ``metrics``; and ``answers``, the model's landed
+    responses, and ``counter_names``, over all batches.
+
+    ``keep_seen`` (ticks) bounds the seen keys that a tick reads: a guid
+    that the feed repeats after more ticks is a new item then.  Without it
+    all keys count, and a tick reads one narrow column of all history."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        retry_ticks: int = 8,
+        hold_ticks: int = 4,
+        late_hours: float | None = None,
+        keep_seen: int | None = None,
+        feed_schema: T.StructType | str = FD.FEED_SCHEMA,
+    ):
+        feed = feed_schema if isinstance(feed_schema, str) else ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in feed_schema)
+        times = dict(x.split() for x in feed.split(", "))["published"]
+        super().__init__(
+            spark,
+            root,
+            {
+                "items": ITEMS.replace("date timestamp", f"date {times}"),
+                "seen": "guid string",
+                "quarantine": "guid string, reason string, answer string",
+                "counters": "name string, seq long",
+                "waiting": f"{feed}, tries int",
+                "given_up": feed,
+                "resolver_requests": "key string, payload string",
+                "late": feed,
+            },
+        )
+        self.retry_ticks, self.hold_ticks, self.late_hours, self.keep_seen = retry_ticks, hold_ticks, late_hours, keep_seen
+        self.answers, self.counter_names = f"{self.root}/answers", f"{self.root}/counter_names"
 
     def init_counters(self, names: DataFrame) -> None:
         """K7: counters at seq 0 for the given names; names that are known
         keep their seq.  May be called at any time, also between ticks."""
         names.select("name").distinct().write.mode("append").parquet(self.counter_names)
 
-    def counters_before(self, batch_id: int) -> DataFrame:
-        done = [(b, a) for b, a in self.commits().items() if b < batch_id]
-        empty = self.spark.createDataFrame([], "name string, seq long")
-        last = self.spark.read.parquet(self._at(self.counters, *max(done))).select("name", "seq") if done else empty
-        if not self._names(self.counter_names):
-            return last
-        return I.init_counters(last, self.spark.read.parquet(self.counter_names))
-
-    # -- seen keys -----------------------------------------------------------
-
-    def fold(self) -> tuple[int, int, int]:
-        """(version, last batch folded, buckets) of the newest fold."""
-        names = self._names(self.folds)
-        return tuple(int(x) for x in names[-1].split("_")) if names else (0, -1, MIN_BUCKETS)  # type: ignore[return-value]
-
-    def epoch(self) -> int:
-        return self.fold()[0]
-
-    def _recent(self, after: int, before: int) -> list[str]:
-        return [self._at(self.seen, b, a) for b, a in sorted(self.commits().items()) if after < b < before]
-
-    def seen_before(self, batch_id: int, batch: DataFrame | None = None) -> DataFrame:
-        """Guids marked by committed batches before ``batch_id``.  With
-        ``batch`` only the buckets of its guids are read from the fold."""
-        version, through, buckets = self.fold()
-        out = self.spark.createDataFrame([], "guid string")
-        recent = self._recent(through, batch_id)
-        if recent:
-            out = out.unionByName(self.spark.read.parquet(*recent).select("guid"))
-        if version:
-            old = self.spark.read.parquet(f"{self.seen_folded}/version={version}").filter(F.col("batch_id") < batch_id)
-            if batch is not None and buckets <= PRUNE_BUCKETS:
-                own = [r[0] for r in batch.select(seen_bucket(F.col("guid"), buckets)).distinct().collect()]
-                old = old.filter(F.col("bucket").isin(own))
-            out = out.unionByName(old.select("guid"))
-        return out
-
-    def compact_seen(self) -> int:
-        """Fold the keys of all committed batches; returns the version."""
-        version, through, buckets = self.fold()
-        last = max(self.commits(), default=-1)
-        recent = self._recent(through, last + 1)
-        if not recent:
-            return version
-        keys = self.spark.read.option("basePath", self.seen).parquet(*recent)
-        keys = keys.select("guid", F.col("batch_id").cast("long").alias("batch_id"))
-        if version:
-            keys = keys.unionByName(self.spark.read.parquet(f"{self.seen_folded}/version={version}").select("guid", "batch_id"))
-        buckets = max(buckets, math.ceil(keys.count() / KEYS_PER_BUCKET))
-        folded = keys.groupBy("guid").agg(F.min("batch_id").alias("batch_id"))
-        folded = folded.withColumn("bucket", seen_bucket(F.col("guid"), buckets))
-        target = f"{self.seen_folded}/version={version + 1}"
-        # overwrite: a fold that died before its name was published is redone
-        folded.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
-        self._touch(f"{self.folds}/{version + 1:012d}_{last}_{buckets}")
-        return version + 1
-
-    def drop_folded(self) -> None:
-        """Retention: remove key folders that the newest fold replaces.  Run
-        it between ticks."""
-        version, through, _ = self.fold()
-        old = [f"{self.seen}/{n}" for n in self._names(self.seen) if n.startswith("batch_id=") and int(n[9:]) <= through]
-        old += [f"{self.seen_folded}/{n}" for n in self._names(self.seen_folded) if int(n.split("=")[1]) < version]
-        for path in old:
-            fs, p = self._fs(path)
-            fs.delete(p, True)
-
-    # -- ticks ---------------------------------------------------------------
-
-    def pending_before(self, batch_id: int) -> DataFrame | None:
-        """Items that wait for another try, as the newest earlier batch left
-        them."""
-        done = [(b, a) for b, a in self.commits().items() if b < batch_id]
-        return self.spark.read.parquet(self._at(self.pending, *max(done))) if done else None
+    def _latest(self, table: str, batch_id: int, last: int | None = None) -> DataFrame:
+        """The table as the last finished batch before ``batch_id`` left it."""
+        last = min(self.done() if last is None else last, batch_id - 1)
+        return self.before(table, last + 1).filter(F.col("batch_id") == last).drop("batch_id")
+
+    def counters_before(self, batch_id: int, last: int | None = None) -> DataFrame:
+        names = read_or_empty(self.spark, self.counter_names, "name string")
+        return I.init_counters(self._latest("counters", batch_id, last), names)
+
+    def seen_before(self, batch_id: int) -> DataFrame:
+        keys = self.before("seen", batch_id)
+        if self.keep_seen is not None:
+            keys = keys.filter(F.col("batch_id") >= batch_id - self.keep_seen)
+        return keys.select("guid")
+
+    def waiting_before(self, batch_id: int, last: int | None = None) -> DataFrame:
+        return self._latest("waiting", batch_id, last)
 
     def ingest(
         self,
         responses: DataFrame | Callable[[], DataFrame] | None = None,
         page_content: DataFrame | Callable[[], DataFrame] | None = None,
         make_scorer: Callable | None = None,
+        make_client: Callable | None = None,
+        resolver_responses: DataFrame | Callable[[], DataFrame] | None = None,
+        concurrency: int | None = None,
     ) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` function running one tick per micro-batch.  Side
         tables that grow while the stream runs are given as readers
-        (functions without arguments)."""
+        (functions without arguments).  Every table of a batch is overwritten
+        when the batch is replayed; a model answer that landed is kept."""
 
         def process(batch: DataFrame, batch_id: int) -> None:
-            if self.committed(batch_id):  # replay of a committed batch
+            last = self.done()
+            if batch_id <= last:  # replay of a finished batch
                 return
-            waiting = self.pending_before(batch_id)
-            if batch.isEmpty() and (waiting is None or waiting.isEmpty()):
+            rows, late, figures = log_batch(self, batch, batch_id, "published", self.late_hours)
+            waiting = self.waiting_before(batch_id, last)
+            if not figures["collected"] and waiting.isEmpty():
                 return  # K9: nothing collected, nothing changes
-            work = batch.withColumn("tries", F.lit(0))
-            if waiting is not None:
-                work = work.unionByName(waiting)
-            before = self.counters_before(batch_id)
-            res = run_tick(work, self.seen_before(batch_id, work), before, page_content=_now(page_content),
-                           responses=_now(responses), make_scorer=make_scorer)
-            again = res.rejected.withColumn("tries", F.col("tries") + 1)
-            attempt = f"a{uuid.uuid4().hex[:16]}"
-            outputs = [
-                (self.items, res.items),
-                (self.seen, res.seen),
-                (self.quarantine, res.quarantine),
-                (self.pending, again.filter(F.col("tries") < self.retry_ticks)),
-                (self.counters, I.apply_advance(before, res.counters)),
-            ]
-            for table, rows in outputs:
-                rows.write.parquet(self._at(table, batch_id, attempt))
-            self._touch(f"{self.root}/commits/{batch_id:020d}-{attempt}")
+            work = rows.withColumn("tries", F.lit(0)).unionByName(waiting)
+            before = written(self.counters_before(batch_id, last), "counters")
+            landed = responses is None and (make_client or make_scorer)
+            res = run_tick(
+                work, self.seen_before(batch_id), before, page_content=_now(page_content), responses=_now(responses),
+                make_scorer=make_scorer, make_client=make_client, concurrency=concurrency,
+                resolver_responses=_now(resolver_responses), hold_ticks=self.hold_ticks,
+                answers_path=self.answers if landed else None,
+            )
+            again = written(res.unresolved.unionByName(res.rejected).withColumn("tries", F.col("tries") + 1), "again")
+            stays = F.col("tries") < self.retry_ticks
+            outputs = {
+                "items": res.items,
+                "seen": res.seen,
+                "quarantine": res.quarantine,
+                "waiting": again.filter(stays),
+                "given_up": again.filter(~stays).drop("tries"),
+                "resolver_requests": res.resolver_requests,
+                "late": late,
+                "counters": I.apply_advance(before, res.counters),
+            }
+            counts = {"fresh": res.linked, "accepted": res.first, "waiting": again}
+            # the tables do not depend on one another: their jobs run side by side
+            with ThreadPoolExecutor(len(outputs)) as pool:
+                done = [pool.submit(self.write, table, batch_id, found) for table, found in outputs.items()]
+                figures |= {name: n.result() for name, n in {k: pool.submit(t.count) for k, t in counts.items()}.items()}
+                for table in done:
+                    table.result()
+            self.finish(batch_id, **figures)
 
         return process
 
+    def window_tick(self, landing: str, hi: dt.datetime, hours: int, batch_id: int, topics: list[str] | None = None, **sources) -> None:
+        """One tick over the look-back window ``[hi - hours, hi]`` of a
+        landing table laid out by topic and hour (``feed.land_feed``).  The
+        window is a partition filter; windows may overlap, since items of
+        earlier ticks are seen."""
+        rows = FD.window_scan(self.spark, landing, hi, hours, topics)
+        self.ingest(**sources)(rows, batch_id)
+
+
+def clock(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A stream without rows that moves on with time: united with a file
+    stream it makes the trigger fire its batch although no file landed, so
+    waiting items are tried again in a quiet feed."""
+    beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return beats.filter("value < 0").select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+
 
 def ingest_stream(
     spark: SparkSession,
@@ -281,25 +252,22 @@ def ingest_stream(
     feed_schema,
     state_root: str,
     hours: int | None = None,
-    responses: DataFrame | Callable[[], DataFrame] | None = None,
-    page_content: DataFrame | Callable[[], DataFrame] | None = None,
-    make_scorer: Callable | None = None,
     checkpoint: str | None = None,
-    retry_ticks: int = 8,
+    every: str | None = None,
+    state: TickState | None = None,
+    **sources,
 ):
     """The periodic ingest.  ``hours`` set: a processing-time trigger
     every ``hours`` hours (the source system's interval, which is also its
-    look-back); ``hours=None``: process what is available and stop.
+    look-back), or ``every`` some other interval; neither: process what is
+    available and stop.  ``sources`` are those of ``TickState.ingest``.
     Returns the started query (already finished for availableNow)."""
-    state = TickState(spark, state_root, retry_ticks)
+    state = state or TickState(spark, state_root, feed_schema=feed_schema)
     ckpt = checkpoint or f"{state_root.rstrip('/')}/_checkpoint"
     stream = spark.readStream.schema(feed_schema).parquet(landing)
-    sink = state.ingest(responses=responses, page_content=page_content, make_scorer=make_scorer)
-    if hours is None:
+    sink = state.ingest(**sources)
+    every = every or (None if hours is None else f"{hours} hours")
+    if every is None:
         return run_available(spark, stream, ckpt, sink=sink)
-    return (
-        stream.writeStream.option("checkpointLocation", ckpt)
-        .trigger(processingTime=f"{hours} hours")
-        .foreachBatch(sink)
-        .start()
-    )
+    timed = stream.unionByName(clock(spark, stream.schema))
+    return timed.writeStream.option("checkpointLocation", ckpt).trigger(processingTime=every).foreachBatch(sink).start()
