@@ -1,7 +1,10 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from quillstream.llm import quality_forest
 from quillstream.llm.scratch import cut
 from tests.conftest import SMALL
+from tests.llm.cases import prose
 from tests.llm.test_ngram_join import brute as brute_groups
 from tests.llm.test_repeats import brute as brute_repeats
 
@@ -42,3 +45,39 @@ def test_stages_take_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = cut(stage(spark, docs, SMALL), name)
         assert docs.count() == 0
+
+
+def edge_table(spark, docs):
+    """Rows with nulls, copies, repeated ids and secrets, in a table whose
+    further columns are named like the stages' own."""
+    some = docs.limit(40).select("doc_id", "text", "lang", "source", "n_chars")
+    long = prose(1, 120)
+    rows = [
+        (None, long, "en", "s", 1), (None, long, "en", "s", 1), (None, prose(2, 90) + " password = correct-horse7-battery", None, None, None),
+        (9001, long, None, "s", None), (9002, long + " and a tail", "en", None, 2), (9003, None, "en", "s", 3), (9004, "", "en", "s", 0),
+        (9005, prose(3, 100), "en", "s", 4), (9005, prose(3, 100), "en", "s", 4), (9006, prose(4, 20_000), "en", "s", 5), (None, None, "en", "s", 6),
+    ]
+    extra = spark.createDataFrame(rows, some.schema)
+    clash = {c: F.lit(c) for c in ("marked", "spans", "whole", "found_in", "_secrets", "cls", "key", "label")}
+    return some.unionByName(extra).withColumns(clash)
+
+
+def test_stages_take_edge_rows_and_clashing_names(spark):
+    docs = edge_table(spark, spark.read.parquet(f"{SMALL}/documents.parquet"))
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, cut(stage(spark, docs, SMALL), name)
+        if name != "packing":
+            assert docs.columns == before.columns
+            assert docs.where(" or ".join(f"`{c}` != '{c}'" for c in ("marked", "spans", "whole", "found_in", "_secrets", "cls", "key", "label"))).count() == 0
+        rows = docs.collect()
+        if name == "quality_rules":
+            assert {r["doc_id"] for r in rows}.isdisjoint({9003, 9004}) and all(r["text"] for r in rows)
+        if name == "near_duplicates":
+            ids = [r["doc_id"] for r in rows if r["doc_id"] is not None]
+            assert len(ids) == len(set(ids)) and 9001 in ids and 9002 not in ids and 9005 in ids
+            assert sum(r["doc_id"] is None for r in rows) == 1  # one is a copy of 9001, one of the other
+        if name == "secrets":
+            assert not any("correct-horse7-battery" in (r["text"] or "") for r in rows)
+            assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in before.collect()}
