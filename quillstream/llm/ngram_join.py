@@ -250,8 +250,10 @@ def ngram_jaccard_components(
     rows; other columns are ignored."""
     sets = cut(document_sets(docs, width, threshold, extra, id_col, text_col), "sets")
     alive = _survivors(sets, threshold, extra)
+    heads = cut(sets.select("doc_id", "n_shingles", "digest"), "heads")
+    drop(sets)
     classes = cut(
-        sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes"
+        heads.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes"
     )
     chosen = cut(
         classes.where("class_id is not null")
@@ -267,14 +269,14 @@ def ngram_jaccard_components(
         "full",
     )
     orders = cut(_orders(full, threshold), "orders")
+    drop(alive, chosen, full)
     components = cut(connected_components(ngram_links(orders, threshold)), "components")
-    drop(alive, chosen, full, orders)
+    drop(orders)
     merged = classes.join(components.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
     return (
-        sets.select("doc_id", "n_shingles", "digest")
-        .join(merged, "digest", "left")
+        heads.join(merged, "digest", "left")
         .select(
             "doc_id",
             "n_shingles",
