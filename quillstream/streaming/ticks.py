@@ -64,17 +64,19 @@ def run_available(
     return q
 
 
-def log_batch(tables: BatchTables, batch: DataFrame, batch_id: int, time_col: str, late_hours: float | None):
+def newest_before(tables: BatchTables, batch_id: int) -> dt.datetime | None:
+    """The newest time that batches before ``batch_id`` read."""
+    return tables.before("metrics", batch_id).agg(F.max("newest")).first()[0]
+
+
+def log_batch(batch: DataFrame, time_col: str, late_hours: float | None, newest: dt.datetime | None):
     """A3 / T4: the micro-batch, written once and observed while it is:
     (rows in time, late rows, figures).  Late rows are those at or before the
-    watermark, the newest time of all earlier batches less ``late_hours``;
-    without it none are late."""
-    newest = None
-    if late_hours is not None:
-        newest = tables.before("metrics", batch_id).agg(F.max("newest")).first()[0]
+    watermark, the ``newest`` time of all earlier batches less
+    ``late_hours``; without it none are late."""
     time = F.col(time_col).cast("timestamp")
     late = F.lit(False)
-    if newest is not None:
+    if newest is not None and late_hours is not None:
         late = F.coalesce(time <= F.lit(newest - dt.timedelta(hours=late_hours)), F.lit(False))
     seen = Observation()
     marked = batch.withColumn("_late", late).observe(
@@ -90,13 +92,19 @@ def batch_log(spark: SparkSession, root: str, schema: str, time_col: str, late_h
     every micro-batch (``metrics``) and the late rows themselves (``late``):
     no limit on their number, unlike a query's recent progress."""
     tables = BatchTables(spark, root, {"late": schema})
+    known: dict = {}  # what this run has written itself is not read again
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= tables.done():
+        if not known:
+            known.update(done=tables.done(), newest=newest_before(tables, 1 << 62))
+        if batch_id <= known["done"]:
             return
-        _, late, figures = log_batch(tables, batch, batch_id, time_col, late_hours)
-        tables.write("late", batch_id, late)
+        _, late, figures = log_batch(batch, time_col, late_hours, known["newest"])
+        if figures["late"]:
+            tables.write("late", batch_id, late)
         tables.finish(batch_id, **figures)
+        times = [t for t in (known["newest"], figures["newest"]) if t is not None]
+        known.update(done=batch_id, newest=max(times, default=None))
 
     return tables, process
 
@@ -193,7 +201,8 @@ class TickState(BatchTables):
             last = self.done()
             if batch_id <= last:  # replay of a finished batch
                 return
-            rows, late, figures = log_batch(self, batch, batch_id, "published", self.late_hours)
+            newest = None if self.late_hours is None else newest_before(self, batch_id)
+            rows, late, figures = log_batch(batch, "published", self.late_hours, newest)
             waiting = self.waiting_before(batch_id, last)
             if not figures["collected"] and waiting.isEmpty():
                 return  # K9: nothing collected, nothing changes
