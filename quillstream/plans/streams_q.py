@@ -195,11 +195,11 @@ def stream_ingest(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ S1 / P2: look-back windows as ticks
-# A landing table by topic and hour; three ticks, each over the 48 hours
+# A landing table by topic and day; two ticks, each over the 48 hours
 # before it, half of which the tick before has seen.
 
 WINDOW_HOURS = 48
-WINDOW_ENDS = [FD.CUTOFF + dt.timedelta(hours=24 * k) for k in range(3)]
+WINDOW_ENDS = [FD.CUTOFF + dt.timedelta(hours=24 * k) for k in range(2)]
 
 WINDOW_TICKS_SQL = f"""
 WITH items AS (
@@ -218,8 +218,8 @@ FROM firsts WHERE score <> '0'
 @register("window_ticks", WINDOW_TICKS_SQL)
 def window_ticks(spark, sf_dir):
     root = scratch_path(spark, "window-ticks")
-    FD.land_feed(FD.feed_items(spark, sf_dir), f"{root}/landing")
-    feed = spark.read.parquet(f"{root}/landing").drop("hour")
+    FD.land_feed(FD.feed_items(spark, sf_dir), f"{root}/landing", slot="day")
+    feed = spark.read.parquet(f"{root}/landing").drop("day")
     state = TK.TickState(spark, f"{root}/state", feed_schema=feed.select(sorted(feed.columns)).schema)
     state.init_counters(spark.createDataFrame([("click-counter",), ("view-counter",)], "name string"))
     responses = landed_responses(spark, sf_dir)

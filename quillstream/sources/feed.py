@@ -30,7 +30,8 @@ CUTOFF = dt.datetime(2024, 1, 15)
 
 #: Columns of the landed feed.
 FEED_SCHEMA = "topic string, lang string, country string, title string, link string, guid string, published timestamp, event_id long"
-HOUR = "yyyyMMddHH"
+#: Folder of a landing table: name, its format in Spark and in Python.
+SLOTS = {"hour": ("yyyyMMddHH", "%Y%m%d%H"), "day": ("yyyyMMdd", "%Y%m%d")}
 
 
 def ts_lit(df: DataFrame, col: str, value: dt.datetime):
@@ -96,9 +97,11 @@ def topic_window(
     return found if limit is None else found.orderBy(F.col(time_col).desc(), F.col(tie_col)).limit(limit)
 
 
-def land_feed(feed: DataFrame, path: str) -> None:
-    """Append feed items to a landing table laid out by topic and hour."""
-    feed.withColumn("hour", F.date_format("published", HOUR)).write.mode("append").partitionBy("topic", "hour").parquet(path)
+def land_feed(feed: DataFrame, path: str, slot: str = "hour") -> None:
+    """Append feed items to a landing table laid out by topic and hour (or
+    day); rows of a folder are gathered first, so it gets one file."""
+    slotted = feed.withColumn(slot, F.date_format("published", SLOTS[slot][0]))
+    slotted.repartition("topic", slot).write.mode("append").partitionBy("topic", slot).parquet(path)
 
 
 def window_scan(
@@ -106,16 +109,17 @@ def window_scan(
 ) -> DataFrame:
     """S1/P2 over a landing table of ``land_feed``: items published in
     ``[hi - hours, hi]``, of the given topics or all.  Only the folders of
-    those topics and hours are read (partition filters)."""
+    those topics and hours (or days) are read (partition filters)."""
     lo = hi - dt.timedelta(hours=hours)
     feed = spark.read.parquet(path)
+    name = next(n for n in SLOTS if n in feed.columns)
     # folder names may be read as numbers; compared as text either way
-    hour, topic = F.col("hour").cast("string"), F.col("topic").cast("string")
-    found = feed.filter((hour >= lo.strftime("%Y%m%d%H")) & (hour <= hi.strftime("%Y%m%d%H")))
+    slot, topic, form = F.col(name).cast("string"), F.col("topic").cast("string"), SLOTS[name][1]
+    found = feed.filter((slot >= lo.strftime(form)) & (slot <= hi.strftime(form)))
     if topics is not None:
         found = found.filter(topic.isin(topics))
     found = found.filter((F.col(time_col) >= ts_lit(feed, time_col, lo)) & (F.col(time_col) <= ts_lit(feed, time_col, hi)))
-    return found.withColumn("topic", topic).drop("hour")
+    return found.withColumn("topic", topic).drop(name)
 
 
 def project_items(feed: DataFrame) -> DataFrame:
