@@ -89,26 +89,31 @@ def resolve_links(items: DataFrame, resolver_responses: DataFrame | None = None)
     return x.withColumns({"link": link, "_resolver_id": waits}).drop("_u", "_found")
 
 
-def with_pages(items: DataFrame, pages: DataFrame | None) -> DataFrame:
+def with_pages(items: DataFrame, pages: DataFrame | None, page_key: str | None = None) -> DataFrame:
     """Step 4: ``source`` (the page's site name, else the host), and the
     scoring text.  ``pages`` has url and html, of which only the pages that
-    items link to are extracted, or url and content made elsewhere."""
+    items link to are extracted, or url and content made elsewhere.  Several
+    pages at one url give an item a row each; with ``page_key``, the column
+    of ``pages`` with the guid of a page's item, only that item has it."""
     host = L.url_host(F.col("link"))
     if pages is None:
         return items.withColumns({"source": host, "scoring_text": T.compose_scoring_text(F.col("title"), F.lit(None).cast("string"))})
     if "html" in pages.columns:
-        wanted = items.select(F.col("link").alias("url")).distinct()
-        own = pages.join(wanted, "url", "left_semi").select("url", H.page_parts(F.col("html")).alias("_p"))
-        pages = own.select("url", T.clean_words(F.col("_p.article")).alias("content"), F.col("_p.site_name").alias("site_name"))
+        keys = ["url"] if page_key is None else ["url", page_key]
+        wanted = items.select(*(F.col(c).alias(k) for c, k in zip(("link", "guid"), keys, strict=False))).distinct()
+        own = pages.join(wanted, keys, "left_semi").select(*keys, H.page_parts(F.col("html")).alias("_p"))
+        pages = own.select(*keys, T.clean_words(F.col("_p.article")).alias("content"), F.col("_p.site_name").alias("site_name"))
     site = F.col("site_name") if "site_name" in pages.columns else F.lit(None).cast("string")
-    # page URLs are unique, so no fan-out: AQE broadcasts the page side
-    # when its runtime size is under the threshold, else sort-merge
-    own = pages.select(F.col("url").alias("_url"), F.col("content").alias("_content"), site.alias("_site"))
-    x = items.join(own, F.col("link") == F.col("_url"), "left")
+    # AQE broadcasts the page side when its runtime size is under the
+    # threshold, else sort-merge
+    item = F.lit(None) if page_key is None else F.col(page_key)
+    own = pages.select(F.col("url").alias("_url"), F.col("content").alias("_content"), site.alias("_site"), item.alias("_item"))
+    met = F.col("link") == F.col("_url")
+    x = items.join(own, met if page_key is None else met & (F.col("guid") == F.col("_item")), "left")
     x = x.withColumns(
         {"source": F.coalesce(F.col("_site"), host), "scoring_text": T.compose_scoring_text(F.col("title"), F.col("_content"))}
     )
-    return x.drop("_url", "_content", "_site")
+    return x.drop("_url", "_content", "_site", "_item")
 
 
 def answered(

@@ -103,8 +103,8 @@ def backfill_job(spark, sf_dir):
     )
     path = K.table_path(scratch_path(spark, "ns"), "test", "scored_items")
     MG.write_bucketed(items, path, "id", BUCKETS)
-    fetched = pages.filter(H.has_complete_body(F.col("html"))).select("url", "html")
-    run_backfill(spark, path, "id", BUCKETS, pages=fetched)
+    fetched = pages.filter(H.has_complete_body(F.col("html"))).select("page_id", "url", "html")
+    run_backfill(spark, path, "id", BUCKETS, pages=fetched, page_key="page_id")
     return MG.read_bucketed(spark, path, "id").select("id", "score", "analyse")
 
 

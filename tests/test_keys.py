@@ -157,3 +157,25 @@ def test_backfill_resumes_and_leaves_what_does_not_parse(spark):
     got = {r["id"]: (r["score"], r["analyse"]) for r in MG.read_bucketed(spark, path, "id").collect()}
     content = len("Title:title 1\nContent:The content of page one.")
     assert got == {0: ("7", "a"), 1: (str(content), "a"), 2: (None, None), 4: ("7", "a"), 5: ("7", "a"), 6: (None, None), 7: (None, None)}
+
+
+def test_backfill_of_items_that_share_a_link(spark):
+    from quillstream.plans.backfill import run_backfill
+    from quillstream.session import scratch_path
+
+    schema = "id long, title string, link string, score string, analyse string"
+    body = "<body><p>The content {} of the page.</p></body>".format
+    rows = [(1, "t", "https://a.example/x"), (2, "t", "https://a.example/x"), (3, "t", "https://a.example/y"), (4, "t", None)]
+    pages = [(1, rows[0][2], body("one")), (2, rows[0][2], body("is number two")), (5, rows[2][2], body("five")), (4, None, body("four"))]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    text = lambda words: f"Title:t\nContent:The content {words} of the page."
+    # the item's own page; without keys one of the pages at the link
+    for page_key, content in (("page_id", {1: text("one"), 2: text("is number two"), 3: "t"}), (None, dict.fromkeys((1, 2), text("is number two")) | {3: text("five")})):
+        asked = scratch_path(spark, "answers")
+        path = scratch_path(spark, "items")
+        MG.write_bucketed(spark.createDataFrame([(*r, None, None) for r in rows], schema), path, "id", 4)
+        scorer = lambda: lambda texts: ['{"score":"%d","analyse":"a"}' % len(t) for t in texts]
+        run_backfill(spark, path, "id", 4, pages, make_scorer=scorer, page_key=page_key, answers_path=asked)
+        got = {r["id"]: r["score"] for r in MG.read_bucketed(spark, path, "id").collect()}
+        assert got == {k: str(len(v)) for k, v in (content | {4: "t"}).items()}
+        assert spark.read.parquet(asked).count() == len({*content.values(), "t"})  # one call a text
