@@ -30,6 +30,8 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
+from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -186,18 +188,19 @@ def page_lines(page: str | None) -> list[tuple[str, bool]]:
     return lines
 
 
-#: Bits of the table that one alignment may keep (lines of one page times lines of the other).
-ALIGN_BITS = 1 << 31
+#: Bits of the length table, and of the masks of lines, that an alignment keeps at a time.
+KEPT_BITS = 1 << 28
 
 
-def common_lines(one: list[str], two: list[str]) -> list[int]:
+def common_lines(one: list[str], two: list[str], kept_bits: int = KEPT_BITS) -> list[int]:
     """Places in ``one`` of a longest common subsequence with ``two``.
 
     A row of the length table is one integer, a zero bit where the length
     grows (bit-parallel, so a line that is repeated thousands of times costs
-    no more than others); the rows are kept for the way back.  Equal lines at
-    both ends are matched beforehand.  Beyond ``ALIGN_BITS`` equal lines are
-    matched by their number of occurrence instead, in one pass."""
+    no more than others).  The way back needs the rows from the last to the
+    first: of a longer table every n-th is kept, and those in between are
+    made again from there.  Equal lines at both ends are matched beforehand.
+    ``kept_bits`` bounds the memory and has no effect on the result."""
     head = 0
     while head < min(len(one), len(two)) and one[head] == two[head]:
         head += 1
@@ -206,32 +209,58 @@ def common_lines(one: list[str], two: list[str]) -> list[int]:
         tail += 1
     ends = [*range(head)], [*range(len(one) - tail, len(one))]
     a, b = one[head : len(one) - tail], two[head : len(two) - tail]
-    if len(a) * len(b) > ALIGN_BITS:
-        return ends[0] + [head + i for i in _by_occurrence(a, b)] + ends[1]
-    where: dict[str, int] = {}
+    # lines of one side only are on no way
+    shared = set(a) & set(b)
+    own = [i for i, line in enumerate(a) if line in shared]
+    b = [line for line in b if line in shared]
+    places: dict[str, list[int]] = {}
     for j, line in enumerate(b):
-        where[line] = where.get(line, 0) | 1 << j
+        places.setdefault(line, []).append(j)
     full = (1 << len(b)) - 1
-    now, rows = full, []
-    for line in a:
-        met = now & where.get(line, 0)
-        now = ((now + met) | (now - met)) & full
-        rows.append(now)
-    found, i, j = [], len(a), len(b)
-    while i and j:
-        if rows[i - 1] >> (j - 1) & 1:
-            j -= 1
-        elif i > 1 and not rows[i - 2] >> (j - 1) & 1:
-            i -= 1
-        else:
-            i, j = i - 1, j - 1
-            found.append(head + i)
+    kept = max(64, kept_bits // max(1, len(b)))
+
+    @lru_cache(maxsize=kept)
+    def mask(line: str) -> int:
+        bits = bytearray(len(b) // 8 + 1)
+        for j in places[line]:
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    def rows(lo: int, hi: int, now: int):
+        """Rows ``lo`` to ``hi``; ``now`` is the one before."""
+        for i in own[lo:hi]:
+            met = now & mask(a[i])
+            now = ((now + met) | (now - met)) & full
+            yield now
+
+    found, j = [], len(b)
+
+    def back(lo: int, hi: int, before: int) -> None:
+        nonlocal j
+        if hi - lo > kept:
+            step = -(-(hi - lo) // kept)
+            starts = [before, *islice(rows(lo, hi, before), step - 1, hi - lo - 1, step)]
+            for k in range(len(starts) - 1, -1, -1):
+                back(lo + k * step, min(hi, lo + (k + 1) * step), starts.pop())
+            return
+        table, i = [before, *rows(lo, hi, before)], hi - lo
+        while i and j:
+            if table[i] >> (j - 1) & 1:
+                j -= 1
+            elif not table[i - 1] >> (j - 1) & 1:
+                i -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append(head + own[lo + i])
+
+    back(0, len(own), full)
     return ends[0] + found[::-1] + ends[1]
 
 
 def _by_occurrence(one: list[str], two: list[str]) -> list[int]:
     """Longest rise over the places where the n-th occurrence of a line in
-    one page meets the n-th in the other."""
+    one page meets the n-th in the other: common lines in one pass, not
+    always the most.  ``common_lines`` does not use it."""
     count: dict[str, int] = {}
     where: dict[tuple[str, int], int] = {}
     for j, line in enumerate(two):

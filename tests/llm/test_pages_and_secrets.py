@@ -101,6 +101,18 @@ def test_repeated_lines_cost_no_square():
     assert time.time() - start < 5
 
 
+def test_common_lines_does_not_depend_on_the_size():
+    rng = random.Random(5)
+    for letters, size in (("abcde", 40), ("abcdefghijklmnopqrstuvwxyz", 400), ("abcdefghijklmnopqrstuvwxyz", 900)):
+        a, b = ([rng.choice(letters) for _ in range(size)] for _ in range(2))
+        assert page_diff.common_lines(a, b, 1) == page_diff.common_lines(a, b)
+    # pages of 50,000 lines: a line that is met as another occurrence
+    a, b = (["x", "menu", *(f"{side} {i}" for i in range(50_000)), "menu", "y"] for side in "ab")
+    assert page_diff.common_lines(["menu", *a], [*b, "x", "menu"]) == [1, 2, 50_003, 50_004]
+    many = [f"{i % 50_000}" for i in range(60_000)]
+    assert page_diff.common_lines(["a", *many, "b"], ["c", *many[10_000:], *many[:10_000], "d"]) == [*range(10_001, 60_001)]
+
+
 def test_names_are_matched_whole():
     body = prose(1, 40)
     for mark in ("section class='related-work'", "p class='first-reply'", "div class='widget-text'", "div id='search-theory'", "div class='notice-period'"):
