@@ -1,4 +1,4 @@
-"""Score rows with a model client, batched through ``mapInPandas``.
+"""Score rows with a model client, batched through ``mapInArrow``.
 
 The model call is the only step that leaves the JVM.  The client is a
 parameter: ``scorer(texts: list[str]) -> list[str]`` returns one raw answer
@@ -17,6 +17,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,9 @@ from quillstream.session import read_or_empty, scratch_path
 
 Scorer = Callable[[list], list]
 
+#: Texts handed to a scorer at a time.
+SLICE_ROWS = 256
+
 
 def standin_scorer(texts: list) -> list:
     """Deterministic offline stand-in for the model: score is
@@ -54,18 +58,22 @@ def score_rows(
     row).  All columns pass through the Arrow batches, so no join back on
     a synthetic row key is needed.  ``concurrency`` round-robin
     repartitions first (balanced even when one key dominates), bounding
-    the number of concurrent clients."""
+    the number of concurrent clients.  The scorer gets at most
+    ``SLICE_ROWS`` texts at a time; of an Arrow batch no more than these
+    are Python strings at once."""
     src = df.repartition(concurrency) if concurrency else df
     out_schema = T.StructType(list(src.schema.fields) + [T.StructField(answer_col, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else None for t in pdf[text_col].tolist()]
-            pdf[answer_col] = scorer(texts)
-            yield pdf
-
-    return src.mapInPandas(run, out_schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(at, SLICE_ROWS)
+                texts = [t if isinstance(t, str) else None for t in rows.column(text_col).to_pylist()]
+                answers = pa.array(scorer(texts), pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, answers], names=[*rows.schema.names, answer_col])
+
+    return src.mapInArrow(run, out_schema)
 
 
 # --------------------------------------------------------------------- HTTP

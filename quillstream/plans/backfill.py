@@ -47,6 +47,7 @@ def run_backfill(
     if pages is not None:
         scored = D.first_per_key(scored.select("guid", "scoring_text"), ["guid"], ["scoring_text"])
     texts = answered(scored, None, make_client, make_scorer, concurrency, answers_path)
-    parsed = texts.select(F.col("guid").alias(key), M.strict_answer(F.col("answer")).alias("p"))
+    # written, so that a filter on the parsed answer does not parse it again
+    parsed = written(texts.select(F.col("guid").alias(key), M.strict_answer(F.col("answer")).alias("p")), "answers")
     updates = parsed.filter("p.reason IS NULL").select(key, "p.score", "p.analyse")
     return MG.merge_into(spark, path, updates, key, ["score", "analyse"], buckets, delete_neutral_col="score")

@@ -12,6 +12,7 @@ from quillstream.operators.scoring import score_rows
 from quillstream.plans import sqlfrag as S
 from quillstream.plans.backfill import run_backfill
 from quillstream.plans.catalog import register
+from quillstream.plans.ingest import written
 from quillstream.session import scratch_path
 from quillstream.sources import feed as FD
 from quillstream.sources import sinks as K
@@ -64,8 +65,9 @@ def backfill_merge(spark, sf_dir):
     items = stored_items(spark, sf_dir)
     cand = MG.backfill_candidates(items)
     # the model is only called for candidates (filter before the Python hop)
-    answers = score_rows(cand, "text")
-    parsed = answers.select("doc_id", M.strict_answer(F.col("answer")).alias("p"))
+    answers = score_rows(cand.select("doc_id", "text"), "text")
+    # written: the model is called once, and the filter does not parse again
+    parsed = written(answers.select("doc_id", M.strict_answer(F.col("answer")).alias("p")), "answers")
     updates = parsed.filter(F.col("p.reason").isNull()).select(
         "doc_id", F.col("p.score").alias("score"), F.col("p.analyse").alias("analyse")
     )

@@ -141,3 +141,33 @@ def test_envelope_keys_in_any_case_and_finish_reason_by_decoder(spark):
 def test_the_prompt_names_topic_and_scale():
     text = M.scoring_prompt("Acme", -3, 3, 50)
     assert "Acme" in text and "-3" in text and "50 words" in text
+
+
+def test_scorer_gets_few_texts_at_a_time(spark):
+    from quillstream.operators import scoring as SC
+
+    rows = [(None if i % 3 == 0 else (1 << 60) + i, None if i == 5 else "x" * i) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    most = SC.SLICE_ROWS
+
+    def make():
+        def scorer(texts):
+            assert len(texts) <= most
+            return ["0" if t is None else str(len(t)) for t in texts]
+
+        return scorer
+
+    got = [tuple(r) for r in SC.score_rows(df, "text", make).collect()]
+    assert got == [(i, t, "0" if t is None else str(len(t))) for i, t in rows]
+
+
+def test_backfill_merge_parses_each_answer_once(spark, tmp_path):
+    from quillstream.plans.mutations_q import backfill_merge
+
+    docs = [(1, "a" * 16), (2, "a" * 9), (3, None), (4, "d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, 3, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = backfill_merge(spark, str(tmp_path))
+    assert {tuple(r) for r in out.collect()} == {(2, "4", "9 characters"), (3, None, None), (4, "2", "quality=3 toxic=1")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
