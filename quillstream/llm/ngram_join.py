@@ -125,20 +125,16 @@ def _full_sets(texts: DataFrame, width: int) -> DataFrame:
 def _survivors(sets: DataFrame, threshold: float, extra: float) -> DataFrame:
     """Class digests (low 64 bits as ``cid``) that pass the hash-order filter,
     as a written table."""
-    postings = sets.where("size(prefix) > 0").select(
-        F.xxhash64("digest").alias("cid"), "n_shingles", F.explode("prefix").alias("tok")
-    )
+    cid = F.xxhash64("digest").alias("cid")
+    # dealt by token once: the shared tokens and the join read the same exchange
+    postings = sets.where("size(prefix) > 0").select(cid, F.explode("prefix").alias("tok")).repartition("tok")
     # copies of a class post the same cid, so they never make a token shared
-    shared = cut(
-        postings.groupBy("tok").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo != hi").select("tok"),
-        "shared",
-    )
+    shared = postings.groupBy("tok").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo != hi").select("tok")
     # one row a token and partition: the build side of each partition is bounded
-    hits = postings.join(shared.hint("shuffle_hash"), "tok").groupBy("cid", "n_shingles").count()
+    hits = postings.join(shared.hint("shuffle_hash"), "tok").groupBy("cid").count()
+    sizes = sets.where("digest is not null").select(cid, "n_shingles").distinct()
     need = 1 + F.floor(F.lit(extra) * F.ceil(F.col("n_shingles") * threshold - 1e-9))
-    alive = cut(hits.where(F.col("count") >= need).select("cid").distinct(), "alive")
-    drop(shared)
-    return alive
+    return cut(hits.join(sizes, "cid").where(F.col("count") >= need).select("cid").distinct(), "alive")
 
 
 def _orders(full: DataFrame, threshold: float) -> DataFrame:

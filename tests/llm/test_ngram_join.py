@@ -156,3 +156,26 @@ def test_wide_buckets_by_size_bands(spark, monkeypatch):
     monkeypatch.setattr(ngram_join.ngram_links, "__defaults__", (3,))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(ngram_join.ngram_jaccard_components(df)) == brute(rows)
+
+
+def test_prefixes_are_dealt_by_token_once(spark, monkeypatch):
+    from collections import defaultdict
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 60))) for _ in range(40)]
+    texts += [t.rsplit(" ", 1)[0] for t in texts] + texts[:5] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = ngram_join.cut(ngram_join.document_sets(docs, 5, 0.75, 0.15, "doc_id", "text"), "sets")
+    frames = []
+    monkeypatch.setattr(ngram_join, "cut", lambda df, name: frames.append(df) or df)
+    got = [r["cid"] for r in ngram_join._survivors(sets, 0.75, 0.15).collect()]
+    owners, own = defaultdict(set), {}
+    for r in sets.selectExpr("xxhash64(digest) cid", "n_shingles n", "prefix").where("size(prefix) > 0").collect():
+        own[r["cid"]] = r
+        for tok in r["prefix"]:
+            owners[tok].add(r["cid"])
+    want = {c for c, r in own.items() if sum(len(owners[t]) > 1 for t in r["prefix"]) >= ngram_join.shared_needed(r["n"], 0.75, 0.15)}
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < len(own)
+    frames[0].collect()
+    plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(frames) == 1 and "ReusedExchange" in plan.split("Initial Plan")[0]
